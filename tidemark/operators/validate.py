@@ -15,7 +15,7 @@ from tidemark.functions.timefns import parse_event_time, ts_literal
 REASON = "_reject_reason"
 # Reasons in the order they are tested; the first that applies is reported.
 REQUIRED_REASONS = (
-    "missing_id", "null_id", "missing_type", "null_type", "missing_created_at",
+    "corrupt_record", "missing_id", "null_id", "missing_type", "null_type", "missing_created_at",
     "missing_repo", "repo_not_object", "missing_repo_id", "missing_repo_name",
     "null_repo_name", "future_timestamp",
 )
@@ -36,7 +36,8 @@ def required_reason(not_after: str | None = None) -> Column:
     repo object, and optionally no event time after ``not_after``.
     """
     expr = (
-        F.when(_absent("id"), "missing_id")
+        F.when(_absent("_corrupt_record"), "corrupt_record")
+        .when(_absent("id"), "missing_id")
         .when(F.col("id").isNull(), "null_id")
         .when(_absent("type"), "missing_type")
         .when(F.col("type").isNull(), "null_type")
