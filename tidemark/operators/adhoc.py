@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.features import time_of_day_rank
 from tidemark.functions.timefns import as_wall_clock, day_name, ts_literal, weekday_rank
 from tidemark.operators import gold
 from tidemark.operators.ranking import top_n
+from tidemark.session import materialize
 
 HIST_BINS = 20
 
@@ -85,15 +86,17 @@ def weekday_hour_heatmap(silver: DataFrame) -> DataFrame:
 
 
 def type_share(silver: DataFrame) -> DataFrame:
+    """Share of each type.  The total is a window over the aggregated counts
+    (one row per type), so Silver is aggregated once."""
     counts = gold.event_type_counts(silver)
-    total = counts.agg(F.sum("event_count")).scalar()
+    total = F.sum("event_count").over(Window.partitionBy())
     return counts.withColumn("share_pct", F.round(100.0 * F.col("event_count") / total, 4))
 
 
 def contribution_histogram(silver: DataFrame, bins: int = HIST_BINS) -> DataFrame:
     """Contributors per bin of their contribution count: ``bins`` equal bins
     over [min, max], the max folded into the last bin, one bin if min = max."""
-    per = gold.contributor_metrics(silver).select(F.col("total_contributions").alias("x"))
+    per = materialize(gold.contributor_metrics(silver).select(F.col("total_contributions").alias("x")))
     lo = per.agg(F.min("x")).scalar()
     hi = per.agg(F.max("x")).scalar()
     width = (hi - lo) / F.lit(bins)
@@ -116,11 +119,19 @@ def filtered_summary(silver: DataFrame, event_types: Sequence[str], repos: Seque
     """Dashboard filter (types AND repos), count per type plus the filtered
     totals (events, distinct repos, distinct logins with '' counted)."""
     f = silver.filter(F.col("event_type").isin(*event_types) & F.col("repo_name").isin(*repos))
-    tot = f.agg(F.count(F.lit(1))).scalar()
-    nrepo = f.agg(F.count_distinct("repo_name")).scalar()
-    nact = f.agg(F.count_distinct("actor_login")).scalar()
-    return (f.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
-            .select("*", tot.alias("total_events"), nrepo.alias("repos"), nact.alias("contributors")))
+    # one pass: per-type rows and the grand total (ROLLUP); the total is then
+    # spread over the per-type rows by a window over the few result rows
+    r = f.rollup("event_type").agg(
+        F.count(F.lit(1)).alias("event_count"), F.count_distinct("repo_name").alias("repos"),
+        F.count_distinct("actor_login").alias("contributors"), F.grouping_id().alias("_g"))
+    everything = Window.partitionBy()
+
+    def total(c: str) -> Column:
+        return F.max(F.when(F.col("_g") == 1, F.col(c))).over(everything)
+
+    return (r.select("event_type", "event_count", total("event_count").alias("total_events"),
+                     total("repos").alias("repos"), total("contributors").alias("contributors"), "_g")
+            .filter(F.col("_g") == 0).drop("_g"))
 
 
 def distinct_values(silver: DataFrame, col: str) -> DataFrame:
@@ -144,19 +155,30 @@ def ordered_time_of_day(silver: DataFrame) -> DataFrame:
 
 
 def key_insights(silver: DataFrame) -> DataFrame:
-    """One row: volume, top type and share, top repo, top contributor."""
-    types = gold.event_type_counts(silver)
-    repos = gold.repo_metrics(silver)
-    contrib = gold.contributor_metrics(silver)
+    """One row: volume, top type and share, top repo, top contributor.
+
+    The three gold tables it reads are materialised once (they are small:
+    one row per type / repo / contributor); every scalar below is then a
+    cheap scan of a materialised table, never a re-derivation of Silver."""
+    narrow = materialize(silver.select("event_type", "repo_name", "actor_login", "created_at",
+                                       "is_active_contribution"))
+    types = materialize(gold.event_type_counts(narrow))
+    repos = materialize(gold.repo_metrics(narrow))
+    contrib = materialize(gold.contributor_metrics(narrow))
+    return insights_from(types, repos, contrib)
+
+
+def insights_from(types: DataFrame, repos: DataFrame, contrib: DataFrame) -> DataFrame:
+    """Key insights from the event-type, repo and contributor gold tables."""
     t1 = top_n(types, [F.desc("event_count"), F.asc("event_type")], 1)
     r1 = top_n(repos, [F.desc("total_events"), F.asc("repo_name")], 1)
     c1 = top_n(contrib, [F.desc("total_contributions"), F.asc("actor_login")], 1)
-    total = silver.agg(F.count(F.lit(1))).scalar()
+    total = types.agg(F.sum("event_count")).scalar()
 
     def s(df: DataFrame, c: str) -> Column:
         return df.select(c).scalar()
 
-    return silver.sparkSession.range(1).select(
+    return types.sparkSession.range(1).select(
         total.alias("total_events"),
         repos.agg(F.count(F.lit(1))).scalar().alias("n_repos"),
         contrib.agg(F.count(F.lit(1))).scalar().alias("n_contributors"),

@@ -67,3 +67,12 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
     path = "/".join([base.rstrip("/"), *parts]) if parts else base
     return path
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder and
+    return a DataFrame that reads it back.  Used where several scalars or
+    tables are derived from the same expensive intermediate, so the
+    intermediate is computed once instead of once per consumer."""
+    work_dir(df.sparkSession)  # ensures a checkpoint folder (shared on a cluster)
+    return df.checkpoint(eager=True)
