@@ -78,6 +78,10 @@ def test_incremental_equals_one_shot(spark, tmp_dir):
     assert runs.count() == 3 and runs.filter("status = 'success'").count() == 3
     latest = spark.read.parquet(f"{tmp_dir}/gold_latest/summary").collect()[0]
     assert latest["total_events"] == s2b["records_processed"]
+    st = incremental_run.status_summary(spark, tmp_dir).collect()[0]
+    assert st["data_available"] and st["last_run_status"] == "success"
+    layers = incremental_run.load_layers(spark, tmp_dir)
+    assert layers["events"].count() == want.count()
 
 
 def test_failure_keeps_watermark(spark, tmp_dir):

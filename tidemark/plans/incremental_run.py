@@ -93,3 +93,35 @@ def run_batch(spark: SparkSession, bronze: DataFrame, root: str, batch_id: str,
     finally:
         tracker.end(clock(), stats["records_processed"], stats["status"], stats["error"])
     return stats
+
+
+def load_layers(spark: SparkSession, root: str, pipeline: str = "events") -> dict[str, DataFrame]:
+    """Lazy bundle of the layers a consumer reads: committed Silver, latest
+    gold summary, control table and run history (nothing is collected)."""
+    p = paths(root)
+    done = committed_batches(spark, root, pipeline)
+    return {
+        "events": sinks.read_layer(spark, p["silver"], committed_batches=done),
+        "summary": spark.read.parquet(f"{p['gold_latest']}/summary"),
+        "control": state.read_control(spark, p["control"]),
+        "run_history": state.read_runs(spark, p["runs"]),
+    }
+
+
+def status_summary(spark: SparkSession, root: str, pipeline: str = "events") -> DataFrame:
+    """One row: data available, total events and last update (latest gold
+    summary), last run status (from the run history, not the checkpoint)."""
+    p = paths(root)
+    runs = state.read_runs(spark, p["runs"])
+    last = runs.agg(F.max_by("status", "end_time").alias("last_run_status"),
+                    F.count(F.lit(1)).alias("runs"))
+    try:
+        summ = spark.read.parquet(f"{p['gold_latest']}/summary")
+        tot = summ.agg(F.max("total_events")).scalar()
+        upd = summ.agg(F.max("calculation_timestamp")).scalar()
+        avail = F.lit(True)
+    except Exception:  # noqa: BLE001 - no gold yet
+        tot, upd, avail = F.lit(0).cast("long"), F.lit(None).cast("timestamp_ntz"), F.lit(False)
+    return last.select(avail.alias("data_available"), tot.alias("total_events"),
+                       upd.alias("last_update"),
+                       F.coalesce(F.col("last_run_status"), F.lit("unknown")).alias("last_run_status"))

@@ -54,3 +54,11 @@ def read_layer(spark: SparkSession, path: str, scope: str = "all",
     if scope == "latest":
         df = df.filter(F.col("_batch_id") == df.agg(F.max("_batch_id")).scalar())
     return df
+
+
+def union_sources(frames: list[DataFrame]) -> DataFrame:
+    """Concatenate per-source Bronze frames (UNION ALL by column name)."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
