@@ -35,9 +35,8 @@ def main() -> None:
     from tidemark.session import local_session, work_dir
 
     spark = local_session(cores=cpus)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        base = tempfile.mkdtemp(prefix="tidemark-bench-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-bench-"))
     # warm-up (JVM, codegen caches); not timed
     catalog.QUERIES["event_type_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 

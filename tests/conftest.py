@@ -12,10 +12,8 @@ def spark():
     from tidemark.session import local_session
 
     s = local_session(cores=4, shuffle_partitions=8, app="tidemark-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="tidemark-test-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-test-"))
     yield s
     s.stop()
 

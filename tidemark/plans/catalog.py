@@ -245,6 +245,10 @@ def q_stream_sliding_counts(spark, d):
     return streaming.stream_window_result(configure(spark), d, "1 hour", "15 minutes", RUN_TS)
 
 
+def q_stream_daily_distinct(spark, d):
+    return streaming.stream_daily_distinct_result(configure(spark), d, RUN_TS)
+
+
 QUERIES: dict[str, Query] = {
     # bronze / sources
     "bronze_rows": q_bronze_rows,
@@ -326,4 +330,5 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": q_stream_dedup,
     "stream_hourly_counts": q_stream_hourly_counts,
     "stream_sliding_counts": q_stream_sliding_counts,
+    "stream_daily_distinct_repos": q_stream_daily_distinct,
 }

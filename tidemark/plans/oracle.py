@@ -257,7 +257,7 @@ runs AS (
 
 _STREAM_VALID = BASE_CTES + f""",
 sv AS (
-  SELECT DISTINCT id AS event_id,
+  SELECT DISTINCT id AS event_id, repo_name,
     COALESCE(try_strptime(created_at, '%Y-%m-%dT%H:%M:%SZ'), {RUN_TS}) AS event_time
   FROM req WHERE req_reason IS NULL
 )"""
@@ -465,6 +465,8 @@ FROM (SELECT *, CAST(date_diff('day', CAST(_batch_id AS DATE), DATE '{C.RETENTIO
         "SELECT DISTINCT id AS event_id, _batch_id FROM req WHERE req_reason IS NULL",
     "stream_hourly_counts": f"WITH {_STREAM_VALID}\n" + """SELECT date_trunc('hour', event_time) AS window_start,
   date_trunc('hour', event_time) + INTERVAL 1 HOUR AS window_end, count(*) AS event_count FROM sv GROUP BY 1""",
+    "stream_daily_distinct_repos": f"WITH {_STREAM_VALID}\n" + """SELECT CAST(event_time AS DATE) AS event_date,
+  count(DISTINCT repo_name) AS active_repos_count FROM sv GROUP BY 1""",
     "stream_sliding_counts": f"WITH {_STREAM_VALID}\n" + """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end,
   count(*) AS event_count FROM (
   SELECT time_bucket(INTERVAL 15 MINUTE, event_time, TIMESTAMP '1970-01-01') - o * INTERVAL 15 MINUTE AS window_start

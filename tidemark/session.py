@@ -62,9 +62,10 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        # spark.checkpoint.dir is a core setting (read-only at runtime); the
+        # context's checkpoint folder is the runtime equivalent.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        base = spark.sparkContext.getCheckpointDir()
     path = "/".join([base.rstrip("/"), *parts]) if parts else base
     return path
 

@@ -95,3 +95,35 @@ def stream_window_result(spark: SparkSession, sf_dir: str, duration: str, slide:
     return folded.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                          F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                          "event_count")
+
+
+def stream_daily_distinct_result(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS,
+                                 max_files_per_trigger: int = 1) -> DataFrame:
+    """Exact distinct repos per day on a stream (exact distinct aggregates
+    are not supported in streaming aggregations).
+
+    Each micro-batch appends its distinct (date, repo) pairs to a pairs table
+    partitioned by date, then recomputes the exact count for the dates it
+    touched only (a semi-join on the partition column, so dynamic partition
+    pruning reads just those dates) and writes them as the epoch's update.
+    The result folds the latest update per date.  Re-running an epoch
+    rewrites the same pairs and counts, so retries are harmless.
+    """
+    base = work_dir(spark, "streams", f"distinct-{uuid.uuid4().hex}")
+    pairs, daily, chk = f"{base}/pairs", f"{base}/daily", f"{base}/checkpoint"
+    ev = dedup_stream(with_event_time(dirty_bronze(
+        events_stream(spark, sf_dir, max_files_per_trigger), run_ts), run_ts))
+    src = ev.select(F.to_date("event_time").alias("event_date"), F.col("repo.name").alias("repo_name"))
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        p = batch.select("event_date", "repo_name").distinct()
+        p.write.mode("overwrite").parquet(f"{pairs}/{EPOCH}={epoch_id}")
+        touched = p.select("event_date").distinct()
+        counts = (batch.sparkSession.read.parquet(pairs).join(touched, "event_date", "left_semi")
+                  .groupBy("event_date").agg(F.count_distinct("repo_name").alias("active_repos_count")))
+        counts.write.mode("overwrite").parquet(f"{daily}/{EPOCH}={epoch_id}")
+
+    q = (src.writeStream.outputMode("append").foreachBatch(write)
+         .option("checkpointLocation", chk).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return latest_per_key(spark.read.parquet(daily), ["event_date"], ["active_repos_count"])
