@@ -98,3 +98,22 @@ def test_filter_inclusive(enriched):
     f = adhoc.filter_events(enriched, ["PushEvent"], None, "2024-01-15T10:00:00Z", "2024-01-15T14:00:00Z")
     assert f.count() == 2
     assert adhoc.filter_events(enriched, [], [], None, "2024-01-15").count() == 0
+
+
+def test_bundle_via_cuboid_equals_direct(spark):
+    from tidemark.plans import catalog
+    s = catalog.silver_all(spark, "/root/testdata/sf0.001")
+    direct = gold.metrics_bundle(s)
+    cubed = gold.metrics_bundle(s, pre_aggregate=True)
+    assert set(direct) == set(cubed)
+    for name in direct:
+        a, b = direct[name], cubed[name].select(*direct[name].columns)
+        assert a.count() == b.count(), name
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_empty_bundle_via_cuboid(enriched):
+    e = enriched.withColumn("push_commits_count", F.lit(None).cast("int")).limit(0)
+    bundle = gold.metrics_bundle(e, pre_aggregate=True)
+    assert bundle["activity_totals"].collect()[0]["total_events"] == 0
+    assert bundle["push_metrics"].count() == 0

@@ -18,8 +18,60 @@ from tidemark.sources.testdata import DEFAULT_RUN_TS
 CALCULATIONS = ("event_types", "repos", "contributors", "time_series", "activity")
 
 
-def _n() -> Column:
-    return F.count(F.lit(1)).alias("event_count")
+# Base cuboid: Silver rolled up once to these cells.  Every table of the
+# bundle is a roll-up of it (counts add up; distinct repos / logins and
+# first / last times survive because the dimensions and min / max are kept).
+CUBE_DIMS = ("repo_name", "actor_login", "event_type", "event_date", "hour_key",
+             "activity_category", "time_of_day", "is_active_contribution", "pr_action", "pr_merged")
+
+
+def base_cuboid(silver: DataFrame) -> DataFrame:
+    """Pre-aggregate Silver to CUBE_DIMS cells (count, commits, first, last).
+
+    One scan and one map-side-combined shuffle of Silver; the twenty gold
+    tables then read this (much smaller) table instead of Silver."""
+    return (silver.withColumn("hour_key", hour_key("created_at"))
+            .groupBy(*CUBE_DIMS).agg(
+                F.count(F.lit(1)).alias("n"),
+                F.sum(F.when(F.col("event_type") == "PushEvent",
+                             F.coalesce(F.col("push_commits_count"), F.lit(0)))).cast("long").alias("commits"),
+                F.min("created_at").alias("first_at"), F.max("created_at").alias("last_at")))
+
+
+def _cube(df: DataFrame) -> bool:
+    return "n" in df.columns and "first_at" in df.columns
+
+
+def _cnt(df: DataFrame) -> Column:
+    return F.coalesce(F.sum("n"), F.lit(0)).cast("long") if _cube(df) else F.count(F.lit(1))
+
+
+def _cnt_if(df: DataFrame, cond: Column) -> Column:
+    if _cube(df):
+        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("long")
+    return F.count_if(cond)
+
+
+def _tmin(df: DataFrame) -> Column:
+    return F.min("first_at" if _cube(df) else "created_at")
+
+
+def _tmax(df: DataFrame) -> Column:
+    return F.max("last_at" if _cube(df) else "created_at")
+
+
+def _hour(df: DataFrame) -> Column:
+    return F.col("hour_key") if _cube(df) else hour_key("created_at")
+
+
+def _commits(df: DataFrame) -> Column:
+    if _cube(df):
+        return F.coalesce(F.sum("commits"), F.lit(0)).cast("long")
+    return F.sum(F.coalesce(F.col("push_commits_count"), F.lit(0))).cast("long")
+
+
+def _n(df: DataFrame) -> Column:
+    return _cnt(df).alias("event_count")
 
 
 def login() -> Column:
@@ -28,24 +80,24 @@ def login() -> Column:
 
 
 def event_type_counts(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("event_type").agg(_n())
+    return silver.groupBy("event_type").agg(_n(silver))
 
 
 def repo_metrics(silver: DataFrame) -> DataFrame:
-    total, active = F.count(F.lit(1)), F.count_if(F.col("is_active_contribution"))
+    total, active = _cnt(silver), _cnt_if(silver, F.col("is_active_contribution"))
     return (silver.groupBy("repo_name").agg(
         total.alias("total_events"),
         F.count_distinct(login()).alias("unique_contributors"),
         active.alias("active_contributions"),
-        as_wall_clock(F.min("created_at")).alias("first_event"),
-        as_wall_clock(F.max("created_at")).alias("last_event"))
+        as_wall_clock(_tmin(silver)).alias("first_event"),
+        as_wall_clock(_tmax(silver)).alias("last_event"))
         .withColumn("engagement_rate",
                     F.round(100.0 * F.col("active_contributions") / F.col("total_events"), 1)))
 
 
 def _type_counts(silver: DataFrame, key: str | Column, key_name: str) -> DataFrame:
     return silver.groupBy(F.col(key).alias(key_name) if isinstance(key, str) else key.alias(key_name),
-                          "event_type").agg(_n())
+                          "event_type").agg(_n(silver))
 
 
 def repo_top_types(silver: DataFrame, k: int = 5) -> DataFrame:
@@ -60,9 +112,9 @@ def contributors(silver: DataFrame) -> DataFrame:
 
 def contributor_metrics(silver: DataFrame) -> DataFrame:
     return contributors(silver).groupBy("actor_login").agg(
-        F.count(F.lit(1)).alias("total_contributions"),
+        _cnt(silver).alias("total_contributions"),
         F.count_distinct("repo_name").alias("repos_count"),
-        as_wall_clock(F.max("created_at")).alias("last_activity"))
+        as_wall_clock(_tmax(silver)).alias("last_activity"))
 
 
 def contributor_repos(silver: DataFrame) -> DataFrame:
@@ -77,7 +129,7 @@ def contributor_top_types(silver: DataFrame, k: int = 3) -> DataFrame:
 
 def daily_series(silver: DataFrame) -> DataFrame:
     return silver.groupBy("event_date").agg(
-        _n(), F.count_distinct("repo_name").alias("active_repos_count"))
+        _n(silver), F.count_distinct("repo_name").alias("active_repos_count"))
 
 
 def daily_top_types(silver: DataFrame, k: int = 3) -> DataFrame:
@@ -88,39 +140,37 @@ def daily_top_types(silver: DataFrame, k: int = 3) -> DataFrame:
 def hourly_rollup(silver: DataFrame) -> DataFrame:
     """Hourly totals and hourly per-type counts in ONE aggregation
     (GROUPING SETS ((hour_key), (hour_key, event_type)))."""
-    return (silver.withColumn("hour_key", hour_key("created_at"))
-            .rollup("hour_key", "event_type").agg(_n(), F.grouping_id().alias("_level"))
+    src = silver if _cube(silver) else silver.withColumn("hour_key", hour_key("created_at"))
+    return (src.rollup("hour_key", "event_type").agg(_n(silver), F.grouping_id().alias("_level"))
             .filter(F.col("hour_key").isNotNull() & (F.col("_level") < 3)))
 
 
 def hourly_series(silver: DataFrame) -> DataFrame:
-    return silver.groupBy(hour_key("created_at").alias("hour_key")).agg(_n())
+    return silver.groupBy(_hour(silver).alias("hour_key")).agg(_n(silver))
 
 
 def hourly_types(silver: DataFrame) -> DataFrame:
-    return silver.groupBy(hour_key("created_at").alias("hour_key"), "event_type").agg(_n())
+    return silver.groupBy(_hour(silver).alias("hour_key"), "event_type").agg(_n(silver))
 
 
 def activity_totals(silver: DataFrame) -> DataFrame:
-    return silver.agg(F.count(F.lit(1)).alias("total_events"),
-                      F.count_if(F.col("is_active_contribution")).alias("active_contributions"))
+    return silver.agg(_cnt(silver).alias("total_events"),
+                      _cnt_if(silver, F.col("is_active_contribution")).alias("active_contributions"))
 
 
 def activity_by_category(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("activity_category").agg(_n())
+    return silver.groupBy("activity_category").agg(_n(silver))
 
 
 def activity_by_time_of_day(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("time_of_day").agg(_n())
+    return silver.groupBy("time_of_day").agg(_n(silver))
 
 
 def push_metrics(silver: DataFrame) -> DataFrame:
     """One row, or no row when the batch has no pushes."""
     is_push = F.col("event_type") == "PushEvent"
-    commits = F.coalesce(F.col("push_commits_count"), F.lit(0))
     return (silver.filter(is_push)
-            .agg(F.count(F.lit(1)).alias("total_pushes"),
-                 F.sum(commits).cast("long").alias("total_commits"))
+            .agg(_cnt(silver).alias("total_pushes"), _commits(silver).alias("total_commits"))
             .filter(F.col("total_pushes") > 0)
             .withColumn("avg_commits_per_push",
                         F.round(F.col("total_commits") / F.col("total_pushes"), 6)))
@@ -129,47 +179,53 @@ def push_metrics(silver: DataFrame) -> DataFrame:
 def pr_metrics(silver: DataFrame) -> DataFrame:
     is_pr = F.col("event_type") == "PullRequestEvent"
     return (silver.filter(is_pr)
-            .agg(F.count(F.lit(1)).alias("total_prs"),
-                 F.count_if(F.coalesce(F.col("pr_merged"), F.lit(False))).alias("merged_prs"))
+            .agg(_cnt(silver).alias("total_prs"),
+                 _cnt_if(silver, F.coalesce(F.col("pr_merged"), F.lit(False))).alias("merged_prs"))
             .filter(F.col("total_prs") > 0))
 
 
 def pr_actions(silver: DataFrame) -> DataFrame:
     """PR count by action; a NULL action is a group of its own."""
-    return silver.filter(F.col("event_type") == "PullRequestEvent").groupBy("pr_action").agg(_n())
+    return silver.filter(F.col("event_type") == "PullRequestEvent").groupBy("pr_action").agg(_n(silver))
 
 
 def activity_single_pass(silver: DataFrame) -> DataFrame:
     """A11 + A14 + A15 as ONE global aggregate (one scan, conditional sums)."""
     is_push = F.col("event_type") == "PushEvent"
     is_pr = F.col("event_type") == "PullRequestEvent"
+    commits = (F.sum("commits") if _cube(silver) else
+               F.sum(F.when(is_push, F.coalesce(F.col("push_commits_count"), F.lit(0)))))
     return silver.agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_if(F.col("is_active_contribution")).alias("active_contributions"),
-        F.count_if(is_push).alias("total_pushes"),
-        F.sum(F.when(is_push, F.coalesce(F.col("push_commits_count"), F.lit(0)))).cast("long")
-        .alias("total_commits"),
-        F.count_if(is_pr).alias("total_prs"),
-        F.count_if(is_pr & F.coalesce(F.col("pr_merged"), F.lit(False))).alias("merged_prs"))
+        _cnt(silver).alias("total_events"),
+        _cnt_if(silver, F.col("is_active_contribution")).alias("active_contributions"),
+        _cnt_if(silver, is_push).alias("total_pushes"),
+        commits.cast("long").alias("total_commits"),
+        _cnt_if(silver, is_pr).alias("total_prs"),
+        _cnt_if(silver, is_pr & F.coalesce(F.col("pr_merged"), F.lit(False))).alias("merged_prs"))
 
 
 def summary(silver: DataFrame, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
-    return silver.agg(F.count(F.lit(1)).alias("total_events")).withColumn(
+    return silver.agg(_cnt(silver).alias("total_events")).withColumn(
         "calculation_timestamp", as_wall_clock(ts_literal(run_ts)))
 
 
 def type_by_date(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("event_type", "event_date").agg(_n())
+    return silver.groupBy("event_type", "event_date").agg(_n(silver))
 
 
 def metrics_bundle(silver: DataFrame, calculations=CALCULATIONS, run_ts: str = DEFAULT_RUN_TS,
-                   top_n: int = 10) -> dict[str, DataFrame]:
+                   top_n: int = 10, pre_aggregate: bool = False) -> dict[str, DataFrame]:
     """All gold tables, restricted to the selected calculation groups.
 
-    Callers should pass a Silver that is already materialised (a written
-    table or a checkpoint), so that each table is one scan of it.
+    With ``pre_aggregate`` Silver is rolled up once into the base cuboid,
+    which is materialised; every table is then a roll-up of the cuboid, so
+    Silver is scanned and shuffled once per run instead of once per table.
     """
     from tidemark.operators import ranking
+    from tidemark.session import materialize
+
+    if pre_aggregate:
+        silver = materialize(base_cuboid(silver))
 
     groups = {
         "event_types": {"event_type_counts": event_type_counts, "type_by_date": type_by_date},

@@ -88,7 +88,8 @@ def run_batch(spark: SparkSession, bronze: DataFrame, root: str, batch_id: str,
         n = written.count()
         stats["records_processed"] = n
         if n > 0:
-            tables = gold.metrics_bundle(written.drop("_batch_id"), calculations, run_ts, top_n)
+            tables = gold.metrics_bundle(written.drop("_batch_id"), calculations, run_ts, top_n,
+                                            pre_aggregate=True)
             write_gold(tables, p["gold"], batch_id)
             write_gold(tables, p["gold_latest"])
             new_wm = incremental.watermarks(written)

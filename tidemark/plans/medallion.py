@@ -48,6 +48,6 @@ def run_layers(spark: SparkSession, bronze: DataFrame, root: str, run_ts: str =
     """Write Silver, then compute and write every selected Gold table."""
     write_silver(bronze, f"{root}/silver", run_ts, event_types)
     s = read_silver(spark, f"{root}/silver")
-    tables = gold.metrics_bundle(s, calculations, run_ts, top_n)
+    tables = gold.metrics_bundle(s, calculations, run_ts, top_n, pre_aggregate=True)
     write_gold(tables, f"{root}/gold")
     return {name: spark.read.parquet(f"{root}/gold/{name}") for name in tables}
