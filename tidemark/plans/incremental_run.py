@@ -73,8 +73,9 @@ def run_batch(spark: SparkSession, bronze: DataFrame, root: str, batch_id: str,
         except Exception:  # noqa: BLE001 - no Silver yet (bootstrap)
             old = None
         if old is not None:
-            # An event seen before can only sit at or after the earliest event
-            # time of this batch (re-read overlap), or carry a fallback time.
+            # A re-delivered event keeps its id AND its event time, so an
+            # earlier copy can only sit at or after the earliest event time of
+            # this batch (re-read overlap), or carry a fallback time.
             # The literal bound reaches the Parquet scan (row-group pruning),
             # so the anti-join does not read every id ever committed.
             # (computed on the batch's Bronze: a map-only scan, and a bound no

@@ -127,3 +127,27 @@ def stream_daily_distinct_result(spark: SparkSession, sf_dir: str, run_ts: str =
          .option("checkpointLocation", chk).trigger(availableNow=True).start())
     q.awaitTermination()
     return latest_per_key(spark.read.parquet(daily), ["event_date"], ["active_repos_count"])
+
+
+def stream_to_layers(spark: SparkSession, bronze_stream: DataFrame, root: str, run_ts: str,
+                     checkpoint: str, pipeline: str = "events", lateness_seconds: int = 0,
+                     event_types=None) -> None:
+    """Streaming ingest into Bronze / Silver / Gold with exactly-once batches.
+
+    Each micro-batch is handed to the incremental batch run under the batch
+    id ``e<epoch>``: watermark filter, first-wins Silver (a batch window is
+    allowed inside foreachBatch), anti-join against committed Silver, Gold,
+    and the control-row commit.  A retried epoch re-runs the same batch id,
+    which replaces its own partitions, so output is exactly-once.
+    """
+    from tidemark.plans.incremental_run import run_batch
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        stats = run_batch(spark, batch, root, f"e{epoch_id:010d}", run_ts, pipeline,
+                          event_types, lateness_seconds)
+        if stats["status"] != "success":
+            raise RuntimeError(f"epoch {epoch_id} failed: {stats['error']}")
+
+    q = (bronze_stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
