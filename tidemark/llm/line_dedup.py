@@ -51,9 +51,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
 
     held = lines.select("doc_id", F.array_distinct(F.transform(
         "__e", lambda e: F.struct(e["a"].alias("a"), e["b"].alias("b")))).alias("__k"))
-    common = (held.select("doc_id", F.inline("__k"))
-              .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep"))
-              .where(F.col("n") >= min_docs).select("a", "b", "keep"))
+    # Written, so that the join below shuffles both sides and AQE can split hot keys.
+    common = staged(held.select("doc_id", F.inline("__k"))
+                    .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep"))
+                    .where(F.col("n") >= min_docs).select("a", "b", "keep"), "common")
     drops = (lines.select("doc_id", "__t1", "__t2", F.inline("__e"))
              .join(common, ["a", "b"])
              .where(~F.col("doc_id").eqNullSafe(F.col("keep")))

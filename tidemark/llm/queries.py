@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, packing, sql
-from tidemark.llm.common import table
+from tidemark.llm import decontaminate, line_dedup, packing, sharding, sql, topk, toxicity, warc
+from tidemark.llm.common import staged, table
+from tidemark.session import work_dir
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,18 +18,44 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "llm", f"warc-{uuid.uuid4().hex}")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    whole = warc.reassemble(warc.read_records(spark, path))
+    return warc.resolve_revisits(staged(warc.payloads(whole).drop("payload"), "payloads"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", (toxicity.fold_of("doc_id") == 0).alias("held_out"), "score", "predicted")
+
+
+def op5_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"),
                                        table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op9_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_warc": op2_warc,
+    "op4_toxicity": op4_toxicity,
+    "op5_label_propagation": op5_label_propagation,
     "op7_decontaminate": op7_decontaminate,
+    "op9_kd_trees": op9_kd_trees,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 

@@ -22,6 +22,17 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op2_warc": """
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages),
+sized AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM page),
+first AS (
+  SELECT payload_digest, max(page_id) AS page_id FROM sized WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT s.page_id, s.payload_bytes, s.payload_digest,
+       CASE WHEN f.page_id <> s.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.page_id <> s.page_id THEN f.page_id END AS refers_to, 'ok' AS status
+FROM sized s LEFT JOIN first f ON s.payload_digest = f.payload_digest""",
     "op7_decontaminate": f"""
 WITH doc AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
@@ -45,4 +56,17 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n
        coalesce(f.n_items, 0) AS n_items, sha256(coalesce(f.keys, '')) AS items_sha256,
        p.n_hit IS NOT NULL AS contaminated
 FROM doc d LEFT JOIN place p ON d.doc_id = p.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id""",
+    "op9_kd_trees": """
+WITH vec AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM vec q JOIN vec c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }
