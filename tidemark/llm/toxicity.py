@@ -32,7 +32,7 @@ INVISIBLE = "­​‌‍⁠﻿"
 _FOLD = str.maketrans(HOMOGLYPHS | SUBSTITUTES | dict.fromkeys(INVISIBLE))
 _WORD = re.compile(r"[^\W_]+")
 #: Lengths of the word beginnings that may become entries.
-PREFIXES = (4, 5, 6)
+PREFIXES = range(4, 10)
 
 
 def fold(text: str) -> str:
@@ -165,14 +165,15 @@ def _counts(rows: DataFrame, of) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_training: int = 50_000,
-          share: float = 0.002, least_odds: float = 20.0, exceptions: tuple[str, ...] = ()) -> Lexicon:
+          share: float = 0.002, least_odds: float = 10.0, exceptions: tuple[str, ...] = ()) -> Lexicon:
     """A lexicon from ``labels(doc_id, toxic)``.
 
     Fitted on at most ``max_training`` labelled rows (by a hash of their id),
     never on those of the held-out fold.  Weights come from folds 1 to 3, the
     logistic function from fold 4.  A term needs ``share`` of the toxic rows (3
-    at least), so there are at most 1/share times the terms of a text, and
-    ``least_odds`` times its rate elsewhere.  ``exceptions`` are phrases that
+    at least), so there are at most 1/share times the terms of a text, and by
+    the lower 5 % bound ``least_odds`` times its rate elsewhere; the logarithm
+    of that bound is its weight.  ``exceptions`` are phrases that
     don't count; others are learned where an entry stands in untoxic rows.
     Without usable labels the lexicon is empty and all scores are equal.
     """
@@ -190,9 +191,10 @@ def learn(docs: DataFrame, labels: DataFrame, max_training: int = 50_000,
     in_other = {r["key"]: r["n"] for r in other.collect()}
     weights = {}
     for term, k in in_toxic.items():
-        odds = ((k + 0.5) / (n1 + 1)) / ((in_other.get(term, 0) + 0.5) / (n0 + 1))
-        if odds >= least_odds:
-            weights[term] = round(math.log(odds), 4)
+        b = in_other.get(term, 0) + 0.5
+        low = math.log((k + 0.5) / (n1 + 1) / (b / (n0 + 1))) - 1.645 * math.sqrt(1 / (k + 0.5) + 1 / b)
+        if low >= math.log(least_odds):
+            weights[term] = round(low, 4)
     # A longer entry that a shorter one covers with no less weight adds nothing.
     for term in sorted(weights, key=len, reverse=True):
         word = term.strip()
