@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, packing, sharding, sql, topk, toxicity, warc
+from tidemark.llm import (
+    decontaminate, jaccard_join, line_dedup, packing, pii, secret_scan, sharding, sql, topk, toxicity, warc,
+)
+from tidemark.llm import spans as S
 from tidemark.llm.common import staged, table
 from tidemark.session import work_dir
 
@@ -25,6 +28,16 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(staged(warc.payloads(whole).drop("payload"), "payloads"))
 
 
+def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    return found.select("doc_id", *[S.number_of("base", k).alias(f"n_{k}") for k in kinds],
+                        F.sha2(S.text_of("base"), 256).alias("base_sha256"), S.text_of("spans").alias("spans"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _digest(secret_scan.find(docs, secret_scan.train(docs)), ("assign", "access", "hex"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -36,11 +49,19 @@ def op5_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(pii.find(table(spark, sf_dir, "documents")), ("email", "ip", "card", "phone"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"),
                                        table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -52,9 +73,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_warc": op2_warc,
+    "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
     "op5_label_propagation": op5_label_propagation,
+    "op6_pii": op6_pii,
     "op7_decontaminate": op7_decontaminate,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_kd_trees": op9_kd_trees,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
