@@ -11,11 +11,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, packing
+from tidemark.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity
 from tidemark.llm.common import table
 from tidemark.session import work_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the lexicon, learned from the labelled ones, calls toxic go."""
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, lexicon).where("predicted = 0")
+    return scored.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines shared by many documents stay in one of them; documents left
     without a line that says anything go."""
@@ -28,6 +35,11 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return out.where(~emptied).select(*[F.col(f"`{c}`") for c in columns])
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return jaccard_join.keep_first(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that are mostly benchmark go."""
     return decontaminate.remove_spans(docs, table(spark, sf_dir, "benchmark"))
@@ -38,7 +50,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line_dedup", drop_common_lines),
+    ("jaccard_join", drop_near_duplicates),
     ("decontaminate", drop_benchmark_passages),
     ("pack", pack_sequences),
 ]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import hash128, staged
 from tidemark.llm.graph import components
 
 #: Tokens that a bucket holds on average, and rows of a group opened at once.
@@ -108,33 +108,33 @@ def set_hash(tokens: np.ndarray, seed: int = 0) -> int:
     return total - (1 << 64 if total >> 63 else 0)
 
 
-def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """(doc ids, sets) of some TEXT_BYTES of text at a time."""
-    ids, texts, held = [], [], 0
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Rows and their sets, some TEXT_BYTES of text (the first column) at a time."""
     for batch in batches:
-        for i, t in zip(batch.column(0), batch.column(1)):
+        texts, held, begin = [], 0, 0
+        for i, t in enumerate(batch.column(0), 1):
             text = t.as_py()
-            ids.append(i.as_py())
             texts.append(text)
             held += len(text or "")
-            if held > TEXT_BYTES:
-                yield ids, shingle_sets(texts)
-                ids, texts, held = [], [], 0
-    if ids:
-        yield ids, shingle_sets(texts)
+            if held > TEXT_BYTES or i == batch.num_rows:
+                yield batch.slice(begin, i - begin), shingle_sets(texts)
+                texts, held, begin = [], 0, i
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size) and set (its hash; null if empty) of each row."""
+    """doc_id, t1 and t2 (hashes of the text), n (set size) and set (its hash;
+    null if empty) of each row."""
 
     def run(batches):
-        for ids, sets in _portions(batches):
+        for rows, sets in _portions(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "n", "set"])
+                list(rows.columns[1:]) + [pa.array([len(s) for s in sets], pa.int64()), pa.array(
+                    [set_hash(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "t1", "t2", "n", "set"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n long, set long")
+    text = F.col("text").cast("string")
+    t1, t2 = hash128(F.coalesce(text, F.lit("")))
+    return docs.select(text.alias("text"), F.col("doc_id").cast("long"), t1.alias("t1"), t2.alias("t2")).mapInArrow(
+        run, "doc_id long, t1 long, t2 long, n long, set long")
 
 
 def _pack48(tokens: np.ndarray) -> bytes:
@@ -174,7 +174,7 @@ def _bucketed(docs: DataFrame, buckets: int) -> DataFrame:
                 [pa.array(rows[0], pa.int32())] + [pa.array(c, pa.binary()) for c in rows[1:]],
                 ["bucket", "sets", "counts", "tokens"])
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
+    return docs.select(F.col("text").cast("string")).mapInArrow(
         run, "bucket int, sets binary, counts binary, tokens binary")
 
 
@@ -390,25 +390,47 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, groupings: int = 3) -> DataFrame:
-    """Per row of ``docs(doc_id, text, ...)``: doc_id, n_shingles, component_id.
+    """Per row of ``docs(doc_id, text, ...)``: doc_id, n_shingles, component_id;
+    t1 and t2, hashes of the text, and class_id, the same for a component's rows.
 
     Two documents link when 100 * intersection >= ``percent`` * union of their
     sets of 5-word shingles; component_id is the smallest doc_id reachable.
-    Documents without words link with nothing and are their own component.
-    Repeated rows are documents of the same component.  A null id has no place
-    among the smallest; a component without any other has a null component_id.
+    Documents without words link with nothing: they are their own component and
+    have no class_id.  Repeated rows are documents of the same component.  Null
+    ids are no smallest; a component without any other has a null component_id.
     """
     ids = staged(document_sets(docs), "sets")
     sets = staged(ids.where("set is not null").groupBy("set", "n").agg(F.min("doc_id").alias("least")), "distinct")
     found = _classes(docs, sets, percent, groupings)
-    named = sets.join(found, "set", "left").select(
-        "set", "least", F.coalesce("comp", "set").alias("comp"))
-    named = staged(named, "named")
-    roots = staged(named.groupBy("comp").agg(F.min("least").alias("component_id")), "roots")
-    classes = staged(named.join(roots, "comp").select("set", "component_id"), "classes")
+    named = staged(sets.join(found, "set", "left").select(
+        "set", "least", F.coalesce("comp", "set").alias("class_id")), "named")
+    roots = staged(named.groupBy("class_id").agg(F.min("least").alias("component_id")), "roots")
+    classes = staged(named.join(roots, "class_id").select("set", "class_id", "component_id"), "classes")
     return ids.join(classes, "set", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "t1", "t2", "class_id")
+
+
+def keep_first(docs: DataFrame, percent: int = 80, groupings: int = 3) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row
+    with the smallest doc_id (null ids last, then by the text's hash), and all
+    documents without words.  Identical rows count as one."""
+    found = staged(near_duplicates(docs, percent, groupings), "near-duplicates")
+    first = found.where("class_id is not null").groupBy("class_id").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")).alias("f"))
+    kept = staged(first.select("f.doc_id", "f.t1", "f.t2").unionByName(
+        found.where("class_id is null").select("doc_id", "t1", "t2")).distinct()
+        .toDF("__id", "__k1", "__k2"), "kept")
+    t1, t2 = hash128(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = docs.withColumns({"__t1": t1, "__t2": t2})
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__t1"] == kept["__k1"])
+                     & (rows["__t2"] == kept["__k2"]), "left_semi")
+    repeated = (found.where("class_id is not null").groupBy("doc_id", "t1", "t2").count()
+                .where(F.col("count") > 1).limit(1).count())
+    if repeated:
+        rows = rows.dropDuplicates(["doc_id", "__t1", "__t2"])
+    return rows.drop("__t1", "__t2")
 
 
 def _classes(docs: DataFrame, sets: DataFrame, percent: int, groupings: int) -> DataFrame:
