@@ -91,8 +91,9 @@ def shard(docs: DataFrame, shards: int = 40, rounds: int = 8) -> DataFrame:
     quota = [rows // shards + (s < rows % shards) for s in range(shards)]
     most = max(1, rows // (2 * shards))
 
-    groups = (base.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-              .select("g1", "g2", F.ceil(F.col("n") / most).cast("int").alias("parts")))
+    # Written, so that the join shuffles both sides and AQE can split hot groups.
+    groups = staged(base.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                    .select("g1", "g2", F.ceil(F.col("n") / most).cast("int").alias("parts")), "groups")
     linked = (base.join(groups, ["g1", "g2"], "left")
               .withColumn("part", F.pmod(F.xxhash64("uid", F.lit(1)), F.col("parts")).cast("int"))
               .withColumn("label", F.when(F.col("parts").isNotNull(),
@@ -100,7 +101,7 @@ def shard(docs: DataFrame, shards: int = 40, rounds: int = 8) -> DataFrame:
     linked = staged(linked.drop("parts"), "linked")
     cells = staged(linked.where("label is not null").groupBy("g1", "g2", "part", "label")
                    .agg(F.count(F.lit(1)).alias("n")), "cells")
-    targets = propagate(cells, quota, rounds)
+    targets = staged(propagate(cells, quota, rounds), "targets")
     placed = linked.join(targets, ["g1", "g2", "part"], "left").select(
         "doc_id", "size", "text_crc32", "g1", "g2", "uid",
         F.coalesce("target", "label", F.lit(-1)).alias("label"))
