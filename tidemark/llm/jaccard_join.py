@@ -444,12 +444,11 @@ def _classes(docs: DataFrame, sets: DataFrame, percent: int, groupings: int) ->
         lambda e, s: _survivors(e, s, percent), "set long, n long, tokens binary"), "survivors")
 
     calls = int(max(64, rows.count() // 1024))
-    comp, leaders = None, rows
+    comp, leaders = rows.select("set", F.col("set").alias("comp")), rows
     for seed in range(groupings):
         step = staged(_grouped(leaders, seed, percent, calls), "grouping")
         to = step.select(F.col("set").alias("comp"), "leader")
-        comp = step.select("set", F.col("leader").alias("comp")) if comp is None else staged(
-            comp.join(to, "comp").select("set", F.col("leader").alias("comp")), "comp")
+        comp = staged(comp.join(to, "comp").select("set", F.col("leader").alias("comp")), "comp")
         leaders = step.where("set = leader")
     sizes = staged(comp.groupBy("comp").agg(F.count(F.lit(1)).alias("csize")), "comp-sizes")
     comp = staged(comp.join(sizes, "comp"), "comp")

@@ -125,7 +125,7 @@ class Field:
         """Viterbi; a run begins and ends among plain words, so outside."""
         moves = self._allowed().tolist()
         rows = emissions.tolist()
-        best = [rows[0][0], rows[0][1] + moves[0][1], -1e9]
+        best = [moves[OUT][t] + rows[0][t] for t in range(3)]
         back = []
         for e in rows[1:]:
             came, new = [], []

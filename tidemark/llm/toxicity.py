@@ -165,7 +165,7 @@ def _counts(rows: DataFrame, of) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_training: int = 50_000,
-          share: float = 0.002, least_odds: float = 10.0, exceptions: tuple[str, ...] = ()) -> Lexicon:
+          share: float = 0.002, least_odds: float = 7.0, exceptions: tuple[str, ...] = ()) -> Lexicon:
     """A lexicon from ``labels(doc_id, toxic)``.
 
     Fitted on at most ``max_training`` labelled rows (by a hash of their id),
