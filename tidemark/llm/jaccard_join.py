@@ -6,7 +6,8 @@ are one from the start.  Then:
 1. Shingles are counted by document over hash buckets.  A set of which less
    than the threshold is held by another set has no partner and is done with.
 2. The rest is partitioned into groups of similar sets, by least hashes, and
-   linked inside the groups.
+   linked inside the groups; this is done a few times, each time with one
+   leader for the sets linked so far.
 3. The token-group matrix: each group's token union.  A set meets a group if
    they share one of its rarest tokens, as many as a partner could lack and
    one more (the prefix filter), is held against the group's union, and opens
@@ -210,7 +211,7 @@ def _shared(part: pa.Table, shards: int) -> pa.Table:
 
 def _survivors(entries: pa.Table, sizes: pa.Table, percent: int) -> pa.Table:
     """Sets that may have a partner, with their shared tokens, rarest first."""
-    out: list[list] = [[], [], []]
+    out: list[list] = [[], [], [], []]
     if entries.num_rows and sizes.num_rows:
         n_of = dict(zip(sizes.column("set").to_pylist(), sizes.column("n").to_pylist()))
         sets, tokens = _joined(entries.column("sets"), "<i8"), _joined(entries.column("tokens"), "<u8")
@@ -220,14 +221,14 @@ def _survivors(entries: pa.Table, sizes: pa.Table, percent: int) -> pa.Table:
         keep = enough[inverse]
         sets, tokens, held = sets[keep], tokens[keep], held[keep]
         order = np.lexsort((tokens, held, sets))
-        sets, tokens = sets[order], tokens[order]
+        sets, tokens, held = sets[order], tokens[order], held[order]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(sets)) + 1, [len(sets)]]) if len(sets) else [0]
         for a, b in zip(cuts[:-1], cuts[1:]):
             key = int(sets[a])
-            for col, v in zip(out, (key, n_of[key], tokens[a:b].tobytes())):
+            for col, v in zip(out, (key, n_of[key], held[a:b].sum() / n_of[key], tokens[a:b].tobytes())):
                 col.append(v)
-    return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())],
-                    names=["set", "n", "tokens"])
+    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.binary())
+    return pa.table([pa.array(c, k) for c, k in zip(out, kinds)], names=["set", "n", "shared", "tokens"])
 
 
 def _similar(inter: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -255,37 +256,68 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _linked(keys: list[int], n: np.ndarray, sets: list[np.ndarray], percent: int) -> list[int]:
-    """The least key that each set of a group is linked with inside it."""
+    """A leader for each set of a group: of the sets it is linked with inside
+    the group, the one with the most links."""
     if len(keys) == 1:
         return keys
     near = _similar(_overlaps(sets), n[:, None], n[None, :], percent)
     np.fill_diagonal(near, True)
-    label = np.array(keys, "i8")
-    top = np.iinfo("i8").max
+    order = np.lexsort((np.array(keys, "i8"), -near.sum(axis=1)))
+    label = np.empty(len(keys), "i8")
+    label[order] = np.arange(len(keys))  # 0: most links
     while True:
-        new = np.where(near, label[None, :], top).min(axis=1)
+        new = np.where(near, label[None, :], len(keys)).min(axis=1)
         if (new == label).all():
-            return label.tolist()
+            return [keys[order[x]] for x in label.tolist()]
         label = new
 
 
 def _grouped(rows: DataFrame, seed: int, percent: int, calls: int) -> DataFrame:
-    """One grouping of ``rows(set, n, tokens)`` by least token hash: set, leader,
-    n and, for leaders, the tokens."""
+    """One grouping of ``rows(set, n, shared, tokens)`` by least token hash: set,
+    leader, n, shared and, for leaders, the tokens.
+
+    A group of up to GROUP_ROWS sets is linked as a whole.  In a larger one all
+    sets are first held against its hub, the set whose tokens are the most
+    shared, and what is left is linked in parts.
+    """
+    kinds = "set long, n long, shared double, tokens binary"
 
     def key(batches):
         for batch in batches:
             keys = [int(mix(np.frombuffer(t.as_buffer(), "<u8"), 100 + seed).min().astype("i8"))
-                    for t in batch.column(2)]
+                    for t in batch.column("tokens")]
             yield batch.append_column("key", pa.array(keys, pa.int64()))
 
-    keyed = staged(rows.select("set", "n", "tokens").mapInArrow(
-        key, "set long, n long, tokens binary, key long"), "keyed")
-    large = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > GROUP_ROWS)
-             .select("key", F.ceil(F.col("c") / GROUP_ROWS).cast("long").alias("parts")))
-    dealt = keyed.join(staged(large, "large"), "key", "left").withColumn(
+    keyed = staged(rows.select("set", "n", "shared", "tokens").mapInArrow(key, kinds + ", key long"), "keyed")
+    large = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max(F.struct("shared", "set")).alias("h")) \
+        .where(F.col("c") > GROUP_ROWS).select(
+            "key", F.ceil(F.col("c") / GROUP_ROWS).cast("long").alias("parts"), F.col("h.set").alias("hub"))
+    hubs = keyed.select(F.col("set").alias("hub"), F.col("n").alias("hub_n"), F.col("tokens").alias("hub_tokens"))
+    large = staged(staged(large, "large").join(hubs, "hub"), "hubs")
+    dealt = keyed.join(large, "key", "left").withColumn(
         "part", F.coalesce(F.pmod(F.xxhash64("set", F.lit(seed)), F.col("parts")), F.lit(0)))
-    dealt = dealt.withColumn("call", F.pmod(F.xxhash64("key", "part"), F.lit(calls)))
+
+    def to_hub(batches):
+        last, sorted_hub = None, None
+        for batch in batches:
+            leaders = []
+            for n, blob, hub, hub_n, hub_blob in zip(*(batch.column(c) for c in (
+                    "n", "tokens", "hub", "hub_n", "hub_tokens"))):
+                leader, hub = None, hub.as_py()
+                if hub is not None:
+                    if hub != last:
+                        last, sorted_hub = hub, np.sort(np.frombuffer(hub_blob.as_buffer(), "<u8"))
+                    n, m = n.as_py(), hub_n.as_py()
+                    inter = _held(np.frombuffer(blob.as_buffer(), "<u8"), sorted_hub)
+                    if 100 * inter >= percent * (n + m - inter):
+                        leader = hub
+                leaders.append(leader)
+            yield batch.select(["set", "n", "shared", "tokens", "key", "part"]).append_column(
+                "leader", pa.array(leaders, pa.int64()))
+
+    met = staged(dealt.mapInArrow(to_hub, kinds + ", key long, part long, leader long"), "met")
+    settled = met.where("leader is not null").select(
+        "set", "leader", "n", "shared", F.when(F.col("set") == F.col("leader"), F.col("tokens")).alias("tokens"))
 
     def link(part: pa.Table) -> pa.Table:
         part = part.combine_chunks().sort_by([("key", "ascending"), ("part", "ascending")])
@@ -297,10 +329,14 @@ def _grouped(rows: DataFrame, seed: int, percent: int, calls: int) -> DataFrame:
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             leaders += _linked(names[a:b], n[a:b], [np.frombuffer(x, "<u8") for x in blobs[a:b]], percent)
         kept = [x if s == m else None for s, m, x in zip(names, leaders, blobs)]
-        return pa.table([pa.array(names, pa.int64()), pa.array(leaders, pa.int64()), pa.array(n, pa.int64()),
-                         pa.array(kept, pa.binary())], names=["set", "leader", "n", "tokens"])
+        return pa.table([part.column("set"), pa.array(leaders, pa.int64()), part.column("n"), part.column("shared"),
+                         pa.array(kept, pa.binary())], names=["set", "leader", "n", "shared", "tokens"])
 
-    return dealt.groupBy("call").applyInArrow(link, "set long, leader long, n long, tokens binary")
+    rest = met.where("leader is null").drop("leader").withColumn(
+        "call", F.pmod(F.xxhash64("key", "part"), F.lit(calls)))
+    linked = rest.groupBy("call").applyInArrow(
+        link, "set long, leader long, n long, shared double, tokens binary")
+    return settled.unionByName(linked)
 
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
@@ -389,7 +425,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     return found
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, groupings: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, groupings: int = 4) -> DataFrame:
     """Per row of ``docs(doc_id, text, ...)``: doc_id, n_shingles, component_id;
     t1 and t2, hashes of the text, and class_id, the same for a component's rows.
 
@@ -412,7 +448,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, groupings: int = 3) -> D
         "t1", "t2", "class_id")
 
 
-def keep_first(docs: DataFrame, percent: int = 80, groupings: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, percent: int = 80, groupings: int = 4) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row
     with the smallest doc_id (null ids last, then by the text's hash), and all
     documents without words.  Identical rows count as one."""
@@ -441,7 +477,7 @@ def _classes(docs: DataFrame, sets: DataFrame, percent: int, groupings: int) ->
         lambda part: _shared(part, buckets), "shard int, sets binary, tokens binary, held binary")
     sized = sets.select("set", "n", _shard_of("set", buckets).alias("shard"))
     rows = staged(shared.groupBy("shard").cogroup(sized.groupBy("shard")).applyInArrow(
-        lambda e, s: _survivors(e, s, percent), "set long, n long, tokens binary"), "survivors")
+        lambda e, s: _survivors(e, s, percent), "set long, n long, shared double, tokens binary"), "survivors")
 
     calls = int(max(64, rows.count() // 1024))
     comp, leaders = rows.select("set", F.col("set").alias("comp")), rows
