@@ -8,10 +8,11 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from tidemark.plans import catalog  # noqa: E402
 from check_oracle import canon, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")

@@ -82,7 +82,7 @@ def payload_features(event_type: Column | str, payload: Column | str) -> dict[st
         "push_size": F.when(is_push, F.coalesce(_get(p, "$.size", "int"), F.lit(0))),
         "push_ref": F.when(is_push, F.coalesce(_get(p, "$.ref", "string"), F.lit(""))),
         "push_commits_count": F.when(
-            is_push, F.coalesce(F.size(_get(p, "$.commits", "array<variant>")), F.lit(0))),
+            is_push, F.coalesce(F.array_size(_get(p, "$.commits", "array<variant>")), F.lit(0))),
         "pr_action": F.when(is_pr, _get(p, "$.action", "string")),
         "pr_state": F.when(is_pr, _get(p, "$.pull_request.state", "string")),
         "pr_merged": F.when(is_pr, F.coalesce(_get(p, "$.pull_request.merged", "boolean"), F.lit(False))),

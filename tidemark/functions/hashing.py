@@ -6,9 +6,6 @@ from pyspark.sql import Column, functions as F
 
 from tidemark.functions.timefns import iso_text
 
-NULL_MARK = "\\N"
-SEP = "|"
-
 # Content fields in name order.  The hash covers every non-underscore Silver
 # base field; ``include_id=False`` drops event_id so equal content under
 # different ids collides (the documented intent of content dedup).
@@ -18,20 +15,22 @@ CONTENT_FIELDS = (
 )
 
 
-def canonical_text(field: str) -> Column:
-    c = F.col(field)
-    if field == "created_at":
+def _field(name: str) -> Column:
+    c = F.col(name)
+    if name == "created_at":
         c = iso_text(c)
-    elif field == "payload":
-        # Variant -> JSON text with object keys sorted: key order never matters.
-        c = F.to_json(c)
-    elif field == "event_date":
+    elif name == "event_date":
         c = F.date_format(c, "yyyy-MM-dd")
-    else:
-        c = c.cast("string")
-    return F.coalesce(c, F.lit(NULL_MARK))
+    return c.alias(name)
+
+
+def canonical_text(include_id: bool = True) -> Column:
+    """JSON object of the content fields in name order.  Nulls are kept, text
+    is quoted and the payload Variant prints its keys sorted, so different
+    content never has the same text."""
+    fields = [_field(f) for f in CONTENT_FIELDS if include_id or f != "event_id"]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
 def content_hash(include_id: bool = True) -> Column:
-    fields = [f for f in CONTENT_FIELDS if include_id or f != "event_id"]
-    return F.md5(F.concat_ws(SEP, *[canonical_text(f) for f in fields]))
+    return F.md5(canonical_text(include_id))

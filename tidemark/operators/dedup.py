@@ -2,40 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.schemas import ORDER
+
 
-def first_wins(df: DataFrame, key: str = "id", order: str = "_arrival_seq") -> DataFrame:
-    """Keep the row with the smallest ``order`` per ``key``.
+def first_wins(df: DataFrame, key: str = "id", order: Sequence[str] = ORDER) -> DataFrame:
+    """Keep the row that is first in ``order`` per ``key``.
 
     ``row_number() = 1`` lets Catalyst plan a partial WindowGroupLimit before
     the shuffle, so every map task forwards at most one row per key: a hot
     key with millions of copies costs one row per task, not one giant group.
     """
-    w = Window.partitionBy(key).orderBy(F.col(order).asc())
+    w = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def first_keys(df: DataFrame, key: str = "id", order: str = "_arrival_seq") -> DataFrame:
+def first_keys(df: DataFrame, key: str = "id", order: Sequence[str] = ORDER) -> DataFrame:
     """(key, order) of each key's first row.  A plain min-aggregate with a
     map-side partial step, so hot keys are combined before the shuffle."""
-    return df.groupBy(key).agg(F.min(order).alias(order))
+    return df.groupBy(key).agg(F.min(F.struct(*order)).alias("_o")).select(key, "_o.*")
 
 
-def later_copies(df: DataFrame, key: str = "id", order: str = "_arrival_seq") -> DataFrame:
+def later_copies(df: DataFrame, key: str = "id", order: Sequence[str] = ORDER) -> DataFrame:
     """Rows that lose to an earlier row with the same key.
 
     Anti-join on (key, order): a hot key spreads over many tasks because its
     rows differ in ``order``.
     """
-    return df.join(first_keys(df, key, order), [key, order], "left_anti")
+    return df.join(first_keys(df, key, order), [key, *order], "left_anti")
 
 
-def mark_first(df: DataFrame, key: str = "id", order: str = "_arrival_seq",
+def mark_first(df: DataFrame, key: str = "id", order: Sequence[str] = ORDER,
                flag: str = "_is_first") -> DataFrame:
     """Every row of ``df`` plus a boolean ``flag``: is it its key's first row."""
     firsts = first_keys(df, key, order).withColumn(flag, F.lit(True))
-    return (df.join(firsts, [key, order], "left")
+    return (df.join(firsts, [key, *order], "left")
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 

@@ -12,6 +12,7 @@ from tidemark.functions.features import (
 from tidemark.functions.hashing import content_hash
 from tidemark.functions.timefns import day_name, parse_event_time, ts_literal
 from tidemark.operators import dedup, validate
+from tidemark.schemas import ORDER
 from tidemark.sources.testdata import DEFAULT_RUN_TS
 
 EMPTY_OBJECT = "{}"
@@ -40,7 +41,7 @@ def clean(rows: DataFrame, run_ts: str = DEFAULT_RUN_TS, include_id_in_hash: boo
         ts_literal(run_ts).alias("_transformation_timestamp"),
         F.coalesce(F.col("_source"), F.lit("unknown")).alias("_source"),
         parsed.isNull().alias("_ts_fallback"),
-        F.col("source_repo"), F.col("_batch_id"), F.col("_arrival_seq"),
+        F.col("source_repo"), F.col("_batch_id"), *ORDER,
     )
     out = (out.withColumn("event_date", F.to_date("created_at"))
               .withColumn("event_hour", F.hour("created_at")))
@@ -61,23 +62,34 @@ def enrich(silver: DataFrame) -> DataFrame:
 
 def to_silver(bronze: DataFrame, run_ts: str = DEFAULT_RUN_TS,
               event_types: Sequence[str] | None = None,
-              not_after: str | None = None) -> DataFrame:
+              not_after: str | None = None, dedup_strategy: str = "id") -> DataFrame:
     """The Silver chain: required checks -> first-wins dedup -> type filter
     -> clean -> enrich.  Dedup precedes the type filter, so a disallowed
-    first copy suppresses a later allowed one."""
+    first copy suppresses a later allowed one.
+
+    ``dedup_strategy``: ``id`` keeps the first row of each event id;
+    ``content_hash`` the first of each content including the id, and
+    ``content_hash_no_id`` the first of each content under whatever id."""
     ok = validate.required_ok(bronze, not_after)
-    survivors = dedup.first_wins(ok, "id", "_arrival_seq")
-    kept = survivors.filter(validate.type_allowed(event_types))
-    return enrich(clean(kept, run_ts))
+    allowed = validate.type_allowed
+    if dedup_strategy == "id":
+        return enrich(clean(dedup.first_wins(ok).filter(allowed(event_types)), run_ts))
+    if dedup_strategy not in ("content_hash", "content_hash_no_id"):
+        raise ValueError(f"unknown dedup strategy: {dedup_strategy}")
+    rows = content_dedup(clean(ok, run_ts, dedup_strategy == "content_hash"))
+    return enrich(rows.filter(allowed(event_types, "event_type")))
 
 
 def label(bronze: DataFrame, event_types: Sequence[str] | None = None,
           not_after: str | None = None) -> DataFrame:
-    """Every Bronze row with its ``_reject_reason`` (NULL = goes to Silver)."""
+    """Every Bronze row with its ``_reject_reason`` (NULL = goes to Silver).
+    A boolean column ``_late``, if there is one, marks rows that are too late."""
     req = validate.with_required_reason(bronze, not_after)
+    if "_late" in bronze.columns:
+        req = req.withColumn(validate.REASON, F.when(
+            F.col(validate.REASON).isNull() & F.col("_late"), F.lit(validate.LATE)).otherwise(F.col(validate.REASON)))
     ok = req.filter(F.col(validate.REASON).isNull())
-    firsts = dedup.first_keys(ok, "id", "_arrival_seq").withColumn("_is_first", F.lit(True))
-    joined = req.join(firsts, ["id", "_arrival_seq"], "left")
+    joined = req.join(dedup.first_keys(ok).withColumn("_is_first", F.lit(True)), ["id", *ORDER], "left")
     reason = (F.when(F.col(validate.REASON).isNotNull(), F.col(validate.REASON))
               .when(F.col("_is_first").isNull(), F.lit(validate.DUPLICATE))
               .when(~validate.type_allowed(event_types), F.lit(validate.TYPE_FILTERED)))
@@ -110,7 +122,7 @@ def reason_counts(bronze: DataFrame, event_types: Sequence[str] | None = None,
 
 def content_dedup(silver_like: DataFrame) -> DataFrame:
     """First-wins by ``_content_hash`` (documented content strategy)."""
-    return dedup.first_wins(silver_like, "_content_hash", "_arrival_seq")
+    return dedup.first_wins(silver_like, "_content_hash")
 
 
 def with_day_name(silver: DataFrame) -> DataFrame:

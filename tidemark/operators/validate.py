@@ -1,7 +1,8 @@
 """Validation: required fields, repo sanity, timestamp check, type allow-list.
 
 Rows are never dropped silently and a bad row never aborts a batch: every
-rejected row carries a ``_reject_reason`` and lands in quarantine.
+rejected row carries a ``_reject_reason``, and an incremental run writes it to
+the quarantine layer.
 """
 
 from __future__ import annotations
@@ -19,9 +20,12 @@ REQUIRED_REASONS = (
     "missing_repo", "repo_not_object", "missing_repo_id", "missing_repo_name",
     "null_repo_name", "future_timestamp",
 )
+# Reasons of an incremental run: at or before the watermark; in Silver already.
+LATE = "late"
+SEEN = "already_in_silver"
 DUPLICATE = "duplicate"
 TYPE_FILTERED = "type_filtered"
-ALL_REASONS = REQUIRED_REASONS + (DUPLICATE, TYPE_FILTERED)
+ALL_REASONS = REQUIRED_REASONS + (LATE, DUPLICATE, TYPE_FILTERED, SEEN)
 
 
 def _absent(key: str) -> Column:

@@ -53,7 +53,8 @@ def q_bronze_rows(spark, d):
                     F.col("repo.name").alias("repo_name"), F.col("repo.url").alias("repo_url"),
                     F.col("actor.id").alias("actor_id"), F.col("actor.login").alias("actor_login"),
                     F.to_json("payload").alias("payload_json"), "source_repo", "_batch_id",
-                    "_arrival_seq", F.array_join("_absent_keys", ",").alias("absent_keys"))
+                    "_arrival_seq", F.array_join("_absent_keys", ",").alias("absent_keys"), "_source",
+                    as_wall_clock("_ingestion_timestamp").alias("ingestion_timestamp"), "_file")
 
 
 def q_bronze_source_counts(spark, d):

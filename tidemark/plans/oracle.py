@@ -63,28 +63,47 @@ typed AS (
 ),
 bronze AS (
   SELECT
-    CAST(event_id AS VARCHAR) AS id,
-    CASE WHEN event_id % 97 <> 0 THEN ptype END AS type,
-    CASE WHEN event_id % 101 = 0 THEN 'not-a-timestamp' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS created_at,
+    CASE WHEN event_id % 131 <> 0 THEN CAST(event_id AS VARCHAR) END AS id,
+    CASE WHEN event_id % 97 <> 0 AND event_id % 103 <> 0 THEN ptype END AS type,
+    CASE WHEN event_id % 149 = 0 OR event_id % 151 = 0 THEN NULL
+         WHEN event_id % 101 = 0 THEN 'not-a-timestamp'
+         WHEN event_id % 67 = 0 THEN strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%dT%H:%M:%S') || '+05:30'
+         WHEN event_id % 1009 = 0 THEN strftime(ts + INTERVAL 2557 DAY, '%Y-%m-%dT%H:%M:%SZ')
+         ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS created_at,
+    CASE WHEN event_id % 149 = 0 OR event_id % 151 = 0 OR event_id % 101 = 0 THEN NULL
+         WHEN event_id % 67 <> 0 AND event_id % 1009 = 0 THEN date_trunc('second', ts) + INTERVAL 2557 DAY
+         ELSE date_trunc('second', ts) END AS created_ts,
+    event_id % 61 <> 0 AS has_payload,
+    event_id % 149 = 0 AS created_absent,
     event_id % 89 = 0 AS repo_absent,
     event_id % 97 = 0 AS type_absent,
-    CASE WHEN event_id % 89 <> 0 THEN CAST(k AS BIGINT) END AS repo_id,
-    CASE WHEN event_id % 89 <> 0 THEN rname END AS repo_name,
-    CASE WHEN event_id % 89 <> 0 AND k % 2 = 0 THEN 'https://code.example/repos/' || rname END AS repo_url,
+    event_id % 89 <> 0 AND event_id % 107 <> 0 AS has_repo,
+    CASE WHEN has_repo AND event_id % 109 <> 0 THEN CAST(k AS BIGINT) END AS repo_id,
+    CASE WHEN has_repo AND event_id % 113 <> 0 AND event_id % 127 <> 0 THEN rname END AS repo_name,
+    CASE WHEN has_repo AND k % 2 = 0 THEN 'https://code.example/repos/' || rname END AS repo_url,
+    event_id % 109 = 0 AS repo_id_absent, event_id % 113 = 0 AS repo_name_absent, event_id % 127 = 0 AS repo_name_null,
     user_id AS actor_id,
     CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 59 = 0 THEN '' ELSE 'user' || user_id END AS actor_login,
-    {_PAYLOAD} AS payload_json,
+    CASE WHEN event_id % 61 <> 0 THEN {_PAYLOAD} END AS payload_json,
     rname AS source_repo,
     strftime(ts, '%Y-%m-%d') AS _batch_id,
     CASE copy WHEN 1 THEN event_id + 1000000000 WHEN 2 THEN event_id + 2000000000 ELSE event_id END AS _arrival_seq,
     array_to_string(list_filter([CASE WHEN event_id % 97 = 0 THEN 'type' END,
-                                 CASE WHEN event_id % 89 = 0 THEN 'repo' END], lambda x: x IS NOT NULL), ',') AS absent_keys,
+                                 CASE WHEN event_id % 149 = 0 THEN 'created_at' END,
+                                 CASE WHEN event_id % 89 = 0 THEN 'repo' END,
+                                 CASE WHEN has_repo AND event_id % 109 = 0 THEN 'repo.id' END,
+                                 CASE WHEN has_repo AND event_id % 113 = 0 THEN 'repo.name' END],
+                                lambda x: x IS NOT NULL), ',') AS absent_keys,
     k, ptype
   FROM typed
 ),
 req AS (
-  SELECT *, CASE WHEN type_absent THEN 'missing_type' WHEN type IS NULL THEN 'null_type'
-                 WHEN repo_absent THEN 'missing_repo' END AS req_reason
+  SELECT *, CASE WHEN id IS NULL THEN 'null_id'
+                 WHEN type_absent THEN 'missing_type' WHEN type IS NULL THEN 'null_type'
+                 WHEN created_absent THEN 'missing_created_at'
+                 WHEN repo_absent THEN 'missing_repo' WHEN NOT has_repo THEN 'repo_not_object'
+                 WHEN repo_id_absent THEN 'missing_repo_id' WHEN repo_name_absent THEN 'missing_repo_name'
+                 WHEN repo_name_null THEN 'null_repo_name' END AS req_reason
   FROM bronze
 )"""
 
@@ -97,34 +116,40 @@ def _silver_from(src: str) -> str:
     CASE WHEN event_hour >= 6 AND event_hour < 12 THEN 'morning'
          WHEN event_hour >= 12 AND event_hour < 18 THEN 'afternoon'
          WHEN event_hour >= 18 AND event_hour < 24 THEN 'evening' ELSE 'night' END AS time_of_day,
-    md5(concat_ws('|', COALESCE(CAST(actor_id AS VARCHAR), '\\N'), COALESCE(actor_login, '\\N'),
-        strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f'), strftime(event_date, '%Y-%m-%d'),
-        CAST(event_hour AS VARCHAR), event_id, event_type, payload_json, CAST(repo_id AS VARCHAR),
-        repo_name, repo_url)) AS _content_hash
+    md5(content_head || '"event_id":"' || event_id || '",' || content_tail) AS _content_hash,
+    md5(content_head || content_tail) AS _content_hash_no_id
   FROM (
-    SELECT *, CAST(created_at AS DATE) AS event_date, CAST(hour(created_at) AS INTEGER) AS event_hour,
+    SELECT *,
+      '{{"actor_id":' || COALESCE(CAST(actor_id AS VARCHAR), 'null')
+        || ',"actor_login":' || COALESCE('"' || actor_login || '"', 'null')
+        || ',"created_at":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f')
+        || '","event_date":"' || strftime(created_at, '%Y-%m-%d')
+        || '","event_hour":' || hour(created_at) || ',' AS content_head,
+      '"event_type":"' || event_type || '","payload":' || payload_json || ',"repo_id":' || repo_id
+        || ',"repo_name":"' || repo_name || '","repo_url":"' || repo_url || '"}}' AS content_tail,
+      CAST(created_at AS DATE) AS event_date, CAST(hour(created_at) AS INTEGER) AS event_hour,
       CASE WHEN contains(event_type, 'Push') OR contains(event_type, 'Commit') THEN 'code_change'
            WHEN contains(event_type, 'PullRequest') OR contains(event_type, 'Review') THEN 'code_review'
            WHEN contains(event_type, 'Issue') THEN 'issue_management'
            WHEN contains(event_type, 'Create') OR contains(event_type, 'Delete') THEN 'repository_admin'
            ELSE 'other' END AS activity_category_,
-      CASE WHEN event_type = 'PushEvent' THEN k END AS push_size,
-      CASE WHEN event_type = 'PushEvent' THEN 'refs/heads/main' END AS push_ref,
-      CASE WHEN event_type = 'PushEvent' THEN k % 5 END AS push_commits_count,
-      CASE WHEN event_type = 'PullRequestEvent' THEN (CASE WHEN k % 2 = 0 THEN 'opened' ELSE 'closed' END) END AS pr_action,
-      CASE WHEN event_type = 'PullRequestEvent' THEN (CASE WHEN k % 2 = 0 THEN 'open' ELSE 'closed' END) END AS pr_state,
-      CASE WHEN event_type = 'PullRequestEvent' THEN k % 3 = 0 END AS pr_merged,
-      CASE WHEN event_type = 'PullRequestEvent' THEN k END AS pr_additions,
-      CASE WHEN event_type = 'PullRequestEvent' THEN k % 7 END AS pr_deletions,
-      CASE WHEN event_type = 'IssuesEvent' THEN (CASE WHEN k % 2 = 0 THEN 'opened' ELSE 'closed' END) END AS issue_action,
-      CASE WHEN event_type = 'IssuesEvent' THEN (CASE WHEN k % 2 = 0 THEN 'open' ELSE 'closed' END) END AS issue_state,
-      CASE WHEN event_type = 'IssuesEvent' THEN list_slice(['l0', 'l1'], 1, k % 3) END AS issue_labels,
-      CASE WHEN event_type = 'WatchEvent' THEN 'started' END AS watch_action
+      CASE WHEN event_type = 'PushEvent' THEN CASE WHEN has_payload THEN k ELSE 0 END END AS push_size,
+      CASE WHEN event_type = 'PushEvent' THEN CASE WHEN has_payload THEN 'refs/heads/main' ELSE '' END END AS push_ref,
+      CASE WHEN event_type = 'PushEvent' THEN CASE WHEN has_payload THEN k % 5 ELSE 0 END END AS push_commits_count,
+      CASE WHEN event_type = 'PullRequestEvent' AND has_payload THEN (CASE WHEN k % 2 = 0 THEN 'opened' ELSE 'closed' END) END AS pr_action,
+      CASE WHEN event_type = 'PullRequestEvent' AND has_payload THEN (CASE WHEN k % 2 = 0 THEN 'open' ELSE 'closed' END) END AS pr_state,
+      CASE WHEN event_type = 'PullRequestEvent' THEN has_payload AND k % 3 = 0 END AS pr_merged,
+      CASE WHEN event_type = 'PullRequestEvent' THEN CASE WHEN has_payload THEN k ELSE 0 END END AS pr_additions,
+      CASE WHEN event_type = 'PullRequestEvent' THEN CASE WHEN has_payload THEN k % 7 ELSE 0 END END AS pr_deletions,
+      CASE WHEN event_type = 'IssuesEvent' AND has_payload THEN (CASE WHEN k % 2 = 0 THEN 'opened' ELSE 'closed' END) END AS issue_action,
+      CASE WHEN event_type = 'IssuesEvent' AND has_payload THEN (CASE WHEN k % 2 = 0 THEN 'open' ELSE 'closed' END) END AS issue_state,
+      CASE WHEN event_type = 'IssuesEvent' THEN list_slice(['l0', 'l1'], 1, CASE WHEN has_payload THEN k % 3 ELSE 0 END) END AS issue_labels,
+      CASE WHEN event_type = 'WatchEvent' AND has_payload THEN 'started' END AS watch_action
     FROM (
       SELECT id AS event_id, type AS event_type,
-        COALESCE(try_strptime(created_at, '%Y-%m-%dT%H:%M:%SZ'), {RUN_TS}) AS created_at,
-        try_strptime(created_at, '%Y-%m-%dT%H:%M:%SZ') IS NULL AS _ts_fallback,
-        repo_id, repo_name, COALESCE(repo_url, '') AS repo_url, actor_id, actor_login, payload_json,
+        COALESCE(created_ts, {RUN_TS}) AS created_at, created_ts IS NULL AS _ts_fallback,
+        repo_id, repo_name, COALESCE(repo_url, '') AS repo_url, actor_id, actor_login,
+        COALESCE(payload_json, '{{}}') AS payload_json, has_payload,
         source_repo, _batch_id, _arrival_seq, k
       FROM {src}
     ) c0
@@ -230,8 +255,7 @@ wm AS (SELECT source_repo, max(created_at) FILTER (WHERE NOT _ts_fallback) AS wa
 newb AS (
   SELECT q.* FROM req q LEFT JOIN wm ON q.source_repo = wm.source_repo
   WHERE q.req_reason IS NULL AND (wm.watermark IS NULL
-        OR try_strptime(q.created_at, '%Y-%m-%dT%H:%M:%SZ') IS NULL
-        OR try_strptime(q.created_at, '%Y-%m-%dT%H:%M:%SZ') > wm.watermark)
+        OR q.created_ts IS NULL OR q.created_ts > wm.watermark)
 ),
 surv2 AS ({_first_wins('newb')}),
 silver2 AS ({_silver_from('surv2')})"""
@@ -258,7 +282,7 @@ runs AS (
 _STREAM_VALID = BASE_CTES + f""",
 sv AS (
   SELECT DISTINCT id AS event_id, repo_name,
-    COALESCE(try_strptime(created_at, '%Y-%m-%dT%H:%M:%SZ'), {RUN_TS}) AS event_time
+    COALESCE(created_ts, {RUN_TS}) AS event_time
   FROM req WHERE req_reason IS NULL
 )"""
 
@@ -267,7 +291,8 @@ _FILTER_REPOS = _in_list(C.FILTER_REPOS)
 SQL: dict[str, str] = {
     "bronze_rows": f"""WITH {BASE_CTES}
 SELECT id, type, created_at, repo_id, repo_name, repo_url, actor_id, actor_login, payload_json,
-  source_repo, _batch_id, _arrival_seq, absent_keys FROM bronze""",
+  source_repo, _batch_id, _arrival_seq, absent_keys, 'testdata_events' AS _source,
+  {RUN_TS} AS ingestion_timestamp, 'events' AS _file FROM bronze""",
     "bronze_source_counts": f"""WITH {BASE_CTES}
 SELECT source_repo, count(*) AS raw_events, count(DISTINCT id) AS distinct_ids,
   count(DISTINCT _batch_id) AS batches FROM bronze GROUP BY source_repo""",
@@ -353,7 +378,7 @@ FROM ({_CONTRIB_METRICS}) m ORDER BY total_contributions DESC, actor_login ASC L
 ) t WHERE rn = 1"""),
     "null_profile": _null_profile(),
     "numeric_profile": _describe(),
-    "shape_profile": with_silver("SELECT count(*) AS n_rows, 34 AS n_columns FROM silver"),
+    "shape_profile": with_silver("SELECT count(*) AS n_rows, 36 AS n_columns FROM silver"),
     "date_span": with_silver("""SELECT min(created_at) AS min_created_at, max(created_at) AS max_created_at,
   CAST(floor((epoch_us(max(created_at)) - epoch_us(min(created_at))) / 86400000000) AS BIGINT) AS span_days
 FROM silver"""),

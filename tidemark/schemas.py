@@ -18,7 +18,8 @@ ACTOR = T.StructType([
 # Bronze: raw event plus lineage.  ``payload`` keeps the type-dependent JSON
 # object as a Variant.  ``_absent_keys`` lists which of the keys in
 # TRACKED_KEYS were absent from the raw JSON object (absent differs from an
-# explicit null for validation, see operators.validate).
+# explicit null for validation, see operators.validate).  ``_raw`` is the event
+# as it came: its JSON text, or the text that could not be parsed.
 BRONZE = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("type", T.StringType()),
@@ -31,9 +32,16 @@ BRONZE = T.StructType([
     T.StructField("source_repo", T.StringType()),
     T.StructField("_batch_id", T.StringType()),
     T.StructField("_arrival_seq", T.LongType()),
+    T.StructField("_file", T.StringType()),
+    T.StructField("_pos", T.ArrayType(T.LongType())),
     T.StructField("_absent_keys", T.ArrayType(T.StringType())),
+    T.StructField("_raw", T.StringType()),
 ])
 
+# Arrival order of Bronze rows, unique per row: arrival (a file's modification
+# time), file path, position in the file.
+ORDER = ("_arrival_seq", "_file", "_pos")
+
 # Keys whose absence is recorded in Bronze ``_absent_keys``.
 TRACKED_KEYS = ("id", "type", "created_at", "repo", "repo.id", "repo.name")
 
@@ -68,7 +76,7 @@ SILVER_BASE = (
     "event_id", "event_type", "created_at", "repo_id", "repo_name", "repo_url",
     "actor_id", "actor_login", "payload", "_ingestion_timestamp",
     "_transformation_timestamp", "_source", "event_date", "event_hour",
-    "_content_hash", "_ts_fallback", "source_repo", "_batch_id", "_arrival_seq",
+    "_content_hash", "_ts_fallback", "source_repo", "_batch_id", "_arrival_seq", "_file", "_pos",
 )
 
 SILVER_FEATURES = (

@@ -1,16 +1,18 @@
 """Landing-zone ingestion (batch and stream) into Bronze.
 
-Layout: ``<root>/<owner>/<repo>/<file>.json``, each file one JSON array of
-events (a page as returned by the events API) or one JSON object.  Files are
-read whole and parsed as Variant, so that
+Layout: ``<root>/<owner>/<repo>/<file>`` (folders may be ``key=value``).  A
+file is one JSON array of events (a page as returned by the events API,
+indented or not), one JSON object, or JSON Lines.  Events are parsed as
+Variant, so that
 
 * an absent key differs from an explicit null (validation needs this),
-* a malformed file becomes ONE quarantined ``corrupt_record`` row and never
-  stops the other files or sources,
-* the array position gives a deterministic arrival order.
+* a malformed file or line becomes ONE quarantined ``corrupt_record`` row and
+  never stops the other files or sources.
 
-``_arrival_seq`` = file modification time (ms) * 1e6 + position in file:
-later files win nothing in first-wins dedup; at most 1e6 events per file.
+Files are read whole, or with ``lines=True`` line by line and split over many
+tasks, which is the form for large files.  The arrival order of rows (U1) is
+the file's modification time, then its path, then the position in it
+(``schemas.ORDER``), so it is unique however coarse the store's times are.
 """
 
 from __future__ import annotations
@@ -21,9 +23,7 @@ from tidemark.functions.timefns import parse_event_time, ts_literal
 from tidemark.schemas import ACTOR, BRONZE, REPO, TRACKED_KEYS
 
 CORRUPT = "_corrupt_record"
-PER_FILE = 1_000_000
-SOURCE_FROM_PATH = r"([^/]+)/([^/]+)/[^/]+$"
-
+SOURCE_FROM_PATH = r"/(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?([^/]+)/[^/]+$"
 
 def _present(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "variant").isNotNull()
@@ -41,21 +41,33 @@ def absent_keys(v: Column) -> Column:
     return F.array_compact(F.array(*checks))
 
 
+def _events(text: Column, doc: Column) -> Column:
+    """The events of a text as (e, bad): a Variant, or the text that is none.
+
+    ``doc`` is the text parsed as a whole.  What does not parse is JSON Lines if
+    it begins with an object and some line is one; else it is one bad event.
+    """
+    found = F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.array(doc))
+    none = F.lit(None).cast("string")
+    whole = F.transform(found, lambda e: F.struct(e.alias("e"), none.alias("bad")))
+    lines = F.transform(F.filter(F.split(text, r"\r?\n"), lambda x: F.trim(x) != ""), lambda x: F.struct(
+        F.try_parse_json(x).alias("e"), F.when(F.try_parse_json(x).isNull(), x).alias("bad")))
+    is_lines = F.startswith(F.ltrim(text), F.lit("{")) & F.exists(lines, lambda x: x["e"].isNotNull())
+    bad = F.array(F.struct(F.lit(None).cast("variant").alias("e"), text.alias("bad")))
+    return F.when(doc.isNotNull(), whole).when(is_lines, lines).otherwise(bad)
+
+
 def bronze_from_raw(raw: DataFrame, batch_id: str, run_ts: str, source_tag: str = "landing",
                     text_col: str = "value") -> DataFrame:
-    """Raw file rows (``text_col`` = whole file text, plus ``_file`` path and
-    ``_mtime``) -> Bronze rows (schema ``tidemark.schemas.BRONZE``)."""
-    doc = F.try_parse_json(F.col(text_col))
-    # unparseable text -> one NULL element (a corrupt row); [] -> no rows
-    arr = F.when(doc.isNull(), F.array(F.lit(None).cast("variant"))).otherwise(
-        F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.array(doc)))
-    x = raw.select("_file", "_mtime", F.posexplode(arr).alias("_pos", "e"))
-    e = F.col("e")
-    m = F.regexp_extract("_file", SOURCE_FROM_PATH, 1)
-    r = F.regexp_extract("_file", SOURCE_FROM_PATH, 2)
+    """Raw rows (``text_col``: a file's or a line's text, ``_file``, ``_mtime``
+    and ``_at``, the place in the file) -> Bronze rows."""
+    parsed = raw.select("_file", "_mtime", "_at", F.col(text_col).alias("_text"),
+                        F.try_parse_json(F.col(text_col)).alias("_doc"))
+    x = parsed.select("_file", "_mtime", "_at",
+                      F.posexplode(_events(F.col("_text"), F.col("_doc"))).alias("_n", "_x"))
+    e = F.col("_x.e")
     ingest = F.coalesce(parse_event_time(F.try_variant_get(e, "$._ingestion_timestamp", "string")),
                         ts_literal(run_ts))
-    seq = F.unix_millis("_mtime") * F.lit(PER_FILE) + F.coalesce(F.col("_pos"), F.lit(0))
     out = x.select(
         F.try_variant_get(e, "$.id", "string").alias("id"),
         F.try_variant_get(e, "$.type", "string").alias("type"),
@@ -65,35 +77,48 @@ def bronze_from_raw(raw: DataFrame, batch_id: str, run_ts: str, source_tag: str
         F.try_variant_get(e, "$.payload", "variant").alias("payload"),
         ingest.alias("_ingestion_timestamp"),
         F.coalesce(F.try_variant_get(e, "$._source", "string"), F.lit(source_tag)).alias("_source"),
-        F.concat_ws("/", m, r).alias("source_repo"),
+        F.concat_ws("/", F.regexp_extract("_file", SOURCE_FROM_PATH, 1),
+                    F.regexp_extract("_file", SOURCE_FROM_PATH, 2)).alias("source_repo"),
         F.lit(batch_id).alias("_batch_id"),
-        seq.alias("_arrival_seq"),
+        F.unix_millis("_mtime").alias("_arrival_seq"),
+        F.col("_file"),
+        F.concat(F.col("_at"), F.array(F.col("_n").cast("long"))).alias("_pos"),
         F.when(e.isNull(), F.array(F.lit(CORRUPT))).otherwise(absent_keys(e)).alias("_absent_keys"),
+        F.coalesce(F.to_json(e), F.col("_x.bad")).alias("_raw"),
     )
     return out.select(*[F.col(f.name).cast(f.dataType) if f.name != "payload" else F.col(f.name)
                         for f in BRONZE.fields])
 
 
-def _raw_files(reader) -> DataFrame:
+def _raw_files(reader: DataFrame) -> DataFrame:
     return reader.select("value", F.col("_metadata.file_path").alias("_file"),
-                         F.col("_metadata.file_modification_time").alias("_mtime"))
+                         F.col("_metadata.file_modification_time").alias("_mtime"),
+                         F.array(F.lit(0).cast("long")).alias("_at"))
+
+
+def _raw_lines(reader: DataFrame) -> DataFrame:
+    """Lines with their place: the split they come from, and their number in it."""
+    return reader.where(F.trim("value") != "").select(
+        "value", F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_modification_time").alias("_mtime"),
+        F.array(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_at"))
 
 
 def read_landing(spark: SparkSession, root: str, batch_id: str, run_ts: str,
-                 source_tag: str = "landing", pattern: str = "*/*/*.json") -> DataFrame:
-    """Batch read of every landing file under ``root`` (all sources at once;
-    a bad file or source yields quarantined rows, the rest loads)."""
-    raw = spark.read.option("wholetext", True).text(f"{root.rstrip('/')}/{pattern}")
-    return bronze_from_raw(_raw_files(raw), batch_id, run_ts, source_tag)
+                 source_tag: str = "landing", pattern: str = "*/*/*.json", lines: bool = False) -> DataFrame:
+    """Batch read of every landing file under ``root`` (all sources at once; a
+    bad file or source yields quarantined rows, the rest loads)."""
+    path = f"{root.rstrip('/')}/{pattern}"
+    raw = _raw_lines(spark.read.text(path)) if lines else _raw_files(spark.read.text(path, wholetext=True))
+    return bronze_from_raw(raw, batch_id, run_ts, source_tag)
 
 
 def read_landing_stream(spark: SparkSession, root: str, batch_id: str, run_ts: str,
                         source_tag: str = "landing", max_files_per_trigger: int = 100,
                         pattern: str = "*/*/*.json") -> DataFrame:
     """The same as a file stream: every new landing file joins a micro-batch."""
-    raw = (spark.readStream.format("text").option("wholetext", True)
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .load(f"{root.rstrip('/')}/{pattern}"))
+    raw = (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+           .text(f"{root.rstrip('/')}/{pattern}", wholetext=True))
     return bronze_from_raw(_raw_files(raw), batch_id, run_ts, source_tag)
 
 
@@ -104,7 +129,8 @@ def bronze_from_json(spark: SparkSession, docs: list[str], batch_id: str = "b0",
     and small fixtures."""
     rows = [(d, f"mem://{source}/f{i:06d}.json", i) for i, d in enumerate(docs)]
     raw = spark.createDataFrame(rows, "value string, _file string, _i int").select(
-        "value", "_file", F.timestamp_millis(F.lit(mtime_ms) + F.col("_i")).alias("_mtime"))
+        "value", "_file", F.timestamp_millis(F.lit(mtime_ms) + F.col("_i")).alias("_mtime"),
+        F.array(F.lit(0).cast("long")).alias("_at"))
     return bronze_from_raw(raw, batch_id, run_ts)
 
 

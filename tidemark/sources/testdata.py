@@ -25,7 +25,20 @@ ERROR_TYPES = ("CommitCommentEvent", "PullRequestReviewEvent", "CreateEvent", "F
 TYPE_ABSENT_MOD = 97
 BAD_TS_MOD = 101
 BAD_TS_TEXT = "not-a-timestamp"
+OFFSET_MOD = 67               # the same instant, written with an offset
+OFFSET_MINUTES, OFFSET_TEXT = 330, "+05:30"
+FUTURE_MOD = 1009             # an event time years ahead
+FUTURE_DAYS = 2557
+CREATED_ABSENT_MOD = 149
+CREATED_NULL_MOD = 151
+ID_NULL_MOD = 131
+TYPE_NULL_MOD = 103
+PAYLOAD_NULL_MOD = 61
 REPO_ABSENT_MOD = 89
+REPO_NULL_MOD = 107           # present, but null
+REPO_ID_ABSENT_MOD = 109
+REPO_NAME_ABSENT_MOD = 113
+REPO_NAME_NULL_MOD = 127
 LOGIN_NULL_MOD = 53
 LOGIN_EMPTY_MOD = 59
 RETYPE_COPY_MOD = 10          # extra copy with another type
@@ -35,6 +48,7 @@ EXACT_SEQ_OFFSET = 2_000_000_000
 REPO_URL_PREFIX = "https://code.example/repos/"
 PUSH_REF = "refs/heads/main"
 SOURCE_TAG = "testdata_events"
+FILE_TAG = "events"
 # ---------------------------------------------------------------------------
 
 
@@ -95,32 +109,50 @@ def dirty_bronze(events: DataFrame, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
     retyped = F.when((F.floor(eid / RETYPE_COPY_MOD) % 2) == 0, "WatchEvent").otherwise("PushEvent")
     ptype = F.when(copy == 1, retyped).otherwise(_base_type(F.col("event_type"), eid))
     repo_name = F.concat(F.lit("org"), (k % 10).cast("string"), F.lit("/repo"), k.cast("string"))
-    repo = F.when(
-        F.pmod(eid, F.lit(REPO_ABSENT_MOD)) != 0,
-        F.struct(k.cast("long").alias("id"), repo_name.alias("name"),
-                 F.when(k % 2 == 0, F.concat(F.lit(REPO_URL_PREFIX), repo_name)).alias("url")))
+
+    def each(mod: int) -> Column:
+        return F.pmod(eid, F.lit(mod)) == 0
+
+    no_repo = each(REPO_ABSENT_MOD) | each(REPO_NULL_MOD)
+    repo = F.when(~no_repo, F.struct(
+        F.when(~each(REPO_ID_ABSENT_MOD), k.cast("long")).alias("id"),
+        F.when(~each(REPO_NAME_ABSENT_MOD) & ~each(REPO_NAME_NULL_MOD), repo_name).alias("name"),
+        F.when(k % 2 == 0, F.concat(F.lit(REPO_URL_PREFIX), repo_name)).alias("url")))
+    iso = "yyyy-MM-dd'T'HH:mm:ss"
+    created = (F.when(each(CREATED_ABSENT_MOD) | each(CREATED_NULL_MOD), F.lit(None).cast("string"))
+               .when(each(BAD_TS_MOD), F.lit(BAD_TS_TEXT))
+               .when(each(OFFSET_MOD), F.concat(F.date_format(
+                   F.col("ts") + F.make_dt_interval(mins=F.lit(OFFSET_MINUTES)), iso), F.lit(OFFSET_TEXT)))
+               .when(each(FUTURE_MOD), F.concat(F.date_format(
+                   F.col("ts") + F.make_dt_interval(days=F.lit(FUTURE_DAYS)), iso), F.lit("Z")))
+               .otherwise(F.concat(F.date_format("ts", iso), F.lit("Z"))))
     login = (F.when(F.pmod(eid, F.lit(LOGIN_NULL_MOD)) == 0, F.lit(None).cast("string"))
              .when(F.pmod(eid, F.lit(LOGIN_EMPTY_MOD)) == 0, F.lit(""))
              .otherwise(F.concat(F.lit("user"), F.col("user_id").cast("string"))))
     seq = (F.when(copy == 1, eid + RETYPE_SEQ_OFFSET)
            .when(copy == 2, eid + EXACT_SEQ_OFFSET).otherwise(eid))
     absent = F.array_compact(F.array(
-        F.when(F.pmod(eid, F.lit(TYPE_ABSENT_MOD)) == 0, F.lit("type")),
-        F.when(F.pmod(eid, F.lit(REPO_ABSENT_MOD)) == 0, F.lit("repo"))))
+        F.when(each(TYPE_ABSENT_MOD), F.lit("type")),
+        F.when(each(CREATED_ABSENT_MOD), F.lit("created_at")),
+        F.when(each(REPO_ABSENT_MOD), F.lit("repo")),
+        F.when(~no_repo & each(REPO_ID_ABSENT_MOD), F.lit("repo.id")),
+        F.when(~no_repo & each(REPO_NAME_ABSENT_MOD), F.lit("repo.name"))))
     return x.select(
-        eid.cast("string").alias("id"),
-        F.when(F.pmod(eid, F.lit(TYPE_ABSENT_MOD)) != 0, ptype).alias("type"),
-        F.when(F.pmod(eid, F.lit(BAD_TS_MOD)) == 0, F.lit(BAD_TS_TEXT))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("created_at"),
+        F.when(~each(ID_NULL_MOD), eid.cast("string")).alias("id"),
+        F.when(~each(TYPE_ABSENT_MOD) & ~each(TYPE_NULL_MOD), ptype).alias("type"),
+        created.alias("created_at"),
         repo.alias("repo"),
         F.struct(F.col("user_id").alias("id"), login.alias("login")).alias("actor"),
-        _payload(ptype, k, eid).alias("payload"),
+        F.when(~each(PAYLOAD_NULL_MOD), _payload(ptype, k, eid)).alias("payload"),
         ts_literal(run_ts).alias("_ingestion_timestamp"),
         F.lit(SOURCE_TAG).alias("_source"),
         repo_name.alias("source_repo"),
         F.date_format("ts", "yyyy-MM-dd").alias("_batch_id"),
         seq.alias("_arrival_seq"),
+        F.lit(FILE_TAG).alias("_file"),
+        F.array(F.lit(0).cast("long")).alias("_pos"),
         absent.alias("_absent_keys"),
+        F.lit(None).cast("string").alias("_raw"),
     )
 
 
