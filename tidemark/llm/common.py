@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
 
+#: Rows that go to a Python worker at once: a few MB of texts.
+ARROW_ROWS = "1000"
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: The ASCII white space [\x20\x09-\x0D].
@@ -27,6 +30,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def batched(df: DataFrame) -> DataFrame:
+    """``df``, to be handed to Python in batches of ARROW_ROWS."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only.  Pure ASCII texts take the fast built-in."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

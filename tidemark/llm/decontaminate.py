@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import batched
+
 #: About 200,000 words: some 150 MB of automaton in a Python worker.
 BLOCK_BYTES = 1 << 20
 #: UTF-8 bytes to lower-cased word bytes; all that is no word byte to a space.
@@ -172,7 +174,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = 10,
     """
     spark = docs.sparkSession
     columns = [c for c in docs.columns if c not in ("__n_words", "__spans", "__items")]
-    out = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumns({
+    out = batched(docs).select(*[F.col(f"`{c}`") for c in columns]).withColumns({
         "__n_words": F.lit(0).cast("long"),
         "__spans": F.array().cast("array<struct<start:int,end:int>>"),
         "__items": F.array().cast("array<string>")})

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hash128, staged
+from tidemark.llm.common import batched, hash128, staged
 from tidemark.llm.graph import components
 
 #: Tokens that a bucket holds on average, and rows of a group opened at once.
@@ -134,7 +134,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
     text = F.col("text").cast("string")
     t1, t2 = hash128(F.coalesce(text, F.lit("")))
-    return docs.select(text.alias("text"), F.col("doc_id").cast("long"), t1.alias("t1"), t2.alias("t2")).mapInArrow(
+    return batched(docs).select(text.alias("text"), F.col("doc_id").cast("long"), t1.alias("t1"), t2.alias("t2")).mapInArrow(
         run, "doc_id long, t1 long, t2 long, n long, set long")
 
 
@@ -175,7 +175,7 @@ def _bucketed(docs: DataFrame, buckets: int) -> DataFrame:
                 [pa.array(rows[0], pa.int32())] + [pa.array(c, pa.binary()) for c in rows[1:]],
                 ["bucket", "sets", "counts", "tokens"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(
+    return batched(docs).select(F.col("text").cast("string")).mapInArrow(
         run, "bucket int, sets binary, counts binary, tokens binary")
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import batched, staged
 
 END = "<|endoftext|>"
 #: Runs of white space from here on are left to the slower library, whose
@@ -102,7 +102,7 @@ def pieces(docs: DataFrame, size: int = 2048, tokenizers: str | None = None,
                 arrays.append(pa.array([x.astype("i8") for x in cols[5]], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
+    return batched(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
 
 
 class RoomTree:

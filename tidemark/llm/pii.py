@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import spans as S
-from tidemark.llm.common import staged
+from tidemark.llm.common import batched, staged
 
 #: The kinds and their patterns, in order.
 KINDS = ("email", "ip", "card", "phone", "context")
@@ -146,7 +146,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 [pa.array(uid, pa.int64()), batch.column(0), S.column(base), pa.array(every, kind)],
                 ["uid", "doc_id", "base", "found"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return batched(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, f"uid long, doc_id long, base {S.SPANS}, found {found}")
 
 

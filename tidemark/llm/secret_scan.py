@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import batched
+
 from tidemark.llm import spans as S
 
 #: The kinds and their patterns, in order.
@@ -196,7 +198,7 @@ def train(docs: DataFrame, sample_docs: int = 20_000, most_runs: int = 6_000, le
     """A field learned from the base spans of about ``sample_docs`` texts, drawn
     by a hash of id and text; ``most_runs`` runs at most are fitted, half of
     them with a secret as far as there are any."""
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    rows = batched(docs).select("doc_id", "text").where(F.col("text").isNotNull())
     count = max(1, docs.count())
     if count > sample_docs:
         rows = rows.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 20)) < int(
@@ -280,5 +282,5 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), S.column(base), S.column(every)],
                                              ["doc_id", "base", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return batched(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, f"doc_id long, base {S.SPANS}, spans {S.SPANS}")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import batched, staged
 
 #: Look-alike letters, digit and sign substitutions, and marks
 #: that don't show.  l, i and 1 are one class, as 1 stands for either.
@@ -130,7 +130,7 @@ def _training(docs: DataFrame, labels: DataFrame, max_training: int) -> DataFram
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .withColumn("fold", fold_of("doc_id")).where("fold <> 0")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_training))
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()) \
+    rows = batched(docs).select("doc_id", "text").where(F.col("text").isNotNull()) \
         .join(F.broadcast(chosen), "doc_id")  # max_training rows of two numbers
 
     def prepare(batches):
@@ -154,7 +154,7 @@ def _counts(rows: DataFrame, of) -> DataFrame:
     """Sum over rows of the keys that ``of(text)`` names, combined per batch."""
 
     def count(batches):
-        for batch in batches:
+        for batch in batches:  # a batch is small, and so is its count
             total: Counter = Counter()
             for t in batch.column(0).to_pylist():
                 total.update(of(t))
@@ -281,6 +281,6 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
                 out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
             yield batch.append_column("score", pa.array(out, pa.float64()))
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns])
+    rows = batched(docs).select(*[F.col(f"`{c}`") for c in columns])
     schema = rows.withColumn("score", F.lit(0.0)).schema
     return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import batched
+
 RECORD_END = "\r\n\r\n"
 #: Fixed values of the format.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -100,7 +102,7 @@ def write_archives(pages: DataFrame, path: str, least_revisit: int = 1000,
     null ids are below all others).  Null urls are left out of the header.
     """
     body = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+    rows = batched(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         body.alias("html"), F.sha1(body).alias("digest"))
     firsts = (rows.where(F.octet_length("html") >= least_revisit)
               .groupBy("digest").agg(F.count(F.lit(1)).alias("n"),
@@ -259,7 +261,7 @@ def payloads(records: DataFrame) -> DataFrame:
                 .append_column("payload_bytes", pa.array(sizes, pa.int64()))
                 .append_column("payload_digest", pa.array(digests, pa.string())))
 
-    rows = records.where("record_type in ('response', 'revisit', 'continuation')").select(
+    rows = batched(records).where("record_type in ('response', 'revisit', 'continuation')").select(
         "record_type", "page_id", "target", "digest", "refers_to", "block", "status")
     return rows.mapInArrow(decode, "record_type string, page_id long, target string, digest string, "
                                    "refers_to long, status string, payload binary, payload_bytes long, "
