@@ -340,24 +340,34 @@ def _grouped(rows: DataFrame, seed: int, percent: int, calls: int) -> DataFrame:
 
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
-    """The tokens of each set of which a partner holds one at least."""
+    """The tokens of each set of which a partner holds one at least; ``short``
+    marks those that do if the partner is no smaller.
+
+    Rarest first, a partner that is no larger can lack so many tokens that it
+    has one of the first n - ceil(t n) + 1, with t the threshold; a partner that
+    is no smaller one of the first n - ceil(2 t n / (1 + t)) + 1.  The n less
+    len(tokens) tokens that nobody shares come first.
+    """
 
     def run(batches):
         for batch in batches:
-            out: list[np.ndarray] = []
+            out: list[np.ndarray] = [np.empty(0, "<u8")]
+            short: list[np.ndarray] = [np.empty(0, bool)]
             sizes = []
             for n, blob in zip(batch.column("n").to_pylist(), batch.column("tokens")):
                 tokens = np.frombuffer(blob.as_buffer(), "<u8")
-                # n - ceil(percent n) + 1 rarest; the n - len(tokens) unshared come first.
-                most = n - (-(-percent * n // 100)) + 1 - (n - len(tokens))
+                alone = n - len(tokens)
+                most = n + percent * -n // 100 + 1 - alone
+                few = n + 2 * percent * -n // (100 + percent) + 1 - alone
                 out.append(tokens[:max(0, most)])
+                short.append(np.arange(len(out[-1])) < few)
                 sizes.append(len(out[-1]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out or [np.empty(0, "<u8")]).view("i8"), pa.int64())] +
+                [pa.array(np.concatenate(out).view("i8"), pa.int64()), pa.array(np.concatenate(short))] +
                 [pa.array(np.repeat(batch.column(c).to_numpy(), sizes), pa.int64())
-                 for c in ("set", "n", "comp", "csize")], ["token", "set", "n", "comp", "csize"])
+                 for c in ("set", "n", "comp", "csize")], ["token", "short", "set", "n", "comp", "csize"])
 
-    return sets.mapInArrow(run, "token long, set long, n long, comp long, csize long")
+    return sets.mapInArrow(run, "token long, short boolean, set long, n long, comp long, csize long")
 
 
 def _opened(members: pa.Table, queries: pa.Table, percent: int) -> pa.Table:
@@ -395,15 +405,19 @@ def _held(q: np.ndarray, tokens: np.ndarray) -> int:
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Edges between components: ``sets(set, n, tokens, comp, csize)``."""
     postings = staged(_postings(sets, percent), "postings")
-    several = (postings.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-               .where("lo < hi").select("token"))
+    several = (postings.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                             F.max("short").alias("any")).where("lo < hi and any").select("token"))
     meeting = staged(postings.join(staged(several, "several"), "token"), "meeting")
-    by_group = staged(meeting.groupBy("token", F.col("comp").alias("group"), F.col("csize").alias("gsize"))
-                      .agg(F.min("n").alias("n0"), F.max("n").alias("n1")), "token-groups")
-    # The set of the smaller component is held against the larger one.
+    of_short = lambda f: f(F.when(F.col("short"), F.col("n")))
+    by_group = staged(meeting.groupBy("token", F.col("comp").alias("group"), F.col("csize").alias("gsize")).agg(
+        F.max("n").alias("n1"), of_short(F.min).alias("s0"), of_short(F.max).alias("s1")), "token-groups")
+    # The set of the smaller component is held against the larger one, which
+    # needs a set of a fitting size there: no larger one with the token among its
+    # few, or no smaller one if the token is among the set's own few.
+    n, least = F.col("n"), F.lit(percent) * F.col("n")
     pairs = (meeting.join(by_group, "token")
              .where("csize < gsize or (csize = gsize and comp < group)")
-             .where((100 * F.col("n1") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n0")))
+             .where(((F.col("s0") <= n) & (100 * F.col("s1") >= least)) | (F.col("short") & (F.col("n1") >= n)))
              .select("set", "group", "gsize", F.col("comp").alias("own")).distinct())
     pairs = staged(pairs, "pairs")
     asked = pairs.groupBy("group", "gsize").agg(F.count(F.lit(1)).alias("q")).select(
