@@ -100,20 +100,21 @@ def test_filter_inclusive(enriched):
     assert adhoc.filter_events(enriched, [], [], None, "2024-01-15").count() == 0
 
 
-def test_bundle_via_cuboid_equals_direct(spark):
-    from tidemark.plans import catalog
+def test_written_bundle_equals_direct(spark, tmp_dir):
+    from tidemark.plans import catalog, medallion
     s = catalog.silver_all(spark, "/root/testdata/sf0.001")
     direct = gold.metrics_bundle(s)
-    cubed = gold.metrics_bundle(s, pre_aggregate=True)
-    assert set(direct) == set(cubed)
+    written = medallion.run_layers(spark, catalog.bronze(spark, "/root/testdata/sf0.001"), tmp_dir)
+    assert set(direct) == set(written)
     for name in direct:
-        a, b = direct[name], cubed[name].select(*direct[name].columns)
+        a, b = direct[name], written[name].select(*direct[name].columns)
         assert a.count() == b.count(), name
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    assert spark.read.parquet(f"{tmp_dir}/cuboid").count() <= s.count()
 
 
-def test_empty_bundle_via_cuboid(enriched):
+def test_cuboid_tables_of_empty_input(enriched):
     e = enriched.withColumn("push_commits_count", F.lit(None).cast("int")).limit(0)
-    bundle = gold.metrics_bundle(e, pre_aggregate=True)
+    bundle = gold.base_tables(e, gold.small_cuboid(e))
     assert bundle["activity_totals"].collect()[0]["total_events"] == 0
     assert bundle["push_metrics"].count() == 0

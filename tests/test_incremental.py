@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import incremental, silver, validate
 from tidemark.plans import export, incremental_run, state
 from tidemark.plans.medallion import run_layers
-from tidemark.sources.landing import read_landing
+from tidemark.sources.landing import bronze_from_json, read_landing
 from tidemark.sources.testdata import bronze_from_dir
 
 SF = "/root/testdata/sf0.001"
@@ -20,6 +20,10 @@ def clock():
     return dt.datetime(2024, 2, 1, 0, 0, 0)
 
 
+def later():
+    return dt.datetime(2024, 2, 2, 0, 0, 0)
+
+
 def test_bootstrap_has_no_watermark(spark, tmp_dir):
     c = state.read_control(spark, f"{tmp_dir}/nothing")
     assert state.last_watermarks(c, "events").count() == 0
@@ -66,22 +70,26 @@ def test_incremental_equals_one_shot(spark, tmp_dir):
                                    clock=clock)
     s2 = incremental_run.run_batch(spark, b, tmp_dir, "r2", RUN_TS, clock=clock)
     assert s1["status"] == "success" and s2["status"] == "success", (s1, s2)
-    got = spark.read.parquet(f"{tmp_dir}/silver").select("event_id")
+    got = incremental_run.read_silver(spark, tmp_dir).select("event_id")
+    # events dated years ahead hold up the watermark of their source: the rest of it is late
+    late = incremental_run.read_quarantine(spark, tmp_dir).where("_reject_reason = 'late'").select(F.col("id").alias("event_id"))
     want = silver.to_silver(b).select("event_id")
-    assert got.count() == want.count()
-    assert got.exceptAll(want).count() == 0
+    assert got.count() == got.distinct().count() and got.exceptAll(want).count() == 0
+    assert want.exceptAll(got).exceptAll(late.distinct()).count() == 0
+    n = got.count()
     # re-running batch 2 changes nothing (idempotent)
-    s2b = incremental_run.run_batch(spark, b, tmp_dir, "r2", RUN_TS, clock=clock)
-    assert s2b["status"] == "success"
-    assert spark.read.parquet(f"{tmp_dir}/silver").count() == want.count()
+    s2b = incremental_run.run_batch(spark, b, tmp_dir, "r2", RUN_TS, clock=later)
+    assert s2b["status"] == "success", s2b
+    assert incremental_run.read_silver(spark, tmp_dir).count() == n
+    assert incremental_run.read_bronze(spark, tmp_dir, scope="latest").count() == b.count()
     runs = state.read_runs(spark, f"{tmp_dir}/state/runs")
     assert runs.count() == 3 and runs.filter("status = 'success'").count() == 3
-    latest = spark.read.parquet(f"{tmp_dir}/gold_latest/summary").collect()[0]
+    latest = incremental_run.read_gold(spark, tmp_dir, "summary").collect()[0]
     assert latest["total_events"] == s2b["records_processed"]
     st = incremental_run.status_summary(spark, tmp_dir).collect()[0]
     assert st["data_available"] and st["last_run_status"] == "success"
     layers = incremental_run.load_layers(spark, tmp_dir)
-    assert layers["events"].count() == want.count()
+    assert layers["events"].count() == n and layers["gold_repo_metrics"].count() > 0
 
 
 def test_failure_keeps_watermark(spark, tmp_dir):
@@ -114,7 +122,97 @@ def test_landing_files_multi_source(spark, tmp_dir):
 
 def test_medallion_and_export(spark, tmp_dir):
     tables = run_layers(spark, bronze_from_dir(spark, SF), tmp_dir, RUN_TS)
-    doc = json.loads(export.metrics_document(tables).collect()[0]["document"])
-    assert doc["summary"]["total_events"] == silver.to_silver(bronze_from_dir(spark, SF)).count()
-    assert sum(doc["event_types"].values()) == doc["summary"]["total_events"]
-    assert len(doc["top_repos"]) == 10 and doc["top_repos"][0]["rank"] == 1
+    export.write_document(tables, f"{tmp_dir}/doc")
+    doc = {}
+    for r in spark.read.json(f"{tmp_dir}/doc").collect():
+        doc.setdefault(r["section"], {})[r["key"]] = json.loads(r["value"])
+    total = doc["summary"]["all"]["total_events"]
+    assert total == silver.to_silver(bronze_from_dir(spark, SF)).count()
+    assert sum(v["event_count"] for v in doc["event_types"].values()) == total
+    assert sum(v["total_events"] for v in doc["repos"].values()) == total
+    assert sorted(map(int, doc["top_repos"])) == list(range(1, 11))
+
+
+# -- runs that a review found wrong ---------------------------------------------------
+
+def event(i, minute, **more):
+    return {"id": str(i), "type": "PushEvent", "created_at": f"2024-01-15T{10 + minute // 60}:{minute % 60:02d}:00Z",
+            "repo": {"id": 1, "name": "a/b"}, "actor": {"id": 1, "login": "u"}, "payload": {}, **more}
+
+
+def batch(spark, *events):
+    return bronze_from_json(spark, [json.dumps(list(events))], source="a/b")
+
+
+def run(spark, root, name, hour, rows, **how):
+    s = incremental_run.run_batch(spark, rows, root, name, RUN_TS, clock=lambda: dt.datetime(2024, 2, 1, hour), **how)
+    assert s["status"] == "success", s["error"]
+    return s
+
+
+def ids(df, column="event_id"):
+    return sorted(r[column] for r in df.collect())
+
+
+def test_resent_id_with_a_later_time_stays_once(spark, tmp_dir):
+    run(spark, tmp_dir, "b1", 1, batch(spark, event(1, 0), event(2, 30)))
+    run(spark, tmp_dir, "b2", 2, batch(spark, event(1, 120), event(3, 121)))
+    assert ids(incremental_run.read_silver(spark, tmp_dir)) == ["1", "2", "3"]
+    q = incremental_run.read_quarantine(spark, tmp_dir).collect()
+    assert [(r.id, r._reject_reason, r._batch_id) for r in q] == [("1", "already_in_silver", "b2")]
+
+
+def test_late_rows_are_in_bronze_and_quarantine(spark, tmp_dir):
+    run(spark, tmp_dir, "b1", 1, batch(spark, event(1, 60)))
+    run(spark, tmp_dir, "b2", 2, batch(spark, event(2, 30, extra={"kept": 1}), event(3, 61)))
+    assert ids(incremental_run.read_silver(spark, tmp_dir)) == ["1", "3"]
+    rows = {r.id: r for r in incremental_run.read_bronze(spark, tmp_dir).collect()}
+    assert sorted(rows) == ["1", "2", "3"] and json.loads(rows["2"]["_raw"])["extra"] == {"kept": 1}
+    q = incremental_run.read_quarantine(spark, tmp_dir).collect()
+    assert [(r.id, r._reject_reason) for r in q] == [("2", "late")]
+    quality = {r._batch_id: r for r in incremental_run.read_quality(spark, tmp_dir).collect()}
+    assert (quality["b2"].total, quality["b2"].valid, quality["b2"].late) == (2, 1, 1)
+    # an overlap lets them in, and the anti-join keeps the others single
+    run(spark, tmp_dir, "b3", 3, batch(spark, event(1, 60), event(2, 30)), lateness_seconds=7200)
+    assert ids(incremental_run.read_silver(spark, tmp_dir)) == ["1", "2", "3"]
+
+
+def test_empty_and_fully_rejected_first_batches_succeed(spark, tmp_dir):
+    for k, (name, rows) in enumerate((("empty", batch(spark)), ("bad", batch(spark, {"id": "1"}))), 1):
+        s = run(spark, f"{tmp_dir}/{name}", "b1", k, rows)
+        assert s["records_processed"] == 0
+        assert incremental_run.read_silver(spark, f"{tmp_dir}/{name}").count() == 0
+        assert incremental_run.read_gold(spark, f"{tmp_dir}/{name}", "repo_metrics").count() == 0
+        assert incremental_run.read_gold(spark, f"{tmp_dir}/{name}", "summary").collect()[0]["total_events"] == 0
+        run(spark, f"{tmp_dir}/{name}", "b2", 5, batch(spark, event(7, 0)))
+        assert ids(incremental_run.read_silver(spark, f"{tmp_dir}/{name}")) == ["7"]
+    assert incremental_run.status_summary(spark, f"{tmp_dir}/none").collect()[0]["last_run_status"] == "unknown"
+
+
+def test_rerun_to_empty_removes_the_old_rows(spark, tmp_dir):
+    run(spark, tmp_dir, "b1", 1, batch(spark, event(1, 0)))
+    run(spark, tmp_dir, "b2", 2, batch(spark, event(2, 30)))
+    run(spark, tmp_dir, "b2", 3, batch(spark, {"id": "2"}))
+    assert ids(incremental_run.read_silver(spark, tmp_dir)) == ["1"]
+    assert incremental_run.read_gold(spark, tmp_dir, "repo_metrics").count() == 0
+    assert ids(incremental_run.read_quarantine(spark, tmp_dir), "_reject_reason") == ["missing_type"]
+
+
+def test_only_a_missing_table_means_bootstrap(spark, tmp_dir):
+    run(spark, tmp_dir, "b1", 1, batch(spark, event(1, 0)))
+    control = f"{tmp_dir}/state/control"
+    for name in os.listdir(control):
+        if name.endswith(".parquet"):
+            with open(f"{control}/{name}", "wb") as f:
+                f.write(b"not parquet")
+    s = incremental_run.run_batch(spark, batch(spark, event(1, 0)), tmp_dir, "b2", RUN_TS, clock=clock)
+    assert s["status"] == "failed" and len(s["error"]) > 0
+
+
+def test_failed_write_is_not_visible(spark, tmp_dir):
+    run(spark, tmp_dir, "b1", 1, batch(spark, event(1, 0)))
+    wrong = batch(spark, event(2, 30)).withColumn("id", F.raise_error(F.lit("x" * 5000)).cast("string"))
+    s = incremental_run.run_batch(spark, wrong, tmp_dir, "b2", RUN_TS, clock=later)
+    assert s["status"] == "failed" and "x" * 5000 in s["error"]
+    assert ids(incremental_run.read_silver(spark, tmp_dir)) == ["1"]
+    assert incremental_run.read_gold(spark, tmp_dir, "summary").collect()[0]["_batch_id"] == "b1"

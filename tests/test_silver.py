@@ -2,10 +2,13 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import silver, validate
-from tidemark.sources.landing import bronze_from_json
+from tidemark.operators import dedup, silver, validate
+from tidemark.schemas import ORDER
+from tidemark.sources.landing import bronze_from_json, read_landing, read_landing_stream
+from tidemark.streaming import events as streaming
 
 PUSH = {
     "id": "12345", "type": "PushEvent", "created_at": "2024-01-15T10:00:00Z",
@@ -175,3 +178,81 @@ def test_window_and_join_dedup_agree(spark):
     c = silver.label(b).filter(F.col(validate.REASON).isNull()).select(
         F.col("id").alias("event_id"), "_arrival_seq")
     assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
+
+
+# -- landing files and content hash ---------------------------------------------------
+
+def write(root, source, name, text, mtime=1_700_000_000):
+    import os
+    os.makedirs(f"{root}/{source}", exist_ok=True)
+    with open(f"{root}/{source}/{name}", "w") as f:
+        f.write(text)
+    os.utime(f"{root}/{source}/{name}", (mtime, mtime))
+
+
+def test_indented_arrays_lines_and_bad_files(spark, tmp_dir):
+    ev = [dict(PUSH, id=str(i)) for i in range(3)]
+    write(tmp_dir, "a/b", "array.json", json.dumps(ev, indent=2))
+    write(tmp_dir, "a/b", "lines.json", "\n".join(json.dumps(dict(e, id="l" + e["id"])) for e in ev) + "\n{oops\n\n")
+    write(tmp_dir, "a/b", "one.json", json.dumps(dict(PUSH, id="one"), indent=1))
+    write(tmp_dir, "c/d", "cut.json", json.dumps(ev, indent=2)[:-40])
+    write(tmp_dir, "c/d", "none.json", "[]")
+    b = read_landing(spark, tmp_dir, "b", "2024-02-01T00:00:00Z")
+    got = sorted((r.source_repo, r.id or "") for r in b.collect())
+    assert got == [("a/b", ""), ("a/b", "0"), ("a/b", "1"), ("a/b", "2"), ("a/b", "l0"), ("a/b", "l1"), ("a/b", "l2"),
+                   ("a/b", "one"), ("c/d", "")]
+    bad = {r._file.rsplit("/")[-1]: r._raw for r in b.where("id is null").collect()}
+    assert bad == {"lines.json": "{oops", "cut.json": json.dumps(ev, indent=2)[:-40]}
+    assert json.loads(b.where("id = 'one'").collect()[0]._raw) == dict(PUSH, id="one")
+    q = silver.quarantine(b).collect()
+    assert [r._reject_reason for r in q] == ["corrupt_record"] * 2 and silver.to_silver(b).count() == 7
+    stream = read_landing_stream(spark, tmp_dir, "b", "2024-02-01T00:00:00Z")
+    streaming.run_available_now(stream.drop("payload"), f"{tmp_dir}/out", f"{tmp_dir}/chk")
+    s = spark.read.parquet(f"{tmp_dir}/out").drop(streaming.EPOCH)
+    assert s.count() == b.count() and s.exceptAll(b.drop("payload")).count() == 0
+
+
+def test_equal_file_times_window_and_label_agree(spark, tmp_dir):
+    for k in range(4):  # the same id in every file, and twice in each
+        write(tmp_dir, "a/b", f"p{k}.json", json.dumps([dict(PUSH, type=f"T{k}a"), dict(PUSH, type=f"T{k}b")], indent=1))
+    b = read_landing(spark, tmp_dir, "b", "2024-02-01T00:00:00Z")
+    assert [r.event_type for r in silver.to_silver(b).collect()] == ["T0a"]
+    lab = silver.label(b).collect()
+    assert len(lab) == 8 and [r.type for r in lab if r._reject_reason is None] == ["T0a"]
+    assert dedup.later_copies(b).count() == 7
+
+
+def test_lines_are_split_and_ordered(spark, tmp_dir):
+    text = "\n".join(json.dumps(dict(PUSH, id=str(i % 500), type=f"T{i}")) for i in range(2000))
+    write(tmp_dir, "a/b", "big.jsonl", text)
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        b = read_landing(spark, tmp_dir, "b", "2024-02-01T00:00:00Z", pattern="*/*/*.jsonl", lines=True)
+        assert b.rdd.getNumPartitions() > 5 and b.select(*ORDER).distinct().count() == 2000
+        types = {r.event_id: r.event_type for r in silver.to_silver(b).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    assert types == {str(i): f"T{i}" for i in range(500)}
+
+
+def test_content_hash_tells_contents_apart(spark):
+    def hashes(*repos):
+        rows = [dict(PUSH, id=str(i), repo=r) for i, r in enumerate(repos)]
+        s = silver.to_silver(bronze_from_json(spark, docs(*rows)), dedup_strategy="content_hash_no_id")
+        return s.count()
+
+    assert hashes({"id": 1, "name": "a|b", "url": "c"}, {"id": 1, "name": "a", "url": "b|c"}) == 2
+    assert hashes({"id": 1, "name": "a", "url": "c"}, {"id": 1, "name": "a", "url": "c"}) == 1
+    logins = [dict(PUSH, actor={"id": 1, "login": x}) for x in ("\\N", None)]
+    s = silver.to_silver(bronze_from_json(spark, docs(*logins)), dedup_strategy="content_hash")
+    assert s.count() == 2
+
+
+def test_dedup_strategies(spark):
+    a, b = PUSH, dict(PUSH, id="other")
+    rows = bronze_from_json(spark, docs(a, b, dict(a, type="ForkEvent")))
+    count = lambda s: silver.to_silver(rows, dedup_strategy=s).count()
+    assert (count("id"), count("content_hash"), count("content_hash_no_id")) == (2, 3, 2)
+    with pytest.raises(ValueError):
+        count("newest")

@@ -1,35 +1,54 @@
 """Layer reads (scope, committed-only, versioned), CSV sink, small helpers."""
 
+import datetime as dt
+
 import pytest
-from tidemark.operators import dedup, incremental, profile
+from pyspark.errors import AnalysisException
+
+from tidemark.operators import dedup, profile
 from tidemark.plans import sinks
 
+SCHEMA = "x int, _batch_id string"
+
 
 @pytest.fixture()
 def layer(spark, tmp_dir):
-    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02"), (4, "2024-01-03")],
-                               "x int, _batch_id string")
-    sinks.write_partitioned(df, f"{tmp_dir}/layer")
+    for rows, batch, run in (([1], "b1", "r1"), ([2, 3], "b2", "r2"), ([4], "b3", "r3"), ([9], "b3", "lost")):
+        sinks.write_version(spark.createDataFrame([(x,) for x in rows], "x int"), f"{tmp_dir}/layer", batch, run)
     return f"{tmp_dir}/layer"
 
 
+def committed(spark, *rows):
+    return spark.createDataFrame([(b, r, dt.datetime(2024, 1, d)) for b, r, d in rows],
+                                 "_batch_id string, _run_id string, committed_at timestamp")
+
+
+def read(spark, layer, done, **how):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    return sorted(r.x for r in sinks.read_layer(spark, layer, schema, done, **how).collect())
+
+
 def test_read_layer_scopes(spark, layer):
-    assert sinks.read_layer(spark, layer).count() == 4
-    assert [r.x for r in sinks.read_layer(spark, layer, "latest").collect()] == [4]
-    assert sinks.read_layer(spark, layer, as_of_batch="2024-01-02").count() == 3
-    done = spark.createDataFrame([("2024-01-01",), ("2024-01-02",)], "_batch_id string")
-    latest_committed = sinks.read_layer(spark, layer, "latest", committed_batches=done)
-    assert sorted(r.x for r in latest_committed.collect()) == [2, 3]
+    # b1 was committed again after b2: it is the latest, whatever its name
+    done = committed(spark, ("b1", "r1", 5), ("b2", "r2", 2), ("b3", "r3", 3))
+    assert read(spark, layer, done) == [1, 2, 3, 4]
+    assert read(spark, layer, done, scope="latest") == [1]
+    assert read(spark, layer, done, as_of_batch="b3") == [2, 3, 4]
+    assert read(spark, layer, committed(spark, ("b2", "r2", 2))) == [2, 3]
+    assert read(spark, layer, committed(spark)) == []
     with pytest.raises(ValueError):
-        sinks.read_layer(spark, layer, "newest")
-    # partition values stay text
-    assert dict(sinks.read_layer(spark, layer).dtypes)["_batch_id"] == "string"
+        read(spark, layer, done, scope="newest")
+
+
+def test_empty_version_replaces_rows(spark, layer):
+    sinks.write_version(spark.createDataFrame([], "x int"), layer, "b2", "r9")
+    assert read(spark, layer, committed(spark, ("b1", "r1", 1), ("b2", "r9", 4))) == [1]
 
 
-def test_rerun_replaces_only_its_batch(spark, layer):
-    again = spark.createDataFrame([(20, "2024-01-02")], "x int, _batch_id string")
-    sinks.write_partitioned(again, layer)
-    assert sorted(r.x for r in spark.read.parquet(layer).collect()) == [1, 4, 20]
+def test_only_a_missing_path_is_empty(spark, tmp_dir):
+    assert sinks.read_or_empty(spark, f"{tmp_dir}/none", SCHEMA).count() == 0
+    with pytest.raises(AnalysisException):
+        sinks.read_or_empty(spark, tmp_dir, "x nosuchtype")
 
 
 def test_csv_and_union(spark, tmp_dir):
@@ -47,5 +66,13 @@ def test_small_helpers(spark):
     c = dedup.duplicate_count(df).collect()[0]
     assert (c.n_rows, c.n_keys, c.n_duplicates) == (4, 2, 2)
     assert profile.shape(df).collect()[0].n_columns == 2
-    wm = spark.createDataFrame([("a", 5)], "source_repo string, n int")
-    assert incremental.bounded_broadcast(wm, max_rows=0) is wm   # too big -> not broadcast
+
+
+def test_quantiles_equal_percentiles(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 1001).select((F.col("id") * F.col("id") % 97).alias("a"), F.when(
+        F.col("id") % 3 == 0, F.col("id") / 7).alias("b"), F.lit(None).cast("double").alias("c"))
+    got = {r.column_name: (r.p10, r.p50, r.p99) for r in profile.quantiles(df, ("a", "b", "c"), (0.1, 0.5, 0.99)).collect()}
+    want = df.select(*[F.percentile(x, [0.1, 0.5, 0.99]).alias(x) for x in ("a", "b")]).collect()[0]
+    assert set(got) == {"a", "b"} and all(got[k] == pytest.approx(want[k]) for k in got)

@@ -3,9 +3,8 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from tidemark.operators import silver, validate
+from tidemark.plans import incremental_run
 from tidemark.sources.landing import read_landing, read_landing_stream
 from tidemark.sources.testdata import bronze_from_dir
 from tidemark.streaming import events as streaming
@@ -14,19 +13,41 @@ SF = "/root/testdata/sf0.001"
 RUN_TS = "2024-02-01T00:00:00Z"
 
 
-def test_stream_dedup_equals_batch(spark):
-    got = streaming.stream_dedup_result(spark, SF, RUN_TS)
-    want = validate.required_ok(bronze_from_dir(spark, SF)).select(
-        F.col("id").alias("event_id"), "_batch_id").distinct()
-    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+def stream_of(spark, tmp_dir, files):
+    """One micro-batch a file; ``files`` are lists of (id, created_at)."""
+    os.makedirs(f"{tmp_dir}/landing/a/b")
+    for k, events in enumerate(files):
+        path = f"{tmp_dir}/landing/a/b/p{k}.json"
+        with open(path, "w") as f:
+            json.dump([{"id": i, "type": "PushEvent", "created_at": t, "repo": {"id": 1, "name": f"r{i}"},
+                        "actor": {"id": 1, "login": "u"}} for i, t in events], f, indent=2)
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    s = read_landing_stream(spark, f"{tmp_dir}/landing", "b", RUN_TS, max_files_per_trigger=1)
+    streaming.dedup_to_table(s, f"{tmp_dir}/out", RUN_TS, windows=streaming.WINDOWS)
+    return f"{tmp_dir}/out"
+
+
+def test_six_micro_batches_lose_nothing(spark, tmp_dir):
+    root = stream_of(spark, tmp_dir, [
+        [("1", "not a time"), ("2", "2024-01-15T12:00:00Z")], [("3", "2024-01-15T10:00:00Z")],
+        [("2", "2024-01-15T12:00:00Z"), ("4", "2024-01-14T00:00:00Z")], [("5", "2024-01-15T12:30:00Z")],
+        [], [("1", "2024-01-15T12:00:00Z"), ("6", "2024-01-15T12:31:00Z"), ("6", "2024-01-15T12:32:00Z")]])
+    rows = {r.id: r for r in spark.read.parquet(f"{root}/events").collect()}
+    assert sorted(rows) == ["1", "2", "3", "4", "5", "6"]
+    assert sorted(i for i, r in rows.items() if r.late) == ["3", "4"]
+    assert rows["1"]._ts_fallback and str(rows["6"].event_time) == "2024-01-15 12:31:00"
+    hourly = streaming.folded_counts(spark.read.parquet(f"{root}/windows/hourly"), ["window_start", "event_type"])
+    assert sorted((str(r.window_start), r.event_count) for r in hourly.collect()) == [
+        ("2024-01-14 00:00:00", 1), ("2024-01-15 10:00:00", 1), ("2024-01-15 12:00:00", 3), ("2024-02-01 00:00:00", 1)]
+    daily = streaming.latest_per_key(spark.read.parquet(f"{root}/daily"), ["event_date"], ["active_repos_count"])
+    assert {str(r.event_date): r.active_repos_count for r in daily.collect()} == {
+        "2024-01-14": 1, "2024-01-15": 4, "2024-02-01": 1}
 
 
-def test_stream_hourly_equals_batch(spark):
-    got = streaming.stream_window_result(spark, SF, "1 hour")
-    ev = streaming.with_event_time(bronze_from_dir(spark, SF), RUN_TS).dropDuplicates(["id"])
-    want = (ev.groupBy(F.window("event_time", "1 hour").alias("w")).agg(F.count("*").alias("event_count"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "event_count"))
+def test_events_as_a_folder_of_parts(spark, tmp_dir):
+    spark.read.parquet(f"{SF}/events.parquet").repartition(3).write.parquet(f"{tmp_dir}/events.parquet")
+    got = streaming.stream_events(spark, tmp_dir, RUN_TS).select("id")
+    want = validate.required_ok(bronze_from_dir(spark, SF)).select("id").distinct()
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
@@ -60,9 +81,10 @@ def test_stream_to_layers_exactly_once(spark, tmp_dir):
     s = read_landing_stream(spark, f"{tmp_dir}/landing", "unused", RUN_TS, max_files_per_trigger=1)
     root = f"{tmp_dir}/layers"
     streaming.stream_to_layers(spark, s, root, RUN_TS, f"{tmp_dir}/chk", lateness_seconds=60)
-    got = spark.read.parquet(f"{root}/silver")
+    got = incremental_run.read_silver(spark, root)
     # every id once, although ids 1 and 2 arrive twice across micro-batches
     assert sorted(r.event_id for r in got.collect()) == ["0", "1", "2", "3"]
     assert got.select("_batch_id").distinct().count() == 3
+    assert incremental_run.read_bronze(spark, root).count() == 6
     ctl = spark.read.parquet(f"{root}/state/control")
     assert ctl.filter("status = 'success'").select("_batch_id").distinct().count() == 3

@@ -11,10 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.features import time_of_day_rank
 from tidemark.functions.timefns import as_wall_clock, day_name, ts_literal, weekday_rank
 from tidemark.operators import gold
-from tidemark.operators.ranking import top_n
 from tidemark.session import materialize
 
 HIST_BINS = 20
@@ -37,10 +35,6 @@ def filter_events(df: DataFrame, event_types: Sequence[str] | None = None,
     return out
 
 
-def event_type_distribution(silver: DataFrame) -> DataFrame:
-    return gold.event_type_counts(silver).orderBy(F.desc("event_count"), F.asc("event_type"))
-
-
 def repo_stats(silver: DataFrame) -> DataFrame:
     """Per repo: events, distinct actors (an empty login counts), first, last."""
     return silver.groupBy("repo_name").agg(
@@ -97,14 +91,15 @@ def contribution_histogram(silver: DataFrame, bins: int = HIST_BINS) -> DataFram
     """Contributors per bin of their contribution count: ``bins`` equal bins
     over [min, max], the max folded into the last bin, one bin if min = max."""
     per = materialize(gold.contributor_metrics(silver).select(F.col("total_contributions").alias("x")))
-    lo = per.agg(F.min("x")).scalar()
-    hi = per.agg(F.max("x")).scalar()
+    ends = per.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    per = per.withColumn("_e", ends)
+    lo, hi = F.col("_e.lo"), F.col("_e.hi")
     width = (hi - lo) / F.lit(bins)
     b = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor((F.col("x") - lo) * F.lit(bins) / (hi - lo)) + 1, F.lit(bins))).cast("int")
-    return (per.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("contributors"))
+    return (per.groupBy(b.alias("bin"), "_e").agg(F.count(F.lit(1)).alias("contributors"))
             .withColumn("bin_lower", F.round(lo + (F.col("bin") - 1) * width, 6))
-            .withColumn("bin_upper", F.round(lo + F.col("bin") * width, 6)))
+            .withColumn("bin_upper", F.round(lo + F.col("bin") * width, 6)).drop("_e"))
 
 
 def kpis(silver: DataFrame) -> DataFrame:
@@ -150,48 +145,43 @@ def peak_hour(silver: DataFrame) -> DataFrame:
                       F.mode("time_of_day", deterministic=True).alias("peak_time_of_day"))
 
 
-def ordered_time_of_day(silver: DataFrame) -> DataFrame:
-    return gold.activity_by_time_of_day(silver).orderBy(time_of_day_rank("time_of_day"))
-
-
 def key_insights(silver: DataFrame) -> DataFrame:
     """One row: volume, top type and share, top repo, top contributor.
 
-    The three gold tables it reads are materialised once (they are small:
-    one row per type / repo / contributor); every scalar below is then a
-    cheap scan of a materialised table, never a re-derivation of Silver."""
+    For a run, ``insights_from`` reads the written gold tables.  Here the few
+    columns they need are written once, so Silver is derived once."""
     narrow = materialize(silver.select("event_type", "repo_name", "actor_login", "created_at",
                                        "is_active_contribution"))
-    types = materialize(gold.event_type_counts(narrow))
-    repos = materialize(gold.repo_metrics(narrow))
-    contrib = materialize(gold.contributor_metrics(narrow))
-    return insights_from(types, repos, contrib)
+    return insights_from(gold.event_type_counts(narrow), gold.repo_metrics(narrow),
+                         gold.contributor_metrics(narrow))
 
 
 def insights_from(types: DataFrame, repos: DataFrame, contrib: DataFrame) -> DataFrame:
-    """Key insights from the event-type, repo and contributor gold tables."""
-    t1 = top_n(types, [F.desc("event_count"), F.asc("event_type")], 1)
-    r1 = top_n(repos, [F.desc("total_events"), F.asc("repo_name")], 1)
-    c1 = top_n(contrib, [F.desc("total_contributions"), F.asc("actor_login")], 1)
-    total = types.agg(F.sum("event_count")).scalar()
-
-    def s(df: DataFrame, c: str) -> Column:
-        return df.select(c).scalar()
-
-    return types.sparkSession.range(1).select(
-        total.alias("total_events"),
-        repos.agg(F.count(F.lit(1))).scalar().alias("n_repos"),
-        contrib.agg(F.count(F.lit(1))).scalar().alias("n_contributors"),
-        s(t1, "event_type").alias("top_event_type"),
-        s(t1, "event_count").alias("top_event_type_count"),
-        F.round(100.0 * s(t1, "event_count") / total, 1).alias("top_event_type_pct"),
-        s(r1, "repo_name").alias("top_repo"),
-        s(r1, "total_events").alias("top_repo_events"),
-        s(r1, "unique_contributors").alias("top_repo_contributors"),
-        s(c1, "actor_login").alias("top_contributor"),
-        s(c1, "total_contributions").alias("top_contributor_contributions"),
-        s(c1, "repos_count").alias("top_contributor_repos"),
-    )
+    """Key insights from the event-type, repo and contributor gold tables: one
+    aggregate of each.  The first row of a ranking is a minimum of a struct."""
+    def first(count: str, name: str, *more: str) -> Column:
+        best = F.min(F.struct((-F.col(count)).alias("_c"), F.col(name).alias("name"), *more))
+        return F.struct((-best["_c"]).alias("count"), best["name"].alias("name"),
+                        *[best[m].alias(m) for m in more])
+
+    def one(df: DataFrame, **cols: Column) -> Column:
+        return df.agg(F.struct(*[c.alias(k) for k, c in cols.items()])).scalar()
+
+    rows = F.count(F.lit(1))
+    got = types.sparkSession.range(1).select(
+        one(types, total=F.sum("event_count"), top=first("event_count", "event_type")).alias("t"),
+        one(repos, n=rows, top=first("total_events", "repo_name", "unique_contributors")).alias("r"),
+        one(contrib, n=rows, top=first("total_contributions", "actor_login", "repos_count")).alias("c"))
+    return got.select(
+        F.col("t.total").alias("total_events"), F.col("r.n").alias("n_repos"),
+        F.col("c.n").alias("n_contributors"), F.col("t.top.name").alias("top_event_type"),
+        F.col("t.top.count").alias("top_event_type_count"),
+        F.round(100.0 * F.col("t.top.count") / F.col("t.total"), 1).alias("top_event_type_pct"),
+        F.col("r.top.name").alias("top_repo"), F.col("r.top.count").alias("top_repo_events"),
+        F.col("r.top.unique_contributors").alias("top_repo_contributors"),
+        F.col("c.top.name").alias("top_contributor"),
+        F.col("c.top.count").alias("top_contributor_contributions"),
+        F.col("c.top.repos_count").alias("top_contributor_repos"))
 
 
 def batch_date_range(silver: DataFrame, by: str = "_batch_id") -> DataFrame:

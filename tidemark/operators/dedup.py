@@ -35,14 +35,6 @@ def later_copies(df: DataFrame, key: str = "id", order: Sequence[str] = ORDER) -
     return df.join(first_keys(df, key, order), [key, *order], "left_anti")
 
 
-def mark_first(df: DataFrame, key: str = "id", order: Sequence[str] = ORDER,
-               flag: str = "_is_first") -> DataFrame:
-    """Every row of ``df`` plus a boolean ``flag``: is it its key's first row."""
-    firsts = first_keys(df, key, order).withColumn(flag, F.lit(True))
-    return (df.join(firsts, [key, *order], "left")
-            .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
-
-
 def drop_identical(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """Order-free dedup; only for rows that are identical on ``subset`` (the
     survivor is unspecified otherwise)."""

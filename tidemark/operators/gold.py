@@ -18,18 +18,15 @@ from tidemark.sources.testdata import DEFAULT_RUN_TS
 CALCULATIONS = ("event_types", "repos", "contributors", "time_series", "activity")
 
 
-# Base cuboid: Silver rolled up once to these cells.  Every table of the
-# bundle is a roll-up of it (counts add up; distinct repos / logins and
-# first / last times survive because the dimensions and min / max are kept).
-CUBE_DIMS = ("repo_name", "actor_login", "event_type", "event_date", "hour_key",
-             "activity_category", "time_of_day", "is_active_contribution", "pr_action", "pr_merged")
+# Small cuboid: Silver rolled up once to these cells.  Its size follows hours and
+# types, not rows: every table by type, date, hour or activity is a roll-up of
+# it.  Tables by repository or contributor would not shrink, so they read Silver.
+CUBE_DIMS = ("event_type", "event_date", "hour_key", "activity_category", "time_of_day",
+             "is_active_contribution", "pr_action", "pr_merged")
 
 
-def base_cuboid(silver: DataFrame) -> DataFrame:
-    """Pre-aggregate Silver to CUBE_DIMS cells (count, commits, first, last).
-
-    One scan and one map-side-combined shuffle of Silver; the twenty gold
-    tables then read this (much smaller) table instead of Silver."""
+def small_cuboid(silver: DataFrame) -> DataFrame:
+    """Pre-aggregate Silver to CUBE_DIMS cells (count, commits, first, last)."""
     return (silver.withColumn("hour_key", hour_key("created_at"))
             .groupBy(*CUBE_DIMS).agg(
                 F.count(F.lit(1)).alias("n"),
@@ -213,38 +210,54 @@ def type_by_date(silver: DataFrame) -> DataFrame:
     return silver.groupBy("event_type", "event_date").agg(_n(silver))
 
 
-def metrics_bundle(silver: DataFrame, calculations=CALCULATIONS, run_ts: str = DEFAULT_RUN_TS,
-                   top_n: int = 10, pre_aggregate: bool = False) -> dict[str, DataFrame]:
-    """All gold tables, restricted to the selected calculation groups.
+# Tables of each calculation group: from the small cuboid, and from Silver.
+FROM_CUBE = {
+    "event_types": {"event_type_counts": event_type_counts, "type_by_date": type_by_date},
+    "repos": {},
+    "contributors": {},
+    "time_series": {"daily_top_types": daily_top_types, "hourly_series": hourly_series,
+                    "hourly_types": hourly_types},
+    "activity": {"activity_totals": activity_totals, "activity_category": activity_by_category,
+                 "time_of_day": activity_by_time_of_day, "push_metrics": push_metrics,
+                 "pr_metrics": pr_metrics, "pr_actions": pr_actions},
+}
+FROM_SILVER = {
+    "event_types": {},
+    "repos": {"repo_metrics": repo_metrics, "repo_top_types": repo_top_types},
+    "contributors": {"contributor_metrics": contributor_metrics, "contributor_repos": contributor_repos,
+                     "contributor_top_types": contributor_top_types},
+    "time_series": {"daily_series": daily_series},
+    "activity": {},
+}
+# The tables that rankings are made of.
+RANKED = ("repo_metrics", "contributor_metrics")
+
+
+def base_tables(silver: DataFrame, cube: DataFrame, calculations=CALCULATIONS,
+                run_ts: str = DEFAULT_RUN_TS) -> dict[str, DataFrame]:
+    """The selected gold tables but the rankings.  ``cube`` is the small cuboid,
+    or Silver itself."""
+    out: dict[str, DataFrame] = {"summary": summary(cube, run_ts)}
+    for name in calculations:
+        out |= {table: fn(cube) for table, fn in FROM_CUBE[name].items()}
+        out |= {table: fn(silver) for table, fn in FROM_SILVER[name].items()}
+    return out
+
 
-    With ``pre_aggregate`` Silver is rolled up once into the base cuboid,
-    which is materialised; every table is then a roll-up of the cuboid, so
-    Silver is scanned and shuffled once per run instead of once per table.
-    """
+def rankings(tables: dict[str, DataFrame], top_n: int = 10) -> dict[str, DataFrame]:
     from tidemark.operators import ranking
-    from tidemark.session import materialize
-
-    if pre_aggregate:
-        silver = materialize(base_cuboid(silver))
-
-    groups = {
-        "event_types": {"event_type_counts": event_type_counts, "type_by_date": type_by_date},
-        "repos": {"repo_metrics": repo_metrics, "repo_top_types": repo_top_types},
-        "contributors": {"contributor_metrics": contributor_metrics,
-                         "contributor_repos": contributor_repos,
-                         "contributor_top_types": contributor_top_types},
-        "time_series": {"daily_series": daily_series, "daily_top_types": daily_top_types,
-                        "hourly_series": hourly_series, "hourly_types": hourly_types},
-        "activity": {"activity_totals": activity_totals, "activity_category": activity_by_category,
-                     "time_of_day": activity_by_time_of_day, "push_metrics": push_metrics,
-                     "pr_metrics": pr_metrics, "pr_actions": pr_actions},
-    }
-    out: dict[str, DataFrame] = {"summary": summary(silver, run_ts)}
-    for name in calculations:
-        for table, fn in groups[name].items():
-            out[table] = fn(silver)
-    if "repos" in calculations:
-        out["top_repos"] = ranking.top_repos(out["repo_metrics"], top_n)
-    if "contributors" in calculations:
-        out["top_contributors"] = ranking.top_contributors(out["contributor_metrics"], top_n)
+
+    out = {}
+    if "repo_metrics" in tables:
+        out["top_repos"] = ranking.top_repos(tables["repo_metrics"], top_n)
+    if "contributor_metrics" in tables:
+        out["top_contributors"] = ranking.top_contributors(tables["contributor_metrics"], top_n)
     return out
+
+
+def metrics_bundle(silver: DataFrame, calculations=CALCULATIONS, run_ts: str = DEFAULT_RUN_TS,
+                   top_n: int = 10) -> dict[str, DataFrame]:
+    """All gold tables, restricted to the selected calculation groups, as plans
+    over Silver.  ``plans.medallion.write_bundle`` writes them with less work."""
+    tables = base_tables(silver, silver, calculations, run_ts)
+    return tables | rankings(tables, top_n)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.timefns import as_wall_clock, ts_literal
-from tidemark.operators import validate
 
 # ---------------------------------------------------------------------------
 # Fixed values (retention and alarm rules of the reference deployment).
@@ -21,37 +22,6 @@ NO_RUN_HOURS = 24            # no run in a day
 # ---------------------------------------------------------------------------
 
 
-def _micros_to_ts(micros):
-    return F.timestamp_micros(micros)
-
-
-def derived_run_log(labeled: DataFrame) -> DataFrame:
-    """A deterministic run log derived from labeled Bronze rows: one run per
-    (source_repo, _batch_id).  It starts the day after the batch, plus one
-    minute per raw row, lasts 1 s + 0.25 s per raw row, and fails when any
-    row failed the per-row checks."""
-    r = F.col(validate.REASON)
-    agg = labeled.groupBy("source_repo", "_batch_id").agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(r.isNull()).alias("records_processed"),
-        F.count_if(r.isin(*validate.REQUIRED_REASONS)).alias("rejected"))
-    start_us = (F.unix_micros(F.to_timestamp(F.date_add(F.to_date("_batch_id"), 1)))
-                + F.col("raw_rows") * F.lit(60_000_000))
-    duration = F.round(F.lit(1.0) + F.col("raw_rows") * F.lit(0.25), 3)
-    failed = F.col("rejected") > 0
-    return agg.select(
-        F.concat_ws("@", "source_repo", "_batch_id").alias("run_id"),
-        "source_repo", "_batch_id",
-        _micros_to_ts(start_us).alias("start_time"),
-        _micros_to_ts(start_us + (duration * 1_000_000).cast("long")).alias("end_time"),
-        duration.alias("duration_seconds"),
-        F.col("records_processed"),
-        F.when(failed, "failed").otherwise("success").alias("status"),
-        F.when(failed, F.concat(F.lit("rejected "), F.col("rejected").cast("string"),
-                                F.lit(" rows"))).alias("error"),
-    )
-
-
 def run_log_report(runs: DataFrame) -> DataFrame:
     return runs.select("run_id", "source_repo", "_batch_id",
                        as_wall_clock("start_time").alias("start_time"),
@@ -86,6 +56,41 @@ def freshness(runs: DataFrame, as_of: str, by: str = "source_repo",
         (idle_h > no_run_hours).alias("no_run_in_window"))
 
 
+def pipeline_health(runs: DataFrame, control: DataFrame, pipeline: str) -> DataFrame:
+    """One row: the run log beside the checkpoint.  Runs, success rate, last
+    status and duration, checkpoint status, records and watermark."""
+    last = F.max_by(F.struct("status", "duration_seconds"), "end_time")
+    r = runs.agg(F.struct(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "success").alias("ok"),
+        last.alias("last"), F.sum("records_processed").alias("records"))).scalar()
+    mine = control.where(F.col("pipeline") == pipeline)
+    good = F.col("status") == "success"
+    c = mine.agg(F.struct(
+        F.max_by("status", "execution_timestamp").alias("status"),
+        F.sum(F.when(good & F.col("source_repo").isNull(), F.col("records_processed"))).alias("records"),
+        F.max(F.when(good, F.col("last_processed_timestamp"))).alias("watermark"))).scalar()
+    one = runs.sparkSession.range(1).select(r.alias("r"), c.alias("c"))
+    return one.select(
+        F.lit(pipeline).alias("pipeline"), F.col("r.n").alias("n_runs"),
+        F.round(100.0 * F.col("r.ok") / F.col("r.n"), 1).alias("success_rate_pct"),
+        F.col("r.last.status").alias("last_run_status"),
+        F.col("r.last.duration_seconds").alias("last_duration_seconds"),
+        F.coalesce(F.col("r.records"), F.lit(0)).alias("records_run"),
+        F.coalesce(F.col("c.status"), F.lit("never_run")).alias("checkpoint_status"),
+        F.coalesce(F.col("c.records"), F.lit(0)).alias("records_committed"),
+        as_wall_clock("c.watermark").alias("last_watermark"))
+
+
+def daily_run_metrics(runs: DataFrame) -> DataFrame:
+    """Per day of the run start: runs, failures, success rate, records, mean duration."""
+    ok = F.col("status") == "success"
+    return runs.groupBy(F.to_date("start_time").alias("run_date")).agg(
+        F.count(F.lit(1)).alias("n_runs"), F.count_if(~ok).alias("n_failed"),
+        F.round(100.0 * F.count_if(ok) / F.count(F.lit(1)), 1).alias("success_rate_pct"),
+        F.sum("records_processed").alias("records_processed"),
+        F.round(F.avg("duration_seconds"), 6).alias("avg_duration_seconds"))
+
+
 def run_trend(runs: DataFrame, by: str = "source_repo", trail: int = 3) -> DataFrame:
     """Per run: previous duration and the trailing average over ``trail`` runs
     of the same source (a window per source, never one global partition)."""
@@ -128,3 +133,19 @@ def retention_plan(layers: dict[str, DataFrame], as_of: str, by: str = "_batch_i
                      retention_action(layer, age).alias("action"), "row_count"))
         parts = p if parts is None else parts.unionByName(p)
     return parts
+
+
+def retention_of_batches(batches: DataFrame, layers: Sequence[str], as_of: str) -> DataFrame:
+    """(layer, batch, age, action, rows) from committed batches, without reading
+    a layer: ``batches(_batch_id, batch_date, <layer>_rows)``."""
+    age = F.datediff(F.to_date(ts_literal(as_of)), F.col("batch_date"))
+    each = F.array(*[F.struct(F.lit(x).alias("layer"), retention_action(x, age).alias("action"),
+                              F.col(f"{x}_rows").alias("row_count")) for x in layers])
+    return batches.select("_batch_id", age.alias("age_days"), F.inline(each))
+
+
+def apply_retention(layer: DataFrame, plan: DataFrame, name: str) -> dict[str, DataFrame]:
+    """A layer's rows by what is to become of them: ``keep`` stays, ``archive``
+    goes to the archive and ``expire`` is not written again."""
+    mine = plan.where(F.col("layer") == name).select("_batch_id", "action")
+    return {a: layer.join(mine.where(F.col("action") == a), "_batch_id", "left_semi") for a in ("keep", "archive")}

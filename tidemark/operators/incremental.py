@@ -7,19 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.timefns import parse_event_time
 
-# Largest side (rows) that is ever broadcast.  The watermark table has one
-# row per source; above this size the join is left to a shuffle join (and
-# AQE, which still broadcasts at runtime when the side is small enough).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` only after checking that ``df`` has at most
-    ``max_rows`` rows; otherwise ``df`` unchanged (shuffle join)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def watermarks(silver: DataFrame, by: str = "source_repo") -> DataFrame:
     """Per-source watermark: latest event time over surviving rows.  Rows
     whose time fell back to the run timestamp never advance it."""
@@ -42,15 +29,19 @@ def advance(previous: DataFrame, new: DataFrame, by: str = "source_repo") -> Dat
             .select(by, F.greatest("_prev", "_new").alias("watermark")))
 
 
+def mark_late(bronze: DataFrame, wm: DataFrame, by: str = "source_repo", flag: str = "_late") -> DataFrame:
+    """Bronze rows with a flag: at or before their source's watermark.  Sources
+    without a watermark (bootstrap) and rows whose time does not parse are not
+    late; the latter are caught by the anti-join against Silver.  The watermark
+    table has a row a source; how to join it is left to AQE."""
+    side = wm.select(by, F.col("watermark").alias("_wm"))
+    late = parse_event_time("created_at") <= F.col("_wm")
+    return bronze.join(side, by, "left").withColumn(flag, F.coalesce(late, F.lit(False))).drop("_wm")
+
+
 def after_watermark(bronze: DataFrame, wm: DataFrame, by: str = "source_repo") -> DataFrame:
-    """Bronze rows strictly after their source's watermark.  Sources without
-    a watermark (bootstrap) and rows whose time does not parse pass; the
-    latter are caught by the anti-join against Silver."""
-    side = bounded_broadcast(wm.select(by, F.col("watermark").alias("_wm")))
-    t = parse_event_time("created_at")
-    return (bronze.join(side, by, "left")
-            .filter(F.col("_wm").isNull() | t.isNull() | (t > F.col("_wm")))
-            .drop("_wm"))
+    """Bronze rows strictly after their source's watermark (see ``mark_late``)."""
+    return mark_late(bronze, wm, by).filter(~F.col("_late")).drop("_late")
 
 
 def unseen(new_silver: DataFrame, processed: DataFrame, key: str = "event_id") -> DataFrame:

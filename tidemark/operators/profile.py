@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.timefns import as_wall_clock
+from tidemark.session import materialize
 
 # Numeric Silver columns profiled by describe().
 NUMERIC_COLUMNS = ("event_hour", "repo_id", "actor_id", "push_size", "push_commits_count",
@@ -36,28 +37,52 @@ def date_span(df: DataFrame, col: str = "created_at") -> DataFrame:
                   F.floor(micros / F.lit(86_400_000_000)).cast("long").alias("span_days"))
 
 
-def describe(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, digits: int = 6) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles, max per numeric column.
+def column_types(df: DataFrame) -> DataFrame:
+    """(position, column_name, data_type): a row a column of the schema."""
+    rows = [(i, n, t) for i, (n, t) in enumerate(df.dtypes)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Exact quantiles (linear between neighbours) of each column, one row each.
+
+    Values are counted, sorted by range over many tasks, and numbered by running
+    sums inside a partition set off by the partitions before it; the rows at the
+    wanted places are picked.  No task holds the values of a column."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column_name", "x")
+    counts = long.where(F.col("x").isNotNull()).groupBy("column_name", "x").agg(F.count(F.lit(1)).alias("n"))
+    lined = materialize(counts.repartitionByRange("column_name", "x").sortWithinPartitions("column_name", "x")
+                        .withColumn("part", F.spark_partition_id()))
+    per_part = lined.groupBy("column_name", "part").agg(F.sum("n").alias("m"))
+    of_column = Window.partitionBy("column_name")
+    offsets = per_part.select("column_name", "part", F.sum("m").over(of_column).alias("total"),
+                              (F.sum("m").over(of_column.orderBy("part")) - F.col("m")).alias("before"))
+    running = F.sum("n").over(Window.partitionBy("column_name", "part").orderBy("x"))
+    placed = lined.withColumn("upto", running).join(offsets, ["column_name", "part"])
+    end = F.col("before") + F.col("upto")
+    out = []
+    for s in shares:
+        at = F.lit(float(s)) * (F.col("total") - 1)
+        pick = lambda r: F.max(F.when((end - F.col("n") <= r) & (r < end), F.col("x")))
+        lo, hi = pick(F.floor(at)), pick(F.ceil(at))
+        share = F.max(at - F.floor(at))
+        out.append((lo + (hi - lo) * share).alias(f"p{round(100 * s)}"))
+    return placed.groupBy("column_name").agg(*out)
+
 
-    One aggregate pass.  The exact percentile keeps a value->count map per
-    column, bounded by the column's distinct values (all profiled columns are
-    low-cardinality features); the partial maps merge map-side.
-    """
+def describe(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, digits: int = 6) -> DataFrame:
+    """count, mean, sample std, min, exact quartiles, max per numeric column."""
+    narrow = materialize(df.select(*columns))
     aggs, rows = [], []
     for c in columns:
         x = F.col(c).cast("double")
-        stats = {
-            "count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x),
-            "p25": F.percentile(x, 0.25), "p50": F.percentile(x, 0.5),
-            "p75": F.percentile(x, 0.75), "max": F.max(x),
-        }
-        for s, e in stats.items():
-            aggs.append(e.alias(f"{c}__{s}"))
-        rows.append(F.struct(
-            F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("count"),
-            *[F.round(F.col(f"{c}__{s}"), digits).alias(s)
-              for s in ("mean", "std", "min", "p25", "p50", "p75", "max")]))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+        stats = {"count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
+        aggs += [e.alias(f"{c}__{s}") for s, e in stats.items()]
+        rows.append(F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in stats]))
+    plain = narrow.agg(*aggs).select(F.inline(F.array(*rows)))
+    joined = plain.join(quantiles(narrow, columns, (0.25, 0.5, 0.75)), "column_name", "left")
+    return joined.select("column_name", "count", *[
+        F.round(s, digits).alias(s) for s in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
 def sample_rows(df: DataFrame, n: int = 5, order: str = "_arrival_seq") -> DataFrame:

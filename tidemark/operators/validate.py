@@ -71,8 +71,3 @@ def with_required_reason(bronze: DataFrame, not_after: str | None = None) -> Dat
 def required_ok(bronze: DataFrame, not_after: str | None = None) -> DataFrame:
     """Bronze rows that pass the per-row checks."""
     return bronze.filter(required_reason(not_after).isNull())
-
-
-def not_in_future(df: DataFrame, as_of: str, col: str = "created_at") -> DataFrame:
-    """Plausibility rule: keep rows whose event time is not after ``as_of``."""
-    return df.filter(F.col(col) <= ts_literal(as_of))

@@ -5,15 +5,21 @@ text in ``tidemark.plans.oracle`` with the same column names."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.functions.features import DEFAULT_TYPE_FILTER
+from tidemark.functions.features import DEFAULT_TYPE_FILTER, time_of_day_rank
 from tidemark.functions.timefns import as_wall_clock
 from tidemark.operators import adhoc, dedup, gold, health, incremental, profile, ranking, silver, validate
-from tidemark.session import configure
+from tidemark.plans import export, incremental_run, state
+from tidemark.session import configure, work_dir
+from tidemark.sources import testdata
+from tidemark.sources.landing import read_landing
 from tidemark.sources.testdata import DEFAULT_RUN_TS, bronze_from_dir
+from tidemark.sources.testruns import derived_run_log
 from tidemark.streaming import events as streaming
 
 # Fixed parameters of the catalog queries (mirrored in the oracle SQL).
@@ -197,7 +203,7 @@ def q_anti_join_new_events(spark, d):
 
 
 def _runs(spark, d):
-    return health.derived_run_log(silver.label(bronze(spark, d), None))
+    return derived_run_log(silver.label(bronze(spark, d), None))
 
 
 def q_committed_events(spark, d):
@@ -235,19 +241,243 @@ def q_retention_plan(spark, d):
 # -- Streaming -----------------------------------------------------------------
 
 def q_stream_dedup(spark, d):
-    return streaming.stream_dedup_result(configure(spark), d, RUN_TS)
+    return streaming.stream_events(spark, d, RUN_TS).select(F.col("id").alias("event_id"), "_batch_id")
+
+
+def q_stream_late_rows(spark, d):
+    return streaming.stream_events(spark, d, RUN_TS).where("late").select(
+        F.col("id").alias("event_id"), as_wall_clock("event_time").alias("event_time"))
 
 
 def q_stream_hourly_counts(spark, d):
-    return streaming.stream_window_result(configure(spark), d, "1 hour", None, RUN_TS)
+    return streaming.stream_windows(spark, d, "hourly", (), RUN_TS)
+
+
+def q_stream_hourly_type_counts(spark, d):
+    return streaming.stream_windows(spark, d, "hourly", ("event_type",), RUN_TS)
 
 
 def q_stream_sliding_counts(spark, d):
-    return streaming.stream_window_result(configure(spark), d, "1 hour", "15 minutes", RUN_TS)
+    return streaming.stream_windows(spark, d, "sliding", (), RUN_TS)
 
 
 def q_stream_daily_distinct(spark, d):
-    return streaming.stream_daily_distinct_result(configure(spark), d, RUN_TS)
+    return streaming.stream_daily_distinct(spark, d, RUN_TS)
+
+
+# -- Landing files ---------------------------------------------------------------
+
+_ROOTS: dict[tuple, str] = {}
+
+
+def _once(spark, d, what: str, make) -> str:
+    """A folder that several queries read, made once a session and input."""
+    key = (spark.sparkContext.applicationId, d, what)
+    if key not in _ROOTS:
+        root = work_dir(configure(spark), what, uuid.uuid4().hex)
+        make(root)
+        _ROOTS[key] = root
+    return _ROOTS[key]
+
+
+def landing(spark, d):
+    """Bronze of the events as landing files: indented arrays and JSON Lines."""
+    root = _once(spark, d, "landing", lambda r: testdata.write_landing(spark, d, r, RUN_TS))
+    return read_landing(spark, f"{root}/arrays", "landing", RUN_TS, pattern="*/*/*.txt").unionByName(
+        read_landing(spark, f"{root}/lines", "landing", RUN_TS, pattern="*/*/*.txt", lines=True))
+
+
+def q_landing_bronze(spark, d):
+    return landing(spark, d).select(
+        "id", "type", "created_at", F.col("repo.id").alias("repo_id"), F.col("repo.name").alias("repo_name"),
+        F.col("repo.url").alias("repo_url"), F.col("actor.id").alias("actor_id"),
+        F.col("actor.login").alias("actor_login"), F.to_json("payload").alias("payload_json"), "source_repo",
+        F.array_join("_absent_keys", ",").alias("absent_keys"),
+        F.coalesce(F.get_json_object("_raw", "$.public"), F.col("_raw")).alias("unknown_field_or_raw"))
+
+
+def q_landing_silver(spark, d):
+    return silver.to_silver(landing(spark, d), RUN_TS).select(
+        "event_id", "event_type", as_wall_clock("created_at").alias("created_at"), "source_repo")
+
+
+def q_landing_quarantine(spark, d):
+    return silver.quarantine(landing(spark, d), DEFAULT_TYPE_FILTER).select(
+        F.col("id").alias("event_id"), "type", "source_repo", F.col(validate.REASON).alias("reject_reason"))
+
+
+# -- Incremental runs over the layers ----------------------------------------------
+
+FIRST_RUN = dt.datetime(2024, 2, 1)
+
+
+def clock_of(run: int):
+    """The fixed clock of a run: a day later than the one before it, and a
+    minute from call to call (start, commit, end)."""
+    calls = iter(range(1_000))
+    return lambda: FIRST_RUN + dt.timedelta(days=run, minutes=next(calls))
+
+
+def runs_root(spark, d):
+    """The layers after three runs, and a fourth that failed."""
+    def make(root: str) -> None:
+        batches = testdata.incremental_batches(bronze(spark, d))
+        for k, (batch_id, rows) in enumerate(zip(testdata.BATCHES, batches)):
+            stats = incremental_run.run_batch(spark, rows, root, batch_id, RUN_TS, event_types=DEFAULT_TYPE_FILTER,
+                                              clock=clock_of(k))
+            if stats["status"] != "success":
+                raise RuntimeError(stats["error"])
+        broken = batches[0].withColumn("id", F.raise_error(F.lit("boom")).cast("string"))
+        incremental_run.run_batch(spark, broken, root, "2024-01-31", RUN_TS, clock=clock_of(3))
+
+    return _once(spark, d, "layers", make)
+
+
+def q_incremental_run_silver(spark, d):
+    return incremental_run.read_silver(spark, runs_root(spark, d)).select(
+        "event_id", "event_type", "_batch_id", as_wall_clock("created_at").alias("created_at"))
+
+
+def q_incremental_run_quarantine(spark, d):
+    return incremental_run.read_quarantine(spark, runs_root(spark, d)).select(
+        F.col("id").alias("event_id"), "type", "_batch_id", "_arrival_seq",
+        F.col(validate.REASON).alias("reject_reason"))
+
+
+def q_incremental_run_bronze(spark, d):
+    return incremental_run.read_bronze(spark, runs_root(spark, d)).select("id", "_batch_id", "_arrival_seq")
+
+
+def q_incremental_run_quality(spark, d):
+    return incremental_run.read_quality(spark, runs_root(spark, d))
+
+
+def q_incremental_run_watermarks(spark, d):
+    control = state.read_control(spark, incremental_run.paths(runs_root(spark, d))["control"])
+    return state.last_watermarks(control, "events").select("source_repo", as_wall_clock("watermark").alias("watermark"))
+
+
+def q_layer_latest(spark, d):
+    return incremental_run.read_silver(spark, runs_root(spark, d), scope="latest").select("event_id", "_batch_id")
+
+
+def q_layer_as_of(spark, d):
+    return incremental_run.read_silver(spark, runs_root(spark, d), as_of_batch=testdata.BATCHES[1]).select(
+        "event_id", "_batch_id")
+
+
+def q_gold_read_latest(spark, d):
+    return incremental_run.read_gold(spark, runs_root(spark, d), "top_repos").drop("_batch_id")
+
+
+def q_gold_latest_repo_metrics(spark, d):
+    return incremental_run.read_gold(spark, runs_root(spark, d), "repo_metrics")
+
+
+def q_gold_history_daily(spark, d):
+    return incremental_run.read_gold(spark, runs_root(spark, d), "daily_series", scope="all")
+
+
+def q_metrics_document_lines(spark, d):
+    root = runs_root(spark, d)
+    return export.document_lines({t: incremental_run.read_gold(spark, root, t) for _, t, _, _ in export.SECTIONS})
+
+
+def q_pipeline_stats(spark, d):
+    s = state.stats(state.read_control(spark, incremental_run.paths(runs_root(spark, d))["control"]), "events")
+    return s.select("status", F.contains("last_error", F.lit("boom")).alias("error_kept"),
+                    as_wall_clock("last_success").alias("last_success"),
+                    as_wall_clock("last_processed").alias("last_processed"), "control_rows")
+
+
+def q_status_summary(spark, d):
+    return incremental_run.status_summary(spark, runs_root(spark, d))
+
+
+def _run_history(spark, d):
+    return state.read_runs(spark, incremental_run.paths(runs_root(spark, d))["runs"])
+
+
+def q_run_history(spark, d):
+    return _run_history(spark, d).select(
+        as_wall_clock("start_time").alias("start_time"), as_wall_clock("end_time").alias("end_time"),
+        "duration_seconds", "records_processed", "status", F.col("error").isNotNull().alias("has_error"))
+
+
+def q_pipeline_health(spark, d):
+    control = state.read_control(spark, incremental_run.paths(runs_root(spark, d))["control"])
+    return health.pipeline_health(_run_history(spark, d), control, "events")
+
+
+def q_run_metrics_daily(spark, d):
+    return health.daily_run_metrics(_run_history(spark, d))
+
+
+def _retention(spark, d):
+    quality = incremental_run.read_quality(spark, runs_root(spark, d)).select(
+        "_batch_id", F.to_date("_batch_id").alias("batch_date"), F.col("total").alias("bronze_rows"),
+        F.col("valid").alias("silver_rows"))
+    return health.retention_of_batches(quality, ("bronze", "silver"), RETENTION_AS_OF)
+
+
+def q_retention_of_batches(spark, d):
+    return _retention(spark, d)
+
+
+def q_retention_applied(spark, d):
+    """Bronze after the retention run: rows kept and archived, from what it wrote."""
+    root = _once(spark, d, "retained", lambda r: [
+        df.write.parquet(f"{r}/{action}") for action, df in health.apply_retention(
+            incremental_run.read_bronze(spark, runs_root(spark, d)), _retention(spark, d), "bronze").items()])
+    parts = [spark.read.parquet(f"{root}/{a}").groupBy("_batch_id").agg(F.count(F.lit(1)).alias("row_count"))
+             .withColumn("place", F.lit(a)) for a in ("keep", "archive")]
+    return parts[0].unionByName(parts[1])
+
+
+# -- Ordered outputs, heads, types, plausibility -------------------------------------
+
+def _ordered(df, *order):
+    """A small table with its place in the output order."""
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+
+
+def q_daily_series_ordered(spark, d):
+    return _ordered(gold.daily_series(silver_all(spark, d)), "event_date")
+
+
+def q_hourly_series_ordered(spark, d):
+    return _ordered(gold.hourly_series(silver_all(spark, d)), "hour_key")
+
+
+def q_event_type_distribution(spark, d):
+    return _ordered(gold.event_type_counts(silver_all(spark, d)), F.desc("event_count"), "event_type")
+
+
+def q_time_of_day_ordered(spark, d):
+    return _ordered(gold.activity_by_time_of_day(silver_all(spark, d)), time_of_day_rank("time_of_day"))
+
+
+def q_repo_head_15(spark, d):
+    return ranking.top_n(adhoc.repo_stats(silver_all(spark, d)), [F.desc("event_count"), F.asc("repo_name")], 15)
+
+
+def q_contributor_head_10(spark, d):
+    return ranking.top_n(adhoc.contributor_stats(silver_all(spark, d)),
+                         [F.desc("event_count"), F.asc("actor_login")], 10)
+
+
+def q_shape_types(spark, d):
+    return profile.column_types(_flat_silver(silver_all(spark, d)))
+
+
+def q_silver_not_in_future(spark, d):
+    s = silver.to_silver(bronze(spark, d), RUN_TS, None, not_after=RUN_TS)
+    return s.select("event_id", "event_type", "_arrival_seq")
+
+
+def q_dedup_content_no_id(spark, d):
+    s = silver.to_silver(bronze(spark, d), RUN_TS, None, dedup_strategy="content_hash_no_id")
+    return s.select("event_id", "event_type", "_arrival_seq", "_content_hash")
 
 
 QUERIES: dict[str, Query] = {
@@ -329,7 +559,42 @@ QUERIES: dict[str, Query] = {
     "retention_plan": q_retention_plan,
     # streaming
     "stream_dedup": q_stream_dedup,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_hourly_type_counts": q_stream_hourly_type_counts,
     "stream_hourly_counts": q_stream_hourly_counts,
     "stream_sliding_counts": q_stream_sliding_counts,
     "stream_daily_distinct_repos": q_stream_daily_distinct,
+    # landing files
+    "landing_bronze": q_landing_bronze,
+    "landing_silver": q_landing_silver,
+    "landing_quarantine": q_landing_quarantine,
+    # layers and state after a sequence of runs
+    "incremental_run_bronze": q_incremental_run_bronze,
+    "incremental_run_silver": q_incremental_run_silver,
+    "incremental_run_quarantine": q_incremental_run_quarantine,
+    "incremental_run_quality": q_incremental_run_quality,
+    "incremental_run_watermarks": q_incremental_run_watermarks,
+    "layer_latest": q_layer_latest,
+    "layer_as_of": q_layer_as_of,
+    "gold_read_latest": q_gold_read_latest,
+    "gold_latest_repo_metrics": q_gold_latest_repo_metrics,
+    "gold_history_daily": q_gold_history_daily,
+    "metrics_document_lines": q_metrics_document_lines,
+    "pipeline_stats": q_pipeline_stats,
+    "status_summary": q_status_summary,
+    "run_history": q_run_history,
+    "pipeline_health": q_pipeline_health,
+    "run_metrics_daily": q_run_metrics_daily,
+    "retention_of_batches": q_retention_of_batches,
+    "retention_applied": q_retention_applied,
+    # ordered outputs, heads, types, plausibility, content dedup
+    "daily_series_ordered": q_daily_series_ordered,
+    "hourly_series_ordered": q_hourly_series_ordered,
+    "event_type_distribution": q_event_type_distribution,
+    "time_of_day_ordered": q_time_of_day_ordered,
+    "repo_head_15": q_repo_head_15,
+    "contributor_head_10": q_contributor_head_10,
+    "shape_types": q_shape_types,
+    "silver_not_in_future": q_silver_not_in_future,
+    "dedup_content_no_id": q_dedup_content_no_id,
 }

@@ -1,56 +1,46 @@
-"""Nested metrics document (the shape consumers read), built in Spark.
+"""Metrics document as JSON Lines, the shape consumers read.
 
-Flat gold tables are folded into one JSON document with ``to_json`` over
-structs and maps.  Each map is bounded by the cardinality of its gold table
-(repos, contributors, days); the fold is one aggregate per table, and the
-final document is written with the DataFrame writer, not assembled on the
-driver.
+Every key of every gold table is one line, ``{"section", "key", "value"}``, built
+with ``to_json`` where the row is and written in parallel.  A consumer that
+wants one nested document folds the sections it needs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
 
+from pyspark.sql import DataFrame, functions as F
 
-# Largest gold table folded into one map of the document.  The document is a
-# single value by nature, so only tables with a checked size bound go in.
-MAX_KEYS = 100_000
-
-
-def _as_map(df: DataFrame, key: str, value, max_keys: int = MAX_KEYS) -> DataFrame:
-    if df.limit(max_keys + 1).count() > max_keys:
-        raise ValueError(f"{key}: more than {max_keys} keys; export the flat table instead")
-    v = F.struct(*value) if isinstance(value, (list, tuple)) else F.col(value)
-    return df.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key).cast("string"), v))).alias("m"))
-
-
-def metrics_document(tables: dict[str, DataFrame], per_key: bool = True) -> DataFrame:
-    """One-row DataFrame with a ``document`` JSON text column.  ``per_key``
-    adds the per-repo / per-contributor maps (size-checked)."""
-    summary = tables["summary"].select(F.struct("total_events", "calculation_timestamp").alias("summary"))
-    parts = {"summary": summary.select("summary").scalar()}
-    if "event_type_counts" in tables:
-        parts["event_types"] = _as_map(tables["event_type_counts"], "event_type", "event_count").scalar()
-    if per_key and "repo_metrics" in tables:
-        parts["repos"] = _as_map(tables["repo_metrics"], "repo_name",
-                                 ["total_events", "unique_contributors", "active_contributions",
-                                  "first_event", "last_event"]).scalar()
-    if per_key and "contributor_metrics" in tables:
-        parts["contributors"] = _as_map(tables["contributor_metrics"], "actor_login",
-                                        ["total_contributions", "repos_count", "last_activity"]).scalar()
-    if "daily_series" in tables:
-        parts["daily"] = _as_map(tables["daily_series"], "event_date",
-                                 ["event_count", "active_repos_count"]).scalar()
-    if "top_repos" in tables:
-        parts["top_repos"] = tables["top_repos"].agg(
-            F.sort_array(F.collect_list(F.struct("rank", "repo_name", "total_events")))).scalar()
-    if "top_contributors" in tables:
-        parts["top_contributors"] = tables["top_contributors"].agg(
-            F.sort_array(F.collect_list(F.struct("rank", "actor_login", "total_contributions")))).scalar()
-    spark = tables["summary"].sparkSession
-    doc = F.struct(*[c.alias(k) for k, c in parts.items()])
-    return spark.range(1).select(F.to_json(doc).alias("document"))
-
-
-def write_document(doc: DataFrame, path: str) -> None:
-    doc.coalesce(1).write.mode("overwrite").text(path)
+# Section, gold table, key column, value columns.
+SECTIONS = (
+    ("summary", "summary", None, ("total_events", "calculation_timestamp")),
+    ("event_types", "event_type_counts", "event_type", ("event_count",)),
+    ("repos", "repo_metrics", "repo_name",
+     ("total_events", "unique_contributors", "active_contributions", "first_event", "last_event")),
+    ("contributors", "contributor_metrics", "actor_login",
+     ("total_contributions", "repos_count", "last_activity")),
+    ("daily", "daily_series", "event_date", ("event_count", "active_repos_count")),
+    ("top_repos", "top_repos", "rank", ("repo_name", "total_events")),
+    ("top_contributors", "top_contributors", "rank", ("actor_login", "total_contributions")),
+)
+
+
+def document_lines(tables: dict[str, DataFrame]) -> DataFrame:
+    """(section, key, value) rows of the tables given; ``value`` is JSON text."""
+    parts = []
+    for section, table, key, values in SECTIONS:
+        if table not in tables:
+            continue
+        df = tables[table]
+        kinds = dict(df.dtypes)
+        cols = [(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss") if kinds[c].startswith("timestamp") else F.col(c)).alias(c)
+                for c in values]
+        parts.append(df.select(F.lit(section).alias("section"),
+                               (F.col(key).cast("string") if key else F.lit("all")).alias("key"),
+                               F.to_json(F.struct(*cols)).alias("value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_document(tables: dict[str, DataFrame], path: str) -> None:
+    """One JSON line a key, written by as many tasks as there are."""
+    document_lines(tables).write.mode("overwrite").json(path)

@@ -1,17 +1,18 @@
-"""One incremental batch run (read -> filter -> Silver -> Gold -> commit).
-
-Order of effects, each idempotent:
-1. read the per-source watermarks from the control table (bootstrap: none);
-2. keep Bronze rows strictly after their source's watermark (minus an
-   optional ``lateness`` overlap) and write them to Bronze[batch];
-3. build Silver for the batch, drop events already committed to Silver
-   (anti-join on event_id, so the overlap never double counts), write
-   Silver[batch] with dynamic overwrite;
-4. compute Gold from the written Silver partition; write Gold history
-   [batch] and the latest tables;
-5. append control rows (watermark = greatest(previous, new)); only now is
-   the batch committed.  A failure appends a failed row instead and the
-   watermark stays where it was; the run record is appended either way.
+"""One incremental batch run: Bronze -> labels -> Silver -> Gold -> commit.
+
+Order of effects; each writes the run's own version of the batch:
+
+1. all rows of the batch go to Bronze as they came, before any filter;
+2. every row is labelled: failed checks, late (at or before its source's
+   watermark, minus an optional ``lateness`` overlap), duplicate, type filter,
+   already in Silver (anti-join on the event id alone);
+3. rejected rows go to the quarantine layer with their reason, the counts to
+   the quality layer, the others to Silver and their ids to a narrow id table;
+4. every Gold table is computed once from the written Silver;
+5. the control rows are appended (watermark = greatest(previous, new)).  Only
+   now do readers see the batch; the latest Gold tables are those of the batch
+   committed last.  A failure appends a failed row instead and the watermark
+   stays where it was; the run record is appended either way.
 """
 
 from __future__ import annotations
@@ -20,12 +21,17 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.timefns import parse_event_time
-from tidemark.operators import gold, incremental, silver
+from tidemark.operators import gold, incremental, silver, validate
 from tidemark.plans import sinks, state
-from tidemark.plans.medallion import write_gold
-from tidemark.schemas import SILVER_BASE, SILVER_FEATURES
+from tidemark.plans.medallion import write_bundle
+from tidemark.schemas import BRONZE, SILVER_BASE, SILVER_FEATURES
+from tidemark.session import discard, materialize, work_dir
+
+IDS = T.StructType([T.StructField("event_id", T.StringType())])
+QUALITY = T.StructType([T.StructField(c, T.LongType()) for c in (
+    "total", "valid", "filtered", "invalid", "late", "duplicates", "type_filtered", "already_in_silver")])
 
 
 def _now() -> dt.datetime:
@@ -34,15 +40,61 @@ def _now() -> dt.datetime:
 
 def paths(root: str) -> dict[str, str]:
     r = root.rstrip("/")
-    return {"bronze": f"{r}/bronze", "silver": f"{r}/silver", "gold": f"{r}/gold",
-            "gold_latest": f"{r}/gold_latest", "control": f"{r}/state/control",
-            "runs": f"{r}/state/runs"}
+    return {"bronze": f"{r}/bronze", "silver": f"{r}/silver", "ids": f"{r}/silver_ids",
+            "quarantine": f"{r}/quarantine", "quality": f"{r}/quality", "gold": f"{r}/gold",
+            "control": f"{r}/state/control", "runs": f"{r}/state/runs"}
+
+
+def silver_schema(spark: SparkSession) -> T.StructType:
+    empty = spark.createDataFrame([], BRONZE)
+    return silver.to_silver(empty).select(*SILVER_BASE, *SILVER_FEATURES).schema
+
+
+def quarantine_schema() -> T.StructType:
+    return T.StructType([*BRONZE.fields, T.StructField(validate.REASON, T.StringType())])
+
+
+def gold_schema(spark: SparkSession, table: str) -> T.StructType:
+    return gold.metrics_bundle(spark.createDataFrame([], silver_schema(spark)))[table].schema
+
+
+def committed_batches(spark: SparkSession, root: str, pipeline: str = "events") -> DataFrame:
+    """The committed version of each batch (readers use only these)."""
+    return state.committed_versions(state.read_control(spark, paths(root)["control"]), pipeline)
+
+
+def read_silver(spark: SparkSession, root: str, pipeline: str = "events", scope: str = "all",
+                as_of_batch: str | None = None) -> DataFrame:
+    return sinks.read_layer(spark, paths(root)["silver"], silver_schema(spark),
+                            committed_batches(spark, root, pipeline), scope, as_of_batch)
+
 
+def read_bronze(spark: SparkSession, root: str, pipeline: str = "events", scope: str = "all") -> DataFrame:
+    return sinks.read_layer(spark, paths(root)["bronze"], BRONZE, committed_batches(spark, root, pipeline), scope)
 
-def committed_batches(spark: SparkSession, root: str, pipeline: str) -> DataFrame:
-    """Batches with a successful commit (readers use only these)."""
-    c = state.read_control(spark, paths(root)["control"])
-    return c.filter((F.col("pipeline") == pipeline) & (F.col("status") == "success")).select("_batch_id").distinct()
+
+def read_quarantine(spark: SparkSession, root: str, pipeline: str = "events", scope: str = "all") -> DataFrame:
+    return sinks.read_layer(spark, paths(root)["quarantine"], quarantine_schema(),
+                            committed_batches(spark, root, pipeline), scope)
+
+
+def read_quality(spark: SparkSession, root: str, pipeline: str = "events", scope: str = "all") -> DataFrame:
+    return sinks.read_layer(spark, paths(root)["quality"], QUALITY, committed_batches(spark, root, pipeline), scope)
+
+
+def read_gold(spark: SparkSession, root: str, table: str, pipeline: str = "events", scope: str = "latest",
+              as_of_batch: str | None = None) -> DataFrame:
+    """A Gold table of the batch committed last, or its history by batch."""
+    return sinks.read_layer(spark, f"{paths(root)['gold']}/{table}", gold_schema(spark, table),
+                            committed_batches(spark, root, pipeline), scope, as_of_batch)
+
+
+def quality_of(labeled: DataFrame) -> DataFrame:
+    r = F.col(validate.REASON)
+    counts = [F.count(F.lit(1)), F.count_if(r.isNull()), F.count_if(r.isNotNull()),
+              F.count_if(r.isin(*validate.REQUIRED_REASONS)),
+              *[F.count_if(r == x) for x in (validate.LATE, validate.DUPLICATE, validate.TYPE_FILTERED, validate.SEEN)]]
+    return labeled.agg(*[c.alias(f.name) for c, f in zip(counts, QUALITY.fields)])
 
 
 def run_batch(spark: SparkSession, bronze: DataFrame, root: str, batch_id: str, run_ts: str,
@@ -54,68 +106,65 @@ def run_batch(spark: SparkSession, bronze: DataFrame, root: str, batch_id: str,
     tracker = state.RunTracker(spark, p["runs"])
     run_id = tracker.start(clock())
     stats = {"run_id": run_id, "status": "failed", "records_processed": 0, "error": None}
+    scratch = work_dir(spark, "runs", run_id)
+
+    def write(df: DataFrame, layer: str) -> None:
+        sinks.write_version(df, layer, batch_id, run_id)
+
     try:
         # The state this batch starts from excludes its own earlier commits,
         # so re-running a batch recomputes it rather than seeing it as done.
         control = state.read_control(spark, p["control"]).filter(F.col("_batch_id") != batch_id)
         prev = state.last_watermarks(control, pipeline)
+        done = state.committed_versions(control, pipeline)
         wm = prev.select("source_repo", (F.col("watermark") - F.make_dt_interval(
             secs=F.lit(lateness_seconds))).alias("watermark")) if lateness_seconds else prev
-        new = incremental.after_watermark(bronze.withColumn("_batch_id", F.lit(batch_id)), wm)
-        sinks.write_bronze(new, p["bronze"])
-
-        b = sinks.read_bronze(spark, p["bronze"]).filter(F.col("_batch_id") == batch_id)
-        s = silver.to_silver(b, run_ts, event_types).select(*SILVER_BASE, *SILVER_FEATURES)
-        done = committed_batches(spark, root, pipeline)
-        try:
-            old = sinks.read_layer(spark, p["silver"], committed_batches=done).filter(
-                F.col("_batch_id") != batch_id)
-        except Exception:  # noqa: BLE001 - no Silver yet (bootstrap)
-            old = None
-        if old is not None:
-            # A re-delivered event keeps its id AND its event time, so an
-            # earlier copy can only sit at or after the earliest event time of
-            # this batch (re-read overlap), or carry a fallback time.
-            # The literal bound reaches the Parquet scan (row-group pruning),
-            # so the anti-join does not read every id ever committed.
-            # (computed on the batch's Bronze: a map-only scan, and a bound no
-            # later than the Silver minimum since Silver rows come from it)
-            lo = b.agg(F.min(parse_event_time("created_at"))).collect()[0][0]
-            if lo is not None:
-                old = old.filter((F.col("created_at") >= F.lit(lo)) | F.col("_ts_fallback"))
-            s = incremental.unseen(s, old)
-        sinks.write_partitioned(s, p["silver"])
-        written = spark.read.parquet(p["silver"]).filter(F.col("_batch_id") == batch_id)
+
+        write(bronze, p["bronze"])
+        b = sinks.read_version(spark, p["bronze"], BRONZE, batch_id, run_id)
+        labeled = silver.label(incremental.mark_late(b, wm), event_types).drop("_late")
+        known = sinks.read_layer(spark, p["ids"], IDS, done).select(
+            F.col("event_id").alias("id"), F.lit(True).alias("_seen"))
+        reason = F.coalesce(F.col(validate.REASON), F.when(F.col("_seen"), F.lit(validate.SEEN)))
+        labeled = materialize(labeled.join(known, "id", "left").withColumn(validate.REASON, reason).drop("_seen"),
+                              f"{scratch}/labeled")
+
+        rejected = F.col(validate.REASON).isNotNull()
+        write(labeled.where(rejected), p["quarantine"])
+        write(quality_of(labeled), p["quality"])
+        kept = labeled.where(~rejected).drop(validate.REASON)
+        write(silver.enrich(silver.clean(kept, run_ts)).select(*SILVER_BASE, *SILVER_FEATURES), p["silver"])
+        written = sinks.read_version(spark, p["silver"], silver_schema(spark), batch_id, run_id)
+        write(written.select("event_id"), p["ids"])
         n = written.count()
         stats["records_processed"] = n
-        if n > 0:
-            tables = gold.metrics_bundle(written.drop("_batch_id"), calculations, run_ts, top_n,
-                                            pre_aggregate=True)
-            write_gold(tables, p["gold"], batch_id)
-            write_gold(tables, p["gold_latest"])
-            new_wm = incremental.watermarks(written)
-            merged = incremental.advance(prev, new_wm).join(
-                new_wm.select("source_repo", "records_processed"), "source_repo", "left").fillna(
-                0, ["records_processed"])
-            state.commit(spark, p["control"], pipeline, run_id, batch_id, merged, clock(),
-                         {"records": n})
+        write_bundle(written.drop("_batch_id"), calculations, run_ts, top_n, f"{scratch}/cuboid",
+                     lambda df, name: write(df, f"{p['gold']}/{name}"),
+                     lambda name: spark.read.parquet(sinks.version_path(f"{p['gold']}/{name}", batch_id, run_id)))
+        new_wm = incremental.watermarks(written)
+        moved = incremental.advance(prev.join(new_wm, "source_repo", "left_semi"), new_wm).join(
+            new_wm.select("source_repo", "records_processed"), "source_repo")
+        state.commit(spark, p["control"], pipeline, run_id, batch_id, moved, clock(), {"records": n})
         stats["status"] = "success"
     except Exception as e:  # noqa: BLE001 - recorded, never silently lost
-        stats["error"] = str(e)[:2000]
+        stats["error"] = str(e)
         state.mark_failed(spark, p["control"], pipeline, run_id, batch_id, stats["error"], clock())
     finally:
+        discard(spark, scratch)
         tracker.end(clock(), stats["records_processed"], stats["status"], stats["error"])
     return stats
 
 
 def load_layers(spark: SparkSession, root: str, pipeline: str = "events") -> dict[str, DataFrame]:
-    """Lazy bundle of the layers a consumer reads: committed Silver, latest
-    gold summary, control table and run history (nothing is collected)."""
+    """Lazy bundle of what a consumer reads: committed Silver, quarantine and
+    quality, the latest Gold tables, control table and run history."""
     p = paths(root)
-    done = committed_batches(spark, root, pipeline)
+    tables = gold.metrics_bundle(spark.createDataFrame([], silver_schema(spark)))
     return {
-        "events": sinks.read_layer(spark, p["silver"], committed_batches=done),
-        "summary": spark.read.parquet(f"{p['gold_latest']}/summary"),
+        "events": read_silver(spark, root, pipeline),
+        "quarantine": read_quarantine(spark, root, pipeline),
+        "quality": read_quality(spark, root, pipeline),
+        **{f"gold_{name}": read_gold(spark, root, name, pipeline) for name in tables},
         "control": state.read_control(spark, p["control"]),
         "run_history": state.read_runs(spark, p["runs"]),
     }
@@ -124,17 +173,11 @@ def load_layers(spark: SparkSession, root: str, pipeline: str = "events") -> dic
 def status_summary(spark: SparkSession, root: str, pipeline: str = "events") -> DataFrame:
     """One row: data available, total events and last update (latest gold
     summary), last run status (from the run history, not the checkpoint)."""
-    p = paths(root)
-    runs = state.read_runs(spark, p["runs"])
-    last = runs.agg(F.max_by("status", "end_time").alias("last_run_status"),
-                    F.count(F.lit(1)).alias("runs"))
-    try:
-        summ = spark.read.parquet(f"{p['gold_latest']}/summary")
-        tot = summ.agg(F.max("total_events")).scalar()
-        upd = summ.agg(F.max("calculation_timestamp")).scalar()
-        avail = F.lit(True)
-    except Exception:  # noqa: BLE001 - no gold yet
-        tot, upd, avail = F.lit(0).cast("long"), F.lit(None).cast("timestamp_ntz"), F.lit(False)
-    return last.select(avail.alias("data_available"), tot.alias("total_events"),
-                       upd.alias("last_update"),
+    runs = state.read_runs(spark, paths(root)["runs"])
+    last = runs.agg(F.max_by("status", "end_time").alias("last_run_status"))
+    summary = read_gold(spark, root, "summary", pipeline).agg(F.max(F.struct(
+        "calculation_timestamp", "total_events")).alias("s")).select("s").scalar()
+    return last.select(summary.isNotNull().alias("data_available"),
+                       F.coalesce(summary["total_events"], F.lit(0)).alias("total_events"),
+                       summary["calculation_timestamp"].alias("last_update"),
                        F.coalesce(F.col("last_run_status"), F.lit("unknown")).alias("last_run_status"))

@@ -8,12 +8,13 @@ dedup shuffle happens once per run and lineage is cut at the table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import gold, silver
 from tidemark.schemas import SILVER_BASE, SILVER_FEATURES
+from tidemark.session import materialize
 from tidemark.sources.testdata import DEFAULT_RUN_TS
 
 
@@ -28,18 +29,21 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_gold(tables: dict[str, DataFrame], root: str, batch_id: str | None = None) -> None:
-    """Each gold table to ``root/<table>``; with ``batch_id``, as history
-    partition ``_batch_id=<batch_id>`` (dynamic overwrite)."""
+def write_bundle(silver_rows: DataFrame, calculations: Sequence[str], run_ts: str, top_n: int, cuboid_path: str,
+                 write: Callable[[DataFrame, str], None], read: Callable[[str], DataFrame]) -> list[str]:
+    """Compute each selected Gold table once and write it.
+
+    Counts by type, date, hour and so on come from one small cuboid; tables by
+    repository and contributor scan the written Silver for their own columns;
+    rankings read the written metrics."""
+    cube = materialize(gold.small_cuboid(silver_rows), cuboid_path)
+    tables = gold.base_tables(silver_rows, cube, calculations, run_ts)
     for name, df in tables.items():
-        w = df
-        if batch_id is not None:
-            from pyspark.sql import functions as F
-            w = df.withColumn("_batch_id", F.lit(batch_id))
-            (w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_batch_id").parquet(f"{root}/{name}"))
-        else:
-            w.write.mode("overwrite").parquet(f"{root}/{name}")
+        write(df, name)
+    ranked = gold.rankings({n: read(n) for n in tables if n in gold.RANKED}, top_n)
+    for name, df in ranked.items():
+        write(df, name)
+    return [*tables, *ranked]
 
 
 def run_layers(spark: SparkSession, bronze: DataFrame, root: str, run_ts: str = DEFAULT_RUN_TS,
@@ -48,6 +52,7 @@ def run_layers(spark: SparkSession, bronze: DataFrame, root: str, run_ts: str =
     """Write Silver, then compute and write every selected Gold table."""
     write_silver(bronze, f"{root}/silver", run_ts, event_types)
     s = read_silver(spark, f"{root}/silver")
-    tables = gold.metrics_bundle(s, calculations, run_ts, top_n, pre_aggregate=True)
-    write_gold(tables, f"{root}/gold")
-    return {name: spark.read.parquet(f"{root}/gold/{name}") for name in tables}
+    names = write_bundle(s, calculations, run_ts, top_n, f"{root}/cuboid",
+                         lambda df, name: df.write.mode("overwrite").parquet(f"{root}/gold/{name}"),
+                         lambda name: spark.read.parquet(f"{root}/gold/{name}"))
+    return {name: spark.read.parquet(f"{root}/gold/{name}") for name in names}

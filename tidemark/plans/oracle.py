@@ -280,11 +280,98 @@ runs AS (
 )"""
 
 _STREAM_VALID = BASE_CTES + f""",
-sv AS (
-  SELECT DISTINCT id AS event_id, repo_name,
-    COALESCE(created_ts, {RUN_TS}) AS event_time
-  FROM req WHERE req_reason IS NULL
-)"""
+valid AS (SELECT * FROM req WHERE req_reason IS NULL),
+surv AS ({_first_wins('valid')}),
+sv AS (SELECT id AS event_id, type AS event_type, repo_name, created_ts,
+         COALESCE(created_ts, {RUN_TS}) AS event_time,
+         CASE WHEN CAST(id AS BIGINT) % 101 = 0 OR CAST(id AS BIGINT) % 149 = 0 OR CAST(id AS BIGINT) % 151 = 0
+              THEN 0 ELSE CAST(substr(_batch_id, 9, 2) AS INTEGER) * 3 % 5 END AS file
+       FROM surv)"""
+
+# Landing files: the same events, with a broken line after some of them.
+_LANDING_CTES = LABELED_CTES.replace("{types}", CONFIG_TYPES) + """,
+broken AS (SELECT rname AS source_repo, '{"id": "' || event_id || '", broken' AS raw
+           FROM typed WHERE copy = 0 AND event_id % 500 = 1)"""
+
+
+def _run_ctes() -> str:
+    """Labels, Silver rows and watermarks of the three incremental runs."""
+    out = BASE_CTES + """,
+ev0 AS (SELECT *, _arrival_seq % 1000000000 AS eid, CAST(substr(_batch_id, 9, 2) AS INTEGER) AS dom FROM req),
+r1 AS (SELECT * FROM ev0 WHERE dom <= 10 AND NOT eid % 40 = 7),
+r2 AS (SELECT * FROM ev0 WHERE dom > 10 AND dom <= 20
+       UNION ALL SELECT * REPLACE (CAST(CAST(_batch_id AS DATE) AS TIMESTAMP) + INTERVAL 252 HOUR AS created_ts,
+                                   _arrival_seq + 3000000000 AS _arrival_seq)
+       FROM ev0 WHERE dom <= 10 AND eid % 50 = 3),
+r3 AS (SELECT * FROM ev0 WHERE dom > 20 OR (dom <= 10 AND eid % 40 = 7)),
+w0 AS (SELECT source_repo, created_ts AS watermark FROM ev0 WHERE false)"""
+    for k, batch in enumerate(C.testdata.BATCHES, 1):
+        seen = " UNION ALL ".join(f"SELECT id FROM s{j}" for j in range(1, k)) or "SELECT id FROM ev0 WHERE false"
+        out += f""",
+m{k} AS (SELECT r.* EXCLUDE (_batch_id), '{batch}' AS _batch_id,
+    CASE WHEN r.req_reason IS NOT NULL THEN r.req_reason WHEN r.created_ts <= w.watermark THEN 'late' END AS reason1
+  FROM r{k} r LEFT JOIN w{k - 1} w ON r.source_repo = w.source_repo),
+f{k} AS (SELECT id, min(_arrival_seq) AS first_seq FROM m{k} WHERE reason1 IS NULL GROUP BY id),
+l{k} AS (SELECT m.*, CASE WHEN m.reason1 IS NOT NULL THEN m.reason1
+      WHEN f.first_seq <> m._arrival_seq THEN 'duplicate'
+      WHEN NOT COALESCE(m.type IN ({CONFIG_TYPES}), false) THEN 'type_filtered'
+      WHEN m.id IN ({seen}) THEN 'already_in_silver' END AS reason
+  FROM m{k} m LEFT JOIN f{k} f ON m.id = f.id),
+s{k} AS (SELECT * FROM l{k} WHERE reason IS NULL),
+w{k} AS (SELECT source_repo, max(watermark) AS watermark FROM (
+    SELECT * FROM w{k - 1} UNION ALL SELECT source_repo, created_ts AS watermark FROM s{k}) x GROUP BY source_repo)"""
+    return out + """,
+labels AS (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3),
+kept AS (SELECT * FROM labels WHERE reason IS NULL)"""
+
+
+_RUN_CTES = _run_ctes()
+_RUN_TABLE = """(VALUES (TIMESTAMP '2024-02-01 00:00:00', 's1'), (TIMESTAMP '2024-02-02 00:00:00', 's2'),
+  (TIMESTAMP '2024-02-03 00:00:00', 's3'), (TIMESTAMP '2024-02-04 00:00:00', 'failed')) t(start_time, what)"""
+_RUN_ROWS = f"""runs AS (SELECT start_time, start_time + INTERVAL 2 MINUTE AS end_time, 120.0::DOUBLE AS duration_seconds,
+  CASE what WHEN 's1' THEN (SELECT count(*) FROM s1) WHEN 's2' THEN (SELECT count(*) FROM s2)
+            WHEN 's3' THEN (SELECT count(*) FROM s3) ELSE 0 END AS records_processed,
+  CASE what WHEN 'failed' THEN 'failed' ELSE 'success' END AS status, what = 'failed' AS has_error
+  FROM {_RUN_TABLE})"""
+
+
+def with_runs(select: str) -> str:
+    return f"WITH {_RUN_CTES}\n{select}"
+
+
+def _run_silver(k: int) -> str:
+    return f"(SELECT * FROM ({_silver_from(f's{k}')}) x)"
+
+
+def _document() -> str:
+    time = "'%Y-%m-%dT%H:%M:%S'"
+    return with_runs(f""", silver AS ({_silver_from('s3')}),
+repos AS ({_REPO_METRICS}), people AS ({_CONTRIB_METRICS})
+SELECT 'summary' AS section, 'all' AS key, '{{"total_events":' || count(*) || ',"calculation_timestamp":"'
+    || strftime({RUN_TS}, {time}) || '"}}' AS value FROM silver
+UNION ALL SELECT 'event_types', event_type, '{{"event_count":' || count(*) || '}}' FROM silver GROUP BY event_type
+UNION ALL SELECT 'repos', repo_name, '{{"total_events":' || total_events || ',"unique_contributors":'
+    || unique_contributors || ',"active_contributions":' || active_contributions || ',"first_event":"'
+    || strftime(first_event, {time}) || '","last_event":"' || strftime(last_event, {time}) || '"}}' FROM repos
+UNION ALL SELECT 'contributors', actor_login, '{{"total_contributions":' || total_contributions || ',"repos_count":'
+    || repos_count || ',"last_activity":"' || strftime(last_activity, {time}) || '"}}' FROM people
+UNION ALL SELECT 'daily', CAST(event_date AS VARCHAR), '{{"event_count":' || count(*) || ',"active_repos_count":'
+    || count(DISTINCT repo_name) || '}}' FROM silver GROUP BY event_date
+UNION ALL SELECT 'top_repos', CAST(n AS VARCHAR), '{{"repo_name":"' || repo_name || '","total_events":'
+    || total_events || '}}' FROM (SELECT *, row_number() OVER (ORDER BY total_events DESC, repo_name) AS n FROM repos) a
+  WHERE n <= 10
+UNION ALL SELECT 'top_contributors', CAST(n AS VARCHAR), '{{"actor_login":"' || actor_login
+    || '","total_contributions":' || total_contributions || '}}'
+  FROM (SELECT *, row_number() OVER (ORDER BY total_contributions DESC, actor_login) AS n FROM people) b
+  WHERE n <= 10""").replace("\n, silver AS", ",\nsilver AS", 1)
+
+
+# Spark types of the flat Silver columns, in order.
+_FLAT_TYPES = (("event_id", "string"), ("event_type", "string"), ("created_at", "timestamp_ntz"),
+               ("repo_id", "bigint"), ("repo_name", "string"), ("repo_url", "string"), ("actor_id", "bigint"),
+               ("actor_login", "string"), ("event_date", "date"), ("event_hour", "int"),
+               ("_ts_fallback", "boolean"), ("source_repo", "string"), ("_batch_id", "string"),
+               ("_arrival_seq", "bigint"))
 
 _FILTER_REPOS = _in_list(C.FILTER_REPOS)
 
@@ -496,4 +583,101 @@ FROM (SELECT *, CAST(date_diff('day', CAST(_batch_id AS DATE), DATE '{C.RETENTIO
   count(*) AS event_count FROM (
   SELECT time_bucket(INTERVAL 15 MINUTE, event_time, TIMESTAMP '1970-01-01') - o * INTERVAL 15 MINUTE AS window_start
   FROM sv, (SELECT unnest([0, 1, 2, 3]) AS o) offs) t GROUP BY window_start""",
+    "stream_late_rows": f"WITH {_STREAM_VALID}" + """,
+high AS (SELECT a.f AS file, (SELECT max(created_ts) FROM sv b WHERE b.file < a.f) AS high
+         FROM (SELECT unnest(range(5)) AS f) a)
+SELECT s.event_id, s.event_time FROM sv s JOIN high h ON s.file = h.file
+WHERE s.created_ts < h.high - INTERVAL 1 HOUR""",
+    "stream_hourly_type_counts": f"WITH {_STREAM_VALID}\n" + """SELECT date_trunc('hour', event_time) AS window_start,
+  date_trunc('hour', event_time) + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS event_count
+FROM sv GROUP BY 1, 3""",
+    "landing_bronze": f"WITH {_LANDING_CTES}\n" + """SELECT id, type, created_at, repo_id, repo_name, repo_url,
+  actor_id, actor_login, COALESCE(payload_json, 'null') AS payload_json, source_repo, absent_keys,
+  'true' AS unknown_field_or_raw FROM bronze
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, source_repo, '_corrupt_record', raw FROM broken""",
+    "landing_silver": with_silver("SELECT event_id, event_type, created_at, source_repo FROM silver"),
+    "landing_quarantine": f"WITH {_LANDING_CTES}\n" + """SELECT id AS event_id, type, source_repo, reason AS reject_reason
+FROM labeled WHERE reason IS NOT NULL
+UNION ALL SELECT NULL, NULL, source_repo, 'corrupt_record' FROM broken""",
+    "incremental_run_bronze": with_runs("SELECT id, _batch_id, _arrival_seq FROM labels"),
+    "incremental_run_silver": with_runs(
+        f"SELECT id AS event_id, type AS event_type, _batch_id, COALESCE(created_ts, {RUN_TS}) AS created_at FROM kept"),
+    "incremental_run_quarantine": with_runs("""SELECT id AS event_id, type, _batch_id, _arrival_seq,
+  reason AS reject_reason FROM labels WHERE reason IS NOT NULL"""),
+    "incremental_run_quality": with_runs("""SELECT _batch_id, count(*) AS total,
+  count(*) FILTER (WHERE reason IS NULL) AS valid, count(*) FILTER (WHERE reason IS NOT NULL) AS filtered,
+  count(*) FILTER (WHERE reason IS NOT NULL AND reason NOT IN
+                   ('late', 'duplicate', 'type_filtered', 'already_in_silver')) AS invalid,
+  count(*) FILTER (WHERE reason = 'late') AS late, count(*) FILTER (WHERE reason = 'duplicate') AS duplicates,
+  count(*) FILTER (WHERE reason = 'type_filtered') AS type_filtered,
+  count(*) FILTER (WHERE reason = 'already_in_silver') AS already_in_silver FROM labels GROUP BY _batch_id"""),
+    "incremental_run_watermarks": with_runs("SELECT source_repo, watermark FROM w3"),
+    "layer_latest": with_runs("SELECT id AS event_id, _batch_id FROM s3"),
+    "layer_as_of": with_runs("SELECT id AS event_id, _batch_id FROM kept WHERE _batch_id <= '2024-01-20'"),
+    "gold_read_latest": with_runs(f""", silver AS ({_silver_from('s3')})
+SELECT *, CAST(row_number() OVER (ORDER BY total_events DESC, repo_name ASC) AS INTEGER) AS rank
+FROM ({_REPO_METRICS}) m ORDER BY total_events DESC, repo_name ASC LIMIT 10""").replace(
+        "\n, silver AS", ",\nsilver AS", 1),
+    "gold_latest_repo_metrics": with_runs(f""", silver AS ({_silver_from('s3')})
+SELECT *, '2024-01-30' AS _batch_id FROM ({_REPO_METRICS}) m""").replace("\n, silver AS", ",\nsilver AS", 1),
+    "gold_history_daily": with_runs("\nUNION ALL ".join(f"""SELECT event_date, count(*) AS event_count,
+  count(DISTINCT repo_name) AS active_repos_count, '{b}' AS _batch_id FROM {_run_silver(k)} GROUP BY event_date"""
+                                                       for k, b in enumerate(C.testdata.BATCHES, 1))),
+    "metrics_document_lines": _document(),
+    "pipeline_stats": with_runs("""SELECT 'failed' AS status, true AS error_kept,
+  TIMESTAMP '2024-02-03 00:01:00' AS last_success, (SELECT max(watermark) FROM w3) AS last_processed,
+  4 + (SELECT count(DISTINCT source_repo) FROM s1) + (SELECT count(DISTINCT source_repo) FROM s2)
+    + (SELECT count(DISTINCT source_repo) FROM s3) AS control_rows"""),
+    "status_summary": with_runs(f"""SELECT true AS data_available, (SELECT count(*) FROM s3) AS total_events,
+  {RUN_TS} AS last_update, 'failed' AS last_run_status"""),
+    "run_history": with_runs(f", {_RUN_ROWS} SELECT * FROM runs").replace("\n, runs AS", ",\nruns AS", 1),
+    "pipeline_health": with_runs(f""", {_RUN_ROWS} SELECT 'events' AS pipeline, count(*) AS n_runs,
+  75.0::DOUBLE AS success_rate_pct, 'failed' AS last_run_status, 120.0::DOUBLE AS last_duration_seconds,
+  CAST(sum(records_processed) AS BIGINT) AS records_run, 'failed' AS checkpoint_status,
+  (SELECT count(*) FROM kept) AS records_committed, (SELECT max(watermark) FROM w3) AS last_watermark
+FROM runs""").replace("\n, runs AS", ",\nruns AS", 1),
+    "run_metrics_daily": with_runs(f""", {_RUN_ROWS} SELECT CAST(start_time AS DATE) AS run_date, count(*) AS n_runs,
+  count(*) FILTER (WHERE status <> 'success') AS n_failed,
+  round(100.0 * count(*) FILTER (WHERE status = 'success') / count(*), 1) AS success_rate_pct,
+  CAST(sum(records_processed) AS BIGINT) AS records_processed, avg(duration_seconds) AS avg_duration_seconds
+FROM runs GROUP BY 1""").replace("\n, runs AS", ",\nruns AS", 1),
+    "retention_of_batches": with_runs(f"""SELECT _batch_id, age_days, layer,
+  CASE WHEN layer = 'bronze' AND age_days >= 365 THEN 'expire' WHEN layer = 'bronze' AND age_days >= 90 THEN 'archive'
+       WHEN layer = 'silver' AND age_days >= 180 THEN 'archive' ELSE 'keep' END AS action, row_count
+FROM (SELECT _batch_id, layer, row_count,
+        CAST(date_diff('day', CAST(_batch_id AS DATE), DATE '{C.RETENTION_AS_OF[:10]}') AS INTEGER) AS age_days
+      FROM (SELECT _batch_id, 'bronze' AS layer, count(*) AS row_count FROM labels GROUP BY 1
+            UNION ALL SELECT _batch_id, 'silver', count(*) FROM kept GROUP BY 1) a) b"""),
+    "retention_applied": with_runs("""SELECT _batch_id, count(*) AS row_count,
+  CASE WHEN _batch_id = '2024-01-10' THEN 'archive' ELSE 'keep' END AS place FROM labels GROUP BY _batch_id"""),
+    "daily_series_ordered": with_silver("""SELECT event_date, count(*) AS event_count,
+  count(DISTINCT repo_name) AS active_repos_count, CAST(rank() OVER (ORDER BY event_date) AS INTEGER) AS position
+FROM silver GROUP BY event_date"""),
+    "hourly_series_ordered": with_silver("""SELECT hour_key, event_count,
+  CAST(rank() OVER (ORDER BY hour_key) AS INTEGER) AS position FROM (
+  SELECT strftime(created_at, '%Y-%m-%dT%H') AS hour_key, count(*) AS event_count FROM silver GROUP BY 1) t"""),
+    "event_type_distribution": with_silver("""SELECT event_type, event_count,
+  CAST(row_number() OVER (ORDER BY event_count DESC, event_type) AS INTEGER) AS position FROM (
+  SELECT event_type, count(*) AS event_count FROM silver GROUP BY event_type) t"""),
+    "time_of_day_ordered": with_silver("""SELECT time_of_day, count(*) AS event_count, CAST(row_number() OVER (
+  ORDER BY list_position(['morning', 'afternoon', 'evening', 'night'], time_of_day)) AS INTEGER) AS position
+FROM silver GROUP BY time_of_day"""),
+    "repo_head_15": with_silver("""SELECT *, CAST(row_number() OVER (ORDER BY event_count DESC, repo_name) AS INTEGER) AS rank
+FROM (SELECT repo_name, count(event_id) AS event_count, count(DISTINCT actor_login) AS actor_nunique,
+        min(created_at) AS first_event, max(created_at) AS last_event FROM silver GROUP BY repo_name) t
+ORDER BY event_count DESC, repo_name LIMIT 15"""),
+    "contributor_head_10": with_silver("""SELECT a.actor_login, a.event_count, a.repo_nunique,
+  (SELECT event_type FROM silver s WHERE s.actor_login = a.actor_login GROUP BY event_type
+   ORDER BY count(*) DESC, event_type LIMIT 1) AS modal_event_type, a.rank
+FROM (SELECT actor_login, count(event_id) AS event_count, count(DISTINCT repo_name) AS repo_nunique,
+        CAST(row_number() OVER (ORDER BY count(event_id) DESC, actor_login) AS INTEGER) AS rank
+      FROM silver WHERE actor_login IS NOT NULL GROUP BY actor_login) a WHERE a.rank <= 10"""),
+    "shape_types": "SELECT * FROM (VALUES " + ", ".join(
+        f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(_FLAT_TYPES)) + ") t(position, column_name, data_type)",
+    "silver_not_in_future": f"WITH {BASE_CTES},\nvalid AS (SELECT * FROM req WHERE req_reason IS NULL "
+        f"AND NOT COALESCE(created_ts > {RUN_TS}, false)),\nsurv AS ({_first_wins('valid')})\n"
+        "SELECT id AS event_id, type AS event_type, _arrival_seq FROM surv",
+    "dedup_content_no_id": with_silver(f"""SELECT event_id, event_type, _arrival_seq, _content_hash_no_id AS _content_hash
+FROM (SELECT *, row_number() OVER (PARTITION BY _content_hash_no_id ORDER BY _arrival_seq) AS rn
+      FROM ({_silver_from('valid')}) a) b WHERE rn = 1"""),
 }

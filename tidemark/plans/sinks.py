@@ -1,29 +1,52 @@
-"""Layer sinks: Bronze / Silver / Gold writes, CSV export, streaming append."""
+"""Layer sinks and readers.
+
+Every layer is a folder of versions, ``_batch_id=<batch>/_run_id=<run>``.  A
+run writes its own version and nothing else; the commit row in the control
+table makes it visible, and a batch that is run again replaces the earlier
+version by committing a later one, also when the new one is empty.  Readers
+see committed versions only.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
-from tidemark.schemas import BRONZE
+VERSION = ("_batch_id", "_run_id")
 
 
-def write_bronze(bronze: DataFrame, path: str) -> None:
-    """Immutable raw layer, one partition per batch (Variant payload kept)."""
-    bronze.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("_batch_id").parquet(path)
+def version_path(path: str, batch_id: str, run_id: str) -> str:
+    return f"{path}/_batch_id={batch_id}/_run_id={run_id}"
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BRONZE).parquet(path)
+def write_version(df: DataFrame, path: str, batch_id: str, run_id: str) -> None:
+    """One batch version of a layer.  An empty one has a file with the schema;
+    a retried write replaces its own files."""
+    df.drop(*VERSION).write.mode("overwrite").parquet(version_path(path, batch_id, run_id))
 
 
-def write_partitioned(df: DataFrame, path: str, by: str = "_batch_id") -> None:
-    """Dynamic overwrite: a re-run of a batch replaces only that batch."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+def read_version(spark: SparkSession, path: str, schema: T.StructType, batch_id: str, run_id: str) -> DataFrame:
+    """The version that a run wrote, before it is committed."""
+    fields = T.StructType([f for f in schema.fields if f.name not in VERSION])
+    return spark.read.schema(fields).parquet(version_path(path, batch_id, run_id)).withColumn(
+        "_batch_id", F.lit(batch_id))
 
 
-def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.mode("append").format(fmt).save(path)
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A table, or no rows where nothing has been written yet.  Any other
+    fault, such as a permission or a network error, is raised."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def write_partitioned(df: DataFrame, path: str, by: str = "_batch_id") -> None:
+    """Dynamic overwrite: replaces the partitions that ``df`` has rows for."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -31,29 +54,27 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_latest(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
-def read_layer(spark: SparkSession, path: str, scope: str = "all",
-               committed_batches: DataFrame | None = None, as_of_batch: str | None = None) -> DataFrame:
-    """Read a batch-partitioned layer.
+def read_layer(spark: SparkSession, path: str, schema: T.StructType, committed: DataFrame,
+               scope: str = "all", as_of_batch: str | None = None) -> DataFrame:
+    """Read the committed versions of a layer.
 
-    ``scope='latest'``: only the newest committed batch; ``'all'``: every
-    committed batch.  ``as_of_batch`` gives a versioned read (batches up to
-    it).  ``committed_batches`` (column ``_batch_id``) restricts to batches
-    that have a success control row.
+    ``committed`` (``state.committed_versions``) has ``_batch_id``, ``_run_id``
+    and ``committed_at``.  ``scope='latest'`` reads the batch committed last,
+    ``'all'`` every batch; ``as_of_batch`` the state when that batch was
+    committed.
     """
     if scope not in ("all", "latest"):
         raise ValueError(f"invalid scope: {scope}")
-    df = spark.read.parquet(path)
-    if committed_batches is not None:
-        df = df.join(committed_batches.select("_batch_id").distinct(), "_batch_id", "left_semi")
     if as_of_batch is not None:
-        df = df.filter(F.col("_batch_id") <= as_of_batch)
+        at = committed.where(F.col("_batch_id") == as_of_batch).agg(F.max("committed_at")).scalar()
+        committed = committed.where(F.col("committed_at") <= at)
     if scope == "latest":
-        df = df.filter(F.col("_batch_id") == df.agg(F.max("_batch_id")).scalar())
-    return df
+        committed = committed.where(F.col("_batch_id") == committed.agg(
+            F.max_by("_batch_id", F.struct("committed_at", "_batch_id"))).scalar())
+    fields = [f for f in schema.fields if f.name not in VERSION]
+    whole = T.StructType([*fields, *[T.StructField(c, T.StringType()) for c in VERSION]])
+    return read_or_empty(spark, path, whole).join(
+        committed.select(*VERSION), list(VERSION), "left_semi").drop("_run_id")
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:

@@ -4,8 +4,8 @@ A checkpoint is a row appended to the control table AFTER the batch's data
 is written; readers trust only batches that have a successful control row
 (see operators.incremental.committed).  Nothing is updated in place, so a
 crash between the data write and the control append leaves the batch
-uncommitted and the next run simply redoes it (dynamic partition overwrite
-makes the redo replace, not duplicate).
+uncommitted and the next run simply redoes it: it writes a version of its own,
+and readers take the version that was committed last.
 """
 
 from __future__ import annotations
@@ -15,24 +15,29 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.plans.sinks import read_or_empty
 from tidemark.schemas import CONTROL, RUN
 
 
-def _empty(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def read_control(spark: SparkSession, path: str) -> DataFrame:
+    """Control rows; a table that is not there yet means bootstrap (no rows)."""
+    return read_or_empty(spark, path, CONTROL)
 
 
-def read_control(spark: SparkSession, path: str) -> DataFrame:
-    """Control rows; a missing or unreadable table means bootstrap (no rows)."""
-    try:
-        return spark.read.schema(CONTROL).parquet(path)
-    except Exception:  # noqa: BLE001 - absent / corrupt -> no checkpoint
-        return _empty(spark, CONTROL)
+def succeeded(control: DataFrame, pipeline: str) -> DataFrame:
+    return control.filter((F.col("pipeline") == pipeline) & (F.col("status") == "success"))
+
+
+def committed_versions(control: DataFrame, pipeline: str) -> DataFrame:
+    """The run whose version of a batch counts: the one committed last."""
+    last = F.max(F.struct(F.col("execution_timestamp").alias("at"), "run_id"))
+    return (succeeded(control, pipeline).groupBy("_batch_id").agg(last.alias("_l"))
+            .select("_batch_id", F.col("_l.run_id").alias("_run_id"), F.col("_l.at").alias("committed_at")))
 
 
 def last_watermarks(control: DataFrame, pipeline: str) -> DataFrame:
     """(source_repo, watermark) from successful commits; no row = bootstrap."""
-    ok = control.filter((F.col("pipeline") == pipeline) & (F.col("status") == "success"))
+    ok = succeeded(control, pipeline).filter(F.col("source_repo").isNotNull())
     return ok.groupBy("source_repo").agg(F.max("last_processed_timestamp").alias("watermark"))
 
 
@@ -42,10 +47,13 @@ def global_watermark(control: DataFrame, pipeline: str) -> DataFrame:
 
 def commit(spark: SparkSession, path: str, pipeline: str, run_id: str, batch_id: str,
            watermarks: DataFrame, execution_ts: dt.datetime, metadata: dict | None = None) -> None:
-    """Append one success row per source (watermark + records processed)."""
+    """Append the success rows of a batch: one for the batch (no source), and
+    one per source in ``watermarks`` (watermark + records processed)."""
     meta = F.create_map(*[x for k, v in (metadata or {}).items() for x in (F.lit(k), F.lit(str(v)))]) \
         if metadata else F.lit(None).cast("map<string,string>")
-    rows = watermarks.select(
+    batch = spark.createDataFrame([(None, None, int((metadata or {}).get("records", 0)))],
+                                  "source_repo string, watermark timestamp, records_processed long")
+    rows = batch.unionByName(watermarks.select("source_repo", "watermark", "records_processed")).select(
         F.lit(pipeline).alias("pipeline"), "source_repo",
         F.col("watermark").alias("last_processed_timestamp"),
         F.col("records_processed").cast("long").alias("records_processed"),
@@ -53,7 +61,7 @@ def commit(spark: SparkSession, path: str, pipeline: str, run_id: str, batch_id:
         F.lit("success").alias("status"), F.lit(run_id).alias("run_id"),
         F.lit(batch_id).alias("_batch_id"), F.lit(None).cast("string").alias("error_message"),
         meta.alias("metadata"))
-    rows.write.mode("append").parquet(path)
+    rows.coalesce(1).write.mode("append").parquet(path)  # one row a source: one small file, all or nothing
 
 
 def mark_failed(spark: SparkSession, path: str, pipeline: str, run_id: str, batch_id: str,
@@ -99,7 +107,4 @@ class RunTracker:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(RUN).json(path)
-    except Exception:  # noqa: BLE001
-        return _empty(spark, RUN)
+    return read_or_empty(spark, path, RUN, "json")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,7 +62,7 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         # spark.checkpoint.dir is a core setting (read-only at runtime); the
         # context's checkpoint folder is the runtime equivalent.
@@ -70,10 +72,17 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     return path
 
 
-def materialize(df):
-    """Cut lineage: write ``df`` once to the shared checkpoint folder and
-    return a DataFrame that reads it back.  Used where several scalars or
+def materialize(df, path: str | None = None):
+    """Cut lineage: write ``df`` once as Parquet to the shared checkpoint folder
+    and return a DataFrame that reads it back.  Used where several scalars or
     tables are derived from the same expensive intermediate, so the
-    intermediate is computed once instead of once per consumer."""
-    work_dir(df.sparkSession)  # ensures a checkpoint folder (shared on a cluster)
-    return df.checkpoint(eager=True)
+    intermediate is computed once and each consumer reads only its columns."""
+    path = path or work_dir(df.sparkSession, "materialized", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a work folder that nothing will read any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -41,20 +41,28 @@ def absent_keys(v: Column) -> Column:
     return F.array_compact(F.array(*checks))
 
 
+def _is_object(e: Column) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(e), F.lit("OBJECT")), F.lit(False))
+
+
 def _events(text: Column, doc: Column) -> Column:
     """The events of a text as (e, bad): a Variant, or the text that is none.
 
-    ``doc`` is the text parsed as a whole.  What does not parse is JSON Lines if
-    it begins with an object and some line is one; else it is one bad event.
+    ``doc`` is the text parsed as a whole.  A text of several lines of which the
+    first or second is an object by itself is JSON Lines (an indented object
+    begins with a line that is none).  Other text that does not parse is one
+    bad event.
     """
     found = F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.array(doc))
     none = F.lit(None).cast("string")
     whole = F.transform(found, lambda e: F.struct(e.alias("e"), none.alias("bad")))
-    lines = F.transform(F.filter(F.split(text, r"\r?\n"), lambda x: F.trim(x) != ""), lambda x: F.struct(
+    lines = F.filter(F.split(text, r"\r?\n"), lambda x: F.trim(x) != "")
+    each = F.transform(lines, lambda x: F.struct(
         F.try_parse_json(x).alias("e"), F.when(F.try_parse_json(x).isNull(), x).alias("bad")))
-    is_lines = F.startswith(F.ltrim(text), F.lit("{")) & F.exists(lines, lambda x: x["e"].isNotNull())
+    is_lines = (F.startswith(F.ltrim(text), F.lit("{")) & (F.array_size(lines) > 1)
+                & F.exists(F.slice(lines, 1, 2), lambda x: _is_object(F.try_parse_json(x))))
     bad = F.array(F.struct(F.lit(None).cast("variant").alias("e"), text.alias("bad")))
-    return F.when(doc.isNotNull(), whole).when(is_lines, lines).otherwise(bad)
+    return F.when(is_lines, each).when(doc.isNotNull(), whole).otherwise(bad)
 
 
 def bronze_from_raw(raw: DataFrame, batch_id: str, run_ts: str, source_tag: str = "landing",

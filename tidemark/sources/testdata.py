@@ -158,3 +158,84 @@ def dirty_bronze(events: DataFrame, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
 
 def bronze_from_dir(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
     return dirty_bronze(read_events(spark, sf_dir), run_ts)
+
+
+# -- the same events as landing files ------------------------------------------
+
+CORRUPT_LINE_MOD, CORRUPT_LINE_REST = 500, 1
+LANDING_FILE_EVENTS = 500
+
+
+def _json_fields(sep: str, *fields: tuple[str, Column, Column]) -> Column:
+    """JSON object text of (name, value text or null, present) fields."""
+    parts = [F.when(present, F.concat(F.lit(f'"{name}": '), F.coalesce(value, F.lit("null"))))
+             for name, value, present in fields]
+    return F.concat(F.lit("{" + sep.lstrip(",")), F.concat_ws(sep, *parts), F.lit("}"))
+
+
+def event_json(sep: str = ", ") -> Column:
+    """A Bronze row as the raw JSON event it came from, absent keys left out."""
+    def here(key: str) -> Column:
+        return ~F.array_contains("_absent_keys", key)
+
+    def quoted(c: str) -> Column:
+        return F.concat(F.lit('"'), F.col(c), F.lit('"'))
+
+    always = F.lit(True)
+    repo = F.when(F.col("repo").isNotNull(), _json_fields(
+        ", ", ("id", F.col("repo.id").cast("string"), here("repo.id")),
+        ("name", quoted("repo.name"), here("repo.name")), ("url", quoted("repo.url"), always)))
+    return _json_fields(
+        sep, ("id", quoted("id"), here("id")), ("type", quoted("type"), here("type")),
+        ("created_at", quoted("created_at"), here("created_at")), ("repo", repo, here("repo")),
+        ("actor", F.to_json("actor", {"ignoreNullFields": "false"}), always),
+        ("payload", F.to_json("payload"), always), ("public", F.lit("true"), always))
+
+
+def write_landing(spark: SparkSession, sf_dir: str, root: str, run_ts: str = DEFAULT_RUN_TS) -> None:
+    """The dirty events as landing files by source: those with even ids as
+    indented JSON arrays, the others as JSON Lines with a broken line here and
+    there.  All copies of an event are in one file, in arrival order."""
+    events = read_events(spark, sf_dir)
+    chunks = max(1, events.count() // (100 * LANDING_FILE_EVENTS))
+    rows = dirty_bronze(events, run_ts).withColumn("eid", F.pmod("_arrival_seq", F.lit(RETYPE_SEQ_OFFSET)))
+    rows = rows.select("eid", F.col("_arrival_seq").alias("seq"), F.split("source_repo", "/")[0].alias("owner"),
+                       F.split("source_repo", "/")[1].alias("repo_dir"), event_json(",\n    ").alias("indented"),
+                       event_json().alias("line"), F.pmod("eid", F.lit(chunks)).alias("chunk"))
+    broken = (F.pmod("eid", F.lit(CORRUPT_LINE_MOD)) == CORRUPT_LINE_REST) & (F.col("seq") == F.col("eid"))
+    line = F.when(broken, F.concat("line", F.lit('\n{"id": "'), F.col("eid").cast("string"), F.lit('", broken'))) \
+        .otherwise(F.col("line"))
+
+    def write(part: DataFrame, text: Column, wrap, folder: str) -> None:
+        texts = F.transform(F.array_sort(F.collect_list(F.struct("seq", text.alias("text")))), lambda x: x["text"])
+        (part.groupBy("owner", "repo_dir", "chunk").agg(wrap(texts).alias("value"))
+         .select("value", "owner", F.col("repo_dir").alias("repo"))
+         .write.partitionBy("owner", "repo").option("maxRecordsPerFile", 1).text(f"{root}/{folder}"))
+
+    write(rows.where(F.pmod("eid", F.lit(2)) == 0), F.col("indented"), lambda t: F.concat(
+        F.lit("[\n  "), F.array_join(t, ",\n  "), F.lit("\n]")), "arrays")
+    write(rows.where(F.pmod("eid", F.lit(2)) != 0), line, lambda t: F.array_join(t, "\n"), "lines")
+
+
+# -- the same events as three batches of an incremental run -----------------------
+
+# Fixed rules (shared with the SQL oracle).  Days 1-10, 11-20 and 21-31; a few
+# events of the first batch are withheld until the third, and a few are sent
+# again with the second under a later time.
+BATCHES = ("2024-01-10", "2024-01-20", "2024-01-30")
+WITHHELD_MOD, WITHHELD_REST = 40, 7
+RESENT_MOD, RESENT_REST = 50, 3
+RESENT_DAYS = 10
+RESENT_SEQ_OFFSET = 3_000_000_000
+
+
+def incremental_batches(bronze: DataFrame) -> list[DataFrame]:
+    eid = F.pmod("_arrival_seq", F.lit(RETYPE_SEQ_OFFSET))
+    day = F.dayofmonth(F.to_date("_batch_id"))
+    withheld = (F.pmod(eid, F.lit(WITHHELD_MOD)) == WITHHELD_REST) & (day <= 10)
+    again = bronze.where((day <= 10) & (F.pmod(eid, F.lit(RESENT_MOD)) == RESENT_REST)).withColumns({
+        "created_at": F.concat(F.date_add(F.to_date("_batch_id"), RESENT_DAYS).cast("string"), F.lit("T12:00:00Z")),
+        "_arrival_seq": F.col("_arrival_seq") + RESENT_SEQ_OFFSET})
+    return [bronze.where((day <= 10) & ~withheld),
+            bronze.where((day > 10) & (day <= 20)).unionByName(again),
+            bronze.where((day > 20) | withheld)]

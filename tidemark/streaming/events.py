@@ -1,11 +1,17 @@
 """Streaming Bronze -> deduplicated events -> windowed counts.
 
-Sources are file streams (new landing files become micro-batches).  Sinks
-go through ``foreachBatch`` and write each epoch to its own partition with
-overwrite, so a retried epoch replaces its own output: exactly-once on top
-of the checkpointed source offsets.  Queries run with ``availableNow``:
-everything present is processed in bounded micro-batches, then the query
-stops, which is how a scheduled incremental job runs a stream.
+Sources are file streams (new landing files become micro-batches).  Sinks go
+through ``foreachBatch`` and write each epoch to its own partition with
+overwrite, so a retried epoch replaces its own output: exactly-once on top of
+the checkpointed source offsets.  Queries run with ``availableNow``: everything
+present is processed in bounded micro-batches, then the query stops, which is
+how a scheduled incremental job runs a stream.
+
+Dedup is exact however late a copy or an event comes: the first copy of an id
+in arrival order survives in its micro-batch, and ids of earlier epochs are
+anti-joined.  The table of ids takes the place of stream state, so there is no
+watermark that could drop rows; an event older than the times seen before it
+(less a delay) is kept and recorded as late.
 """
 
 from __future__ import annotations
@@ -13,45 +19,37 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.timefns import parse_event_time, ts_literal
-from tidemark.operators import validate
-from tidemark.session import work_dir
+from tidemark.operators import dedup, validate
+from tidemark.plans.sinks import read_or_empty
+from tidemark.session import configure, work_dir
 from tidemark.sources.testdata import DEFAULT_RUN_TS, dirty_bronze
 
 EPOCH = "_epoch"
-
-
-def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The driver's ``events`` parquet as a file stream (schema from the file)."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .option("pathGlobFilter", "events.parquet")
-            .parquet(sf_dir))
+EVENTS = T.StructType([
+    T.StructField("id", T.StringType()), T.StructField("event_type", T.StringType()),
+    T.StructField("repo_name", T.StringType()), T.StructField("_batch_id", T.StringType()),
+    T.StructField("event_time", T.TimestampType()), T.StructField("_ts_fallback", T.BooleanType()),
+    T.StructField("late", T.BooleanType()), T.StructField(EPOCH, T.LongType())])
 
 
 def with_event_time(bronze: DataFrame, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
     """Valid Bronze rows with ``event_time`` (fallback: the run timestamp)."""
+    parsed = parse_event_time("created_at")
     return (validate.required_ok(bronze)
-            .withColumn("event_time", F.coalesce(parse_event_time("created_at"), ts_literal(run_ts))))
-
-
-def dedup_stream(valid: DataFrame, delay: str = "1 hour", key: str = "id") -> DataFrame:
-    """Streaming dedup by id.  State is kept for ``delay`` past the watermark,
-    so it stays bounded however long the stream runs."""
-    return valid.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([key])
+            .withColumn("event_time", F.coalesce(parsed, ts_literal(run_ts)))
+            .withColumn("_ts_fallback", parsed.isNull()))
 
 
 def windowed_counts(events: DataFrame, duration: str, slide: str | None = None,
-                    delay: str | None = None) -> DataFrame:
-    """Event counts per tumbling (or sliding) event-time window.  Pass
-    ``delay`` unless ``events`` already carries a watermark."""
+                    by: tuple[str, ...] = ()) -> DataFrame:
+    """Event counts per tumbling (or sliding) event-time window, and ``by``."""
     w = F.window("event_time", duration, slide) if slide else F.window("event_time", duration)
-    src = events.withWatermark("event_time", delay) if delay else events
-    return (src.groupBy(w.alias("w"))
+    return (events.groupBy(w.alias("w"), *by)
             .agg(F.count(F.lit(1)).alias("event_count"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
                     "event_count"))
 
 
@@ -61,72 +59,119 @@ def run_available_now(df: DataFrame, out: str, checkpoint: str, mode: str = "app
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/{EPOCH}={epoch_id}")
 
+    each_batch(df, write, checkpoint, mode)
+
+
+def each_batch(df: DataFrame, write, checkpoint: str, mode: str = "append") -> None:
     q = (df.writeStream.outputMode(mode).foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def dedup_to_table(bronze_stream: DataFrame, root: str, run_ts: str = DEFAULT_RUN_TS,
+                   delay: str = "1 hour", windows: dict[str, tuple] | None = None) -> None:
+    """Run a Bronze stream into ``root``: ``events`` (each id once), ``windows``
+    (counts an epoch adds, by name of the window), ``pairs`` and ``daily``
+    (distinct repositories of the dates that an epoch touched)."""
+    spark = bronze_stream.sparkSession
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        before = F.col(EPOCH) < epoch
+        known = read_or_empty(spark, f"{root}/events", EVENTS).where(before).select("id")
+        high = read_or_empty(spark, f"{root}/high", "high timestamp, _epoch long").where(before).agg(F.max("high")).scalar()
+        firsts = dedup.first_wins(with_event_time(batch, run_ts)).join(known, "id", "left_anti")
+        late = ~F.col("_ts_fallback") & (F.col("event_time") < high - F.expr(f"INTERVAL {delay}"))
+        rows = firsts.select("id", F.col("type").alias("event_type"), F.col("repo.name").alias("repo_name"),
+                             "_batch_id", "event_time", "_ts_fallback",
+                             F.coalesce(late, F.lit(False)).alias("late"))
+        rows.write.mode("overwrite").parquet(f"{root}/events/{EPOCH}={epoch}")
+        done = read_or_empty(spark, f"{root}/events/{EPOCH}={epoch}", T.StructType(EVENTS.fields[:-1]))
+        done.agg(F.max(F.when(~F.col("_ts_fallback"), F.col("event_time"))).alias("high")) \
+            .write.mode("overwrite").parquet(f"{root}/high/{EPOCH}={epoch}")
+        for name, (duration, slide, by) in (windows or {}).items():
+            windowed_counts(done, duration, slide, by).write.mode("overwrite").parquet(
+                f"{root}/windows/{name}/{EPOCH}={epoch}")
+        pairs = done.select(F.to_date("event_time").alias("event_date"), "repo_name").distinct()
+        (pairs.withColumn(EPOCH, F.lit(epoch).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("event_date", EPOCH).parquet(f"{root}/pairs"))
+        # Only the folders of the dates that this epoch touched are read.
+        touched = done.select(F.to_date("event_time").alias("event_date")).distinct()
+        every = read_or_empty(spark, f"{root}/pairs", "repo_name string, event_date date, _epoch long")
+        (every.join(touched, "event_date", "left_semi").groupBy("event_date")
+         .agg(F.count_distinct("repo_name").alias("active_repos_count"))
+         .write.mode("overwrite").parquet(f"{root}/daily/{EPOCH}={epoch}"))
+
+    each_batch(bronze_stream, each, f"{root}/checkpoint")
+
+
+def folded_counts(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts add up over epochs, as each id was counted in one of them."""
+    return updates.groupBy(*keys).agg(F.sum("event_count").alias("event_count"))
+
+
 def latest_per_key(updates: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
-    """Fold an update-mode log: the value from the latest epoch per key."""
-    e = F.col(EPOCH).cast("long")
-    latest = F.max_by(F.struct(*value_cols), e)
+    """Fold an update log: the values from the latest epoch per key."""
+    latest = F.max_by(F.struct(*value_cols), F.col(EPOCH).cast("long"))
     return updates.groupBy(*keys).agg(latest.alias("_v")).select(*keys, *[F.col(f"_v.{c}").alias(c)
                                                                           for c in value_cols])
 
 
-def _scratch(spark: SparkSession, name: str) -> tuple[str, str]:
-    base = work_dir(spark, "streams", f"{name}-{uuid.uuid4().hex}")
-    return f"{base}/out", f"{base}/checkpoint"
+# -- the driver's events as a stream of several files, out of time order ------
 
+# Fixed rule (shared with the SQL oracle): the file in which an event arrives.
+FEED_FILES = 5
+FALLBACK_MODS = (101, 149, 151)
+RESENT_MOD = 20
 
-def stream_dedup_result(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
-    out, chk = _scratch(spark, "dedup")
-    s = dedup_stream(with_event_time(dirty_bronze(events_stream(spark, sf_dir), run_ts), run_ts))
-    run_available_now(s.select(F.col("id").alias("event_id"), "_batch_id"), out, chk, "append")
-    return spark.read.parquet(out).drop(EPOCH)
 
+def feed_file() -> F.Column:
+    fallback = F.lit(False)
+    for m in FALLBACK_MODS:
+        fallback = fallback | (F.pmod("event_id", F.lit(m)) == 0)
+    return F.when(fallback, F.lit(0)).otherwise(F.pmod(F.dayofmonth("ts") * 3, F.lit(FEED_FILES)))
 
-def stream_window_result(spark: SparkSession, sf_dir: str, duration: str, slide: str | None = None,
-                         run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
-    out, chk = _scratch(spark, "windows")
-    ev = dedup_stream(with_event_time(dirty_bronze(events_stream(spark, sf_dir), run_ts), run_ts))
-    run_available_now(windowed_counts(ev, duration, slide), out, chk, "update")
-    folded = latest_per_key(spark.read.parquet(out), ["window_start", "window_end"], ["event_count"])
-    return folded.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                         "event_count")
 
+def write_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``events`` as FEED_FILES appends, days out of order and rows without a
+    usable time first, and one more append that sends some of them again."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for k in range(FEED_FILES):
+        events.where(feed_file() == k).write.mode("append").parquet(path)
+    events.where(F.pmod("event_id", F.lit(RESENT_MOD)) == 0).write.mode("append").parquet(path)
 
-def stream_daily_distinct_result(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS,
-                                 max_files_per_trigger: int = 1) -> DataFrame:
-    """Exact distinct repos per day on a stream (exact distinct aggregates
-    are not supported in streaming aggregations).
 
-    Each micro-batch appends its distinct (date, repo) pairs to a pairs table
-    partitioned by date, then recomputes the exact count for the dates it
-    touched only (a semi-join on the partition column, so dynamic partition
-    pruning reads just those dates) and writes them as the epoch's update.
-    The result folds the latest update per date.  Re-running an epoch
-    rewrites the same pairs and counts, so retries are harmless.
-    """
-    base = work_dir(spark, "streams", f"distinct-{uuid.uuid4().hex}")
-    pairs, daily, chk = f"{base}/pairs", f"{base}/daily", f"{base}/checkpoint"
-    ev = dedup_stream(with_event_time(dirty_bronze(
-        events_stream(spark, sf_dir, max_files_per_trigger), run_ts), run_ts))
-    src = ev.select(F.to_date("event_time").alias("event_date"), F.col("repo.name").alias("repo_name"))
+WINDOWS = {"hourly": ("1 hour", None, ("event_type",)), "sliding": ("1 hour", "15 minutes", ())}
+_RUNS: dict[tuple, str] = {}
+
+
+def stream_run(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -> str:
+    """The folder of one streaming run over the feed (once a session and input)."""
+    key = (spark.sparkContext.applicationId, sf_dir, run_ts)
+    if key not in _RUNS:
+        root = work_dir(configure(spark), "streams", uuid.uuid4().hex)
+        write_feed(spark, sf_dir, f"{root}/feed")
+        schema = spark.read.parquet(f"{root}/feed").schema
+        feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feed")
+        dedup_to_table(dirty_bronze(feed, run_ts), root, run_ts, windows=WINDOWS)
+        _RUNS[key] = root
+    return _RUNS[key]
+
+
+def stream_events(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
+    return read_or_empty(spark, f"{stream_run(spark, sf_dir, run_ts)}/events", EVENTS)
 
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        p = batch.select("event_date", "repo_name").distinct()
-        p.write.mode("overwrite").parquet(f"{pairs}/{EPOCH}={epoch_id}")
-        touched = p.select("event_date").distinct()
-        counts = (batch.sparkSession.read.parquet(pairs).join(touched, "event_date", "left_semi")
-                  .groupBy("event_date").agg(F.count_distinct("repo_name").alias("active_repos_count")))
-        counts.write.mode("overwrite").parquet(f"{daily}/{EPOCH}={epoch_id}")
-
-    q = (src.writeStream.outputMode("append").foreachBatch(write)
-         .option("checkpointLocation", chk).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return latest_per_key(spark.read.parquet(daily), ["event_date"], ["active_repos_count"])
+
+def stream_windows(spark: SparkSession, sf_dir: str, name: str, by: tuple[str, ...] = (),
+                   run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
+    updates = spark.read.parquet(f"{stream_run(spark, sf_dir, run_ts)}/windows/{name}")
+    counts = folded_counts(updates, ["window_start", "window_end", *by])
+    return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                         F.col("window_end").cast("timestamp_ntz").alias("window_end"), *by, "event_count")
+
+
+def stream_daily_distinct(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
+    daily = spark.read.parquet(f"{stream_run(spark, sf_dir, run_ts)}/daily")
+    return latest_per_key(daily, ["event_date"], ["active_repos_count"])
 
 
 def stream_to_layers(spark: SparkSession, bronze_stream: DataFrame, root: str, run_ts: str,
@@ -134,11 +179,11 @@ def stream_to_layers(spark: SparkSession, bronze_stream: DataFrame, root: str, r
                      event_types=None) -> None:
     """Streaming ingest into Bronze / Silver / Gold with exactly-once batches.
 
-    Each micro-batch is handed to the incremental batch run under the batch
-    id ``e<epoch>``: watermark filter, first-wins Silver (a batch window is
-    allowed inside foreachBatch), anti-join against committed Silver, Gold,
-    and the control-row commit.  A retried epoch re-runs the same batch id,
-    which replaces its own partitions, so output is exactly-once.
+    Each micro-batch is handed to the incremental batch run under the batch id
+    ``e<epoch>``: labels, first-wins Silver (a batch window is allowed inside
+    foreachBatch), anti-join against committed ids, Gold, and the control-row
+    commit.  A retried epoch runs the same batch id again, which replaces its
+    version of the batch, so output is exactly-once.
     """
     from tidemark.plans.incremental_run import run_batch
 
@@ -148,6 +193,4 @@ def stream_to_layers(spark: SparkSession, bronze_stream: DataFrame, root: str, r
         if stats["status"] != "success":
             raise RuntimeError(f"epoch {epoch_id} failed: {stats['error']}")
 
-    q = (bronze_stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    each_batch(bronze_stream, each, checkpoint)
