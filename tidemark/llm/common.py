@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
 
-#: Rows that go to a Python worker at once: a few MB of texts.
-ARROW_ROWS = "1000"
+#: Rows that go to a Python worker at once: a MB or two of texts.
+ARROW_ROWS = "400"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"

@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import batched, hash128, staged
 from tidemark.llm.graph import components
 
-#: Tokens that a bucket holds on average, and rows of a group opened at once.
-BUCKET_TOKENS = 1 << 21
+#: Tokens that a bucket holds on average, and sets or queries of a group opened at once.
+BUCKET_TOKENS = 1 << 20
 GROUP_ROWS = 256
 #: Bytes of text that a task hashes at once.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 
 _U = np.uint64
 _BASE, _STEP = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
@@ -422,7 +422,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     pairs = staged(pairs, "pairs")
     asked = pairs.groupBy("group", "gsize").agg(F.count(F.lit(1)).alias("q")).select(
         "group", F.ceil(F.col("gsize") / GROUP_ROWS).cast("int").alias("chunks"),
-        F.ceil(F.col("q") / 1024).cast("int").alias("salts"))
+        F.ceil(F.col("q") / GROUP_ROWS).cast("int").alias("salts"))
     asked = staged(asked, "asked")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     members = (sets.join(asked, F.col("comp") == F.col("group")).withColumn(
