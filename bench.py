@@ -50,10 +50,12 @@ def main() -> None:
     root = work_dir(spark, "bench", uuid.uuid4().hex)
     medallion.run_layers(spark, catalog.bronze(spark, sf_dir), root, catalog.RUN_TS)
     times["medallion_run"] = round(time.perf_counter() - t0, 3)
+    cells, rows = (spark.read.parquet(f"{root}/{x}").count() for x in ("cuboid", "silver"))
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
+                      "queries": times, "sf": float(m.group(1)) if m else sf_dir,
+                      "cuboid_cells": cells, "silver_rows": rows}))
     spark.stop()
 
 
