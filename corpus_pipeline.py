@@ -24,15 +24,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines shared by many documents stay in one of them; documents left
-    without a line that says anything go."""
-    columns = docs.columns
+    """Lines shared by many documents stay in one of them.  All documents stay,
+    also those left without a line."""
     out = line_dedup.dedup_lines(docs)
-    if "n_chars" in columns:
+    if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text"))
                              .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    emptied = (F.col("n_dropped") > 0) & (F.length(F.trim("text")) == 0)
-    return out.where(~emptied).select(*[F.col(f"`{c}`") for c in columns])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,7 @@ def test_stages_catch_planted_cases_and_keep_clean_ones(spark, tmp_dir):
     clean = {i for i, y in labels if not y}
     assert all(clean <= set(s) for s in seen.values())
     assert not {i for i, y in labels if y} & set(seen["toxicity"]) and 2020 not in seen["toxicity"]
+    assert seen["line_dedup"].keys() == seen["toxicity"].keys()
     assert [shared in seen["line_dedup"][2010 + k] for k in range(4)] == [False, False, False, True]
     assert {2000, 2001, 2002} & set(seen["jaccard_join"]) == {2000}
     assert item in seen["jaccard_join"][2003] and item not in seen["decontaminate"][2003]

@@ -150,8 +150,8 @@ def scan(docs: DataFrame) -> DataFrame:
         run, f"uid long, doc_id long, base {S.SPANS}, found {found}")
 
 
-def bootstrap(edges: DataFrame, rounds: int = 3, least_support: float = 3.0,
-              least_pattern: float = 0.7, least_instance: float = 0.7) -> DataFrame:
+def bootstrap(edges: DataFrame, rounds: int = 3, least_support: float = 5.0,
+              least_pattern: float = 0.8, least_instance: float = 0.8) -> DataFrame:
     """Instances that confident patterns discover: ``edges(instance, pattern,
     seed)`` -> instance, score.
 
