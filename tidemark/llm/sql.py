@@ -56,6 +56,25 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n
        coalesce(f.n_items, 0) AS n_items, sha256(coalesce(f.keys, '')) AS items_sha256,
        p.n_hit IS NOT NULL AS contaminated
 FROM doc d LEFT JOIN place p ON d.doc_id = p.doc_id LEFT JOIN found f ON d.doc_id = f.doc_id""",
+    "op8_jaccard_join": f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, p, p + 4), ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 4) + 1)) AS p FROM doc WHERE len(ws) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS k
+  FROM shingle a JOIN shingle b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT i, j FROM pair JOIN size a ON a.doc_id = i JOIN size b ON b.doc_id = j
+  WHERE 100 * k >= 80 * (a.n + b.n - k)),
+reach AS (
+  SELECT doc_id, doc_id AS seen FROM doc
+  UNION SELECT r.doc_id, l.j FROM reach r JOIN link l ON r.seen = l.i)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+FROM doc d LEFT JOIN size s ON d.doc_id = s.doc_id
+JOIN (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id) r ON d.doc_id = r.doc_id""",
     "op9_kd_trees": """
 WITH vec AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
