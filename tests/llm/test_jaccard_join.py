@@ -61,6 +61,7 @@ def corpus(rng):
 
 def test_components_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(J, "GROUP_ROWS", 8)  # many groups, chunks and salts
+    monkeypatch.setattr(J, "BUCKET_TOKENS", 200)
     rows = corpus(random.Random(14))
     table = docs(spark, rows)
     for groupings in (0, 2):  # without groupings all links come from the matrix
@@ -87,8 +88,11 @@ def test_sets_and_bound_helpers():
     assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
     alone = [J.shingle_sets([t])[0] for t in texts]
     assert all((a == b).all() for a, b in zip(sets, alone))
-    packed = J._unpack48(J._pack48(sets[5]))
-    assert (packed == (sets[5] & J._LOW48)).all()
+    for buckets in (64, 1 << 16, 1 << 20):
+        bucket = J._bucket_of(sets[5], buckets)
+        assert int(bucket.max()) < buckets
+        back = [int(J._unpack(J._pack(sets[5][i:i + 1], buckets), int(b), buckets)[0]) for i, b in enumerate(bucket)]
+        assert len(set(back)) == len(back) and (buckets == 64 or back == sets[5].tolist())
 
 
 def test_components_of_edges(spark):

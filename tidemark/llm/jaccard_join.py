@@ -36,10 +36,11 @@ BUCKET_TOKENS = 1 << 20
 GROUP_ROWS = 256
 #: Bytes of text that a task hashes at once.
 TEXT_BYTES = 1 << 20
+#: Tokens that a task deals to buckets at once.
+PORTION_TOKENS = 1 << 20
 
 _U = np.uint64
 _BASE, _STEP = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
-_LOW48 = _U((1 << 48) - 1)
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], "u1")
 _BLANK = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
 
@@ -138,56 +139,77 @@ def document_sets(docs: DataFrame) -> DataFrame:
         run, "doc_id long, t1 long, t2 long, n long, set long")
 
 
-def _pack48(tokens: np.ndarray) -> bytes:
-    return np.ascontiguousarray(tokens.astype("<u8").view("u1").reshape(-1, 8)[:, :6]).tobytes()
+#: Up to so many buckets a token's upper bits are told by its bucket, and six
+#: bytes of it travel; beyond, all eight.
+NARROW = 1 << 16
 
 
-def _unpack48(raw: bytes) -> np.ndarray:
+def _bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    return (tokens >> _U(48) if buckets <= NARROW else tokens >> _U(16)) % _U(buckets)
+
+
+def _pack(tokens: np.ndarray, buckets: int) -> bytes:
+    raw = tokens.astype("<u8")
+    if buckets > NARROW:
+        return raw.tobytes()
+    return np.ascontiguousarray(raw.view("u1").reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _unpack(raw: bytes, bucket: int, buckets: int) -> np.ndarray:
+    if buckets > NARROW:
+        return np.frombuffer(raw, "<u8")
     out = np.zeros((len(raw) // 6, 8), "u1")
     out[:, :6] = np.frombuffer(raw, "u1").reshape(-1, 6)
-    return out.view("<u8").ravel()
+    return out.view("<u8").ravel() | _U(bucket << 48)
 
 
 def _bucketed(docs: DataFrame, buckets: int) -> DataFrame:
-    """Tokens by hash bucket: a row for each portion of documents and bucket."""
+    """Tokens by hash bucket: a row a bucket for each PORTION_TOKENS of a task."""
+
+    def rows_of(distinct: dict[int, np.ndarray]) -> pa.RecordBatch:
+        keys = np.array(list(distinct), "i8")
+        tokens = np.concatenate(list(distinct.values()))
+        owner = np.repeat(np.arange(len(keys), dtype="i4"), [len(s) for s in distinct.values()])
+        bucket = _bucket_of(tokens, buckets)
+        order = np.argsort(bucket, kind="stable")  # keeps the documents in order
+        tokens, owner, bucket = tokens[order], owner[order], bucket[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
+        rows: list[list] = [[], [], [], []]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            own, counts = np.unique(owner[a:b], return_counts=True)
+            for col, v in zip(rows, (int(bucket[a]), keys[own].tobytes(), counts.astype("<u4").tobytes(),
+                                     _pack(tokens[a:b], buckets))):
+                col.append(v)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows[0], pa.int64())] + [pa.array(c, pa.binary()) for c in rows[1:]],
+            ["bucket", "sets", "counts", "tokens"])
 
     def run(batches):
+        distinct, held = {}, 0
         for _, sets in _portions(batches):
-            distinct = {set_hash(s): s for s in sets if len(s)}
-            if not distinct:
-                continue
-            keys = np.array(list(distinct), "i8")
-            sizes = np.array([len(s) for s in distinct.values()])
-            tokens = np.concatenate(list(distinct.values()))
-            owner = np.repeat(np.arange(len(keys)), sizes)
-            bucket = (tokens >> _U(48)) % _U(buckets)
-            order = np.argsort(bucket, kind="stable")  # keeps the documents in order
-            tokens, owner = tokens[order], owner[order]
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows: list[list] = [[], [], [], []]
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                part = slice(cuts[b], cuts[b + 1])
-                own, counts = np.unique(owner[part], return_counts=True)
-                for col, v in zip(rows, (b, keys[own].tobytes(), counts.astype("<u4").tobytes(),
-                                         _pack48(tokens[part]))):
-                    col.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int32())] + [pa.array(c, pa.binary()) for c in rows[1:]],
-                ["bucket", "sets", "counts", "tokens"])
+            for s in sets:
+                if len(s) and (key := set_hash(s)) not in distinct:
+                    distinct[key] = s
+                    held += len(s)
+            if held > PORTION_TOKENS:
+                yield rows_of(distinct)
+                distinct, held = {}, 0
+        if distinct:
+            yield rows_of(distinct)
 
     return batched(docs).select(F.col("text").cast("string")).mapInArrow(
-        run, "bucket int, sets binary, counts binary, tokens binary")
+        run, "bucket long, sets binary, counts binary, tokens binary")
 
 
 def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in column] or [np.empty(0, kind)])
 
 
-def _shared(part: pa.Table, shards: int) -> pa.Table:
+def _shared(part: pa.Table, buckets: int) -> pa.Table:
     """A bucket's tokens that two sets or more hold, dealt by set."""
     bucket = part.column("bucket")[0].as_py()
     sets, counts = _joined(part.column("sets"), "<i8"), _joined(part.column("counts"), "<u4")
-    tokens = np.concatenate([_unpack48(v.as_buffer()) for v in part.column("tokens")])
+    tokens = np.concatenate([_unpack(v.as_buffer(), bucket, buckets) for v in part.column("tokens")])
     keep = np.zeros(len(sets), bool)  # equal sets from several portions count once
     keep[np.unique(sets, return_index=True)[1]] = True
     tokens, owner = tokens[np.repeat(keep, counts)], np.repeat(sets[keep], counts[keep])
@@ -196,16 +218,18 @@ def _shared(part: pa.Table, shards: int) -> pa.Table:
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(tokens)) + 1, [len(tokens)]])
     held = np.repeat(np.diff(cuts), np.diff(cuts))
     more = held > 1
-    tokens, owner, held = tokens[more] | (_U(bucket) << _U(48)), owner[more], np.minimum(held[more], 0xFFFFFFFF)
-    shard = (owner.view(_U) % _U(shards)).astype("i4")
+    tokens, owner, held = tokens[more], owner[more], np.minimum(held[more], 0xFFFFFFFF)
+    shard = owner.view(_U) % _U(buckets)
     order = np.argsort(shard, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+    shard = shard[order]
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]]) if len(shard) else [0]
     rows: list[list] = [[], [], [], []]
-    for s in np.flatnonzero(np.diff(cuts)).tolist():
-        at = order[cuts[s]:cuts[s + 1]]
-        for col, v in zip(rows, (s, owner[at].tobytes(), tokens[at].tobytes(), held[at].astype("<u4").tobytes())):
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        at = order[a:b]
+        for col, v in zip(rows, (int(shard[a]), owner[at].tobytes(), tokens[at].tobytes(),
+                                 held[at].astype("<u4").tobytes())):
             col.append(v)
-    return pa.table([pa.array(rows[0], pa.int32())] + [pa.array(c, pa.binary()) for c in rows[1:]],
+    return pa.table([pa.array(rows[0], pa.int64())] + [pa.array(c, pa.binary()) for c in rows[1:]],
                     names=["shard", "sets", "tokens", "held"])
 
 
@@ -486,9 +510,9 @@ def keep_first(docs: DataFrame, percent: int = 80, groupings: int = 4) -> DataFr
 def _classes(docs: DataFrame, sets: DataFrame, percent: int, groupings: int) -> DataFrame:
     """set, comp for the sets that have a partner or may have one."""
     total = sets.agg(F.sum("n")).first()[0] or 0
-    buckets = int(min(1 << 16, max(64, -(-total // BUCKET_TOKENS))))
+    buckets = int(max(64, -(-total // BUCKET_TOKENS)))
     shared = _bucketed(docs, buckets).groupBy("bucket").applyInArrow(
-        lambda part: _shared(part, buckets), "shard int, sets binary, tokens binary, held binary")
+        lambda part: _shared(part, buckets), "shard long, sets binary, tokens binary, held binary")
     sized = sets.select("set", "n", _shard_of("set", buckets).alias("shard"))
     rows = staged(shared.groupBy("shard").cogroup(sized.groupBy("shard")).applyInArrow(
         lambda e, s: _survivors(e, s, percent), "set long, n long, shared double, tokens binary"), "survivors")
@@ -513,4 +537,4 @@ def _shard_of(column: str, shards: int):
     x = F.col(column)
     wrap = (1 << 64) % shards
     return F.pmod(F.pmod(x, F.lit(shards)) + F.when(x < 0, F.lit(wrap)).otherwise(F.lit(0)),
-                  F.lit(shards)).cast("int")
+                  F.lit(shards)).cast("long")
