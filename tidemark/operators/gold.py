@@ -134,14 +134,6 @@ def daily_top_types(silver: DataFrame, k: int = 3) -> DataFrame:
     return top_k_per_group(counts, "event_date", [F.desc("event_count"), F.asc("event_type")], k)
 
 
-def hourly_rollup(silver: DataFrame) -> DataFrame:
-    """Hourly totals and hourly per-type counts in ONE aggregation
-    (GROUPING SETS ((hour_key), (hour_key, event_type)))."""
-    src = silver if _cube(silver) else silver.withColumn("hour_key", hour_key("created_at"))
-    return (src.rollup("hour_key", "event_type").agg(_n(silver), F.grouping_id().alias("_level"))
-            .filter(F.col("hour_key").isNotNull() & (F.col("_level") < 3)))
-
-
 def hourly_series(silver: DataFrame) -> DataFrame:
     return silver.groupBy(_hour(silver).alias("hour_key")).agg(_n(silver))
 

@@ -16,11 +16,6 @@ def watermarks(silver: DataFrame, by: str = "source_repo") -> DataFrame:
         F.count(F.lit(1)).alias("records_processed"))
 
 
-def global_watermark(silver: DataFrame) -> DataFrame:
-    """Single watermark for ``scope='global'`` parity."""
-    return silver.agg(F.max(F.when(~F.col("_ts_fallback"), F.col("created_at"))).alias("watermark"))
-
-
 def advance(previous: DataFrame, new: DataFrame, by: str = "source_repo") -> DataFrame:
     """Watermarks never regress: greatest(previous, new) per source."""
     p = previous.select(by, F.col("watermark").alias("_prev"))

@@ -17,7 +17,7 @@ from tidemark.operators import adhoc, dedup, gold, health, incremental, profile,
 from tidemark.plans import export, incremental_run, state
 from tidemark.session import configure, work_dir
 from tidemark.sources import testdata
-from tidemark.sources.landing import read_landing
+from tidemark.sources.landing import read_landing, source_counts
 from tidemark.sources.testdata import DEFAULT_RUN_TS, bronze_from_dir
 from tidemark.sources.testruns import derived_run_log
 from tidemark.streaming import events as streaming
@@ -296,6 +296,10 @@ def q_landing_bronze(spark, d):
         F.coalesce(F.get_json_object("_raw", "$.public"), F.col("_raw")).alias("unknown_field_or_raw"))
 
 
+def q_landing_source_counts(spark, d):
+    return source_counts(landing(spark, d))
+
+
 def q_landing_silver(spark, d):
     return silver.to_silver(landing(spark, d), RUN_TS).select(
         "event_id", "event_type", as_wall_clock("created_at").alias("created_at"), "source_repo")
@@ -357,6 +361,11 @@ def q_incremental_run_watermarks(spark, d):
     return state.last_watermarks(control, "events").select("source_repo", as_wall_clock("watermark").alias("watermark"))
 
 
+def q_global_watermark(spark, d):
+    control = state.read_control(spark, incremental_run.paths(runs_root(spark, d))["control"])
+    return state.global_watermark(control, "events").select(as_wall_clock("watermark").alias("watermark"))
+
+
 def q_layer_latest(spark, d):
     return incremental_run.read_silver(spark, runs_root(spark, d), scope="latest").select("event_id", "_batch_id")
 
@@ -566,6 +575,7 @@ QUERIES: dict[str, Query] = {
     "stream_daily_distinct_repos": q_stream_daily_distinct,
     # landing files
     "landing_bronze": q_landing_bronze,
+    "landing_source_counts": q_landing_source_counts,
     "landing_silver": q_landing_silver,
     "landing_quarantine": q_landing_quarantine,
     # layers and state after a sequence of runs
@@ -574,6 +584,7 @@ QUERIES: dict[str, Query] = {
     "incremental_run_quarantine": q_incremental_run_quarantine,
     "incremental_run_quality": q_incremental_run_quality,
     "incremental_run_watermarks": q_incremental_run_watermarks,
+    "global_watermark": q_global_watermark,
     "layer_latest": q_layer_latest,
     "layer_as_of": q_layer_as_of,
     "gold_read_latest": q_gold_read_latest,

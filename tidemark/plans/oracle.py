@@ -595,6 +595,10 @@ FROM sv GROUP BY 1, 3""",
   actor_id, actor_login, COALESCE(payload_json, 'null') AS payload_json, source_repo, absent_keys,
   'true' AS unknown_field_or_raw FROM bronze
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, source_repo, '_corrupt_record', raw FROM broken""",
+    "landing_source_counts": f"WITH {_LANDING_CTES}\n" + """SELECT source_repo, count(*) AS raw_events,
+  count(*) FILTER (WHERE bad) AS corrupt_rows, count(DISTINCT id) AS distinct_ids
+FROM (SELECT source_repo, id, false AS bad FROM bronze UNION ALL SELECT source_repo, NULL, true FROM broken) x
+GROUP BY source_repo""",
     "landing_silver": with_silver("SELECT event_id, event_type, created_at, source_repo FROM silver"),
     "landing_quarantine": f"WITH {_LANDING_CTES}\n" + """SELECT id AS event_id, type, source_repo, reason AS reject_reason
 FROM labeled WHERE reason IS NOT NULL
@@ -612,6 +616,7 @@ UNION ALL SELECT NULL, NULL, source_repo, 'corrupt_record' FROM broken""",
   count(*) FILTER (WHERE reason = 'type_filtered') AS type_filtered,
   count(*) FILTER (WHERE reason = 'already_in_silver') AS already_in_silver FROM labels GROUP BY _batch_id"""),
     "incremental_run_watermarks": with_runs("SELECT source_repo, watermark FROM w3"),
+    "global_watermark": with_runs("SELECT max(watermark) AS watermark FROM w3"),
     "layer_latest": with_runs("SELECT id AS event_id, _batch_id FROM s3"),
     "layer_as_of": with_runs("SELECT id AS event_id, _batch_id FROM kept WHERE _batch_id <= '2024-01-20'"),
     "gold_read_latest": with_runs(f""", silver AS ({_silver_from('s3')})

@@ -44,11 +44,6 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         return spark.createDataFrame([], schema)
 
 
-def write_partitioned(df: DataFrame, path: str, by: str = "_batch_id") -> None:
-    """Dynamic overwrite: replaces the partitions that ``df`` has rows for."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """Flat tables only (no arrays/maps/variants)."""
     df.write.mode("overwrite").option("header", True).csv(path)
