@@ -23,7 +23,7 @@ def stream_of(spark, tmp_dir, files):
                         "actor": {"id": 1, "login": "u"}} for i, t in events], f, indent=2)
         os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
     s = read_landing_stream(spark, f"{tmp_dir}/landing", "b", RUN_TS, max_files_per_trigger=1)
-    streaming.dedup_to_table(s, f"{tmp_dir}/out", RUN_TS, windows=streaming.WINDOWS)
+    streaming.dedup_to_table(s, f"{tmp_dir}/out", RUN_TS)
     return f"{tmp_dir}/out"
 
 
@@ -36,10 +36,12 @@ def test_six_micro_batches_lose_nothing(spark, tmp_dir):
     assert sorted(rows) == ["1", "2", "3", "4", "5", "6"]
     assert sorted(i for i, r in rows.items() if r.late) == ["3", "4"]
     assert rows["1"]._ts_fallback and str(rows["6"].event_time) == "2024-01-15 12:31:00"
-    hourly = streaming.folded_counts(spark.read.parquet(f"{root}/windows/hourly"), ["window_start", "event_type"])
+    panes = spark.read.parquet(f"{root}/panes")
+    hourly = streaming.windowed_counts(panes, "1 hour", by=("event_type",))
     assert sorted((str(r.window_start), r.event_count) for r in hourly.collect()) == [
         ("2024-01-14 00:00:00", 1), ("2024-01-15 10:00:00", 1), ("2024-01-15 12:00:00", 3), ("2024-02-01 00:00:00", 1)]
-    daily = streaming.latest_per_key(spark.read.parquet(f"{root}/daily"), ["event_date"], ["active_repos_count"])
+    assert streaming.windowed_counts(panes, "1 hour", "15 minutes").agg({"event_count": "sum"}).collect()[0][0] == 4 * 6
+    daily = streaming.daily_distinct(spark.read.parquet(f"{root}/pairs"))
     assert {str(r.event_date): r.active_repos_count for r in daily.collect()} == {
         "2024-01-14": 1, "2024-01-15": 4, "2024-02-01": 1}
 

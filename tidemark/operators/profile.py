@@ -43,46 +43,54 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Exact quantiles (linear between neighbours) of each column, one row each.
-
-    Values are counted, sorted by range over many tasks, and numbered by running
-    sums inside a partition set off by the partitions before it; the rows at the
-    wanted places are picked.  No task holds the values of a column."""
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each value of each column once, written sorted by range over many tasks:
+    column_name, x, n and the partition it is in."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column_name", "x")
     counts = long.where(F.col("x").isNotNull()).groupBy("column_name", "x").agg(F.count(F.lit(1)).alias("n"))
-    lined = materialize(counts.repartitionByRange("column_name", "x").sortWithinPartitions("column_name", "x")
-                        .withColumn("part", F.spark_partition_id()))
-    per_part = lined.groupBy("column_name", "part").agg(F.sum("n").alias("m"))
+    return materialize(counts.repartitionByRange("column_name", "x").sortWithinPartitions("column_name", "x")
+                       .withColumn("part", F.spark_partition_id()))
+
+
+def _statistics(counts: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """count, mean, std, min, max and exact quantiles (linear between neighbours)
+    of each column.  Values are numbered by running sums inside a partition, set
+    off by the partitions before it; no task holds the values of a column."""
+    per_part = counts.groupBy("column_name", "part").agg(
+        F.sum("n").alias("m"), F.sum(F.col("n") * F.col("x")).alias("s"))
     of_column = Window.partitionBy("column_name")
-    offsets = per_part.select("column_name", "part", F.sum("m").over(of_column).alias("total"),
+    total = F.sum("m").over(of_column)
+    offsets = per_part.select("column_name", "part", total.alias("total"),
+                              (F.sum("s").over(of_column) / total).alias("mean"),
                               (F.sum("m").over(of_column.orderBy("part")) - F.col("m")).alias("before"))
     running = F.sum("n").over(Window.partitionBy("column_name", "part").orderBy("x"))
-    placed = lined.withColumn("upto", running).join(offsets, ["column_name", "part"])
+    placed = counts.withColumn("upto", running).join(offsets, ["column_name", "part"])
     end = F.col("before") + F.col("upto")
-    out = []
+    off = F.col("x") - F.col("mean")
+    out = [F.first("total").alias("count"), F.first("mean").alias("mean"),
+           F.sqrt(F.sum(F.col("n") * off * off) / F.nullif(F.first("total") - 1, F.lit(0))).alias("std"),
+           F.min("x").alias("min"), F.max("x").alias("max")]
     for s in shares:
         at = F.lit(float(s)) * (F.col("total") - 1)
         pick = lambda r: F.max(F.when((end - F.col("n") <= r) & (r < end), F.col("x")))
         lo, hi = pick(F.floor(at)), pick(F.ceil(at))
-        share = F.max(at - F.floor(at))
-        out.append((lo + (hi - lo) * share).alias(f"p{round(100 * s)}"))
+        out.append((lo + (hi - lo) * F.max(at - F.floor(at))).alias(f"p{round(100 * s)}"))
     return placed.groupBy("column_name").agg(*out)
 
 
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Exact quantiles of each column that has a value, one row each."""
+    return _statistics(value_counts(df, columns), shares).drop("count", "mean", "std", "min", "max")
+
+
 def describe(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, digits: int = 6) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles, max per numeric column."""
-    narrow = materialize(df.select(*columns))
-    aggs, rows = [], []
-    for c in columns:
-        x = F.col(c).cast("double")
-        stats = {"count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
-        aggs += [e.alias(f"{c}__{s}") for s, e in stats.items()]
-        rows.append(F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in stats]))
-    plain = narrow.agg(*aggs).select(F.inline(F.array(*rows)))
-    joined = plain.join(quantiles(narrow, columns, (0.25, 0.5, 0.75)), "column_name", "left")
-    return joined.select("column_name", "count", *[
-        F.round(s, digits).alias(s) for s in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+    """count, mean, sample std, min, exact quartiles, max per numeric column,
+    all from its counted values: one pass over ``df``."""
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    found = _statistics(value_counts(df, columns), (0.25, 0.5, 0.75))
+    return names.join(found, "column_name", "left").select(
+        "column_name", F.coalesce("count", F.lit(0)).alias("count"), *[
+            F.round(s, digits).alias(s) for s in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
 def sample_rows(df: DataFrame, n: int = 5, order: str = "_arrival_seq") -> DataFrame:

@@ -250,15 +250,15 @@ def q_stream_late_rows(spark, d):
 
 
 def q_stream_hourly_counts(spark, d):
-    return streaming.stream_windows(spark, d, "hourly", (), RUN_TS)
+    return streaming.stream_windows(spark, d, "1 hour", None, (), RUN_TS)
 
 
 def q_stream_hourly_type_counts(spark, d):
-    return streaming.stream_windows(spark, d, "hourly", ("event_type",), RUN_TS)
+    return streaming.stream_windows(spark, d, "1 hour", None, ("event_type",), RUN_TS)
 
 
 def q_stream_sliding_counts(spark, d):
-    return streaming.stream_windows(spark, d, "sliding", (), RUN_TS)
+    return streaming.stream_windows(spark, d, "1 hour", "15 minutes", (), RUN_TS)
 
 
 def q_stream_daily_distinct(spark, d):

@@ -9,6 +9,7 @@ dedup shuffle happens once per run and lineage is cut at the table.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,10 @@ from tidemark.session import materialize
 from tidemark.sources.testdata import DEFAULT_RUN_TS
 
 
+#: Gold tables written at a time.
+WRITERS = 4
+
+
 def write_silver(bronze: DataFrame, path: str, run_ts: str = DEFAULT_RUN_TS,
                  event_types: Sequence[str] | None = None) -> None:
     s = silver.to_silver(bronze, run_ts, event_types).select(*SILVER_BASE, *SILVER_FEATURES)
@@ -38,14 +43,20 @@ def write_bundle(silver_rows: DataFrame, calculations: Sequence[str], run_ts: st
     rankings read the written metrics."""
     cube = materialize(gold.small_cuboid(silver_rows), cuboid_path)
     tables = gold.base_tables(silver_rows, cube, calculations, run_ts)
-    for name, df in tables.items():
-        write(df, name)
+    _write_all(tables, write)
     ranked = gold.rankings({n: read(n) for n in tables if n in gold.RANKED}, top_n)
-    for name, df in ranked.items():
-        write(df, name)
+    _write_all(ranked, write)
     return [*tables, *ranked]
 
 
+def _write_all(tables: dict[str, DataFrame], write: Callable[[DataFrame, str], None]) -> None:
+    """Independent tables are written side by side: most are small, and one
+    after the other they would leave the executors waiting for each other's end."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for done in [pool.submit(write, df, name) for name, df in tables.items()]:
+            done.result()
+
+
 def run_layers(spark: SparkSession, bronze: DataFrame, root: str, run_ts: str = DEFAULT_RUN_TS,
                event_types: Sequence[str] | None = None,
                calculations: Sequence[str] = gold.CALCULATIONS, top_n: int = 10) -> dict[str, DataFrame]:

@@ -33,6 +33,13 @@ EVENTS = T.StructType([
     T.StructField("repo_name", T.StringType()), T.StructField("_batch_id", T.StringType()),
     T.StructField("event_time", T.TimestampType()), T.StructField("_ts_fallback", T.BooleanType()),
     T.StructField("late", T.BooleanType()), T.StructField(EPOCH, T.LongType())])
+#: The slice of event time that windows are made of: every window here starts
+#: and ends on its bounds.
+PANE = "15 minutes"
+PANES = T.StructType([
+    T.StructField("pane", T.TimestampType()), T.StructField("event_type", T.StringType()),
+    T.StructField("event_count", T.LongType()), T.StructField("high", T.TimestampType()),
+    T.StructField(EPOCH, T.LongType())])
 
 
 def with_event_time(bronze: DataFrame, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
@@ -43,12 +50,21 @@ def with_event_time(bronze: DataFrame, run_ts: str = DEFAULT_RUN_TS) -> DataFram
             .withColumn("_ts_fallback", parsed.isNull()))
 
 
-def windowed_counts(events: DataFrame, duration: str, slide: str | None = None,
+def pane_counts(events: DataFrame) -> DataFrame:
+    """Counts per pane (PANE of event time) and event type, and the latest parsed
+    time: what tumbling and sliding windows are summed up from."""
+    return events.groupBy(F.window("event_time", PANE).getField("start").alias("pane"), "event_type").agg(
+        F.count(F.lit(1)).alias("event_count"),
+        F.max(F.when(~F.col("_ts_fallback"), F.col("event_time"))).alias("high"))
+
+
+def windowed_counts(panes: DataFrame, duration: str, slide: str | None = None,
                     by: tuple[str, ...] = ()) -> DataFrame:
-    """Event counts per tumbling (or sliding) event-time window, and ``by``."""
-    w = F.window("event_time", duration, slide) if slide else F.window("event_time", duration)
-    return (events.groupBy(w.alias("w"), *by)
-            .agg(F.count(F.lit(1)).alias("event_count"))
+    """Event counts per tumbling (or sliding) window, and ``by``, from panes of
+    all epochs: each event was counted in one of them, so counts add up."""
+    w = F.window("pane", duration, slide) if slide else F.window("pane", duration)
+    return (panes.groupBy(w.alias("w"), *by)
+            .agg(F.sum("event_count").alias("event_count"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
                     "event_count"))
 
@@ -69,16 +85,16 @@ def each_batch(df: DataFrame, write, checkpoint: str, mode: str = "append") -> N
 
 
 def dedup_to_table(bronze_stream: DataFrame, root: str, run_ts: str = DEFAULT_RUN_TS,
-                   delay: str = "1 hour", windows: dict[str, tuple] | None = None) -> None:
-    """Run a Bronze stream into ``root``: ``events`` (each id once), ``windows``
-    (counts an epoch adds, by name of the window), ``pairs`` and ``daily``
-    (distinct repositories of the dates that an epoch touched)."""
+                   delay: str = "1 hour") -> None:
+    """Run a Bronze stream into ``root``: ``events`` (each id once), ``panes``
+    (the counts that an epoch adds) and ``pairs`` (the dates and repositories
+    that it saw, once each)."""
     spark = bronze_stream.sparkSession
 
     def each(batch: DataFrame, epoch: int) -> None:
         before = F.col(EPOCH) < epoch
         known = read_or_empty(spark, f"{root}/events", EVENTS).where(before).select("id")
-        high = read_or_empty(spark, f"{root}/high", "high timestamp, _epoch long").where(before).agg(F.max("high")).scalar()
+        high = read_or_empty(spark, f"{root}/panes", PANES).where(before).agg(F.max("high")).scalar()
         firsts = dedup.first_wins(with_event_time(batch, run_ts)).join(known, "id", "left_anti")
         late = ~F.col("_ts_fallback") & (F.col("event_time") < high - F.expr(f"INTERVAL {delay}"))
         rows = firsts.select("id", F.col("type").alias("event_type"), F.col("repo.name").alias("repo_name"),
@@ -86,34 +102,16 @@ def dedup_to_table(bronze_stream: DataFrame, root: str, run_ts: str = DEFAULT_RU
                              F.coalesce(late, F.lit(False)).alias("late"))
         rows.write.mode("overwrite").parquet(f"{root}/events/{EPOCH}={epoch}")
         done = read_or_empty(spark, f"{root}/events/{EPOCH}={epoch}", T.StructType(EVENTS.fields[:-1]))
-        done.agg(F.max(F.when(~F.col("_ts_fallback"), F.col("event_time"))).alias("high")) \
-            .write.mode("overwrite").parquet(f"{root}/high/{EPOCH}={epoch}")
-        for name, (duration, slide, by) in (windows or {}).items():
-            windowed_counts(done, duration, slide, by).write.mode("overwrite").parquet(
-                f"{root}/windows/{name}/{EPOCH}={epoch}")
-        pairs = done.select(F.to_date("event_time").alias("event_date"), "repo_name").distinct()
-        (pairs.withColumn(EPOCH, F.lit(epoch).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("event_date", EPOCH).parquet(f"{root}/pairs"))
-        # Only the folders of the dates that this epoch touched are read.
-        touched = done.select(F.to_date("event_time").alias("event_date")).distinct()
-        every = read_or_empty(spark, f"{root}/pairs", "repo_name string, event_date date, _epoch long")
-        (every.join(touched, "event_date", "left_semi").groupBy("event_date")
-         .agg(F.count_distinct("repo_name").alias("active_repos_count"))
-         .write.mode("overwrite").parquet(f"{root}/daily/{EPOCH}={epoch}"))
+        pane_counts(done).write.mode("overwrite").parquet(f"{root}/panes/{EPOCH}={epoch}")
+        done.select(F.to_date("event_time").alias("event_date"), "repo_name").distinct() \
+            .write.mode("overwrite").parquet(f"{root}/pairs/{EPOCH}={epoch}")
 
     each_batch(bronze_stream, each, f"{root}/checkpoint")
 
 
-def folded_counts(updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Counts add up over epochs, as each id was counted in one of them."""
-    return updates.groupBy(*keys).agg(F.sum("event_count").alias("event_count"))
-
-
-def latest_per_key(updates: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
-    """Fold an update log: the values from the latest epoch per key."""
-    latest = F.max_by(F.struct(*value_cols), F.col(EPOCH).cast("long"))
-    return updates.groupBy(*keys).agg(latest.alias("_v")).select(*keys, *[F.col(f"_v.{c}").alias(c)
-                                                                          for c in value_cols])
+def daily_distinct(pairs: DataFrame) -> DataFrame:
+    """Exact distinct repositories per day from the pairs of all epochs."""
+    return pairs.groupBy("event_date").agg(F.count_distinct("repo_name").alias("active_repos_count"))
 
 
 # -- the driver's events as a stream of several files, out of time order ------
@@ -140,7 +138,6 @@ def write_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
     events.where(F.pmod("event_id", F.lit(RESENT_MOD)) == 0).write.mode("append").parquet(path)
 
 
-WINDOWS = {"hourly": ("1 hour", None, ("event_type",)), "sliding": ("1 hour", "15 minutes", ())}
 _RUNS: dict[tuple, str] = {}
 
 
@@ -152,7 +149,7 @@ def stream_run(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -
         write_feed(spark, sf_dir, f"{root}/feed")
         schema = spark.read.parquet(f"{root}/feed").schema
         feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feed")
-        dedup_to_table(dirty_bronze(feed, run_ts), root, run_ts, windows=WINDOWS)
+        dedup_to_table(dirty_bronze(feed, run_ts), root, run_ts)
         _RUNS[key] = root
     return _RUNS[key]
 
@@ -161,17 +158,15 @@ def stream_events(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS
     return read_or_empty(spark, f"{stream_run(spark, sf_dir, run_ts)}/events", EVENTS)
 
 
-def stream_windows(spark: SparkSession, sf_dir: str, name: str, by: tuple[str, ...] = (),
-                   run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
-    updates = spark.read.parquet(f"{stream_run(spark, sf_dir, run_ts)}/windows/{name}")
-    counts = folded_counts(updates, ["window_start", "window_end", *by])
-    return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                         F.col("window_end").cast("timestamp_ntz").alias("window_end"), *by, "event_count")
+def stream_windows(spark: SparkSession, sf_dir: str, duration: str, slide: str | None = None,
+                   by: tuple[str, ...] = (), run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
+    panes = read_or_empty(spark, f"{stream_run(spark, sf_dir, run_ts)}/panes", PANES)
+    return windowed_counts(panes, duration, slide, by).withColumns({
+        c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
 def stream_daily_distinct(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
-    daily = spark.read.parquet(f"{stream_run(spark, sf_dir, run_ts)}/daily")
-    return latest_per_key(daily, ["event_date"], ["active_repos_count"])
+    return daily_distinct(spark.read.parquet(f"{stream_run(spark, sf_dir, run_ts)}/pairs"))
 
 
 def stream_to_layers(spark: SparkSession, bronze_stream: DataFrame, root: str, run_ts: str,
