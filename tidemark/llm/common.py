@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +22,28 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \t\n\x0b\x0c\r"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, where they start from another
+    folder and find it neither installed nor on PYTHONPATH: Spark sends it to
+    them as a zip (a few files, from the driver's own temporary folder)."""
+    package, app = Path(__file__).resolve().parents[1], spark.sparkContext.applicationId
+    root = str(package.parent)
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if app in _SHIPPED or "site-packages" in root or root in map(os.path.realpath, known):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,6 +57,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def batched(df: DataFrame) -> DataFrame:
     """``df``, to be handed to Python in batches of ARROW_ROWS."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return df
 
