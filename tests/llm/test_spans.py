@@ -115,3 +115,13 @@ def test_context_patterns_discover(spark):
     assert out[200][0][1] == [("context", 26, 41)] and out[201][0][1] == [("context", 4, 19)]
     assert not any(s for i in range(300, 340) for _, s in out[i])
     assert pii.find(docs(spark, [])).collect() == []
+
+
+def test_discovered_instances_are_marked_without_a_pattern(spark):
+    rows = [(i, f"please write contact mail u{i}@mail.example today") for i in range(100, 130)]
+    rows += [(200, "please write contact mail user-77-at-home today"), (201, "user-77-at-home again"),
+             (202, "user-77-at-home"), (203, "key user-77-at-home"), (204, f"some words {'0 ' * 40}user-77-at-home {'= ' * 40}")]
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find(docs(spark, rows)).collect()}
+    for i, t in rows[31:]:
+        at = t.index("user-77")
+        assert got[i] == [("context", at, at + 15)], i

@@ -120,7 +120,8 @@ def candidates(text: str, base: list[S.Span], least: int = 5) -> list[tuple[int,
 
 def scan(docs: DataFrame) -> DataFrame:
     """uid, doc_id, base, and found: the candidates with hashes of the instance
-    and its patterns.  ``uid`` tells rows apart once this is written."""
+    and its patterns, of which there may be none.  ``uid`` tells rows apart once
+    this is written."""
     found = "array<struct<start:int,end:int,seed:boolean,instance:long,patterns:array<long>>>"
 
     def run(batches):
@@ -132,10 +133,8 @@ def scan(docs: DataFrame) -> DataFrame:
                 own = base_spans(text)
                 rows = []
                 for a, b, seed in candidates(text, own):
-                    near = patterns_of(text, a, b)
-                    if near:
-                        rows.append({"start": a, "end": b, "seed": seed, "instance": _hash(text[a:b].lower()),
-                                     "patterns": [_hash(p) for p in near]})
+                    rows.append({"start": a, "end": b, "seed": seed, "instance": _hash(text[a:b].lower()),
+                                 "patterns": [_hash(p) for p in patterns_of(text, a, b)]})
                 base.append(own)
                 every.append(rows)
                 uid.append(number)
