@@ -125,3 +125,36 @@ def test_discovered_instances_are_marked_without_a_pattern(spark):
     for i, t in rows[31:]:
         at = t.index("user-77")
         assert got[i] == [("context", at, at + 15)], i
+
+
+def test_slots_discover_digit_runs_and_words_without_digits(spark):
+    rows = [(100 + i, f"please write contact mail u{i}@mail.example today") for i in range(40)]
+    ids = ["555 123 4567", "(555) 123-4567", "GB29 NWBK 6016 1331 9268 19", "4111 1111 1111 1112",
+           "jane.doe(at)mail.com", "janedoe"]
+    for n, x in enumerate(ids):
+        rows += [(200 + n, f"please write contact mail {x} today"), (300 + n, f"{x} again")]
+    rows += [(400, "please write contact mail later today"), (401, "we meet later or much later then"),
+             (402, "come later if you can, later is fine")]
+    rows += [(500 + i, f"page {i} of word {i}{i} 7 and jane of the house") for i in range(20)]
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find(docs(spark, rows)).collect()}
+    for n, x in enumerate(ids):
+        assert got[200 + n] == [("context", 26, 26 + len(x))], x
+        assert got[300 + n] == [("context", 0, len(x))], x
+    assert not any(got[i] for i in (400, 401, 402, *range(500, 520)))
+
+
+def test_slots_equal_patterns_word_by_word():
+    rng = random.Random(12)
+    parts = ["Aa", "b", "c.d", "ünï", "e(f)g", "--", "7", "x1", "(h", "i)", "_", "...", "\n", "Bb,", "'j k'"]
+    memo = pii._Tokens()
+    for _ in range(200):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randrange(1, 12)))
+        found = list(re.finditer(r"\S+", text))
+        tokens = memo.table[[memo[m[0]] for m in found]] if found else np.zeros((0, 6), "u8")
+        a, b, has_a, has_b = pii._slots_of(tokens)
+        for i, m in enumerate(found):
+            bare = m[0].strip(pii._TRIM)
+            start = m.start() + len(m[0]) - len(m[0].lstrip(pii._TRIM))
+            if bare:
+                got = {int(x) for x, ok in ((a[i], has_a[i]), (b[i], has_b[i])) if ok}
+                assert got == {pii.pattern_hash(p) % 2**64 for p in pii.patterns_of(text, start, start + len(bare))}, text
