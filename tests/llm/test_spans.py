@@ -84,6 +84,20 @@ def test_secrets_found_by_the_field(spark):
     assert secret_scan.find(docs(spark, []), field).collect() == []
 
 
+def test_short_secrets_and_long_plain_values_come_out_whole():
+    field = secret_scan.Field({"whunter2": 0, "s6l": 1})
+    field.weights[:2] = [-5, 9, -5]
+    text = "set pasword=hunter2 now"
+    assert secret_scan.field_spans(field, text, []) == [("crf", 12, 19)]
+    value = "abcdefghij" * 6
+    for gap in (" ", " " * 50):
+        text = f"set pasword:{gap}{value} now"
+        at = text.index(value)
+        assert secret_scan.runs(text) == [(0, at + 60)]
+        assert ("crf", at, at + 60) in secret_scan.field_spans(field, text, [])
+    assert secret_scan.runs(f"{value}  key=1") == [(0, 67)]
+
+
 def test_viterbi_is_exact():
     rng = np.random.default_rng(7)
     for n in (1, 2, 5, 6):

@@ -34,6 +34,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: Marks of a word that isn't plain, and the words around it that share its run.
 _ODD = re.compile(r"[0-9=:_/+]|[a-z][A-Z]")
 _SPACE = re.compile(r"\s")
+_NEXT = re.compile(r"\s*\S*")
 _TOKEN = re.compile(r"[A-Za-z0-9]+|[^\sA-Za-z0-9]")
 OUT, BEGIN, INSIDE = 0, 1, 2
 
@@ -48,7 +49,7 @@ def base_spans(text: str) -> list[S.Span]:
 
 
 def runs(text: str) -> list[tuple[int, int]]:
-    """Stretches of odd words, each with a plain word on both sides."""
+    """Stretches of odd words, each with a whole plain word on both sides."""
     out: list[tuple[int, int]] = []
     at, size = 0, len(text)
     while (m := _ODD.search(text, at)) is not None:
@@ -59,12 +60,9 @@ def runs(text: str) -> list[tuple[int, int]]:
         end = at = end.start() if end else size
         a = begin
         for step in (str.isspace, lambda c: not c.isspace()):
-            while a and begin - a < 40 and step(text[a - 1]):
+            while a and step(text[a - 1]):
                 a -= 1
-        b = end
-        for step in (str.isspace, lambda c: not c.isspace()):
-            while b < size and b - end < 40 and step(text[b]):
-                b += 1
+        b = _NEXT.match(text, end).end()
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], b)
         else:
@@ -236,7 +234,7 @@ def train(docs: DataFrame, sample_docs: int = 20_000, most_runs: int = 6_000, le
     return field
 
 
-def field_spans(field: Field, text: str, base: list[S.Span], least_chars: int = 8) -> list[S.Span]:
+def field_spans(field: Field, text: str, base: list[S.Span], least_chars: int = 6) -> list[S.Span]:
     """Spans that the field tags and that no base span meets."""
     found = runs(text)
     if not found:
