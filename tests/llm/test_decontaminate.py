@@ -44,6 +44,15 @@ def test_equals_brute_force_in_one_block_and_in_several(spark):
         assert sorted(got, key=str) == brute(rows, items, window), (window, block)
 
 
+def test_blocks_are_passes_of_their_own(spark):
+    items = [(i, f"item {i} has words of its own w{i}a w{i}b") for i in range(12)]
+    rows = [(i, f"before {t} after {items[i - 1][1]}") for i, t in items] + [(99, None), (98, "none"), (3, "none"), (97, items[4][1])] * 2
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = D.contamination(docs(spark, rows), table, 4, 60)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted([tuple(r)[:6] for r in found.collect()], key=str) == brute(rows, items, 4)
+
+
 def test_automaton_finds_the_longest_match():
     rng = random.Random(13)
     for _ in range(200):

@@ -6,19 +6,19 @@ ending at each word is tracked.  Where that length reaches a window, the
 window's words are hit.
 
 The automaton of a block of items is broadcast; a block is closed at
-``BLOCK_BYTES`` of item text, and further blocks are further passes over the
-documents, so what is broadcast never grows with the benchmark.
+``BLOCK_BYTES`` of item text.  Of several blocks each is a pass over the
+documents of its own: its hits are written and its broadcast is freed before
+the next block starts, so what is held at once, also by the driver, which
+builds the automata one by one, never grows with the benchmark.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batched
+from tidemark.llm.common import batched, hash128, staged
 
 #: About 200,000 words: some 150 MB of automaton in a Python worker.
 BLOCK_BYTES = 1 << 20
@@ -151,16 +151,48 @@ class SuffixAutomaton:
         return spans, keys
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items' words, block by block, each of a bounded size."""
+def _blocks(items: DataFrame, block_bytes: int) -> list[DataFrame]:
+    """The items' keys and texts in blocks of a bounded size."""
     rows = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("item_id").cast("string").alias("k"), "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-2 * total // block_bytes))
-    for b in range(blocks):
-        part = rows if blocks == 1 else rows.where(
-            F.pmod(F.xxhash64("k", "text"), F.lit(blocks)) == b)
-        yield [(r.k, words_of(r.text)) for r in part.collect()]
+    return [rows] if blocks == 1 else [
+        rows.where(F.pmod(F.xxhash64("k", "text"), F.lit(blocks)) == b) for b in range(blocks)]
+
+
+def _automaton(block: DataFrame, window: int) -> SuffixAutomaton:
+    return SuffixAutomaton([(r.k, words_of(r.text)) for r in block.collect()], window)
+
+
+SPANS = "array<struct<start:int,end:int>>"
+
+
+def _hits(docs: DataFrame, block: DataFrame, window: int) -> DataFrame:
+    """__k1, __k2 (hashes of the text), spans and items of the texts that a
+    block hits, each text once; written."""
+    k1, k2 = hash128(F.coalesce("text", F.lit("")))
+    shared = docs.sparkSession.sparkContext.broadcast(_automaton(block, window))
+    schema = f"__k1 long, __k2 long, spans {SPANS}, items array<string>"
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])),
+             pa.list_(pa.string())]
+
+    def run(batches):
+        automaton = shared.value
+        for batch in batches:
+            rows: list[list] = [[], [], [], []]
+            for text, a, b in zip(*batch.columns):
+                spans, keys = automaton.scan(words_of(text.as_py()))
+                if spans:
+                    for col, v in zip(rows, (a.as_py(), b.as_py(), [{"start": x, "end": y} for x, y in spans], sorted(keys))):
+                        col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)],
+                                             ["__k1", "__k2", "spans", "items"])
+
+    out = staged(batched(docs).where(F.col("text").isNotNull()).select("text", k1, k2).mapInArrow(
+        run, schema).distinct(), "hits")
+    shared.destroy()
+    return out
 
 
 def scan(docs: DataFrame, items: DataFrame, window: int = 10,
@@ -173,37 +205,43 @@ def scan(docs: DataFrame, items: DataFrame, window: int = 10,
     text take no part; an id given to several texts is one item.
     """
     spark = docs.sparkSession
-    columns = [c for c in docs.columns if c not in ("__n_words", "__spans", "__items")]
-    out = batched(docs).select(*[F.col(f"`{c}`") for c in columns]).withColumns({
-        "__n_words": F.lit(0).cast("long"),
-        "__spans": F.array().cast("array<struct<start:int,end:int>>"),
-        "__items": F.array().cast("array<string>")})
-    schema = out.schema
-    for block in _blocks(items, block_bytes):
-        shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
-        del block
-
-        def run(batches, shared=shared):
-            automaton = shared.value
-            for batch in batches:
-                texts = batch.column(batch.schema.get_field_index("text"))
-                n, spans, found = [], [], []
-                for text, s0, k0 in zip(texts, batch.column(batch.num_columns - 2).to_pylist(),
-                                        batch.column(batch.num_columns - 1).to_pylist()):
-                    ws = words_of(text.as_py())
-                    s, k = automaton.scan(ws)
-                    if s0:
-                        s = _merged([(x["start"], x["end"]) for x in s0] + s)
-                    n.append(len(ws))
-                    spans.append([{"start": a, "end": b} for a, b in s])
-                    found.append(sorted(k | set(k0)))
-                fields = list(batch.schema)[-3:]
-                new = [pa.array(v, f.type) for v, f in zip((n, spans, found), fields)]
-                yield pa.RecordBatch.from_arrays(
-                    list(batch.columns)[:-3] + new, schema=pa.schema(list(batch.schema)[:-3] + fields))
-
-        out = out.mapInArrow(run, schema)
-    return out
+    columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("__n_words", "__spans", "__items")]
+    blocks = _blocks(items, block_bytes)
+    shared = None
+    if len(blocks) == 1:
+        shared = spark.sparkContext.broadcast(_automaton(blocks[0], window))
+        rows = batched(docs).select(*columns)
+        spans, keys = F.array().cast(SPANS), F.array().cast("array<string>")
+    else:
+        every = None
+        for block in blocks:
+            one = _hits(docs, block, window)
+            every = one if every is None else every.unionByName(one)
+        hits = staged(every.groupBy("__k1", "__k2").agg(
+            F.flatten(F.collect_list("spans")).alias("__spans"), F.flatten(F.collect_list("items")).alias("__items")), "hits")
+        k1, k2 = hash128(F.coalesce("text", F.lit("")))
+        rows = batched(docs).select(*columns, k1.alias("__k1"), k2.alias("__k2")).join(hits, ["__k1", "__k2"], "left")
+        spans, keys = [F.coalesce(c, F.array().cast(t)) for c, t in (("__spans", SPANS), ("__items", "array<string>"))]
+    out = rows.select(*columns, F.lit(0).cast("long").alias("__n_words"), spans.alias("__spans"), keys.alias("__items"))
+
+    def run(batches):
+        automaton = shared.value if shared else None
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            n, spans, found = [], [], []
+            for text, s0, k0 in zip(texts, batch.column(batch.num_columns - 2).to_pylist(),
+                                    batch.column(batch.num_columns - 1).to_pylist()):
+                ws = words_of(text.as_py())
+                s, k = automaton.scan(ws) if automaton else (_merged([(x["start"], x["end"]) for x in s0]), set(k0))
+                n.append(len(ws))
+                spans.append([{"start": a, "end": b} for a, b in s])
+                found.append(sorted(k))
+            fields = list(batch.schema)[-3:]
+            new = [pa.array(v, f.type) for v, f in zip((n, spans, found), fields)]
+            yield pa.RecordBatch.from_arrays(
+                list(batch.columns)[:-3] + new, schema=pa.schema(list(batch.schema)[:-3] + fields))
+
+    return out.mapInArrow(run, out.schema)
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
