@@ -91,3 +91,13 @@ def test_chunked_framing():
 
 def test_empty_table(spark, tmp_dir):
     assert round_trip(spark, tmp_dir, []).count() == 0
+
+
+def test_no_aggregate_is_left_beside_the_join_on_digests(spark):
+    rows = pages(spark, [(i, "u", "z" * 1000) for i in range(5)] + [(9, "v", "w")]).selectExpr(
+        "page_id", "url", "cast(html as binary) html", "sha1(html) digest")
+    joined = warc._with_firsts(rows, 1000)
+    assert "Aggregate" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r.page_id, r.first, r.first_url, r.revisit) for r in joined.collect() if r.page_id != 9)
+    assert got == [(i, 4, "u", i < 4) for i in range(5)]
+    assert [(r.first, r.revisit) for r in joined.collect() if r.page_id == 9] == [(None, False)]

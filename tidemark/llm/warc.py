@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batched
+from tidemark.llm.common import batched, staged
 
 RECORD_END = "\r\n\r\n"
 #: Fixed values of the format.
@@ -92,6 +92,19 @@ def records_of(page_id: int | None, url: str | None, html: bytes, digest: str, f
             ("WARC-Segment-Total-Length", last)])
 
 
+def _with_firsts(rows: DataFrame, least_revisit: int) -> DataFrame:
+    """``rows(page_id, url, html, digest)`` with the page that each refers to.
+    The repeated payloads are written before the join, so a hot digest can be split."""
+    firsts = (rows.where(F.octet_length("html") >= least_revisit)
+              .groupBy("digest").agg(F.count(F.lit(1)).alias("n"),
+                                     F.max(F.struct("page_id", "url")).alias("first"))
+              .where("n > 1").select("digest", "first"))
+    return rows.join(staged(firsts, "firsts"), "digest", "left").select(
+        "page_id", "url", "html", "digest", F.col("first.page_id").alias("first"),
+        F.col("first.url").alias("first_url"),
+        (F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))).alias("revisit"))
+
+
 def write_archives(pages: DataFrame, path: str, least_revisit: int = 1000,
                    segment_bytes: int = 16384) -> None:
     """Write ``pages(page_id, url, html, ...)`` as gzipped WARC files.
@@ -104,14 +117,7 @@ def write_archives(pages: DataFrame, path: str, least_revisit: int = 1000,
     body = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = batched(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         body.alias("html"), F.sha1(body).alias("digest"))
-    firsts = (rows.where(F.octet_length("html") >= least_revisit)
-              .groupBy("digest").agg(F.count(F.lit(1)).alias("n"),
-                                     F.max(F.struct("page_id", "url")).alias("first"))
-              .where("n > 1").select("digest", "first"))
-    joined = rows.join(firsts, "digest", "left").select(
-        "page_id", "url", "html", "digest", F.col("first.page_id").alias("first"),
-        F.col("first.url").alias("first_url"),
-        (F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))).alias("revisit"))
+    joined = _with_firsts(rows, least_revisit)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
