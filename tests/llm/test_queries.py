@@ -18,6 +18,7 @@ COLUMNS = {
     "op5_label_propagation": "doc_id size text_crc32 law shard slot grown_shard",
     "op6_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op10_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",
+    "op12_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
 }
 
 
@@ -40,4 +41,12 @@ def test_query_has_the_columns_and_a_row_a_document(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {int(q.split("_")[0][2:]) for q in queries.QUERIES} == set(range(1, 11))
+    assert {int(q.split("_")[0][2:]) for q in queries.QUERIES} == set(range(1, 14))
+
+
+def test_whitening_has_the_columns_and_eight_rows_a_vector(spark):
+    df = queries.QUERIES["op11_whitening"](spark, SF)
+    assert df.columns == "vec_id component n deviation whitened explained identity_error".split()
+    n = spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    rows = df.collect()
+    assert len(rows) == 8 * n and {r.n for r in rows} == {n} and rows[0].identity_error < 1e-9

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontaminate, jaccard_join, line_dedup, packing, pii, secret_scan, sharding, sql, topk, toxicity, warc,
+    bpe, decontaminate, jaccard_join, lexical, line_dedup, packing, pii, secret_scan, sharding, sql, topk, toxicity,
+    warc, whiten,
 )
 from tidemark.llm import spans as S
 from tidemark.llm.common import staged, table
@@ -71,6 +72,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs, keep_text=False))
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_warc": op2_warc,
@@ -82,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_kd_trees": op9_kd_trees,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_whitening": op11_whitening,
+    "op12_bpe": op12_bpe,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 SQL: dict[str, str] = dict(sql.SQL)

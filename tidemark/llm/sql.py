@@ -88,4 +88,29 @@ ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op13_lexical_search": f"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+item AS (
+  SELECT item_id, list_distinct(regexp_extract_all(
+    {_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS ws FROM benchmark),
+total AS (
+  SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(ws)) AS BIGINT) AS l FROM doc WHERE len(ws) > 0),
+held AS (
+  SELECT doc_id, term, CAST(n AS BIGINT) AS n, count(*) AS tf
+  FROM (SELECT doc_id, len(ws) AS n, unnest(ws) AS term FROM doc) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM held GROUP BY term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM df, total),
+asked AS (SELECT item_id, unnest(ws) AS term FROM item),
+scored AS (
+  SELECT a.item_id, h.doc_id,
+         CAST(sum(w.w * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (10 + (90 * h.n * t.n) // t.l)))) AS BIGINT) AS score
+  FROM asked a JOIN weight w ON a.term = w.term JOIN held h ON a.term = h.term, total t
+  GROUP BY a.item_id, h.doc_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
