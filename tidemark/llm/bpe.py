@@ -28,11 +28,11 @@ from tidemark.llm.common import batched
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Words that a worker remembers with their ids; beyond that it starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: Longer ones are encoded, but not remembered.
 LONG_WORD = 200
 #: Characters of text whose new words share a pair index.
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 #: From so many positions on a merge is done by array operations.
 MANY = 24
 
