@@ -9,16 +9,16 @@ LICENSE = "Permission is hereby granted, free of charge"
 
 def brute(rows, min_chars=20, min_docs=3):
     keys = [[ascii_lower(line).strip(" \t\n\x0b\x0c\r") for line in (t or "").split("\n")] for _, t in rows]
-    held, keep = defaultdict(int), {}
+    held, keep = defaultdict(set), {}
     for (i, _), ks in zip(rows, keys):
         for k in set(ks):
-            held[k] += 1
+            held[k].add(i)
             if i is not None:
                 keep[k] = max(keep.get(k, i), i)
     out = []
     for (i, t), ks in zip(rows, keys):
         lines = (t or "").split("\n")
-        gone = [len(k) >= min_chars and held[k] >= min_docs and keep.get(k) != i for k in ks]
+        gone = [len(k) >= min_chars and len(held[k]) >= min_docs and keep.get(k) != i for k in ks]
         out.append((i, "\n".join(x for x, g in zip(lines, gone) if not g), len(lines), sum(gone)))
     return sorted(out, key=str)
 
@@ -44,6 +44,32 @@ def test_hot_line_copies_and_odd_rows(spark):
 def test_only_null_ids_keep(spark):
     got = check(spark, [(None, LICENSE + "\nx")] * 3)
     assert {r[3] for r in got} == {0}
+    got = check(spark, [(None, LICENSE)] * 3 + [(1, LICENSE), (2, LICENSE)])
+    assert sorted(r[3] for r in got) == [0, 1, 1, 1, 1]
+
+
+def test_repeated_rows_are_one_document(spark):
+    for rows in ([(1, LICENSE)] * 2 + [(2, LICENSE)], [(1, LICENSE), (1, LICENSE + "\nmore"), (2, LICENSE), (2, "x")]):
+        assert {r[3] for r in check(spark, rows)} == {0}
+    got = check(spark, [(1, LICENSE)] * 2 + [(2, LICENSE), (3, LICENSE), (3, "and\n" + LICENSE)])
+    assert sorted((r[0], r[3]) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 0), (3, 0)]
+
+
+def test_sql_agrees_on_repeated_rows(spark):
+    import hashlib
+
+    import duckdb
+
+    from tidemark.llm.sql import SQL
+
+    rng = random.Random(6)
+    texts = ["\n".join(f"a line of more than twenty {rng.randrange(9)}" for _ in range(rng.randrange(4))) for _ in range(40)]
+    rows = [(rng.choice([None, *range(12)]), rng.choice([None, *texts])) for _ in range(60)]
+    got = [(i, n, d, hashlib.sha256(t.encode()).hexdigest()) for i, t, n, d in check(spark, rows)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(con.execute(SQL["op1_line_dedup"]).fetchall(), key=str) == sorted(got, key=str)
 
 
 def test_threshold_counts_documents_not_lines(spark):

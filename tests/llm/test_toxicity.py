@@ -72,3 +72,30 @@ def test_without_labels_or_rows(spark):
     lexicon = T.learn(d, spark.createDataFrame([], "doc_id long, toxic int"))
     scores = {r.score for r in T.score(d, lexicon).collect()}
     assert len(scores) == 1 and T.score(docs(spark, []), lexicon).collect() == []
+
+
+def test_lexicons_of_one_session_do_not_meet(spark):
+    text = docs(spark, [(1, "one idiot here")])
+    for _ in range(6):
+        got = []
+        for word in ("idiot ", "moron "):  # of equal size, freed and made again
+            lexicon = T.Lexicon({T.fold(word): 5.0})
+            got.append(T.score(text, lexicon).first().score)
+            del lexicon
+        assert got[0] > got[1] and got[1] == T.score(text, T.Lexicon({"x ": 5.0})).first().score
+
+
+def test_entries_inside_scripts_without_blanks(spark):
+    matcher = T.Lexicon({"笨蛋": 3.0, "ばか": 2.0, "bad ": 1.0}).matcher()
+    assert T.hits(matcher, T.fold("你是笨蛋吗")) == {2: 3.0}
+    assert T.hits(matcher, "おまえばかです bad笨蛋 badly") == {3: 2.0, 8: 1.0, 11: 3.0}
+    rng = random.Random(3)
+    rows, marks = [], []
+    for i in range(600):
+        text = "".join(rng.choice("天地玄黄宇宙洪荒日月盈昃辰宿列张") for _ in range(30))
+        rows.append((i, text[:15] + "笨蛋" + text[15:] if i % 3 == 0 else text))
+        marks.append((i, int(i % 3 == 0)))
+    lexicon = T.learn(docs(spark, rows), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    assert "笨蛋" in lexicon.weights
+    got = {r.doc_id: r.predicted for r in T.score(docs(spark, rows), lexicon).collect()}
+    assert got == dict(marks)

@@ -40,7 +40,7 @@ TEXT_BYTES = 1 << 20
 PORTION_TOKENS = 1 << 20
 
 _U = np.uint64
-_BASE, _STEP = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
+_STEP = _U(0xD6E8FEB86659FD93)
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], "u1")
 _BLANK = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
 
@@ -53,18 +53,24 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_POWERS: dict[str, np.ndarray] = {}
+#: A hash for each byte at each of the first places of a word.
+_PLACES = 64
+_BYTE_AT = mix(np.arange(256 * _PLACES, dtype=_U), 1)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2^64."""
-    if len(_POWERS.get("up", ())) < n:
-        inverse = _U(pow(int(_BASE), -1, 1 << 64))
-        for name, base in (("up", _BASE), ("down", inverse)):
-            p = np.full(n, base, _U)
-            p[0] = 1
-            _POWERS[name] = np.multiply.accumulate(p)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each word data[start:end]: the sum of a hash of every byte
+    together with its place, mixed with the length."""
+    sizes = end - start
+    if not len(sizes):
+        return np.empty(0, _U)
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(sizes.sum()) - np.repeat(first, sizes)
+    at = place * 256 + data[place + np.repeat(start, sizes)]
+    hashes = _BYTE_AT[np.minimum(at, len(_BYTE_AT) - 1)]
+    far = np.flatnonzero(place >= _PLACES)
+    hashes[far] = mix(at[far].astype(_U), 1)
+    return mix(np.add.reduceat(hashes, first) + sizes.astype(_U))
 
 
 def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
@@ -80,9 +86,7 @@ def shingle_sets(texts: list[str | None], words: int = 5) -> list[np.ndarray]:
     inside = ~_BLANK[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype("i1")))
     start, end = edge[::2], edge[1::2]
-    up, down = _powers(len(data))
-    total = np.concatenate([np.zeros(1, _U), np.cumsum((data.astype(_U) + _U(1)) * up)])
-    word = mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
+    word = _word_hashes(data, start, end)
     first = np.searchsorted(start, begin_of)
     n = len(word)
     if n >= words:
@@ -139,28 +143,8 @@ def document_sets(docs: DataFrame) -> DataFrame:
         run, "doc_id long, t1 long, t2 long, n long, set long")
 
 
-#: Up to so many buckets a token's upper bits are told by its bucket, and six
-#: bytes of it travel; beyond, all eight.
-NARROW = 1 << 16
-
-
 def _bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
-    return (tokens >> _U(48) if buckets <= NARROW else tokens >> _U(16)) % _U(buckets)
-
-
-def _pack(tokens: np.ndarray, buckets: int) -> bytes:
-    raw = tokens.astype("<u8")
-    if buckets > NARROW:
-        return raw.tobytes()
-    return np.ascontiguousarray(raw.view("u1").reshape(-1, 8)[:, :6]).tobytes()
-
-
-def _unpack(raw: bytes, bucket: int, buckets: int) -> np.ndarray:
-    if buckets > NARROW:
-        return np.frombuffer(raw, "<u8")
-    out = np.zeros((len(raw) // 6, 8), "u1")
-    out[:, :6] = np.frombuffer(raw, "u1").reshape(-1, 6)
-    return out.view("<u8").ravel() | _U(bucket << 48)
+    return (tokens >> _U(16)) % _U(buckets)
 
 
 def _bucketed(docs: DataFrame, buckets: int) -> DataFrame:
@@ -178,7 +162,7 @@ def _bucketed(docs: DataFrame, buckets: int) -> DataFrame:
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             own, counts = np.unique(owner[a:b], return_counts=True)
             for col, v in zip(rows, (int(bucket[a]), keys[own].tobytes(), counts.astype("<u4").tobytes(),
-                                     _pack(tokens[a:b], buckets))):
+                                     tokens[a:b].astype("<u8").tobytes())):
                 col.append(v)
         return pa.RecordBatch.from_arrays(
             [pa.array(rows[0], pa.int64())] + [pa.array(c, pa.binary()) for c in rows[1:]],
@@ -207,9 +191,8 @@ def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
 
 def _shared(part: pa.Table, buckets: int) -> pa.Table:
     """A bucket's tokens that two sets or more hold, dealt by set."""
-    bucket = part.column("bucket")[0].as_py()
     sets, counts = _joined(part.column("sets"), "<i8"), _joined(part.column("counts"), "<u4")
-    tokens = np.concatenate([_unpack(v.as_buffer(), bucket, buckets) for v in part.column("tokens")])
+    tokens = _joined(part.column("tokens"), "<u8")
     keep = np.zeros(len(sets), bool)  # equal sets from several portions count once
     keep[np.unique(sets, return_index=True)[1]] = True
     tokens, owner = tokens[np.repeat(keep, counts)], np.repeat(sets[keep], counts[keep])

@@ -26,11 +26,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     points found in at least ``min_docs`` documents lose all their lines except
     in the document with the largest ``doc_id`` among those holding it.
 
-    Null and empty texts have one empty line and become or stay empty.  Every
-    row is a document, so repeated rows count each; among rows that share the
-    largest id all keep the line.  A null id is below all others; if only null
-    ids hold a key, all of them keep it.  Extra columns pass through; columns
-    already called ``n_lines`` or ``n_dropped`` are replaced.
+    Null and empty texts have one empty line and become or stay empty.  Rows with
+    the same id are one document, and so are all rows without one: they count
+    once for a key, and each of them is returned.  Among rows that share the
+    largest id all keep the line; a null id is below all others.  Extra columns
+    pass through; columns already called ``n_lines`` or ``n_dropped`` are replaced.
     """
     order = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     extra = [c for c in order if c not in ("doc_id", "text")]
@@ -49,10 +49,17 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     lines = staged(ids.select("doc_id", "__t1", "__t2", entries.alias("__e"))
                    .where(F.array_size("__e") > 0), "lines")
 
-    held = lines.select("doc_id", F.array_distinct(F.transform(
-        "__e", lambda e: F.struct(e["a"].alias("a"), e["b"].alias("b")))).alias("__k"))
+    # Keys of ids that stand in one row are counted as they are; only those of
+    # repeated ids have to be made distinct over rows first.
+    repeated = staged(lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                      .select(F.col("doc_id").alias("id"), F.lit(True).alias("again")), "repeated")
+    held = lines.join(repeated, F.col("doc_id").eqNullSafe(F.col("id")), "left").select(
+        "doc_id", "again", F.array_distinct(F.transform(
+            "__e", lambda e: F.struct(e["a"].alias("a"), e["b"].alias("b")))).alias("__k"))
+    once = held.where("again is null").select("doc_id", F.inline("__k"))
+    again = held.where("again").select("doc_id", F.inline("__k")).distinct()
     # Written, so that the join below shuffles both sides and AQE can split hot keys.
-    common = staged(held.select("doc_id", F.inline("__k"))
+    common = staged(once.unionByName(again)
                     .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep"))
                     .where(F.col("n") >= min_docs).select("a", "b", "keep"), "common")
     drops = (lines.select("doc_id", "__t1", "__t2", F.inline("__e"))

@@ -8,20 +8,20 @@ _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 SQL: dict[str, str] = {
     "op1_line_dedup": f"""
 WITH split AS (
-  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines,
+  SELECT row_number() OVER () AS uid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines,
          string_split({_LOWER}, chr(10)) AS low FROM documents),
 line AS (
-  SELECT doc_id, unnest(lines) AS line, trim(unnest(low), {_SPACE}) AS key,
+  SELECT uid, doc_id, unnest(lines) AS line, trim(unnest(low), {_SPACE}) AS key,
          unnest(range(len(lines))) AS pos FROM split),
 common AS (
   SELECT key, max(doc_id) AS keep FROM line WHERE length(key) >= 20
-  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+  GROUP BY key HAVING count(DISTINCT doc_id) + max(CAST(doc_id IS NULL AS INTEGER)) >= 3),
 marked AS (
-  SELECT l.doc_id, l.line, l.pos, c.key IS NOT NULL AND c.keep <> l.doc_id AS dropped
+  SELECT l.uid, l.doc_id, l.line, l.pos, c.key IS NOT NULL AND c.keep IS DISTINCT FROM l.doc_id AS dropped
   FROM line l LEFT JOIN common c ON l.key = c.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
-FROM marked GROUP BY doc_id""",
+FROM marked GROUP BY uid, doc_id""",
     "op2_warc": """
 WITH page AS (
   SELECT page_id, coalesce(html, '') AS html FROM pages),

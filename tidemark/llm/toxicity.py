@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
@@ -31,6 +32,12 @@ SUBSTITUTES = {"0": "o", "1": "i", "l": "i", "|": "i", "3": "e", "4": "a", "5":
 INVISIBLE = "­​‌‍⁠﻿"
 _FOLD = str.maketrans(HOMOGLYPHS | SUBSTITUTES | dict.fromkeys(INVISIBLE))
 _WORD = re.compile(r"[^\W_]+")
+#: Scripts that are written without blanks between words (Thai to
+#: Lao, Tibetan to Myanmar, Khmer, kana, Han).
+_UNSPACED = "\u0e00-\u0eff\u0f00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_RUN = re.compile(f"[{_UNSPACED}]+")
+#: Lengths of the entries inside such text.
+GRAMS = range(2, 5)
 #: Lengths of the word beginnings that may become entries.
 PREFIXES = range(4, 10)
 
@@ -40,9 +47,19 @@ def fold(text: str) -> str:
 
 
 def terms_of(folded: str) -> set[str]:
-    """Whole words (closed by a blank) and word beginnings of a folded text."""
-    words = {w for w in _WORD.findall(folded) if len(w) > 2}
-    return {w + " " for w in words} | {w[:n] for w in words for n in PREFIXES if len(w) > n}
+    """Whole words (closed by a blank) and word beginnings of a folded text, and
+    the short runs of letters of scripts that have no blanks."""
+    words = set(_WORD.findall(folded))
+    out = {w + " " for w in words} | {w[:n] for w in words for n in PREFIXES if len(w) > n}
+    if not folded.isascii():
+        out |= {r[i:i + n] for r in _RUN.findall(folded) for n in GRAMS for i in range(len(r) - n + 1)}
+    return out
+
+
+def _apart(text: str, at: int) -> bool:
+    """Whether a word may end before the character at ``at`` and begin there."""
+    a, b = text[at - 1], text[at]
+    return not (a.isalnum() and b.isalnum()) or bool(_RUN.match(a) or _RUN.match(b))
 
 
 @dataclass
@@ -77,9 +94,9 @@ def hits(matcher, folded: str) -> dict[int, float]:
     last = len(folded)
     for end, (size, begin, whole, phrase) in matcher.iter(folded) if matcher else ():
         start = end + 1 - size
-        if start and folded[start - 1].isalnum():
+        if start and not _apart(folded, start):
             continue
-        closed = end + 1 == last or not folded[end + 1].isalnum()
+        closed = end + 1 == last or _apart(folded, end + 1)
         w = max((x for x in (begin, whole if closed else None) if x is not None), default=None)
         if w is not None:
             found[start] = max(w, found.get(start, w))
@@ -111,11 +128,12 @@ def _matcher(shared):
 
 
 class _Shared:
-    """A lexicon on the executors; the automaton is built once a worker."""
+    """A lexicon on the executors; the automaton is built once a worker, which
+    knows it by an id that no other lexicon ever has."""
 
     def __init__(self, spark, lexicon: Lexicon):
         self.lexicon = spark.sparkContext.broadcast(lexicon)
-        self.id = f"{id(lexicon)}-{len(lexicon.weights)}-{len(lexicon.exceptions)}"
+        self.id = uuid.uuid4().hex
 
 
 def fold_of(doc_id) -> F.Column:
