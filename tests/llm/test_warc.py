@@ -81,6 +81,74 @@ def test_segments_from_elsewhere_in_any_order(spark, tmp_dir):
                    None: ("gap", None)}
 
 
+def written(folder, files):
+    os.makedirs(folder)
+    for i, raw in enumerate(files):
+        with open(f"{folder}/{i}.warc", "wb") as out:
+            out.write(raw)
+    return folder
+
+
+def plain(page, body, **more):
+    head = b"HTTP/1.1 200 OK\r\n\r\n"
+    return warc._header("response", f"urn:{page}", head + body, [("X-Page-Id", page)]) + b"\r\n\r\n"
+
+
+def test_broken_archives_are_rows_with_a_status(spark, tmp_dir):
+    good = [plain(i, b"body %d" % i) for i in range(6)]
+    no_length = b"WARC/1.1\r\nWARC-Type: response\r\nX-Page-Id: 50\r\n\r\nabc\r\n\r\n"
+    odd_length = no_length.replace(b"50\r\n", b"51\r\nContent-Length: many\r\n")
+    damaged = bytearray(gzip.compress(b"".join(good[2:4])))
+    damaged[len(damaged) // 2] ^= 0xFF
+    damaged[len(damaged) // 2 + 1] ^= 0xFF
+    long = gzip.compress(plain(61, os.urandom(200_000)))
+    files = [good[0] + no_length + odd_length + good[1],
+             gzip.compress(plain(60, b"before")) + bytes(damaged) + gzip.compress(good[4]),
+             gzip.compress(good[5]) + long[:-100_000],
+             plain(70, b"whole") + plain(71, b"x" * 5000)[:-1000], b"", b"no archive at all", gzip.compress(b"")]
+    records = warc.read_records(spark, written(f"{tmp_dir}/b", files))
+    found = [(r.page_id, r.status) for r in records.collect()]
+    seen = {p: s for p, s in found if p is not None}
+    assert {seen[p] for p in (0, 1, 4, 5, 60, 70)} == {"ok"}
+    assert {p: s for p, s in seen.items() if s != "ok" and p not in (2, 3)} == {
+        50: "header", 51: "header", 61: "cut", 71: "cut"}
+    assert sum(s == "damaged" for _, s in found) == 2  # a flipped byte, a member cut short
+    out = warc.payloads(warc.reassemble(records)).collect()
+    assert len(out) == len(found)
+    assert {(r.page_id, bytes(r.payload)) for r in out if r.status == "ok" and r.page_id in (0, 1, 4, 5)} == {
+        (i, b"body %d" % i) for i in (0, 1, 4, 5)}
+    assert {r.payload for r in out if r.status != "ok"} == {None}
+    digests = warc.payloads(warc.reassemble(records), with_payload=False)
+    assert "payload" not in digests.columns
+    assert sorted((str(r.payload_digest), r.status) for r in digests.collect()) == sorted(
+        (str(r.payload_digest), r.status) for r in out)
+
+
+def test_a_cut_segment_is_no_whole_record(spark, tmp_dir):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + b"z" * 300
+    parts = [warc._header("response", "urn:o", block[:100], [("X-Page-Id", 1), ("WARC-Segment-Number", 1)]),
+             warc._header("continuation", "urn:p", block[100:], [("WARC-Segment-Origin-ID", "<urn:o>"), ("WARC-Segment-Number", 2),
+                                                                 ("WARC-Segment-Total-Length", len(block))])]
+    files = [parts[0] + b"\r\n\r\n", parts[1][:-50]]
+    out = warc.payloads(warc.reassemble(warc.read_records(spark, written(f"{tmp_dir}/c", files)))).collect()
+    assert [(r.page_id, r.status, r.payload) for r in out] == [(1, "cut", None)]
+
+
+def test_large_records_are_read_in_linear_time(spark, tmp_dir):
+    import time
+
+    body = os.urandom(1 << 20) * 64
+    raw = plain(1, body) + plain(2, b"after")
+    began = time.perf_counter()
+    step = 1 << 16
+    got = list(warc.parse(raw[i:i + step] for i in range(0, len(raw), step)))
+    assert time.perf_counter() - began < 5
+    assert [(f["x-page-id"], len(b), s) for f, b, s in got] == [("1", len(body) + 19, "ok"), ("2", 24, "ok")]
+    warc.write_archives(pages(spark, [(1, "u", "ab\n" * 6_000_000)]), f"{tmp_dir}/l")
+    out = warc.payloads(warc.reassemble(warc.read_records(spark, f"{tmp_dir}/l")), with_payload=False).collect()
+    assert [(r.page_id, r.payload_bytes, r.status) for r in out] == [(1, 18_000_000, "ok")]
+
+
 def test_chunked_framing():
     for raw in (b"", b"x", b"\r\n" * 5000):
         assert warc.unchunked(warc.chunked(raw)) == raw

@@ -327,7 +327,7 @@ def encode(docs: DataFrame, tokenizers: str | None = None, keep_text: bool = Tru
 
     rows = batched(docs).select(*[(F.col("text").cast("string") if c == "text" else F.col(f"`{c}`")).alias(c)
                                   for c in columns])
-    schema = rows.select(*[F.col(f"`{c}`") for c in kept], F.array(F.lit(0)).alias("ids")).schema
+    schema = rows.select(*[F.col(f"`{c}`") for c in kept]).schema.add("ids", "array<int>")
     return rows.mapInArrow(run, schema)
 
 
@@ -347,4 +347,4 @@ def decode(rows: DataFrame, tokenizers: str | None = None) -> DataFrame:
             yield batch.append_column("decoded", pa.array([bpe.decode(x or []) for x in lists], pa.string()))
 
     out = batched(rows).select(*[F.col(f"`{c}`") for c in columns])
-    return out.mapInArrow(run, out.withColumn("decoded", F.lit("")).schema)
+    return out.mapInArrow(run, out.select("*").schema.add("decoded", "string"))

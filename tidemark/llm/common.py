@@ -15,6 +15,8 @@ from tidemark.session import work_dir
 
 #: Rows that go to a Python worker at once: a MB or two of texts.
 ARROW_ROWS = "400"
+#: Bytes that go to a Python worker at once, where rows are large.
+ARROW_BYTES = "4m"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -56,9 +58,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def batched(df: DataFrame) -> DataFrame:
-    """``df``, to be handed to Python in batches of ARROW_ROWS."""
+    """``df``, to be handed to Python in batches of ARROW_ROWS or ARROW_BYTES."""
     ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return df
 
 

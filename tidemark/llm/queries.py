@@ -26,7 +26,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "llm", f"warc-{uuid.uuid4().hex}")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     whole = warc.reassemble(warc.read_records(spark, path))
-    return warc.resolve_revisits(staged(warc.payloads(whole).drop("payload"), "payloads"))
+    return warc.resolve_revisits(staged(warc.payloads(whole, with_payload=False), "payloads"))
 
 
 def _digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:

@@ -32,7 +32,10 @@ CHUNK = 4096
 #: Records in an archive, so that a reader's task holds a few MB at once.
 FILE_RECORDS = 2000
 RECORD = ("archive string, record_type string, record_id string, origin_id string, segment int, "
-          "total_length long, page_id long, target string, digest string, refers_to long, block binary")
+          "total_length long, page_id long, target string, digest string, refers_to long, block binary, status string")
+#: Bytes of blocks or payloads in a batch that a task sends on.
+BATCH_BYTES = 4 << 20
+GZIP = b"\x1f\x8b\x08"
 
 
 def _header(kind: str, record_id: str, block: bytes, more: list[tuple[str, object]]) -> bytes:
@@ -130,125 +133,198 @@ def write_archives(pages: DataFrame, path: str, least_revisit: int = 1000,
      .write.option("maxRecordsPerFile", FILE_RECORDS).option("lineSep", RECORD_END).option("compression", "gzip").text(path))
 
 
-def parse(data: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and block of each record of a stream."""
-    buffer = b""
+class Damaged(Exception):
+    """A part of a file that can't be inflated."""
 
-    def more() -> bool:
-        nonlocal buffer
-        got = next(data, b"")
-        buffer += got
-        return bool(got)
 
-    while True:
-        while (end := buffer.find(b"\r\n\r\n")) < 0 or not buffer[:end].strip():
-            if end >= 0:
-                buffer = buffer[end + 4:]
-            elif not more():
-                return
-        fields = {}
-        for line in buffer[:end].decode("utf-8", "replace").split("\r\n")[1:]:
-            key, _, value = line.partition(":")
-            fields[key.strip().lower()] = value.strip()
-        size = int(fields["content-length"])
-        while len(buffer) < end + 4 + size and more():
-            pass
-        yield fields, buffer[end + 4:end + 4 + size]
-        buffer = buffer[end + 4 + size:]
-
-
-def _inflate(raw: bytes, piece: int = 1 << 20) -> Iterator[bytes]:
-    """The content of a file, of any number of gzip members or none."""
-    if raw[:2] != b"\x1f\x8b":
+def _inflate(raw: bytes, piece: int = 1 << 20) -> Iterator[bytes | Damaged]:
+    """The content of a file, of any number of gzip members or none.  A member
+    that is damaged or cut short gives what it held up to there and a ``Damaged``;
+    the next member follows."""
+    if raw[:2] != GZIP[:2]:
         yield raw
         return
-    while raw:
-        member = zlib.decompressobj(31)
-        while raw and not member.eof:
-            part = member.decompress(raw, piece)
-            raw = member.unconsumed_tail or member.unused_data
-            if part:
-                yield part
-            elif not raw:
-                break
+    at, view = 0, memoryview(raw)
+    while at < len(raw):
+        member, begin = zlib.decompressobj(31), at
+        try:
+            while not member.eof and at < len(raw):
+                part = member.decompress(view[at:at + piece])
+                at += piece
+                if part:
+                    yield part
+            at = min(at, len(raw)) - len(member.unused_data)
+            if not member.eof:
+                yield Damaged("cut short")
+        except zlib.error as e:
+            yield Damaged(str(e))
+            at = raw.find(GZIP, begin + 1)
+            if at < 0:
+                return
+
+
+def _fields(head: bytes) -> dict[str, str]:
+    """Header fields, names in lower case."""
+    lines = [line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:]]
+    return {key.strip().lower(): value.strip() for key, _, value in lines}
+
+
+def parse(data: Iterator[bytes | Damaged]) -> Iterator[tuple[dict[str, str], bytes, str]]:
+    """Header fields, block and status of each record of a stream.
+
+    The status is ``ok``; ``cut`` for a record that ends before its length;
+    ``header`` for one without a usable Content-Length, whose block goes up to the
+    next record; or ``damaged``, without fields, where a part can't be read.
+    """
+    held, skip = bytearray(), 0
+    ended, damaged = False, False
+
+    def more() -> bool:
+        nonlocal ended, damaged
+        if not (ended or damaged):
+            got = next(data, None)
+            if got is None:
+                ended = True
+            elif isinstance(got, Damaged):
+                damaged = True
+            else:
+                held.extend(got)
+                return True
+        return False
+
+    def find(what: bytes, begin: int) -> int:
+        """Place of ``what``, reading on as far as it takes; each byte is looked at once."""
+        while (at := held.find(what, begin)) < 0:
+            begin = max(begin, len(held) - len(what) + 1)
+            if not more():
+                return -1
+        return at
+
+    while True:
+        if skip > BATCH_BYTES:  # not after each record, which would move the rest each time
+            del held[:skip]
+            skip = 0
+        begin = find(b"WARC/", skip)
+        end = find(b"\r\n\r\n", begin) if begin >= 0 else -1
+        if end >= 0:
+            fields = _fields(bytes(held[begin:end]))
+            size = _number(fields.get("content-length"))
+            if size is None or size < 0:
+                after = find(b"\r\n\r\nWARC/", end)
+                skip = after + 4 if after >= 0 else len(held)
+                yield fields, bytes(held[end + 4:after if after >= 0 else len(held)]), "header"
+            else:
+                skip = end + 4 + size
+                while len(held) < skip and more():
+                    pass
+                block = bytes(held[end + 4:skip])
+                yield fields, block, "ok" if len(block) == size else "cut"
+            skip = min(skip, len(held))
+            continue
+        if begin >= 0:
+            yield _fields(bytes(held[begin:])), b"", "cut"
+        if not damaged:
+            return
+        yield {}, b"", "damaged"
+        held.clear()
+        skip, damaged = 0, False
 
 
 def _number(text: str | None) -> int | None:
-    return int(text) if text else None
+    """A number of a header field that fits its column, or null."""
+    return int(text) if text and re.fullmatch(r"-?[0-9]{1,18}", text) else None
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the archives under ``path``, one row each (``RECORD``)."""
+    """All records of the archives under ``path``, one row each (``RECORD``).
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in RECORD.split(", ")]
-        kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-        types = [kinds[x.split()[1]] for x in RECORD.split(", ")]
-
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+    ``status`` tells of broken archives (see ``parse``): a record that is cut
+    short, or without a usable length, is a row with what there is of it, and a
+    damaged or cut gzip member is a row of its own beside the records before it.
+    An archive has to fit in a task's memory, compressed, and so has a record.
+    """
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    names, types = zip(*[(n, kinds[k]) for n, k in (x.split() for x in RECORD.split(", "))])
+
+    def row_of(archive: str, f: dict[str, str], block: bytes, status: str) -> tuple:
+        segment = _number(f.get("warc-segment-number"))
+        return (archive, f.get("warc-type"), f.get("warc-record-id", "").strip("<>") or None,
+                f.get("warc-segment-origin-id", "").strip("<>") or None,
+                segment if segment is None or abs(segment) < 1 << 31 else None,
+                _number(f.get("warc-segment-total-length")), _number(f.get("x-page-id")), f.get("warc-target-uri"),
+                f.get("warc-payload-digest", "").partition(":")[2] or None, _number(f.get("x-refers-to-page-id")),
+                block, status)
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for archive, raw in zip(batch.column(0), batch.column(1)):
                 rows, held = [], 0
-                for f, block in parse(_inflate(raw.as_py())):
-                    digest = f.get("warc-payload-digest", "").partition(":")[2] or None
-                    rows.append((archive.as_py(), f.get("warc-type"), f.get("warc-record-id", "").strip("<>"),
-                                 f.get("warc-segment-origin-id", "").strip("<>") or None,
-                                 _number(f.get("warc-segment-number")),
-                                 _number(f.get("warc-segment-total-length")), _number(f.get("x-page-id")),
-                                 f.get("warc-target-uri"), digest, _number(f.get("x-refers-to-page-id")), block))
+                for fields, block, status in parse(_inflate(raw.as_py())):
+                    rows.append(row_of(archive.as_py(), fields, block, status))
                     held += len(block)
-                    if held > 4 << 20:
-                        yield batch_of(rows)
+                    if held > BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
                         rows, held = [], 0
                 if rows:
-                    yield batch_of(rows)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(read, RECORD)
+    return batched(spark.read.format("binaryFile").load(path)).select("path", "content").mapInArrow(read, RECORD)
 
 
 def reassemble(records: DataFrame) -> DataFrame:
-    """Whole records from segmented ones: adds ``status``.
+    """Whole records from segmented ones.
 
     Segments are grouped by origin id and ordered by number.  ``status`` is
-    ``ok``, ``gap`` (a number missing or repeated, or no origin) or ``length``
-    (the total length differs); unsegmented records pass straight through.
+    ``ok``, ``gap`` (a number missing, null or repeated, or no origin), ``length`` (the
+    total length differs) or that of a segment which could not be read whole.
+    Unsegmented records pass straight through.  The segments of one record are
+    joined in one task, which has to hold that record.
     """
-    single = records.where("segment is null and origin_id is null").withColumn("status", F.lit("ok"))
+    single = records.where("segment is null and origin_id is null")
     parts = records.where("segment is not null or origin_id is not null")
-    whole = (parts.withColumn("origin", F.coalesce("origin_id", "record_id"))
-             .groupBy("origin").agg(
-                 F.array_sort(F.collect_list(F.struct(
-                     "segment", "block", "total_length", "record_type", "archive", "page_id", "target",
-                     "digest", "refers_to"))).alias("s")))
-    first = F.element_at("s", 1)
+    names = ["segment", "total_length", "record_type", "archive", "page_id", "target", "digest", "refers_to", "status"]
+    grouped = (parts.withColumn("origin", F.coalesce("origin_id", "record_id"))
+               .groupBy("origin").agg(F.array_sort(F.collect_list(F.struct(*names, "block"))).alias("s")))
+    first, last = F.element_at("s", 1), F.element_at("s", -1)
     numbers = F.transform("s", lambda x: x["segment"])
-    total = F.element_at("s", -1)["total_length"]
-    block = F.aggregate("s", F.lit(b""), lambda acc, x: F.concat(acc, x["block"]))
-    joined = whole.select(
-        first["archive"].alias("archive"), first["record_type"].alias("record_type"),
-        F.col("origin").alias("record_id"), F.lit(None).cast("string").alias("origin_id"),
-        F.lit(None).cast("int").alias("segment"), total.alias("total_length"),
-        first["page_id"].alias("page_id"), first["target"].alias("target"), first["digest"].alias("digest"),
-        first["refers_to"].alias("refers_to"), block.alias("block"), numbers.alias("numbers"))
-    ordered = joined.withColumn("status", F.when(
-        (F.col("numbers") != F.sequence(F.lit(1), F.size("numbers"))) | (F.col("record_type") == "continuation"),
-        "gap").when(~F.col("total_length").eqNullSafe(F.octet_length("block").cast("long")), "length")
-        .otherwise("ok"))
-    return single.unionByName(ordered.drop("numbers"))
-
-
-def payloads(records: DataFrame) -> DataFrame:
-    """Responses and revisits with ``payload`` (decoded; null where the record
-    has none of its own or its framing is broken), ``payload_bytes``,
-    ``payload_digest`` (of what was decoded) and ``status``."""
+    bad = F.filter(F.transform("s", lambda x: x["status"]), lambda x: x != "ok")
+    ordered = batched(grouped).select(
+        first["archive"].alias("archive"), first["record_type"].alias("record_type"), F.col("origin").alias("record_id"),
+        F.lit(None).cast("string").alias("origin_id"), F.lit(None).cast("int").alias("segment"),
+        last["total_length"].alias("total_length"), first["page_id"].alias("page_id"), first["target"].alias("target"),
+        first["digest"].alias("digest"), first["refers_to"].alias("refers_to"),
+        F.transform("s", lambda x: x["block"]).alias("blocks"),
+        F.coalesce(F.get(bad, F.lit(0)), F.when(
+            ~F.coalesce(numbers == F.sequence(F.lit(1), F.size("s")), F.lit(False))
+            | ~F.coalesce(first["record_type"] != "continuation", F.lit(False)), "gap"), F.lit("ok")).alias("status"))
+
+    at, columns = ordered.columns.index("blocks"), records.columns
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):  # a record may be large: a batch of its own
+                row = batch.slice(i, 1)
+                block = b"".join([x.as_buffer() for x in row.column(at)[0].values if x.is_valid])
+                status = row.column("status")[0].as_py()
+                if status == "ok" and row.column("total_length")[0].as_py() != len(block):
+                    status = "length"
+                yield pa.RecordBatch.from_arrays(
+                    [*row.columns[:at], pa.array([block], pa.binary()), pa.array([status])], columns)
+
+    return single.unionByName(ordered.mapInArrow(join, records.schema))
+
+
+def payloads(records: DataFrame, with_payload: bool = True) -> DataFrame:
+    """Responses, revisits and all records with a fault, with ``payload`` (decoded;
+    null where the record has none of its own or is broken), ``payload_bytes`` and
+    ``payload_digest`` (of what was decoded) and ``status`` (also ``framing``: broken
+    chunks).  ``with_payload=False`` leaves the payload itself out."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, status = [], []
-            for kind, block, state in zip(batch.column("record_type").to_pylist(), batch.column("block"),
-                                          batch.column("status").to_pylist()):
+            rows, held = [], 0
+            for i, (kind, block, state) in enumerate(zip(
+                    batch.column(0).to_pylist(), batch.column("block"), batch.column("status").to_pylist())):
                 payload = None
                 if kind == "response" and state == "ok":
                     head, _, body = block.as_py().partition(b"\r\n\r\n")
@@ -256,22 +332,25 @@ def payloads(records: DataFrame) -> DataFrame:
                         payload = unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
                     except ValueError:
                         state = "framing"
-                out.append(payload)
-                status.append(state)
-            sizes = [None if p is None else len(p) for p in out]
-            digests = [None if p is None else hashlib.sha1(p).hexdigest() for p in out]
-            at = batch.schema.get_field_index("block")
-            yield (batch.remove_column(at).set_column(
-                batch.schema.get_field_index("status") - 1, "status", pa.array(status, pa.string()))
-                .append_column("payload", pa.array(out, pa.binary()))
-                .append_column("payload_bytes", pa.array(sizes, pa.int64()))
-                .append_column("payload_digest", pa.array(digests, pa.string())))
-
-    rows = batched(records).where("record_type in ('response', 'revisit', 'continuation')").select(
+                digest = None if payload is None else hashlib.sha1(payload).hexdigest()
+                rows.append((state, payload if with_payload else None, None if payload is None else len(payload), digest))
+                held += len(payload or b"") if with_payload else 0
+                if held > BATCH_BYTES or i + 1 == batch.num_rows:
+                    state, body, size, digest = (list(c) for c in zip(*rows))
+                    columns = [*batch.slice(i + 1 - len(rows), len(rows)).columns[:5], pa.array(state, pa.string()),
+                               pa.array(size, pa.int64()), pa.array(digest, pa.string())]
+                    if with_payload:
+                        columns.append(pa.array(body, pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names)
+                    rows, held = [], 0
+
+    rows = batched(records).where("record_type in ('response', 'revisit') or status <> 'ok'").select(
         "record_type", "page_id", "target", "digest", "refers_to", "block", "status")
-    return rows.mapInArrow(decode, "record_type string, page_id long, target string, digest string, "
-                                   "refers_to long, status string, payload binary, payload_bytes long, "
-                                   "payload_digest string")
+    schema = rows.drop("block").schema.add("payload_bytes", "long").add("payload_digest", "string")
+    if with_payload:
+        schema = schema.add("payload", "binary")
+    names = schema.names
+    return rows.mapInArrow(decode, schema)
 
 
 def resolve_revisits(rows: DataFrame) -> DataFrame:

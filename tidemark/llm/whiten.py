@@ -218,9 +218,8 @@ def apply(vectors: DataFrame, model: Whitening) -> DataFrame:
 
     rows = batched(usable(vectors)).select(*[F.col(f"`{c}`") for c in kept],
                                            F.col("embedding").cast("array<double>").alias("embedding"))
-    schema = rows.select(*[F.col(f"`{c}`") for c in kept],
-                         F.array(F.lit(0.0)).cast("array<double>").alias("whitened"),
-                         F.lit(0).cast("decimal(38, 0)").alias("deviation")).schema
+    schema = rows.select(*[F.col(f"`{c}`") for c in kept]).schema.add(
+        "whitened", "array<double>").add("deviation", "decimal(38, 0)")
     if not n:
         return vectors.sparkSession.createDataFrame([], schema)
     return rows.mapInArrow(run, schema)
