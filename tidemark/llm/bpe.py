@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from tidemark.llm.common import batched
 
@@ -327,7 +328,7 @@ def encode(docs: DataFrame, tokenizers: str | None = None, keep_text: bool = Tru
 
     rows = batched(docs).select(*[(F.col("text").cast("string") if c == "text" else F.col(f"`{c}`")).alias(c)
                                   for c in columns])
-    schema = rows.select(*[F.col(f"`{c}`") for c in kept]).schema.add("ids", "array<int>")
+    schema = rows.select(*[F.col(f"`{c}`") for c in kept]).schema.add("ids", ArrayType(IntegerType()))
     return rows.mapInArrow(run, schema)
 
 

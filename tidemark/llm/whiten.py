@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DecimalType, DoubleType
 
 from tidemark.llm.common import batched, staged
 
@@ -219,7 +220,7 @@ def apply(vectors: DataFrame, model: Whitening) -> DataFrame:
     rows = batched(usable(vectors)).select(*[F.col(f"`{c}`") for c in kept],
                                            F.col("embedding").cast("array<double>").alias("embedding"))
     schema = rows.select(*[F.col(f"`{c}`") for c in kept]).schema.add(
-        "whitened", "array<double>").add("deviation", "decimal(38, 0)")
+        "whitened", ArrayType(DoubleType())).add("deviation", DecimalType(38, 0))
     if not n:
         return vectors.sparkSession.createDataFrame([], schema)
     return rows.mapInArrow(run, schema)
