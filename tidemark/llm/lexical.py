@@ -299,7 +299,7 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 10, block_bytes: int = BL
     Empty tables give no row; other columns are left out.  The terms of a block of
     items are broadcast; each block is one more pass over the documents.
     """
-    schema = items.select("item_id").schema.add("rank", "int").add("doc_id", "long").add("score", "long")
+    schema = items.select("item_id").schema.add("rank", "integer").add("doc_id", "long").add("score", "long")
     asked = batched(items).select("item_id", F.col("text").cast("string").cast("binary").alias("text")) \
         .where(F.octet_length("text") > 0)
     total = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
