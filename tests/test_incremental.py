@@ -34,11 +34,11 @@ def test_commit_round_trip_and_advance(spark, tmp_dir):
     path = f"{tmp_dir}/control"
     wm1 = spark.createDataFrame([("a/b", dt.datetime(2024, 1, 15, 10), 100)],
                                 "source_repo string, watermark timestamp, records_processed long")
-    state.commit(spark, path, "events", "r1", "b1", wm1, clock())
+    state.commit(state.success_rows(spark, "events", "r1", "b1", wm1, clock()), path)
     got = state.last_watermarks(state.read_control(spark, path), "events").collect()[0]
     assert got["watermark"] == dt.datetime(2024, 1, 15, 10)
     wm2 = wm1.withColumn("watermark", F.lit(dt.datetime(2024, 1, 15, 11)))
-    state.commit(spark, path, "events", "r2", "b2", wm2, clock())
+    state.commit(state.success_rows(spark, "events", "r2", "b2", wm2, clock()), path)
     got = state.last_watermarks(state.read_control(spark, path), "events").collect()[0]
     assert got["watermark"] == dt.datetime(2024, 1, 15, 11)
     state.mark_failed(spark, path, "events", "r3", "b3", "boom", clock() + dt.timedelta(hours=1))
@@ -216,3 +216,75 @@ def test_failed_write_is_not_visible(spark, tmp_dir):
     assert s["status"] == "failed" and "x" * 5000 in s["error"]
     assert ids(incremental_run.read_silver(spark, tmp_dir)) == ["1"]
     assert incremental_run.read_gold(spark, tmp_dir, "summary").collect()[0]["_batch_id"] == "b1"
+
+
+# -- batches run again ------------------------------------------------------------------
+
+def by_batch(spark, root):
+    return sorted((r._batch_id, r.event_id) for r in incremental_run.read_silver(spark, root).collect())
+
+
+def test_earlier_batch_run_again_unchanged_changes_nothing(spark, tmp_dir):
+    a, b = batch(spark, event(1, 0), event(2, 10)), batch(spark, event(3, 30))
+    run(spark, tmp_dir, "a", 1, a)
+    run(spark, tmp_dir, "b", 2, b)
+    s = run(spark, tmp_dir, "a", 3, a)
+    assert s["records_processed"] == 2
+    assert by_batch(spark, tmp_dir) == [("a", "1"), ("a", "2"), ("b", "3")]
+    # the later batch did not have to run again
+    assert spark.read.parquet(f"{tmp_dir}/silver").select("_batch_id", "_run_id").distinct().count() == 3
+    assert ids(incremental_run.read_silver(spark, tmp_dir, as_of_batch="a")) == ["1", "2"]
+
+
+def test_an_id_that_a_new_version_lacks_goes_to_the_batch_that_gave_it_up(spark, tmp_dir):
+    run(spark, tmp_dir, "a", 1, batch(spark, event(1, 0), event(2, 10)))
+    run(spark, tmp_dir, "b", 2, batch(spark, event(1, 40), event(3, 41)))
+    run(spark, tmp_dir, "c", 3, batch(spark, event(1, 50), event(4, 51)))
+    assert by_batch(spark, tmp_dir) == [("a", "1"), ("a", "2"), ("b", "3"), ("c", "4")]
+    run(spark, tmp_dir, "a", 4, batch(spark, event(2, 10)))
+    assert by_batch(spark, tmp_dir) == [("a", "2"), ("b", "1"), ("b", "3"), ("c", "4")]
+
+
+def test_an_id_that_moves_to_an_earlier_batch_stays_once(spark, tmp_dir):
+    run(spark, tmp_dir, "a", 1, batch(spark, event(1, 0)))
+    run(spark, tmp_dir, "b", 2, batch(spark, event(2, 30), event(3, 31)), event_types=["PushEvent"])
+    run(spark, tmp_dir, "c", 3, batch(spark, event(4, 60)))
+    run(spark, tmp_dir, "a", 4, batch(spark, event(1, 0), event(3, 1)))
+    assert by_batch(spark, tmp_dir) == [("a", "1"), ("a", "3"), ("b", "2"), ("c", "4")]
+    # a watermark that goes up makes rows of later batches late, and one that goes down lets them in again
+    run(spark, tmp_dir, "a", 5, batch(spark, event(1, 45)))
+    assert by_batch(spark, tmp_dir) == [("a", "1"), ("c", "4")]
+    q = [(r._batch_id, r.id, r._reject_reason) for r in incremental_run.read_quarantine(spark, tmp_dir).collect()]
+    assert sorted(q) == [("b", "2", "late"), ("b", "3", "late")]
+    run(spark, tmp_dir, "a", 6, batch(spark, event(1, 0)))
+    assert by_batch(spark, tmp_dir) == [("a", "1"), ("b", "2"), ("b", "3"), ("c", "4")]
+    assert ids(incremental_run.read_bronze(spark, tmp_dir), "id") == ["1", "2", "3", "4"]
+
+
+def test_a_failed_rerun_leaves_all_batches_as_they_were(spark, tmp_dir):
+    run(spark, tmp_dir, "a", 1, batch(spark, event(1, 0)))
+    run(spark, tmp_dir, "b", 2, batch(spark, event(1, 30), event(2, 31)))
+
+    def stop():
+        raise RuntimeError("stopped before the commit")
+
+    s = incremental_run.run_batch(spark, batch(spark, event(5, 0)), tmp_dir, "a", RUN_TS, clock=later, before_commit=stop)
+    assert s["status"] == "failed" and by_batch(spark, tmp_dir) == [("a", "1"), ("b", "2")]
+
+
+def test_the_id_index_is_scanned_and_never_shuffled(spark, tmp_dir):
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("event_id"))
+    rows = rows.withColumn("_bucket", incremental.id_bucket("event_id"))
+    rows.where("cast(event_id as int) % 2 = 0").write.partitionBy("_bucket").parquet(f"{tmp_dir}/index")
+    rows.where("cast(event_id as int) between 100 and 130").write.parquet(f"{tmp_dir}/few")
+    index = spark.read.schema(rows.schema).parquet(f"{tmp_dir}/index")
+    few = spark.read.parquet(f"{tmp_dir}/few")
+    want = sorted(str(i) for i in range(100, 131, 2))
+    for most in (1_000_000, 3):
+        found = incremental.known_ids(index, few, most)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ids(found) == want and "PartitionFilters: [_bucket" in plan
+        if most > 3:  # else single folders hold more ids than may be broadcast
+            assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert ids(incremental.known_ids(index, few.limit(0))) == []
+

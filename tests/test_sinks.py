@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tidemark.operators import dedup, profile
 from tidemark.plans import sinks
@@ -20,7 +21,7 @@ def layer(spark, tmp_dir):
 
 def committed(spark, *rows):
     return spark.createDataFrame([(b, r, dt.datetime(2024, 1, d)) for b, r, d in rows],
-                                 "_batch_id string, _run_id string, committed_at timestamp")
+                                 "_batch_id string, _run_id string, committed_at timestamp").withColumn("first_at", F.col("committed_at"))
 
 
 def read(spark, layer, done, **how):

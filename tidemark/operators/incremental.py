@@ -3,10 +3,16 @@ anti-join against already-processed events, committed-batch restriction."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.timefns import parse_event_time
 
+#: Folders of the id index.  Ids are dealt to them by hash.
+ID_BUCKETS = 64
+#: Ids of a batch that are broadcast at once (some 60 MB).
+BROADCAST_IDS = 1_000_000
+
+
 def watermarks(silver: DataFrame, by: str = "source_repo") -> DataFrame:
     """Per-source watermark: latest event time over surviving rows.  Rows
     whose time fell back to the run timestamp never advance it."""
@@ -45,6 +51,39 @@ def unseen(new_silver: DataFrame, processed: DataFrame, key: str = "event_id") -
     return new_silver.join(processed.select(key), key, "left_anti")
 
 
+def id_bucket(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(ID_BUCKETS)).cast("int")
+
+
+def known_ids(index: DataFrame, ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """The ids of a batch that an id index holds.
+
+    ``index(event_id, _bucket)`` is the history, stored in folders by bucket;
+    ``ids(event_id, _bucket)`` are the batch's distinct ids, stored.  The history
+    is only scanned, never shuffled: the batch's ids are broadcast, at most
+    ``most`` at a time, each time beside the folders that they fall into, so a
+    folder is read once and folders without an id of the batch not at all.  A
+    batch with more than ``most`` ids in one folder joins that folder by shuffle.
+    """
+    count = {r["_bucket"]: r["count"] for r in ids.groupBy("_bucket").count().collect()}  # a row a folder
+    groups: list[list[int]] = []
+    room = 0
+    for bucket, n in sorted(count.items()):
+        if not groups or n > room:
+            groups.append([])
+            room = most
+        groups[-1].append(bucket)
+        room -= n
+    found = ids.select("event_id").limit(0)
+    for group in groups:
+        mine = F.col("_bucket").isin(group)
+        side = ids.where(mine)
+        if sum(count[b] for b in group) <= most:
+            side = F.broadcast(side)
+        found = found.unionByName(index.where(mine).join(side, ["_bucket", "event_id"], "left_semi").select("event_id"))
+    return found
+
+
 def committed(rows: DataFrame, control: DataFrame, keys=("source_repo", "_batch_id")) -> DataFrame:
     """Rows of committed batches only: left-semi join with successful control rows."""
     ok = control.filter(F.col("status") == "success").select(*keys).distinct()

@@ -337,6 +337,33 @@ def runs_root(spark, d):
     return _once(spark, d, "layers", make)
 
 
+def rerun_root(spark, d):
+    """The layers after three runs, then the first again as it was, and the
+    second with other events."""
+    def make(root: str) -> None:
+        b = bronze(spark, d)
+        batches = testdata.incremental_batches(b)
+        again = [(testdata.BATCHES[0], batches[0]), (testdata.BATCHES[1], testdata.changed_batch(b))]
+        for k, (batch_id, rows) in enumerate([*zip(testdata.BATCHES, batches), *again]):
+            stats = incremental_run.run_batch(spark, rows, root, batch_id, RUN_TS, event_types=DEFAULT_TYPE_FILTER,
+                                              clock=clock_of(k))
+            if stats["status"] != "success":
+                raise RuntimeError(stats["error"])
+
+    return _once(spark, d, "reruns", make)
+
+
+def q_incremental_rerun_silver(spark, d):
+    return incremental_run.read_silver(spark, rerun_root(spark, d)).select(
+        "event_id", "event_type", "_batch_id", as_wall_clock("created_at").alias("created_at"))
+
+
+def q_incremental_rerun_quarantine(spark, d):
+    return incremental_run.read_quarantine(spark, rerun_root(spark, d)).select(
+        F.col("id").alias("event_id"), "type", "_batch_id", "_arrival_seq",
+        F.col(validate.REASON).alias("reject_reason"))
+
+
 def q_incremental_run_silver(spark, d):
     return incremental_run.read_silver(spark, runs_root(spark, d)).select(
         "event_id", "event_type", "_batch_id", as_wall_clock("created_at").alias("created_at"))
@@ -581,6 +608,8 @@ QUERIES: dict[str, Query] = {
     # layers and state after a sequence of runs
     "incremental_run_bronze": q_incremental_run_bronze,
     "incremental_run_silver": q_incremental_run_silver,
+    "incremental_rerun_silver": q_incremental_rerun_silver,
+    "incremental_rerun_quarantine": q_incremental_rerun_quarantine,
     "incremental_run_quarantine": q_incremental_run_quarantine,
     "incremental_run_quality": q_incremental_run_quality,
     "incremental_run_watermarks": q_incremental_run_watermarks,

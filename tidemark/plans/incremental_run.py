@@ -5,20 +5,28 @@ Order of effects; each writes the run's own version of the batch:
 1. all rows of the batch go to Bronze as they came, before any filter;
 2. every row is labelled: failed checks, late (at or before its source's
    watermark, minus an optional ``lateness`` overlap), duplicate, type filter,
-   already in Silver (anti-join on the event id alone);
+   already in Silver (the batch's ids are looked up in the id index);
 3. rejected rows go to the quarantine layer with their reason, the counts to
-   the quality layer, the others to Silver and their ids to a narrow id table;
+   the quality layer, the others to Silver and their ids to the id index;
 4. every Gold table is computed once from the written Silver;
 5. the control rows are appended (watermark = greatest(previous, new)).  Only
    now do readers see the batch; the latest Gold tables are those of the batch
    committed last.  A failure appends a failed row instead and the watermark
    stays where it was; the run record is appended either way.
+
+Batches keep the order in which they were committed first.  A batch that is run
+again starts from the batches before it, not from those after it.  If its new
+version holds other ids, or moves a watermark elsewhere, later batches that
+depend on it are run again too, from their Bronze and with their own
+parameters, and all new versions become visible by one append.  So Silver is
+always what the batches' last contents give when run once in that order.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -29,7 +37,7 @@ from tidemark.plans.medallion import write_bundle
 from tidemark.schemas import BRONZE, SILVER_BASE, SILVER_FEATURES
 from tidemark.session import discard, materialize, work_dir
 
-IDS = T.StructType([T.StructField("event_id", T.StringType())])
+IDS = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("_bucket", T.IntegerType())])
 QUALITY = T.StructType([T.StructField(c, T.LongType()) for c in (
     "total", "valid", "filtered", "invalid", "late", "duplicates", "type_filtered", "already_in_silver")])
 
@@ -97,33 +105,56 @@ def quality_of(labeled: DataFrame) -> DataFrame:
     return labeled.agg(*[c.alias(f.name) for c, f in zip(counts, QUALITY.fields)])
 
 
-def run_batch(spark: SparkSession, bronze: DataFrame, root: str, batch_id: str, run_ts: str,
-              pipeline: str = "events", event_types: Sequence[str] | None = None,
-              lateness_seconds: int = 0, calculations: Sequence[str] = gold.CALCULATIONS,
-              top_n: int = 10, clock=_now) -> dict:
-    """Run one batch; returns run stats (run_id, status, records, error)."""
-    p = paths(root)
-    tracker = state.RunTracker(spark, p["runs"])
-    run_id = tracker.start(clock())
-    stats = {"run_id": run_id, "status": "failed", "records_processed": 0, "error": None}
-    scratch = work_dir(spark, "runs", run_id)
-
-    def write(df: DataFrame, layer: str) -> None:
-        sinks.write_version(df, layer, batch_id, run_id)
-
-    try:
-        # The state this batch starts from excludes its own earlier commits,
-        # so re-running a batch recomputes it rather than seeing it as done.
-        control = state.read_control(spark, p["control"]).filter(F.col("_batch_id") != batch_id)
-        prev = state.last_watermarks(control, pipeline)
-        done = state.committed_versions(control, pipeline)
+class _Run:
+    """The versions that one run writes: of its batch, and of later ones that it changes."""
+
+    def __init__(self, spark: SparkSession, root: str, pipeline: str, run_id: str):
+        self.spark, self.paths, self.pipeline, self.run_id = spark, paths(root), pipeline, run_id
+        self.scratch = work_dir(spark, "runs", run_id)
+        control = state.read_control(spark, self.paths["control"])
+        # A row a source and batch; written, as each batch asks for it several times.
+        self.control = materialize(control, f"{self.scratch}/control")
+        self.versions = state.committed_versions(self.control, pipeline)
+        self.marks = state.watermark_rows(self.control, pipeline, self.versions)
+        self.written: list[str] = []
+        self.rows: list[DataFrame] = []
+
+    def _before(self, batch_id: str) -> tuple[DataFrame, DataFrame]:
+        """Versions and watermark rows of the batches before one (all others, if
+        it has not been committed yet), this run's own versions first."""
+        v = self.versions
+        first = v.where(F.col("_batch_id") == batch_id).agg(F.max("first_at")).scalar()
+        earlier = first.isNull() | (F.struct("first_at", "_batch_id") < F.struct(first, F.lit(batch_id)))
+        v = v.where((F.col("_batch_id") != batch_id) & earlier)
+        new = F.col("_batch_id").isin(self.written)
+        marks = self.marks.where(~new)
+        for name in self.written:
+            marks = marks.unionByName(self.spark.read.parquet(f"{self.scratch}/moved/{name}"))
+        marks = marks.join(v.select("_batch_id"), "_batch_id", "left_semi")
+        return (v.select("_batch_id", F.when(new, F.lit(self.run_id)).otherwise(F.col("_run_id")).alias("_run_id")),
+                marks.groupBy("source_repo").agg(F.max("watermark").alias("watermark")))
+
+    def write(self, batch_id: str, bronze: DataFrame, params: dict, clock: Callable[[], dt.datetime]) -> int:
+        """Write every layer's version of a batch; returns its Silver rows."""
+        spark, p, run_id = self.spark, self.paths, self.run_id
+        scratch = f"{self.scratch}/{batch_id}"
+        run_ts, lateness = params["run_ts"], params["lateness_seconds"]
+
+        def write(df: DataFrame, layer: str) -> None:
+            sinks.write_version(df, layer, batch_id, run_id)
+
+        before, prev = self._before(batch_id)
         wm = prev.select("source_repo", (F.col("watermark") - F.make_dt_interval(
-            secs=F.lit(lateness_seconds))).alias("watermark")) if lateness_seconds else prev
+            secs=F.lit(lateness))).alias("watermark")) if lateness else prev
 
         write(bronze, p["bronze"])
         b = sinks.read_version(spark, p["bronze"], BRONZE, batch_id, run_id)
-        labeled = silver.label(incremental.mark_late(b, wm), event_types).drop("_late")
-        known = sinks.read_layer(spark, p["ids"], IDS, done).select(
+        labeled = materialize(silver.label(incremental.mark_late(b, wm), params["event_types"]).drop("_late"),
+                              f"{scratch}/checked")
+        asked = materialize(labeled.where(F.col(validate.REASON).isNull()).select(
+            F.col("id").alias("event_id"), incremental.id_bucket("id").alias("_bucket")).distinct(), f"{scratch}/asked")
+        index = sinks.read_layer(spark, p["ids"], IDS, before)
+        known = materialize(incremental.known_ids(index, asked).distinct(), f"{scratch}/known").select(
             F.col("event_id").alias("id"), F.lit(True).alias("_seen"))
         reason = F.coalesce(F.col(validate.REASON), F.when(F.col("_seen"), F.lit(validate.SEEN)))
         labeled = materialize(labeled.join(known, "id", "left").withColumn(validate.REASON, reason).drop("_seen"),
@@ -134,23 +165,94 @@ def run_batch(spark: SparkSession, bronze: DataFrame, root: str, batch_id: str,
         write(quality_of(labeled), p["quality"])
         kept = labeled.where(~rejected).drop(validate.REASON)
         write(silver.enrich(silver.clean(kept, run_ts)).select(*SILVER_BASE, *SILVER_FEATURES), p["silver"])
-        written = sinks.read_version(spark, p["silver"], silver_schema(spark), batch_id, run_id)
-        write(written.select("event_id"), p["ids"])
-        n = written.count()
-        stats["records_processed"] = n
-        write_bundle(written.drop("_batch_id"), calculations, run_ts, top_n, f"{scratch}/cuboid",
+        silver_rows = sinks.read_version(spark, p["silver"], silver_schema(spark), batch_id, run_id)
+        ids = silver_rows.select("event_id", incremental.id_bucket("event_id").alias("_bucket"))
+        sinks.write_version(ids.repartition("_bucket"), p["ids"], batch_id, run_id, ("_bucket",))
+        n = silver_rows.count()
+        write_bundle(silver_rows.drop("_batch_id"), params["calculations"], run_ts, params["top_n"], f"{scratch}/cuboid",
                      lambda df, name: write(df, f"{p['gold']}/{name}"),
                      lambda name: spark.read.parquet(sinks.version_path(f"{p['gold']}/{name}", batch_id, run_id)))
-        new_wm = incremental.watermarks(written)
+        new_wm = incremental.watermarks(silver_rows)
         moved = incremental.advance(prev.join(new_wm, "source_repo", "left_semi"), new_wm).join(
             new_wm.select("source_repo", "records_processed"), "source_repo")
-        state.commit(spark, p["control"], pipeline, run_id, batch_id, moved, clock(), {"records": n})
+        moved = materialize(moved.withColumn("_batch_id", F.lit(batch_id)), f"{self.scratch}/moved-rows/{batch_id}")
+        moved.select("_batch_id", "source_repo", "watermark").write.parquet(f"{self.scratch}/moved/{batch_id}")
+        self.rows.append(state.success_rows(spark, self.pipeline, run_id, batch_id, moved, clock(),
+                                            {"records": n, "params": json.dumps(params)}))
+        self.written.append(batch_id)
+        return n
+
+    def _changes(self, batch_id: str) -> tuple[DataFrame, DataFrame]:
+        """Ids that one of a batch's two versions holds alone, and sources that
+        they leave with different watermarks."""
+        old = self.versions.where(F.col("_batch_id") == batch_id).select("_batch_id", "_run_id")
+        new = self.spark.createDataFrame([(batch_id, self.run_id)], "_batch_id string, _run_id string")
+        of = [sinks.read_layer(self.spark, self.paths["ids"], IDS, v).select("event_id") for v in (old, new)]
+        ids = of[0].join(of[1], "event_id", "left_anti").unionByName(of[1].join(of[0], "event_id", "left_anti"))
+        was = self.marks.where(F.col("_batch_id") == batch_id).select("source_repo", F.col("watermark").alias("was"))
+        now = self.spark.read.parquet(f"{self.scratch}/moved/{batch_id}").select("source_repo", "watermark")
+        sources = was.join(now, "source_repo", "full").where(~F.col("was").eqNullSafe(F.col("watermark")))
+        return (materialize(ids, f"{self.scratch}/{batch_id}/changed-ids"),
+                materialize(sources.select("source_repo"), f"{self.scratch}/{batch_id}/changed-sources"))
+
+    def write_dependents(self, batch_id: str, clock: Callable[[], dt.datetime]) -> None:
+        """Run the later batches again that a new version of ``batch_id`` changes."""
+        meta = state.succeeded(self.control, self.pipeline).where(F.col("source_repo").isNull()).select(
+            "_batch_id", F.col("run_id").alias("_run_id"), F.col("metadata")["params"].alias("params"))
+        batches = materialize(self.versions.join(meta, ["_batch_id", "_run_id"], "left"), f"{self.scratch}/batches")
+        bronze = self.paths["bronze"]
+        ids = sources = None
+        while True:
+            changed = self._changes(batch_id)
+            ids = changed[0] if ids is None else ids.unionByName(changed[0])
+            sources = changed[1] if sources is None else sources.unionByName(changed[1])
+            if ids.isEmpty() and sources.isEmpty():
+                return
+            at = batches.where(F.col("_batch_id") == batch_id).first()["first_at"]
+            later = batches.where(F.struct("first_at", "_batch_id") > F.struct(F.lit(at), F.lit(batch_id)))
+            rows = sinks.read_layer(self.spark, bronze, BRONZE, later).select("id", "source_repo", "_batch_id")
+            touched = rows.join(ids.select(F.col("event_id").alias("id")).distinct(), "id", "left_semi").unionByName(
+                rows.join(sources.distinct(), "source_repo", "left_semi")).select("_batch_id").distinct()
+            following = later.join(touched, "_batch_id", "left_semi").orderBy("first_at", "_batch_id").first()
+            if following is None:
+                return
+            batch_id = following["_batch_id"]
+            again = sinks.read_version(self.spark, bronze, BRONZE, batch_id, following["_run_id"])
+            self.write(batch_id, again, json.loads(following["params"]), clock)
+
+
+def run_batch(spark: SparkSession, bronze: DataFrame, root: str, batch_id: str, run_ts: str,
+              pipeline: str = "events", event_types: Sequence[str] | None = None,
+              lateness_seconds: int = 0, calculations: Sequence[str] = gold.CALCULATIONS,
+              top_n: int = 10, clock=_now, before_commit: Callable[[], None] | None = None) -> dict:
+    """Run one batch; returns run stats (run_id, status, records, error).
+
+    ``before_commit`` is called when everything is written and nothing is visible yet."""
+    p = paths(root)
+    tracker = state.RunTracker(spark, p["runs"])
+    run_id = tracker.start(clock())
+    stats = {"run_id": run_id, "status": "failed", "records_processed": 0, "error": None}
+    params = {"run_ts": run_ts, "event_types": None if event_types is None else list(event_types),
+              "lateness_seconds": lateness_seconds, "calculations": list(calculations), "top_n": top_n}
+    at = clock()
+    try:
+        run = _Run(spark, root, pipeline, run_id)
+        again = not run.versions.where(F.col("_batch_id") == batch_id).isEmpty()
+        stats["records_processed"] = run.write(batch_id, bronze, params, lambda: at)
+        if again:
+            run.write_dependents(batch_id, lambda: at)
+        rows = run.rows[0]
+        for more in run.rows[1:]:
+            rows = rows.unionByName(more)
+        if before_commit:
+            before_commit()
+        state.commit(rows, p["control"])
         stats["status"] = "success"
     except Exception as e:  # noqa: BLE001 - recorded, never silently lost
-        stats["error"] = str(e)
-        state.mark_failed(spark, p["control"], pipeline, run_id, batch_id, stats["error"], clock())
+        stats["records_processed"], stats["error"] = 0, str(e)
+        state.mark_failed(spark, p["control"], pipeline, run_id, batch_id, stats["error"], at)
     finally:
-        discard(spark, scratch)
+        discard(spark, work_dir(spark, "runs", run_id))
         tracker.end(clock(), stats["records_processed"], stats["status"], stats["error"])
     return stats
 

@@ -294,15 +294,19 @@ broken AS (SELECT rname AS source_repo, '{"id": "' || event_id || '", broken' AS
            FROM typed WHERE copy = 0 AND event_id % 500 = 1)"""
 
 
-def _run_ctes() -> str:
-    """Labels, Silver rows and watermarks of the three incremental runs."""
+def _run_ctes(changed: bool = False) -> str:
+    """Labels, Silver rows and watermarks of the three incremental runs, or of
+    them with the second one as it is sent again."""
+    more = """ AND NOT eid % 30 = 9
+       UNION ALL SELECT * FROM ev0 WHERE dom > 20 AND eid % 70 = 5""" if changed else ""
+    less = " AND NOT eid % 30 = 9" if changed else ""
     out = BASE_CTES + """,
 ev0 AS (SELECT *, _arrival_seq % 1000000000 AS eid, CAST(substr(_batch_id, 9, 2) AS INTEGER) AS dom FROM req),
 r1 AS (SELECT * FROM ev0 WHERE dom <= 10 AND NOT eid % 40 = 7),
-r2 AS (SELECT * FROM ev0 WHERE dom > 10 AND dom <= 20
+r2 AS (SELECT * FROM ev0 WHERE dom > 10 AND dom <= 20""" + more + """
        UNION ALL SELECT * REPLACE (CAST(CAST(_batch_id AS DATE) AS TIMESTAMP) + INTERVAL 252 HOUR AS created_ts,
                                    _arrival_seq + 3000000000 AS _arrival_seq)
-       FROM ev0 WHERE dom <= 10 AND eid % 50 = 3),
+       FROM ev0 WHERE dom <= 10 AND eid % 50 = 3""" + less + """),
 r3 AS (SELECT * FROM ev0 WHERE dom > 20 OR (dom <= 10 AND eid % 40 = 7)),
 w0 AS (SELECT source_repo, created_ts AS watermark FROM ev0 WHERE false)"""
     for k, batch in enumerate(C.testdata.BATCHES, 1):
@@ -606,6 +610,10 @@ UNION ALL SELECT NULL, NULL, source_repo, 'corrupt_record' FROM broken""",
     "incremental_run_bronze": with_runs("SELECT id, _batch_id, _arrival_seq FROM labels"),
     "incremental_run_silver": with_runs(
         f"SELECT id AS event_id, type AS event_type, _batch_id, COALESCE(created_ts, {RUN_TS}) AS created_at FROM kept"),
+    "incremental_rerun_silver": f"WITH {_run_ctes(True)}\n"
+        f"SELECT id AS event_id, type AS event_type, _batch_id, COALESCE(created_ts, {RUN_TS}) AS created_at FROM kept",
+    "incremental_rerun_quarantine": f"WITH {_run_ctes(True)}\n" + """SELECT id AS event_id, type, _batch_id, _arrival_seq,
+  reason AS reject_reason FROM labels WHERE reason IS NOT NULL""",
     "incremental_run_quarantine": with_runs("""SELECT id AS event_id, type, _batch_id, _arrival_seq,
   reason AS reject_reason FROM labels WHERE reason IS NOT NULL"""),
     "incremental_run_quality": with_runs("""SELECT _batch_id, count(*) AS total,

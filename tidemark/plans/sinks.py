@@ -20,10 +20,11 @@ def version_path(path: str, batch_id: str, run_id: str) -> str:
     return f"{path}/_batch_id={batch_id}/_run_id={run_id}"
 
 
-def write_version(df: DataFrame, path: str, batch_id: str, run_id: str) -> None:
-    """One batch version of a layer.  An empty one has a file with the schema;
-    a retried write replaces its own files."""
-    df.drop(*VERSION).write.mode("overwrite").parquet(version_path(path, batch_id, run_id))
+def write_version(df: DataFrame, path: str, batch_id: str, run_id: str, by: tuple[str, ...] = ()) -> None:
+    """One batch version of a layer, in folders ``by`` some columns if asked.
+    Otherwise an empty one has a file with the schema.  A retried write replaces
+    its own files."""
+    df.drop(*VERSION).write.mode("overwrite").partitionBy(*by).parquet(version_path(path, batch_id, run_id))
 
 
 def read_version(spark: SparkSession, path: str, schema: T.StructType, batch_id: str, run_id: str) -> DataFrame:
@@ -53,16 +54,16 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType, committed:
                scope: str = "all", as_of_batch: str | None = None) -> DataFrame:
     """Read the committed versions of a layer.
 
-    ``committed`` (``state.committed_versions``) has ``_batch_id``, ``_run_id``
-    and ``committed_at``.  ``scope='latest'`` reads the batch committed last,
-    ``'all'`` every batch; ``as_of_batch`` the state when that batch was
-    committed.
+    ``committed`` (``state.committed_versions``) has ``_batch_id``, ``_run_id``,
+    ``committed_at`` and ``first_at``.  ``scope='latest'`` reads the batch committed
+    last, ``'all'`` every batch; ``as_of_batch`` the batches up to that one, in
+    the order in which they were committed first.
     """
     if scope not in ("all", "latest"):
         raise ValueError(f"invalid scope: {scope}")
     if as_of_batch is not None:
-        at = committed.where(F.col("_batch_id") == as_of_batch).agg(F.max("committed_at")).scalar()
-        committed = committed.where(F.col("committed_at") <= at)
+        at = committed.where(F.col("_batch_id") == as_of_batch).agg(F.max("first_at")).scalar()
+        committed = committed.where(F.col("first_at") <= at)
     if scope == "latest":
         committed = committed.where(F.col("_batch_id") == committed.agg(
             F.max_by("_batch_id", F.struct("committed_at", "_batch_id"))).scalar())

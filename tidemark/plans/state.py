@@ -29,31 +29,41 @@ def succeeded(control: DataFrame, pipeline: str) -> DataFrame:
 
 
 def committed_versions(control: DataFrame, pipeline: str) -> DataFrame:
-    """The run whose version of a batch counts: the one committed last."""
-    last = F.max(F.struct(F.col("execution_timestamp").alias("at"), "run_id"))
-    return (succeeded(control, pipeline).groupBy("_batch_id").agg(last.alias("_l"))
-            .select("_batch_id", F.col("_l.run_id").alias("_run_id"), F.col("_l.at").alias("committed_at")))
+    """The run whose version of a batch counts, the one committed last, and when
+    the batch was committed first: batches stay in that order when one is run again."""
+    at = F.col("execution_timestamp")
+    last = F.max(F.struct(at.alias("at"), "run_id"))
+    return (succeeded(control, pipeline).groupBy("_batch_id").agg(last.alias("_l"), F.min(at).alias("first_at"))
+            .select("_batch_id", F.col("_l.run_id").alias("_run_id"), F.col("_l.at").alias("committed_at"), "first_at"))
+
+
+def watermark_rows(control: DataFrame, pipeline: str, versions: DataFrame) -> DataFrame:
+    """(_batch_id, source_repo, watermark) that the given versions committed."""
+    ok = succeeded(control, pipeline).where(F.col("source_repo").isNotNull())
+    return ok.withColumnRenamed("run_id", "_run_id").join(
+        versions.select("_batch_id", "_run_id"), ["_batch_id", "_run_id"], "left_semi").select(
+            "_batch_id", "source_repo", F.col("last_processed_timestamp").alias("watermark"))
 
 
 def last_watermarks(control: DataFrame, pipeline: str) -> DataFrame:
-    """(source_repo, watermark) from successful commits; no row = bootstrap."""
-    ok = succeeded(control, pipeline).filter(F.col("source_repo").isNotNull())
-    return ok.groupBy("source_repo").agg(F.max("last_processed_timestamp").alias("watermark"))
+    """(source_repo, watermark) of the committed versions; no row = bootstrap."""
+    return watermark_rows(control, pipeline, committed_versions(control, pipeline)).groupBy("source_repo").agg(
+        F.max("watermark").alias("watermark"))
 
 
 def global_watermark(control: DataFrame, pipeline: str) -> DataFrame:
     return last_watermarks(control, pipeline).agg(F.max("watermark").alias("watermark"))
 
 
-def commit(spark: SparkSession, path: str, pipeline: str, run_id: str, batch_id: str,
-           watermarks: DataFrame, execution_ts: dt.datetime, metadata: dict | None = None) -> None:
-    """Append the success rows of a batch: one for the batch (no source), and
-    one per source in ``watermarks`` (watermark + records processed)."""
+def success_rows(spark: SparkSession, pipeline: str, run_id: str, batch_id: str, watermarks: DataFrame,
+                 execution_ts: dt.datetime, metadata: dict | None = None) -> DataFrame:
+    """The success rows of a batch: one for the batch (no source), and one per
+    source in ``watermarks`` (watermark + records processed)."""
     meta = F.create_map(*[x for k, v in (metadata or {}).items() for x in (F.lit(k), F.lit(str(v)))]) \
         if metadata else F.lit(None).cast("map<string,string>")
     batch = spark.createDataFrame([(None, None, int((metadata or {}).get("records", 0)))],
                                   "source_repo string, watermark timestamp, records_processed long")
-    rows = batch.unionByName(watermarks.select("source_repo", "watermark", "records_processed")).select(
+    return batch.unionByName(watermarks.select("source_repo", "watermark", "records_processed")).select(
         F.lit(pipeline).alias("pipeline"), "source_repo",
         F.col("watermark").alias("last_processed_timestamp"),
         F.col("records_processed").cast("long").alias("records_processed"),
@@ -61,7 +71,12 @@ def commit(spark: SparkSession, path: str, pipeline: str, run_id: str, batch_id:
         F.lit("success").alias("status"), F.lit(run_id).alias("run_id"),
         F.lit(batch_id).alias("_batch_id"), F.lit(None).cast("string").alias("error_message"),
         meta.alias("metadata"))
-    rows.coalesce(1).write.mode("append").parquet(path)  # one row a source: one small file, all or nothing
+
+
+def commit(rows: DataFrame, path: str) -> None:
+    """Append the success rows of a batch, or of several at once: one row a
+    source and batch in one small file, so all of it becomes visible or nothing."""
+    rows.coalesce(1).write.mode("append").parquet(path)
 
 
 def mark_failed(spark: SparkSession, path: str, pipeline: str, run_id: str, batch_id: str,

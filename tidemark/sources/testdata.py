@@ -229,6 +229,19 @@ RESENT_DAYS = 10
 RESENT_SEQ_OFFSET = 3_000_000_000
 
 
+#: Batches that are run again: the first as it was, the second without some of
+#: its events and with others that the third sends as well.
+LOST_MOD, LOST_REST = 30, 9
+MOVED_MOD, MOVED_REST = 70, 5
+
+
+def changed_batch(bronze: DataFrame) -> DataFrame:
+    """The second batch as it is sent again."""
+    eid = F.pmod("_arrival_seq", F.lit(RETYPE_SEQ_OFFSET))
+    early = bronze.where((F.dayofmonth(F.to_date("_batch_id")) > 20) & (F.pmod(eid, F.lit(MOVED_MOD)) == MOVED_REST))
+    return incremental_batches(bronze)[1].where(F.pmod(eid, F.lit(LOST_MOD)) != LOST_REST).unionByName(early)
+
+
 def incremental_batches(bronze: DataFrame) -> list[DataFrame]:
     eid = F.pmod("_arrival_seq", F.lit(RETYPE_SEQ_OFFSET))
     day = F.dayofmonth(F.to_date("_batch_id"))
