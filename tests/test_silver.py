@@ -256,3 +256,34 @@ def test_dedup_strategies(spark):
     assert (count("id"), count("content_hash"), count("content_hash_no_id")) == (2, 3, 2)
     with pytest.raises(ValueError):
         count("newest")
+
+
+def landed(spark, *texts):
+    rows = bronze_from_json(spark, list(texts)).select("_file", "id", "_absent_keys", "_raw").collect()
+    out = {}
+    for r in sorted(rows, key=lambda r: r._file):
+        corrupt = "_corrupt_record" in r._absent_keys
+        out.setdefault(int(r._file[-11:-5]), []).append(r._raw if corrupt else r.id)
+    return [sorted(out.get(i, []), key=str) for i in range(len(texts))]
+
+
+def test_what_follows_a_value_is_not_lost(spark):
+    one, two = '{"id": "1"}', '{"id": "2"}'
+    bad = [f"[{one}] trailing garbage", f"[{one}]\n[{two}]", one + two, one + " oops", f"{one},{two}", f"[{one}",
+           f"{one}] x [{two}", f'{one},"end"] x [1', "", "nonsense", f"[{one}]]"]
+    assert landed(spark, *bad) == [[x] for x in bad]
+    good = [f"[{one}, {two}]", f"  [{one},\n {two}\n]\n", one, f"{one}\n{two}\n", "[]"]
+    assert landed(spark, *good) == [["1", "2"], ["1", "2"], ["1"], ["1", "2"], []]
+
+
+def test_bad_first_lines_leave_the_others(spark):
+    events = [json.dumps({"id": str(i)}) for i in range(5)]
+    text = "\n".join(["# a comment", "{broken", *events, "[1, 2", '{"id": "9"} {"id": "8"}'])
+    assert landed(spark, text) == [sorted(["# a comment", "{broken", "0", "1", "2", "3", "4", "[1, 2", '{"id": "9"} {"id": "8"}'])]
+
+
+def test_a_key_twice_is_no_broken_file(spark):
+    text = '[{"id": "1", "type": "a", "type": "b"}, {"id": "2"}]'
+    rows = bronze_from_json(spark, [text]).select("id", "type").collect()
+    assert sorted(map(tuple, rows), key=str) == [("1", "b"), ("2", None)]
+

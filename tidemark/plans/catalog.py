@@ -17,7 +17,7 @@ from tidemark.operators import adhoc, dedup, gold, health, incremental, profile,
 from tidemark.plans import export, incremental_run, state
 from tidemark.session import configure, work_dir
 from tidemark.sources import testdata
-from tidemark.sources.landing import read_landing, source_counts
+from tidemark.sources.landing import CORRUPT, bronze_from_raw, read_landing, source_counts
 from tidemark.sources.testdata import DEFAULT_RUN_TS, bronze_from_dir
 from tidemark.sources.testruns import derived_run_log
 from tidemark.streaming import events as streaming
@@ -296,6 +296,23 @@ def q_landing_bronze(spark, d):
         F.coalesce(F.get_json_object("_raw", "$.public"), F.col("_raw")).alias("unknown_field_or_raw"))
 
 
+def q_landing_odd_files(spark, d):
+    """Each event in a file of its own with something wrong around it: every
+    text is an event or a rejected row that keeps it whole."""
+    text = F.concat(F.lit('{"id": "'), F.col("event_id"), F.lit('"}'))
+    kind = F.pmod("event_id", F.lit(7))
+    files = spark.read.parquet(f"{d}/events.parquet").select("event_id", F.array(
+        text, F.concat(F.lit("["), text, F.lit("] trailing")), F.concat(text, text), F.concat(F.lit("["), text),
+        F.concat(F.lit("# comment\n"), text), F.concat(F.lit("["), text, F.lit("]\n["), text, F.lit("]")),
+        F.concat(F.lit("[\n  "), F.regexp_replace(text, "}", ', "id": "x"}'), F.lit("\n]")))[kind].alias("value"))
+    raw = files.select("value", F.concat(F.lit("mem://org/repo/"), F.col("event_id"), F.lit(".json")).alias("_file"),
+                       F.timestamp_millis(F.lit(0)).alias("_mtime"), F.array(F.lit(0).cast("long")).alias("_at"))
+    out = bronze_from_raw(raw, "odd", RUN_TS)
+    corrupt = F.array_contains("_absent_keys", CORRUPT)
+    return out.select(F.regexp_extract("_file", r"(\d+)\.json", 1).cast("long").alias("event_id"), "id",
+                      F.when(corrupt, F.col("_raw")).alias("rejected"))
+
+
 def q_landing_source_counts(spark, d):
     return source_counts(landing(spark, d))
 
@@ -603,6 +620,7 @@ QUERIES: dict[str, Query] = {
     # landing files
     "landing_bronze": q_landing_bronze,
     "landing_source_counts": q_landing_source_counts,
+    "landing_odd_files": q_landing_odd_files,
     "landing_silver": q_landing_silver,
     "landing_quarantine": q_landing_quarantine,
     # layers and state after a sequence of runs

@@ -599,6 +599,11 @@ FROM sv GROUP BY 1, 3""",
   actor_id, actor_login, COALESCE(payload_json, 'null') AS payload_json, source_repo, absent_keys,
   'true' AS unknown_field_or_raw FROM bronze
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, source_repo, '_corrupt_record', raw FROM broken""",
+    "landing_odd_files": """WITH e AS (SELECT event_id, event_id % 7 AS kind, '{"id": "' || event_id || '"}' AS t FROM events)
+SELECT event_id, CASE WHEN kind IN (0, 4) THEN CAST(event_id AS VARCHAR) WHEN kind = 6 THEN 'x' END AS id,
+  CASE kind WHEN 1 THEN '[' || t || '] trailing' WHEN 2 THEN t || t WHEN 3 THEN '[' || t
+            WHEN 5 THEN '[' || t || ']' || chr(10) || '[' || t || ']' END AS rejected FROM e
+UNION ALL SELECT event_id, NULL, '# comment' FROM e WHERE kind = 4""",
     "landing_source_counts": f"WITH {_LANDING_CTES}\n" + """SELECT source_repo, count(*) AS raw_events,
   count(*) FILTER (WHERE bad) AS corrupt_rows, count(DISTINCT id) AS distinct_ids
 FROM (SELECT source_repo, id, false AS bad FROM bronze UNION ALL SELECT source_repo, NULL, true FROM broken) x

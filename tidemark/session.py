@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # An object with a key twice is valid JSON: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Partition values such as _batch_id='2024-01-05' stay text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Re-running a batch replaces only that batch's partitions.

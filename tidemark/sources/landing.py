@@ -6,8 +6,10 @@ indented or not), one JSON object, or JSON Lines.  Events are parsed as
 Variant, so that
 
 * an absent key differs from an explicit null (validation needs this),
-* a malformed file or line becomes ONE quarantined ``corrupt_record`` row and
-  never stops the other files or sources.
+* a malformed file or line becomes ONE quarantined ``corrupt_record`` row, which
+  keeps its whole text, and never stops the other files or sources.  What is not
+  one JSON value from its first to its last character is malformed: a value with
+  anything behind it is not cut short to the part that parses.
 
 Files are read whole, or with ``lines=True`` line by line and split over many
 tasks, which is the form for large files.  The arrival order of rows (U1) is
@@ -45,24 +47,36 @@ def _is_object(e: Column) -> Column:
     return F.coalesce(F.startswith(F.schema_of_variant(e), F.lit("OBJECT")), F.lit(False))
 
 
+def _strict(text: Column) -> Column:
+    """The Variant that a text is, from its first to its last character; else null.
+
+    The parser stops behind the first value and says nothing of what follows.
+    Between brackets and before a mark, which no text holds of itself, whatever
+    follows breaks the list, makes it longer, or closes it before the mark."""
+    mark = F.md5(text)
+    doc = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    whole = F.try_variant_get(doc, "$", "array<variant>")
+    ok = (F.array_size(whole) == 2) & F.coalesce(
+        F.try_variant_get(F.get(whole, F.lit(1)), "$", "string") == mark, F.lit(False))
+    return F.when(ok, F.get(whole, F.lit(0)))
+
+
 def _events(text: Column, doc: Column) -> Column:
     """The events of a text as (e, bad): a Variant, or the text that is none.
 
-    ``doc`` is the text parsed as a whole.  A text of several lines of which the
-    first or second is an object by itself is JSON Lines (an indented object
-    begins with a line that is none).  Other text that does not parse is one
-    bad event.
+    ``doc`` is the text parsed as a whole.  A text that is not one value is JSON
+    Lines if any line is an object by itself: each line is an event or a bad one.
+    Other text is one bad event.
     """
     found = F.coalesce(F.try_variant_get(doc, "$", "array<variant>"), F.array(doc))
     none = F.lit(None).cast("string")
     whole = F.transform(found, lambda e: F.struct(e.alias("e"), none.alias("bad")))
     lines = F.filter(F.split(text, r"\r?\n"), lambda x: F.trim(x) != "")
-    each = F.transform(lines, lambda x: F.struct(
-        F.try_parse_json(x).alias("e"), F.when(F.try_parse_json(x).isNull(), x).alias("bad")))
-    is_lines = (F.startswith(F.ltrim(text), F.lit("{")) & (F.array_size(lines) > 1)
-                & F.exists(F.slice(lines, 1, 2), lambda x: _is_object(F.try_parse_json(x))))
+    parsed = F.transform(lines, lambda x: F.struct(_strict(x).alias("e"), x.alias("bad")))
+    each = F.transform(parsed, lambda x: F.struct(x["e"].alias("e"), F.when(x["e"].isNull(), x["bad"]).alias("bad")))
+    is_lines = (F.array_size(lines) > 1) & F.exists(each, lambda x: _is_object(x["e"]))
     bad = F.array(F.struct(F.lit(None).cast("variant").alias("e"), text.alias("bad")))
-    return F.when(is_lines, each).when(doc.isNotNull(), whole).otherwise(bad)
+    return F.when(doc.isNotNull(), whole).when(is_lines, each).otherwise(bad)
 
 
 def bronze_from_raw(raw: DataFrame, batch_id: str, run_ts: str, source_tag: str = "landing",
@@ -70,7 +84,7 @@ def bronze_from_raw(raw: DataFrame, batch_id: str, run_ts: str, source_tag: str
     """Raw rows (``text_col``: a file's or a line's text, ``_file``, ``_mtime``
     and ``_at``, the place in the file) -> Bronze rows."""
     parsed = raw.select("_file", "_mtime", "_at", F.col(text_col).alias("_text"),
-                        F.try_parse_json(F.col(text_col)).alias("_doc"))
+                        _strict(F.col(text_col)).alias("_doc"))
     x = parsed.select("_file", "_mtime", "_at",
                       F.posexplode(_events(F.col("_text"), F.col("_doc"))).alias("_n", "_x"))
     e = F.col("_x.e")
