@@ -3,11 +3,13 @@
 import json
 import os
 
+import pytest
+
 from tidemark.operators import silver, validate
 from tidemark.plans import incremental_run
 from tidemark.sources.landing import read_landing, read_landing_stream
 from tidemark.sources.testdata import bronze_from_dir
-from tidemark.streaming import events as streaming
+from tidemark.streaming import events as streaming, stateful
 
 SF = "/root/testdata/sf0.001"
 RUN_TS = "2024-02-01T00:00:00Z"
@@ -90,3 +92,44 @@ def test_stream_to_layers_exactly_once(spark, tmp_dir):
     assert incremental_run.read_bronze(spark, root).count() == 6
     ctl = spark.read.parquet(f"{root}/state/control")
     assert ctl.filter("status = 'success'").select("_batch_id").distinct().count() == 3
+
+
+def stateful_feed(spark, tmp_dir, files, **how):
+    os.makedirs(f"{tmp_dir}/landing/a/b")
+    for k, events in enumerate(files):
+        path = f"{tmp_dir}/landing/a/b/p{k}.json"
+        with open(path, "w") as f:
+            json.dump([{"id": i, "type": "PushEvent", "created_at": t, "repo": {"id": 1, "name": "r"},
+                        "actor": {"id": 1, "login": "u"}} for i, t in events], f)
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    source = read_landing_stream(spark, f"{tmp_dir}/landing", "b", RUN_TS, max_files_per_trigger=1)
+    feed = stateful.StatefulFeed(spark, f"{tmp_dir}/out", **how)
+    feed.run(source, RUN_TS)
+    return feed
+
+
+def test_state_holds_the_delay_and_late_rows_stay_exact(spark, tmp_dir):
+    def at(hour, minute=0):
+        return f"2024-01-15T{hour:02d}:{minute:02d}:00Z"
+
+    files = [[(f"{h}-{m}", at(h, m)) for m in range(0, 60, 3)] for h in range(5)]
+    files[1] += [("0-57", at(0, 57)), ("x", "not a time")]  # a copy on time, an event without a time
+    files[3] += [("late", at(0, 5)), ("0-0", at(0)), ("2-57", at(2, 57)), ("late", at(0, 5))]
+    files[4] += [("late", at(0, 5)), ("x", "not a time"), ("1-3", at(1, 3)), ("3-57", at(3, 57))]
+    feed = stateful_feed(spark, tmp_dir, files, delay="10 minutes", duration="7 minutes")
+    got = sorted(r.id for r in feed.events().collect())
+    assert got == sorted({i for f in files for i, _ in f})
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_dir}/out/late/*").collect()) == ["late", "x"]
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in feed.progress]
+    assert len(state) == 5 and max(state[1:]) <= 30 < len(got)  # the last hour's ids at most, not the history
+    counts = feed.counts().collect()
+    assert sum(r.event_count for r in counts) == len(got)
+    assert len({r.window_start for r in counts}) == len(counts)
+
+
+def test_windows_that_panes_cannot_give_are_refused(spark):
+    panes = spark.createDataFrame([], streaming.PANES)
+    for how in (("10 minutes",), ("1 hour", "20 minutes"), ("50 seconds",)):
+        with pytest.raises(ValueError):
+            streaming.windowed_counts(panes, *how)
+    assert streaming.windowed_counts(panes, "45 minutes", "30 minutes").count() == 0

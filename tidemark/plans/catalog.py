@@ -21,6 +21,7 @@ from tidemark.sources.landing import CORRUPT, bronze_from_raw, read_landing, sou
 from tidemark.sources.testdata import DEFAULT_RUN_TS, bronze_from_dir
 from tidemark.sources.testruns import derived_run_log
 from tidemark.streaming import events as streaming
+from tidemark.streaming import stateful
 
 # Fixed parameters of the catalog queries (mirrored in the oracle SQL).
 RUN_TS = DEFAULT_RUN_TS
@@ -261,6 +262,26 @@ def q_stream_sliding_counts(spark, d):
     return streaming.stream_windows(spark, d, "1 hour", "15 minutes", (), RUN_TS)
 
 
+_FEEDS: dict[tuple, stateful.StatefulFeed] = {}
+
+
+def stateful_feed(spark, d):
+    """The feed that two queries read, run once a session and input."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FEEDS:
+        _FEEDS[key] = stateful.over_events(spark, d, RUN_TS)
+    return _FEEDS[key]
+
+
+def q_stream_dedup_state(spark, d):
+    return stateful_feed(spark, d).events().select(F.col("id").alias("event_id"), "_batch_id")
+
+
+def q_stream_state_windows(spark, d):
+    return stateful_feed(spark, d).counts().withColumns({
+        c: as_wall_clock(c) for c in ("window_start", "window_end")})
+
+
 def q_stream_daily_distinct(spark, d):
     return streaming.stream_daily_distinct(spark, d, RUN_TS)
 
@@ -613,6 +634,8 @@ QUERIES: dict[str, Query] = {
     # streaming
     "stream_dedup": q_stream_dedup,
     "stream_late_rows": q_stream_late_rows,
+    "stream_dedup_state": q_stream_dedup_state,
+    "stream_state_windows": q_stream_state_windows,
     "stream_hourly_type_counts": q_stream_hourly_type_counts,
     "stream_hourly_counts": q_stream_hourly_counts,
     "stream_sliding_counts": q_stream_sliding_counts,

@@ -579,6 +579,13 @@ FROM (SELECT *, CAST(date_diff('day', CAST(_batch_id AS DATE), DATE '{C.RETENTIO
       FROM parts) p""").replace("\n, parts AS", ",\nparts AS", 1),
     "stream_dedup": f"WITH {BASE_CTES}\n"
         "SELECT DISTINCT id AS event_id, _batch_id FROM req WHERE req_reason IS NULL",
+    "stream_dedup_state": f"WITH {BASE_CTES}\n"
+        "SELECT DISTINCT id AS event_id, _batch_id FROM req WHERE req_reason IS NULL",
+    "stream_state_windows": f"WITH {_STREAM_VALID}\n" + """SELECT window_start, window_start + INTERVAL 25 MINUTE AS window_end,
+  event_type, count(*) AS event_count FROM (
+  SELECT time_bucket(INTERVAL 10 MINUTE, event_time, TIMESTAMP '1970-01-01') - o * INTERVAL 10 MINUTE AS window_start,
+         event_time, event_type FROM sv, (SELECT unnest([0, 1, 2]) AS o) offs) t
+WHERE event_time < window_start + INTERVAL 25 MINUTE GROUP BY window_start, event_type""",
     "stream_hourly_counts": f"WITH {_STREAM_VALID}\n" + """SELECT date_trunc('hour', event_time) AS window_start,
   date_trunc('hour', event_time) + INTERVAL 1 HOUR AS window_end, count(*) AS event_count FROM sv GROUP BY 1""",
     "stream_daily_distinct_repos": f"WITH {_STREAM_VALID}\n" + """SELECT CAST(event_time AS DATE) AS event_date,

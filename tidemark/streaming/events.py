@@ -58,10 +58,19 @@ def pane_counts(events: DataFrame) -> DataFrame:
         F.max(F.when(~F.col("_ts_fallback"), F.col("event_time"))).alias("high"))
 
 
+def _minutes(interval: str) -> float:
+    number, unit = interval.split()
+    return float(number) * {"second": 1 / 60, "minute": 1, "hour": 60, "day": 1440, "week": 10080}[unit.rstrip("s")]
+
+
 def windowed_counts(panes: DataFrame, duration: str, slide: str | None = None,
                     by: tuple[str, ...] = ()) -> DataFrame:
     """Event counts per tumbling (or sliding) window, and ``by``, from panes of
-    all epochs: each event was counted in one of them, so counts add up."""
+    all epochs: each event was counted in one of them, so counts add up.  Windows
+    have to start and end on the bounds of panes; for others see ``stateful``."""
+    for length in (duration, slide or duration):
+        if _minutes(length) % _minutes(PANE):
+            raise ValueError(f"{length} is no multiple of {PANE}")
     w = F.window("pane", duration, slide) if slide else F.window("pane", duration)
     return (panes.groupBy(w.alias("w"), *by)
             .agg(F.sum("event_count").alias("event_count"))
@@ -69,19 +78,21 @@ def windowed_counts(panes: DataFrame, duration: str, slide: str | None = None,
                     "event_count"))
 
 
-def run_available_now(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
+def run_available_now(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> dict | None:
     """Run a streaming DataFrame to completion over the available input,
-    writing every epoch to ``out/_epoch=<id>`` (idempotent on retry)."""
+    writing every epoch to ``out/_epoch=<id>`` (idempotent on retry).  Returns the
+    progress of the last micro-batch."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/{EPOCH}={epoch_id}")
 
-    each_batch(df, write, checkpoint, mode)
+    return each_batch(df, write, checkpoint, mode)
 
 
-def each_batch(df: DataFrame, write, checkpoint: str, mode: str = "append") -> None:
+def each_batch(df: DataFrame, write, checkpoint: str, mode: str = "append") -> dict | None:
     q = (df.writeStream.outputMode(mode).foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    return q.lastProgress
 
 
 def dedup_to_table(bronze_stream: DataFrame, root: str, run_ts: str = DEFAULT_RUN_TS,
