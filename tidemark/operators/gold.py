@@ -25,14 +25,15 @@ CUBE_DIMS = ("event_type", "event_date", "hour_key", "activity_category", "time_
              "is_active_contribution", "pr_action", "pr_merged")
 
 
+def _cells(silver: DataFrame, dims: tuple[str, ...], *sums: Column) -> DataFrame:
+    return silver.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"), *sums, F.min("created_at").alias("first_at"),
+                                     F.max("created_at").alias("last_at"))
+
+
 def small_cuboid(silver: DataFrame) -> DataFrame:
     """Pre-aggregate Silver to CUBE_DIMS cells (count, commits, first, last)."""
-    return (silver.withColumn("hour_key", hour_key("created_at"))
-            .groupBy(*CUBE_DIMS).agg(
-                F.count(F.lit(1)).alias("n"),
-                F.sum(F.when(F.col("event_type") == "PushEvent",
-                             F.coalesce(F.col("push_commits_count"), F.lit(0)))).cast("long").alias("commits"),
-                F.min("created_at").alias("first_at"), F.max("created_at").alias("last_at")))
+    return _cells(silver.withColumn("hour_key", hour_key("created_at")), CUBE_DIMS, F.sum(
+        F.when(F.col("event_type") == "PushEvent", F.coalesce(F.col("push_commits_count"), F.lit(0)))).cast("long").alias("commits"))
 
 
 def _cube(df: DataFrame) -> bool:
@@ -226,16 +227,41 @@ RANKED = ("repo_metrics", "contributor_metrics")
 
 
 def base_tables(silver: DataFrame, cube: DataFrame, calculations=CALCULATIONS,
-                run_ts: str = DEFAULT_RUN_TS) -> dict[str, DataFrame]:
+                run_ts: str = DEFAULT_RUN_TS, days: DataFrame | None = None) -> dict[str, DataFrame]:
     """The selected gold tables but the rankings.  ``cube`` is the small cuboid,
-    or Silver itself."""
+    or Silver itself; ``days`` has the days' repositories where ``silver`` has not."""
     out: dict[str, DataFrame] = {"summary": summary(cube, run_ts)}
     for name in calculations:
         out |= {table: fn(cube) for table, fn in FROM_CUBE[name].items()}
-        out |= {table: fn(silver) for table, fn in FROM_SILVER[name].items()}
+        out |= {table: fn(days if days is not None and fn is daily_series else silver)
+                for table, fn in FROM_SILVER[name].items()}
     return out
 
 
+# Partial aggregates of a batch, beside its small cuboid.  Cells add up over
+# batches, and as they keep both sides of every distinct count, merging them
+# gives the exact all-time tables.
+CUBOID = "cells"
+STATE_DIMS = {
+    "contributions": ("repo_name", "actor_login", "event_type", "is_active_contribution"),
+    "active_repos": ("event_date", "repo_name"),
+}
+
+
+def state_tables(silver: DataFrame) -> dict[str, DataFrame]:
+    """The partial aggregates of a batch that grow with repositories and
+    contributors, not with events."""
+    return {name: _cells(silver, dims) for name, dims in STATE_DIMS.items()}
+
+
+def merged_tables(states: dict[str, DataFrame], calculations=CALCULATIONS, run_ts: str = DEFAULT_RUN_TS,
+                  top_n: int = 10) -> dict[str, DataFrame]:
+    """All Gold tables from the partial aggregates of any number of batches, as
+    plans; Silver is not read."""
+    tables = base_tables(states["contributions"], states[CUBOID], calculations, run_ts, states["active_repos"])
+    return tables | rankings(tables, top_n)
+
+
 def rankings(tables: dict[str, DataFrame], top_n: int = 10) -> dict[str, DataFrame]:
     from tidemark.operators import ranking
 

@@ -43,6 +43,41 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
 
 
+# What a text can be read as, the first that fits (shared with the SQL oracle).
+KIND_PATTERNS = (
+    ("integer", "[+-]?[0-9]+"),
+    ("number", "[+-]?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?"),
+    ("boolean", "true|false"),
+    ("date", "[0-9]{4}-[0-9]{2}-[0-9]{2}"),
+    ("timestamp", "[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?"),
+)
+
+
+def value_kinds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, data_type, kind, n): what the values of each column are, from
+    one pass over the rows.  Values of text columns are ``null``, ``empty`` or
+    what they can be read as, else ``text``; those of other columns ``value``."""
+    kinds = dict(df.dtypes)
+    counts, rows = [], []
+    for i, c in enumerate(columns):
+        v = F.col(c)
+        kind = F.when(v.isNull(), "null")
+        names = ["null", "value"]
+        if kinds[c] == "string":
+            kind = kind.when(v == "", "empty")
+            for name, pattern in KIND_PATTERNS:
+                kind = kind.when(v.rlike(f"^({pattern})$"), name)
+            kind, names = kind.otherwise("text"), ["null", "empty", *[k for k, _ in KIND_PATTERNS], "text"]
+        else:
+            kind = kind.otherwise("value")
+        for name in names:
+            at = f"n_{i}_{name}"
+            counts.append(F.count_if(kind == name).alias(at))
+            rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("data_type"),
+                                 F.lit(name).alias("kind"), F.col(at).alias("n")))
+    return df.agg(*counts).select(F.inline(F.array(*rows))).where("n > 0")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each value of each column once, written sorted by range over many tasks:
     column_name, x, n and the partition it is in."""

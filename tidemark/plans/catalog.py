@@ -8,13 +8,15 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.features import DEFAULT_TYPE_FILTER, time_of_day_rank
 from tidemark.functions.timefns import as_wall_clock
 from tidemark.operators import adhoc, dedup, gold, health, incremental, profile, ranking, silver, validate
-from tidemark.plans import export, incremental_run, state
+from tidemark.plans import export, incremental_run, sinks, state
 from tidemark.session import configure, work_dir
 from tidemark.sources import testdata
 from tidemark.sources.landing import CORRUPT, bronze_from_raw, read_landing, source_counts
@@ -33,6 +35,10 @@ SUMMARY_TYPES = ("PushEvent", "IssuesEvent", "WatchEvent")
 FRESHNESS_AS_OF = "2024-02-01T12:00:00Z"
 RETENTION_AS_OF = "2024-04-15T00:00:00Z"
 TOP_N = 10
+# All-time Gold tables with a query each: after three runs, and after re-runs.
+ALLTIME = ("repo_metrics", "contributor_metrics", "repo_top_types", "daily_series", "hourly_types", "push_metrics",
+           "top_contributors")
+ALLTIME_RERUN = ("repo_metrics", "daily_series")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -282,6 +288,10 @@ def q_stream_state_windows(spark, d):
         c: as_wall_clock(c) for c in ("window_start", "window_end")})
 
 
+def q_stream_daily_sketches(spark, d):
+    return streaming.stream_daily_sketches(spark, d, RUN_TS)
+
+
 def q_stream_daily_distinct(spark, d):
     return streaming.stream_daily_distinct(spark, d, RUN_TS)
 
@@ -375,6 +385,49 @@ def runs_root(spark, d):
     return _once(spark, d, "layers", make)
 
 
+STOPPED_EPOCH = 1
+
+
+def stream_layers_root(spark, d):
+    """The layers after a scheduled stream over three appends.  Its second run
+    stops when the layers are written and no control row is; the next run starts
+    from the checkpoint."""
+    def stop() -> None:
+        raise RuntimeError("stopped")
+
+    def make(root: str) -> None:
+        feed = f"{root}/feed"
+        for epoch, rows in enumerate(testdata.incremental_batches(bronze(spark, d))):
+            rows.write.mode("append").parquet(feed)
+
+            def run(before_commit=None):
+                stream = spark.readStream.schema(rows.schema).parquet(feed)
+                streaming.stream_to_layers(spark, stream, f"{root}/layers", RUN_TS, f"{root}/checkpoint",
+                                           event_types=DEFAULT_TYPE_FILTER, before_commit=before_commit)
+            if epoch == STOPPED_EPOCH:
+                try:
+                    run(stop)
+                except StreamingQueryException:
+                    pass
+            run()
+
+    return _once(spark, d, "stream-layers", make) + "/layers"
+
+
+def q_stream_layers_silver(spark, d):
+    return incremental_run.read_silver(spark, stream_layers_root(spark, d)).select(
+        "event_id", "event_type", "_batch_id", as_wall_clock("created_at").alias("created_at"))
+
+
+def q_stream_layers_gold(spark, d):
+    return incremental_run.read_gold(spark, stream_layers_root(spark, d), "repo_metrics")
+
+
+def q_stream_layers_control(spark, d):
+    control = state.read_control(spark, incremental_run.paths(stream_layers_root(spark, d))["control"])
+    return control.where(F.col("source_repo").isNull()).select("_batch_id", "status", "records_processed")
+
+
 def rerun_root(spark, d):
     """The layers after three runs, then the first again as it was, and the
     second with other events."""
@@ -457,6 +510,25 @@ def q_metrics_document_lines(spark, d):
     return export.document_lines({t: incremental_run.read_gold(spark, root, t) for _, t, _, _ in export.SECTIONS})
 
 
+def _alltime(root_of, table: str) -> Query:
+    """An all-time Gold table, merged from the batches' partial aggregates."""
+    return lambda spark, d: incremental_run.read_gold_alltime(spark, root_of(spark, d))[table]
+
+
+def q_gold_csv_repo_metrics(spark, d):
+    """A Gold table after its way through CSV files."""
+    table = incremental_run.read_gold(spark, runs_root(spark, d), "repo_metrics")
+    root = _once(spark, d, "csv", lambda r: sinks.write_csv(table, r))
+    return sinks.read_csv(spark, root, table.schema)
+
+
+def q_layers_bundle(spark, d):
+    """Every table that a consumer gets in one bundle, with its rows."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+             for name, df in incremental_run.load_layers(spark, runs_root(spark, d)).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_pipeline_stats(spark, d):
     s = state.stats(state.read_control(spark, incremental_run.paths(runs_root(spark, d))["control"]), "events")
     return s.select("status", F.contains("last_error", F.lit("boom")).alias("error_kept"),
@@ -544,6 +616,26 @@ def q_shape_types(spark, d):
     return profile.column_types(_flat_silver(silver_all(spark, d)))
 
 
+KIND_COLUMNS = ("id", "type", "created_at", "repo_id", "repo_name", "repo_url", "actor_id", "actor_login")
+
+
+def q_bronze_value_kinds(spark, d):
+    return profile.value_kinds(bronze(spark, d).select(
+        "id", "type", "created_at", F.col("repo.id").alias("repo_id"), F.col("repo.name").alias("repo_name"),
+        F.col("repo.url").alias("repo_url"), F.col("actor.id").alias("actor_id"),
+        F.col("actor.login").alias("actor_login")), KIND_COLUMNS)
+
+
+def q_silver_lineage(spark, d):
+    return silver_all(spark, d).select("event_id", "_source", "_file", *[
+        as_wall_clock(c).alias(c.strip("_")) for c in ("_ingestion_timestamp", "_transformation_timestamp")])
+
+
+def q_dedup_identical(spark, d):
+    """Rows that differ in nothing but their arrival, once."""
+    return dedup.drop_identical(q_bronze_rows(spark, d).drop("_arrival_seq"))
+
+
 def q_silver_not_in_future(spark, d):
     s = silver.to_silver(bronze(spark, d), RUN_TS, None, not_after=RUN_TS)
     return s.select("event_id", "event_type", "_arrival_seq")
@@ -640,6 +732,10 @@ QUERIES: dict[str, Query] = {
     "stream_hourly_counts": q_stream_hourly_counts,
     "stream_sliding_counts": q_stream_sliding_counts,
     "stream_daily_distinct_repos": q_stream_daily_distinct,
+    "stream_daily_sketches": q_stream_daily_sketches,
+    "stream_layers_silver": q_stream_layers_silver,
+    "stream_layers_gold": q_stream_layers_gold,
+    "stream_layers_control": q_stream_layers_control,
     # landing files
     "landing_bronze": q_landing_bronze,
     "landing_source_counts": q_landing_source_counts,
@@ -660,6 +756,10 @@ QUERIES: dict[str, Query] = {
     "gold_read_latest": q_gold_read_latest,
     "gold_latest_repo_metrics": q_gold_latest_repo_metrics,
     "gold_history_daily": q_gold_history_daily,
+    **{f"gold_alltime_{t}": _alltime(runs_root, t) for t in ALLTIME},
+    **{f"gold_alltime_rerun_{t}": _alltime(rerun_root, t) for t in ALLTIME_RERUN},
+    "gold_csv_repo_metrics": q_gold_csv_repo_metrics,
+    "layers_bundle": q_layers_bundle,
     "metrics_document_lines": q_metrics_document_lines,
     "pipeline_stats": q_pipeline_stats,
     "status_summary": q_status_summary,
@@ -676,6 +776,9 @@ QUERIES: dict[str, Query] = {
     "repo_head_15": q_repo_head_15,
     "contributor_head_10": q_contributor_head_10,
     "shape_types": q_shape_types,
+    "bronze_value_kinds": q_bronze_value_kinds,
+    "silver_lineage": q_silver_lineage,
+    "dedup_identical": q_dedup_identical,
     "silver_not_in_future": q_silver_not_in_future,
     "dedup_content_no_id": q_dedup_content_no_id,
 }

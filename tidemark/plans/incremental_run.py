@@ -8,7 +8,9 @@ Order of effects; each writes the run's own version of the batch:
    already in Silver (the batch's ids are looked up in the id index);
 3. rejected rows go to the quarantine layer with their reason, the counts to
    the quality layer, the others to Silver and their ids to the id index;
-4. every Gold table is computed once from the written Silver;
+4. every Gold table is computed once from the written Silver, and the batch's
+   partial aggregates are kept: all-time Gold merges those of all batches and
+   doesn't read Silver again;
 5. the control rows are appended (watermark = greatest(previous, new)).  Only
    now do readers see the batch; the latest Gold tables are those of the batch
    committed last.  A failure appends a failed row instead and the watermark
@@ -33,9 +35,10 @@ from pyspark.sql import types as T
 
 from tidemark.operators import gold, incremental, silver, validate
 from tidemark.plans import sinks, state
-from tidemark.plans.medallion import write_bundle
+from tidemark.plans.medallion import write_all, write_bundle
 from tidemark.schemas import BRONZE, SILVER_BASE, SILVER_FEATURES
 from tidemark.session import discard, materialize, work_dir
+from tidemark.sources.testdata import DEFAULT_RUN_TS
 
 IDS = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("_bucket", T.IntegerType())])
 QUALITY = T.StructType([T.StructField(c, T.LongType()) for c in (
@@ -49,7 +52,7 @@ def _now() -> dt.datetime:
 def paths(root: str) -> dict[str, str]:
     r = root.rstrip("/")
     return {"bronze": f"{r}/bronze", "silver": f"{r}/silver", "ids": f"{r}/silver_ids",
-            "quarantine": f"{r}/quarantine", "quality": f"{r}/quality", "gold": f"{r}/gold",
+            "quarantine": f"{r}/quarantine", "quality": f"{r}/quality", "gold": f"{r}/gold", "states": f"{r}/gold_states",
             "control": f"{r}/state/control", "runs": f"{r}/state/runs"}
 
 
@@ -97,6 +100,24 @@ def read_gold(spark: SparkSession, root: str, table: str, pipeline: str = "event
                             committed_batches(spark, root, pipeline), scope, as_of_batch)
 
 
+def state_schema(spark: SparkSession, name: str) -> T.StructType:
+    empty = spark.createDataFrame([], silver_schema(spark))
+    return (gold.small_cuboid(empty) if name == gold.CUBOID else gold.state_tables(empty)[name]).schema
+
+
+def read_gold_alltime(spark: SparkSession, root: str, pipeline: str = "events",
+                      calculations: Sequence[str] = gold.CALCULATIONS, run_ts: str = DEFAULT_RUN_TS,
+                      top_n: int = 10, as_of_batch: str | None = None) -> dict[str, DataFrame]:
+    """Gold tables over all committed batches (or those up to ``as_of_batch``),
+    merged from the batches' partial aggregates.  A batch that was run again
+    counts with its latest version."""
+    committed = committed_batches(spark, root, pipeline)
+    states = {name: sinks.read_layer(spark, f"{paths(root)['states']}/{name}", state_schema(spark, name), committed,
+                                     as_of_batch=as_of_batch).drop("_batch_id")
+              for name in (gold.CUBOID, *gold.STATE_DIMS)}
+    return gold.merged_tables(states, calculations, run_ts, top_n)
+
+
 def quality_of(labeled: DataFrame) -> DataFrame:
     r = F.col(validate.REASON)
     counts = [F.count(F.lit(1)), F.count_if(r.isNull()), F.count_if(r.isNotNull()),
@@ -169,7 +190,9 @@ class _Run:
         ids = silver_rows.select("event_id", incremental.id_bucket("event_id").alias("_bucket"))
         sinks.write_version(ids.repartition("_bucket"), p["ids"], batch_id, run_id, ("_bucket",))
         n = silver_rows.count()
-        write_bundle(silver_rows.drop("_batch_id"), params["calculations"], run_ts, params["top_n"], f"{scratch}/cuboid",
+        cuboid = sinks.version_path(f"{p['states']}/{gold.CUBOID}", batch_id, run_id)
+        write_all(gold.state_tables(silver_rows), lambda df, name: write(df, f"{p['states']}/{name}"))
+        write_bundle(silver_rows.drop("_batch_id"), params["calculations"], run_ts, params["top_n"], cuboid,
                      lambda df, name: write(df, f"{p['gold']}/{name}"),
                      lambda name: spark.read.parquet(sinks.version_path(f"{p['gold']}/{name}", batch_id, run_id)))
         new_wm = incremental.watermarks(silver_rows)

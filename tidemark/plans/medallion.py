@@ -43,13 +43,13 @@ def write_bundle(silver_rows: DataFrame, calculations: Sequence[str], run_ts: st
     rankings read the written metrics."""
     cube = materialize(gold.small_cuboid(silver_rows), cuboid_path)
     tables = gold.base_tables(silver_rows, cube, calculations, run_ts)
-    _write_all(tables, write)
+    write_all(tables, write)
     ranked = gold.rankings({n: read(n) for n in tables if n in gold.RANKED}, top_n)
-    _write_all(ranked, write)
+    write_all(ranked, write)
     return [*tables, *ranked]
 
 
-def _write_all(tables: dict[str, DataFrame], write: Callable[[DataFrame, str], None]) -> None:
+def write_all(tables: dict[str, DataFrame], write: Callable[[DataFrame, str], None]) -> None:
     """Independent tables are written side by side: most are small, and one
     after the other they would leave the executors waiting for each other's end."""
     with ThreadPoolExecutor(WRITERS) as pool:

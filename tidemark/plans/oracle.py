@@ -648,7 +648,6 @@ SELECT *, '2024-01-30' AS _batch_id FROM ({_REPO_METRICS}) m""").replace("\n, si
     "gold_history_daily": with_runs("\nUNION ALL ".join(f"""SELECT event_date, count(*) AS event_count,
   count(DISTINCT repo_name) AS active_repos_count, '{b}' AS _batch_id FROM {_run_silver(k)} GROUP BY event_date"""
                                                        for k, b in enumerate(C.testdata.BATCHES, 1))),
-    "metrics_document_lines": _document(),
     "pipeline_stats": with_runs("""SELECT 'failed' AS status, true AS error_kept,
   TIMESTAMP '2024-02-03 00:01:00' AS last_success, (SELECT max(watermark) FROM w3) AS last_processed,
   4 + (SELECT count(DISTINCT source_repo) FROM s1) + (SELECT count(DISTINCT source_repo) FROM s2)
@@ -706,3 +705,68 @@ FROM (SELECT actor_login, count(event_id) AS event_count, count(DISTINCT repo_na
 FROM (SELECT *, row_number() OVER (PARTITION BY _content_hash_no_id ORDER BY _arrival_seq) AS rn
       FROM ({_silver_from('valid')}) a) b WHERE rn = 1"""),
 }
+
+# -- queries over the runs that reuse the statements above -------------------------
+
+_EPOCHS = {b: f"e{k:010d}" for k, b in enumerate(C.testdata.BATCHES)}
+
+
+def _body(name: str) -> str:
+    """The statement of a query over ``silver``, without its CTEs."""
+    return SQL[name][len(f"WITH {SILVER_CTES}\n"):]
+
+
+def _over(rows: str, select: str, ctes: str = _RUN_CTES) -> str:
+    return f"WITH {ctes},\nsilver AS ({_silver_from(rows)})\n{select}"
+
+
+# Gold table: its columns that are texts or dates in JSON, in the document's order.
+_QUOTED = ("event_type", "event_date", "repo_name", "actor_login", "hour_key")
+SQL["metrics_document_lines"] = _document() + "".join(
+    "\nUNION ALL SELECT '" + section + "', "
+    + (" || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in key) if isinstance(key, tuple)
+       else f"CAST({key} AS VARCHAR)" if key else "'all'") + ", '{' || "
+    + " || ',' || ".join(f"""'"{c}":' || """ + (f"""'"' || CAST({c} AS VARCHAR) || '"'""" if c in _QUOTED
+                                               else f"CAST({c} AS VARCHAR)") for c in values)
+    + f" || '}}' FROM ({_body(table)}) t_{section}"
+    for section, table, key, values in C.export.SECTIONS[7:])
+
+SQL |= {f"gold_alltime_{t}": _over("kept", _body(t)) for t in C.ALLTIME}
+SQL |= {f"gold_alltime_rerun_{t}": _over("kept", _body(t), _run_ctes(True)) for t in C.ALLTIME_RERUN}
+SQL["gold_csv_repo_metrics"] = SQL["gold_latest_repo_metrics"]
+SQL["stream_layers_silver"] = SQL["incremental_run_silver"].replace("_batch_id, COALESCE", "CASE _batch_id " + " ".join(
+    f"WHEN '{b}' THEN '{e}'" for b, e in _EPOCHS.items()) + " END AS _batch_id, COALESCE")
+SQL["stream_layers_gold"] = SQL["gold_latest_repo_metrics"].replace(
+    "'2024-01-30' AS _batch_id FROM", f"'{_EPOCHS['2024-01-30']}' AS _batch_id FROM")
+SQL["stream_layers_control"] = with_runs("\nUNION ALL ".join(
+    f"SELECT '{e}' AS _batch_id, 'success' AS status, (SELECT count(*) FROM s{k}) AS records_processed"
+    for k, e in enumerate(_EPOCHS.values(), 1)) + f"""
+UNION ALL SELECT 'e{C.STOPPED_EPOCH:010d}', 'failed', 0""")
+SQL["stream_daily_sketches"] = SQL["stream_daily_distinct_repos"].replace(
+    "AS active_repos_count FROM", "AS active_repos_count, true AS within_bound FROM")
+SQL["layers_bundle"] = _over("s3", """SELECT 'events' AS table_name, (SELECT count(*) FROM kept) AS n_rows
+UNION ALL SELECT 'quarantine', count(*) FROM labels WHERE reason IS NOT NULL
+UNION ALL SELECT 'quality', 3 UNION ALL SELECT 'run_history', 4
+UNION ALL SELECT 'control', 4 + (SELECT count(DISTINCT source_repo) FROM s1)
+  + (SELECT count(DISTINCT source_repo) FROM s2) + (SELECT count(DISTINCT source_repo) FROM s3)
+UNION ALL SELECT 'gold_summary', 1""" + "".join(
+    f"\nUNION ALL SELECT 'gold_{t}', count(*) FROM ({_body(t)}) t_{t}" for t in (
+        "event_type_counts", "type_by_date", "repo_metrics", "repo_top_types", "contributor_metrics",
+        "contributor_repos", "contributor_top_types", "daily_series", "daily_top_types", "hourly_series",
+        "hourly_types", "activity_totals", "activity_category", "time_of_day", "push_metrics", "pr_metrics",
+        "pr_actions", "top_repos", "top_contributors")))
+
+SQL["silver_lineage"] = with_silver(f"""SELECT event_id, 'testdata_events' AS _source, 'events' AS _file, {RUN_TS} AS ingestion_timestamp,
+  {RUN_TS} AS transformation_timestamp FROM silver""")
+SQL["dedup_identical"] = "SELECT DISTINCT * EXCLUDE (_arrival_seq) FROM (" + SQL["bronze_rows"] + ") b"
+
+
+def _kind(column: str) -> str:
+    cases = " ".join(f"WHEN regexp_full_match({column}, '{p}') THEN '{k}'" for k, p in C.profile.KIND_PATTERNS)
+    return f"CASE WHEN {column} IS NULL THEN 'null' WHEN {column} = '' THEN 'empty' {cases} ELSE 'text' END"
+
+
+SQL["bronze_value_kinds"] = f"WITH {BASE_CTES}\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{'bigint' if c.endswith('_id') else 'string'}' AS data_type, "
+    + (f"CASE WHEN {c} IS NULL THEN 'null' ELSE 'value' END" if c.endswith("_id") else _kind(c))
+    + " AS kind, count(*) AS n FROM bronze GROUP BY 3" for c in C.KIND_COLUMNS)

@@ -50,6 +50,10 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
 def read_layer(spark: SparkSession, path: str, schema: T.StructType, committed: DataFrame,
                scope: str = "all", as_of_batch: str | None = None) -> DataFrame:
     """Read the committed versions of a layer.

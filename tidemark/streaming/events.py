@@ -36,6 +36,8 @@ EVENTS = T.StructType([
 #: The slice of event time that windows are made of: every window here starts
 #: and ends on its bounds.
 PANE = "15 minutes"
+#: Sketches have 2^12 registers: a standard error of about 1.6 %.
+SKETCH_BITS, SKETCH_ERROR = 12, 0.016
 PANES = T.StructType([
     T.StructField("pane", T.TimestampType()), T.StructField("event_type", T.StringType()),
     T.StructField("event_count", T.LongType()), T.StructField("high", T.TimestampType()),
@@ -98,8 +100,8 @@ def each_batch(df: DataFrame, write, checkpoint: str, mode: str = "append") -> d
 def dedup_to_table(bronze_stream: DataFrame, root: str, run_ts: str = DEFAULT_RUN_TS,
                    delay: str = "1 hour") -> None:
     """Run a Bronze stream into ``root``: ``events`` (each id once), ``panes``
-    (the counts that an epoch adds) and ``pairs`` (the dates and repositories
-    that it saw, once each)."""
+    (the counts that an epoch adds), ``pairs`` (the dates and repositories that
+    it saw, once each) and ``sketches`` (a sketch of them a date)."""
     spark = bronze_stream.sparkSession
 
     def each(batch: DataFrame, epoch: int) -> None:
@@ -116,6 +118,9 @@ def dedup_to_table(bronze_stream: DataFrame, root: str, run_ts: str = DEFAULT_RU
         pane_counts(done).write.mode("overwrite").parquet(f"{root}/panes/{EPOCH}={epoch}")
         done.select(F.to_date("event_time").alias("event_date"), "repo_name").distinct() \
             .write.mode("overwrite").parquet(f"{root}/pairs/{EPOCH}={epoch}")
+        done.groupBy(F.to_date("event_time").alias("event_date")).agg(
+            F.hll_sketch_agg("repo_name", SKETCH_BITS).alias("repos")) \
+            .write.mode("overwrite").parquet(f"{root}/sketches/{EPOCH}={epoch}")
 
     each_batch(bronze_stream, each, f"{root}/checkpoint")
 
@@ -125,6 +130,13 @@ def daily_distinct(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("event_date").agg(F.count_distinct("repo_name").alias("active_repos_count"))
 
 
+def daily_distinct_sketch(sketches: DataFrame) -> DataFrame:
+    """Approximate distinct repositories per day, from a sketch a day and epoch:
+    SKETCH_BITS bound a sketch's size, however many repositories there are."""
+    return sketches.groupBy("event_date").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("repos")).alias("active_repos_estimate"))
+
+
 # -- the driver's events as a stream of several files, out of time order ------
 
 # Fixed rule (shared with the SQL oracle): the file in which an event arrives.
@@ -180,22 +192,34 @@ def stream_daily_distinct(spark: SparkSession, sf_dir: str, run_ts: str = DEFAUL
     return daily_distinct(spark.read.parquet(f"{stream_run(spark, sf_dir, run_ts)}/pairs"))
 
 
+def stream_daily_sketches(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
+    """Exact and estimated distinct repositories a day, and whether the estimate
+    is within four standard errors (at least one)."""
+    root = stream_run(spark, sf_dir, run_ts)
+    n = F.col("active_repos_count")
+    bound = F.greatest(F.lit(1.0), 4 * SKETCH_ERROR * n)
+    return daily_distinct(spark.read.parquet(f"{root}/pairs")).join(
+        daily_distinct_sketch(spark.read.parquet(f"{root}/sketches")), "event_date").select(
+        "event_date", "active_repos_count", (F.abs(F.col("active_repos_estimate") - n) <= bound).alias("within_bound"))
+
+
 def stream_to_layers(spark: SparkSession, bronze_stream: DataFrame, root: str, run_ts: str,
                      checkpoint: str, pipeline: str = "events", lateness_seconds: int = 0,
-                     event_types=None) -> None:
+                     event_types=None, before_commit=None) -> None:
     """Streaming ingest into Bronze / Silver / Gold with exactly-once batches.
 
     Each micro-batch is handed to the incremental batch run under the batch id
     ``e<epoch>``: labels, first-wins Silver (a batch window is allowed inside
     foreachBatch), anti-join against committed ids, Gold, and the control-row
     commit.  A retried epoch runs the same batch id again, which replaces its
-    version of the batch, so output is exactly-once.
+    version of the batch, so output is exactly-once.  ``before_commit`` is
+    called when an epoch has written its layers and nothing is visible yet.
     """
     from tidemark.plans.incremental_run import run_batch
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         stats = run_batch(spark, batch, root, f"e{epoch_id:010d}", run_ts, pipeline,
-                          event_types, lateness_seconds)
+                          event_types, lateness_seconds, before_commit=before_commit)
         if stats["status"] != "success":
             raise RuntimeError(f"epoch {epoch_id} failed: {stats['error']}")
 
