@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tidemark.functions.features import DEFAULT_TYPE_FILTER, time_of_day_rank
 from tidemark.functions.timefns import as_wall_clock
 from tidemark.operators import adhoc, dedup, gold, health, incremental, profile, ranking, silver, validate
-from tidemark.plans import export, incremental_run, sinks, state
-from tidemark.session import configure, work_dir
+from tidemark.plans import export, incremental_run, retention, sinks, state
+from tidemark.session import configure, copy_tree, work_dir
 from tidemark.sources import testdata
 from tidemark.sources.landing import CORRUPT, bronze_from_raw, read_landing, source_counts
 from tidemark.sources.testdata import DEFAULT_RUN_TS, bronze_from_dir
 from tidemark.sources.testruns import derived_run_log
-from tidemark.streaming import events as streaming
+from tidemark.streaming import alerts, events as streaming
 from tidemark.streaming import stateful
 
 # Fixed parameters of the catalog queries (mirrored in the oracle SQL).
@@ -239,6 +239,13 @@ def q_error_alerts(spark, d):
     return health.error_alerts(_runs(spark, d))
 
 
+ALERT_FILES = ("2024-01-08", "2024-01-15", "2024-01-15 00:12:00", "2024-01-24")
+
+
+def q_stream_error_alerts(spark, d):
+    return alerts.over_runs(_runs(spark, d), ALERT_FILES)
+
+
 def q_retention_plan(spark, d):
     b = bronze(spark, d)
     return health.retention_plan({"bronze": b, "silver": silver.to_silver(b, RUN_TS, None)},
@@ -580,6 +587,38 @@ def q_retention_applied(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+LATER_AS_OF = "2025-01-12T00:00:00Z"
+
+
+def q_retention_run(spark, d):
+    """Rows that readers see and rows in the layer's files, after a retention run
+    that stopped before it deleted, one that finished it, and one a year later."""
+    def stop() -> None:
+        raise RuntimeError("stopped")
+
+    def seen(root: str, stage: str) -> None:
+        layers = f"{root}/layers"
+        frames = {"bronze": incremental_run.read_bronze(spark, layers), "silver": incremental_run.read_silver(spark, layers),
+                  "bronze_files": sinks.read_or_empty(spark, f"{layers}/bronze", incremental_run.BRONZE),
+                  **{f"{x}_archive": retention.read_archive(spark, layers, x) for x in retention.LAYERS}}
+        parts = [df.groupBy("_batch_id").agg(F.count(F.lit(1)).alias("row_count")).withColumn("place", F.lit(place))
+                 for place, df in frames.items()]
+        reduce(DataFrame.unionByName, parts).withColumn("stage", F.lit(stage)).write.mode("append").parquet(f"{root}/seen")
+
+    def make(root: str) -> None:
+        copy_tree(spark, runs_root(spark, d), f"{root}/layers")
+        try:
+            retention.run_retention(spark, f"{root}/layers", RETENTION_AS_OF, before_delete=stop)
+        except RuntimeError:
+            seen(root, "stopped")
+        retention.run_retention(spark, f"{root}/layers", RETENTION_AS_OF)
+        seen(root, "finished")
+        retention.run_retention(spark, f"{root}/layers", LATER_AS_OF)
+        seen(root, "later")
+
+    return spark.read.parquet(f"{_once(spark, d, 'retention', make)}/seen")
+
+
 # -- Ordered outputs, heads, types, plausibility -------------------------------------
 
 def _ordered(df, *order):
@@ -722,6 +761,7 @@ QUERIES: dict[str, Query] = {
     "freshness": q_freshness,
     "run_trend": q_run_trend,
     "error_alerts": q_error_alerts,
+    "stream_error_alerts": q_stream_error_alerts,
     "retention_plan": q_retention_plan,
     # streaming
     "stream_dedup": q_stream_dedup,
@@ -768,6 +808,7 @@ QUERIES: dict[str, Query] = {
     "run_metrics_daily": q_run_metrics_daily,
     "retention_of_batches": q_retention_of_batches,
     "retention_applied": q_retention_applied,
+    "retention_run": q_retention_run,
     # ordered outputs, heads, types, plausibility, content dedup
     "daily_series_ordered": q_daily_series_ordered,
     "hourly_series_ordered": q_hourly_series_ordered,

@@ -21,7 +21,8 @@ again starts from the batches before it, not from those after it.  If its new
 version holds other ids, or moves a watermark elsewhere, later batches that
 depend on it are run again too, from their Bronze and with their own
 parameters, and all new versions become visible by one append.  So Silver is
-always what the batches' last contents give when run once in that order.
+always what the batches' last contents give when run once in that order, but that
+a batch whose Bronze has gone by retention stays as it is.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def paths(root: str) -> dict[str, str]:
     r = root.rstrip("/")
     return {"bronze": f"{r}/bronze", "silver": f"{r}/silver", "ids": f"{r}/silver_ids",
             "quarantine": f"{r}/quarantine", "quality": f"{r}/quality", "gold": f"{r}/gold", "states": f"{r}/gold_states",
-            "control": f"{r}/state/control", "runs": f"{r}/state/runs"}
+            "control": f"{r}/state/control", "runs": f"{r}/state/runs", "retention": f"{r}/state/retention"}
 
 
 def silver_schema(spark: SparkSession) -> T.StructType:
@@ -74,14 +75,20 @@ def committed_batches(spark: SparkSession, root: str, pipeline: str = "events")
     return state.committed_versions(state.read_control(spark, paths(root)["control"]), pipeline)
 
 
+def retired_versions(spark: SparkSession, root: str, pipeline: str, layer: str) -> DataFrame:
+    return state.retired(state.read_retention(spark, paths(root)["retention"]), pipeline, layer)
+
+
 def read_silver(spark: SparkSession, root: str, pipeline: str = "events", scope: str = "all",
                 as_of_batch: str | None = None) -> DataFrame:
     return sinks.read_layer(spark, paths(root)["silver"], silver_schema(spark),
-                            committed_batches(spark, root, pipeline), scope, as_of_batch)
+                            committed_batches(spark, root, pipeline), scope, as_of_batch,
+                            retired_versions(spark, root, pipeline, "silver"))
 
 
 def read_bronze(spark: SparkSession, root: str, pipeline: str = "events", scope: str = "all") -> DataFrame:
-    return sinks.read_layer(spark, paths(root)["bronze"], BRONZE, committed_batches(spark, root, pipeline), scope)
+    return sinks.read_layer(spark, paths(root)["bronze"], BRONZE, committed_batches(spark, root, pipeline), scope,
+                            without=retired_versions(spark, root, pipeline, "bronze"))
 
 
 def read_quarantine(spark: SparkSession, root: str, pipeline: str = "events", scope: str = "all") -> DataFrame:
@@ -233,7 +240,8 @@ class _Run:
                 return
             at = batches.where(F.col("_batch_id") == batch_id).first()["first_at"]
             later = batches.where(F.struct("first_at", "_batch_id") > F.struct(F.lit(at), F.lit(batch_id)))
-            rows = sinks.read_layer(self.spark, bronze, BRONZE, later).select("id", "source_repo", "_batch_id")
+            gone = state.retired(state.read_retention(self.spark, self.paths["retention"]), self.pipeline, "bronze")
+            rows = sinks.read_layer(self.spark, bronze, BRONZE, later, without=gone).select("id", "source_repo", "_batch_id")
             touched = rows.join(ids.select(F.col("event_id").alias("id")).distinct(), "id", "left_semi").unionByName(
                 rows.join(sources.distinct(), "source_repo", "left_semi")).select("_batch_id").distinct()
             following = later.join(touched, "_batch_id", "left_semi").orderBy("first_at", "_batch_id").first()

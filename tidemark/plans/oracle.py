@@ -770,3 +770,15 @@ SQL["bronze_value_kinds"] = f"WITH {BASE_CTES}\n" + "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{'bigint' if c.endswith('_id') else 'string'}' AS data_type, "
     + (f"CASE WHEN {c} IS NULL THEN 'null' ELSE 'value' END" if c.endswith("_id") else _kind(c))
     + " AS kind, count(*) AS n FROM bronze GROUP BY 3" for c in C.KIND_COLUMNS)
+
+SQL["stream_error_alerts"] = SQL["error_alerts"]
+_FIRST, *_KEPT = C.testdata.BATCHES
+SQL["retention_run"] = with_runs(f""",
+n AS (SELECT _batch_id, count(*) AS bronze, count(*) FILTER (WHERE reason IS NULL) AS silver FROM labels GROUP BY 1),
+at_first AS (SELECT unnest(['stopped', 'finished']) AS stage)
+SELECT stage, 'bronze' AS place, _batch_id, bronze AS row_count FROM n, at_first WHERE _batch_id <> '{_FIRST}'
+UNION ALL SELECT stage, 'silver', _batch_id, silver FROM n, at_first
+UNION ALL SELECT stage, 'bronze_archive', _batch_id, bronze FROM n, at_first WHERE _batch_id = '{_FIRST}'
+UNION ALL SELECT stage, 'bronze_files', _batch_id, bronze FROM n, at_first WHERE stage = 'stopped' OR _batch_id <> '{_FIRST}'
+UNION ALL SELECT 'later', 'bronze_archive', _batch_id, bronze FROM n WHERE _batch_id <> '{_FIRST}'
+UNION ALL SELECT 'later', 'silver_archive', _batch_id, silver FROM n""").replace("\n,\nn AS", ",\nn AS", 1)

@@ -55,8 +55,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType, committed: DataFrame,
-               scope: str = "all", as_of_batch: str | None = None) -> DataFrame:
-    """Read the committed versions of a layer.
+               scope: str = "all", as_of_batch: str | None = None, without: DataFrame | None = None) -> DataFrame:
+    """Read the committed versions of a layer, but those ``without``.
 
     ``committed`` (``state.committed_versions``) has ``_batch_id``, ``_run_id``,
     ``committed_at`` and ``first_at``.  ``scope='latest'`` reads the batch committed
@@ -71,6 +71,8 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType, committed:
     if scope == "latest":
         committed = committed.where(F.col("_batch_id") == committed.agg(
             F.max_by("_batch_id", F.struct("committed_at", "_batch_id"))).scalar())
+    if without is not None:
+        committed = committed.join(without, list(VERSION), "left_anti")
     fields = [f for f in schema.fields if f.name not in VERSION]
     whole = T.StructType([*fields, *[T.StructField(c, T.StringType()) for c in VERSION]])
     return read_or_empty(spark, path, whole).join(

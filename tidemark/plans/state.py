@@ -16,7 +16,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.plans.sinks import read_or_empty
-from tidemark.schemas import CONTROL, RUN
+from tidemark.schemas import CONTROL, RETENTION, RUN
+
+RETIRED = "retired"
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
@@ -73,6 +75,16 @@ def success_rows(spark: SparkSession, pipeline: str, run_id: str, batch_id: str,
         meta.alias("metadata"))
 
 
+def read_retention(spark: SparkSession, path: str) -> DataFrame:
+    return read_or_empty(spark, path, RETENTION)
+
+
+def retired(retention: DataFrame, pipeline: str, layer: str) -> DataFrame:
+    """(_batch_id, _run_id) of the versions that a layer's readers see no more."""
+    return retention.where((F.col("pipeline") == pipeline) & (F.col("layer") == layer)
+                           & (F.col("status") == RETIRED)).select("_batch_id", "_run_id")
+
+
 def commit(rows: DataFrame, path: str) -> None:
     """Append the success rows of a batch, or of several at once: one row a
     source and batch in one small file, so all of it becomes visible or nothing."""

@@ -59,6 +59,18 @@ CONTROL = T.StructType([
     T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
 ])
 
+# Retention table: a row when a version is retired from a layer, and one when
+# its files are removed.
+RETENTION = T.StructType([
+    T.StructField("pipeline", T.StringType()),
+    T.StructField("layer", T.StringType()),
+    T.StructField("_batch_id", T.StringType()),
+    T.StructField("_run_id", T.StringType()),
+    T.StructField("action", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("at", T.TimestampType()),
+])
+
 # Run history: one row per run (JSON Lines on disk).
 RUN = T.StructType([
     T.StructField("run_id", T.StringType()),
