@@ -116,3 +116,22 @@ def test_cuboid_tables_of_empty_input(enriched):
     bundle = gold.base_tables(e, gold.small_cuboid(e))
     assert bundle["activity_totals"].collect()[0]["total_events"] == 0
     assert bundle["push_metrics"].count() == 0
+
+
+def test_states_of_batches_merge_to_the_whole(spark):
+    from tidemark.operators import silver
+    from tidemark.session import materialize
+    from tidemark.sources.testdata import bronze_from_dir
+
+    rows = materialize(silver.to_silver(bronze_from_dir(spark, "/root/testdata/sf0.001"), event_types=None))
+    batches = [rows.where(F.pmod("_arrival_seq", F.lit(3)) == k) for k in range(3)]
+    states = {gold.CUBOID: [gold.small_cuboid(b) for b in batches]}
+    states |= {name: [gold.state_tables(b)[name] for b in batches] for name in gold.STATE_DIMS}
+    merged = gold.merged_tables({name: a.unionByName(b).unionByName(c) for name, (a, b, c) in states.items()})
+    whole = gold.metrics_bundle(rows)
+    assert merged.keys() == whole.keys()
+    for name in ("repo_metrics", "contributor_repos", "contributor_top_types", "daily_series", "pr_actions"):
+        got, want = merged[name], whole[name]
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+    assert gold.merged_tables({n: s[0].where("false") for n, s in states.items()})["repo_metrics"].count() == 0

@@ -77,3 +77,18 @@ def test_quantiles_equal_percentiles(spark):
     got = {r.column_name: (r.p10, r.p50, r.p99) for r in profile.quantiles(df, ("a", "b", "c"), (0.1, 0.5, 0.99)).collect()}
     want = df.select(*[F.percentile(x, [0.1, 0.5, 0.99]).alias(x) for x in ("a", "b")]).collect()[0]
     assert set(got) == {"a", "b"} and all(got[k] == pytest.approx(want[k]) for k in got)
+
+
+def test_value_kinds_come_from_the_values(spark):
+    df = spark.createDataFrame([("1", 1), ("-2.5e3", None), ("", 3), (None, 4), ("2024-01-05", 5), ("true", 6),
+                                ("2024-01-05T10:00:00Z", 7), ("x 1", 8), ("12", 9)], "a string, b long")
+    got = {(r.column_name, r.data_type, r.kind): r.n for r in profile.value_kinds(df, ("a", "b")).collect()}
+    assert got == {**{("a", "string", k): 1 for k in ("null", "empty", "number", "date", "boolean", "timestamp", "text")},
+                   ("a", "string", "integer"): 2, ("b", "bigint", "value"): 8, ("b", "bigint", "null"): 1}
+    assert profile.value_kinds(df.where("false"), ("a", "b")).count() == 0
+
+
+def test_csv_keeps_types_and_nulls(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a,b", dt.datetime(2024, 1, 1)), (None, "q", None)], "n long, k string, t timestamp_ntz")
+    sinks.write_csv(df, f"{tmp_dir}/csv")
+    assert sorted(map(str, sinks.read_csv(spark, f"{tmp_dir}/csv", df.schema).collect())) == sorted(map(str, df.collect()))
