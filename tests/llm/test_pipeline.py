@@ -43,3 +43,32 @@ def test_stages_catch_planted_cases_and_keep_clean_ones(spark, tmp_dir):
     assert item in seen["jaccard_join"][2003] and item not in seen["decontaminate"][2003]
     assert {r.doc_id for r in docs.collect()} == set(seen["decontaminate"])
     assert dict(corpus_pipeline.STAGES).keys() == {"toxicity", "line_dedup", "jaccard_join", "decontaminate", "pack"}
+
+
+def test_empty_tables_and_the_written_sequences(spark, tmp_dir):
+    tables = {"documents": "doc_id long, text string, lang string, source string, n_chars long",
+              "labels": "doc_id long, toxic int", "benchmark": "item_id long, text string"}
+    for name, schema in tables.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_dir}/none/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_dir}/none", f"{tmp_dir}/out").count() == 0
+    assert corpus_pipeline.write_sequences(spark, f"{tmp_dir}/out").count() == 0
+
+    rng = random.Random(5)
+    same = prose(rng, 80)
+    rows = [(1, same), (1, same), (2, same), (3, None), (3, None), (None, prose(rng, 40)), (4, ""), (5, prose(rng, 3000))]
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], tables["documents"]) \
+        .write.parquet(f"{tmp_dir}/some/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.createDataFrame([], tables[name]).write.parquet(f"{tmp_dir}/some/{name}.parquet")
+    corpus_pipeline.run(spark, f"{tmp_dir}/some", f"{tmp_dir}/some/out")
+    cleaned = spark.read.parquet(f"{tmp_dir}/some/out/{corpus_pipeline.CLEANED}")
+    got = [r.doc_id for r in cleaned.select("doc_id").collect()]
+    assert sorted(i for i in got if i is not None) == [1, 3, 4, 5] and got.count(None) == 1
+    pieces = corpus_pipeline.write_sequences(spark, f"{tmp_dir}/some/out").collect()
+    assert all(len(r.ids) == r.length for r in pieces) and len([r for r in pieces if r.doc_id == 5]) > 1
+    for seq in {r.sequence_id for r in pieces}:
+        at = 0
+        for r in sorted((r for r in pieces if r.sequence_id == seq), key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 2048

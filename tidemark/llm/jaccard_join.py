@@ -472,7 +472,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, groupings: int = 4) -> D
 def keep_first(docs: DataFrame, percent: int = 80, groupings: int = 4) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row
     with the smallest doc_id (null ids last, then by the text's hash), and all
-    documents without words.  Identical rows count as one."""
+    documents without words.  Identical rows count as one, with or without words."""
     found = staged(near_duplicates(docs, percent, groupings), "near-duplicates")
     first = found.where("class_id is not null").groupBy("class_id").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")).alias("f"))
@@ -483,8 +483,7 @@ def keep_first(docs: DataFrame, percent: int = 80, groupings: int = 4) -> DataFr
     rows = docs.withColumns({"__t1": t1, "__t2": t2})
     rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__t1"] == kept["__k1"])
                      & (rows["__t2"] == kept["__k2"]), "left_semi")
-    repeated = (found.where("class_id is not null").groupBy("doc_id", "t1", "t2").count()
-                .where(F.col("count") > 1).limit(1).count())
+    repeated = found.groupBy("doc_id", "t1", "t2").count().where(F.col("count") > 1).limit(1).count()
     if repeated:
         rows = rows.dropDuplicates(["doc_id", "__t1", "__t2"])
     return rows.drop("__t1", "__t2")
