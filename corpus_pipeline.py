@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``.
+
+Rows with a null id or text pass the filtering stages like any others, as do
+empty texts; an empty ``documents`` gives empty tables, an empty ``labels`` a
+lexicon that rejects nothing, an empty ``benchmark`` takes nothing out.  Of equal
+rows one stays, as they are near duplicates of each other, but texts without a
+word are linked with nothing and all stay.
 """
 
 from __future__ import annotations
@@ -44,9 +50,19 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row a piece: where it is in its document and in which sequence."""
     return packing.pack(docs)
 
 
+def write_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    """What a model trains on: the cleaned documents that a run left in ``folder``
+    as pieces with their token ids, written to ``<folder>/sequences``.  The ids of
+    a sequence are its pieces' in the order of ``offset``."""
+    packing.pack(spark.read.parquet(f"{folder}/{CLEANED}"), with_ids=True).write.mode("overwrite").parquet(
+        f"{folder}/sequences")
+    return spark.read.parquet(f"{folder}/sequences")
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("line_dedup", drop_common_lines),
@@ -55,13 +71,18 @@ STAGES = [
     ("pack", pack_sequences),
 ]
 
+#: The stage whose table has the cleaned documents.
+CLEANED = STAGES[-2][0]
+
 #: Learned scores and free sequence numbers have no SQL form; the tests hold
 #: every stage against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, folder = table(spark, sf_dir, "documents"), work_dir(spark, "llm", f"pipeline-{uuid.uuid4().hex}")
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """Apply the stages to ``documents``.  Every stage's table stays in ``folder``
+    under the stage's name (without one: in a new folder of the work folder)."""
+    docs, folder = table(spark, sf_dir, "documents"), folder or work_dir(spark, "llm", f"pipeline-{uuid.uuid4().hex}")
     for name, stage in STAGES:
         out = stage(spark, docs, sf_dir)
         out.write.parquet(f"{folder}/{name}")
