@@ -36,6 +36,12 @@ def test_equals_brute_force_with_ties_and_odd_rows(spark):
     check(spark, rows)
 
 
+def test_many_slices_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SLICE_SHARDS", 2)
+    rng = random.Random(20)
+    check(spark, [(i, [rng.gauss(0, 0.2) for _ in range(4)]) for i in range(600)], every=3, shard_rows=40, block=50)
+
+
 def test_fewer_candidates_than_k_and_empty(spark):
     check(spark, [(0, [1.0, 2.0]), (7, [2.0, 1.0]), (1, [0.0, -1.0])])
     check(spark, [(0, [1.0])])

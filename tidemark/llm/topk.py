@@ -3,9 +3,10 @@
 Vectors are spread over shards of a bounded size by hash.  Each shard's tree is
 built once by median splits along the widest dimension, every node with its
 tight bounding box, and is written as one row.  Queries come in blocks of a
-bounded size, broadcast to the shards; each query descends a shard's tree best
-box first and stops when the best box left can't beat its kth score so far.  A
-task passes that kth score on from shard to shard.
+bounded size, a row each, which meet the shards by slices of a few shards; each
+query descends a shard's tree best box first and stops when the best box left
+can't beat its kth score so far.  A block passes that kth score on from shard to
+shard of a slice.  Neither vectors nor trees go through the driver.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import batched, staged
 
 SHARD_ROWS = 4096
 LEAF_ROWS = 128
-#: Queries broadcast at once.
+#: Queries of a block, at most about.
 BLOCK = 8192
+#: Shards of a slice at most.
+SLICE_SHARDS = 16
 
 
 class KdTree:
@@ -119,9 +122,8 @@ def _matrix(column: pa.ListArray | pa.ChunkedArray, dim: int) -> np.ndarray:
     return out
 
 
-def build_index(rows: DataFrame, dim: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def build_index(rows: DataFrame, dim: int, shards: int) -> DataFrame:
     """One row a shard: its tree's points, ids, nodes and boxes."""
-    shards = max(1, -(-rows.count() // shard_rows))
     keyed = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(shards)))
 
     def build(part: pa.Table) -> pa.Table:
@@ -136,9 +138,22 @@ def build_index(rows: DataFrame, dim: int, shard_rows: int = SHARD_ROWS) -> Data
         build, "shard long, ids binary, points binary, nodes binary, low binary, high binary")
 
 
+def query_blocks(queries: DataFrame, dim: int, blocks: int) -> DataFrame:
+    """One row a block of ``queries(vec_id, x)``: its ids and points."""
+    keyed = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(blocks)))
+
+    def pack(part: pa.Table) -> pa.Table:
+        ids = part.column("vec_id").to_numpy().astype("<i8")
+        return pa.table([pa.array([part.column("block")[0].as_py()], pa.int64()), pa.array([ids.tobytes()], pa.binary()),
+                         pa.array([_matrix(part.column("x"), dim).astype("<f8").tobytes()], pa.binary())],
+                        names=["block", "asked", "asked_points"])
+
+    return keyed.groupBy("block").applyInArrow(pack, "block long, asked binary, asked_points binary")
+
+
 def _tree(batch: pa.RecordBatch, i: int, dim: int) -> KdTree:
     tree = KdTree.__new__(KdTree)
-    ids, points, nodes, low, high = (batch.column(c)[i].as_buffer() for c in range(1, 6))
+    ids, points, nodes, low, high = (batch.column(c)[i].as_buffer() for c in ("ids", "points", "nodes", "low", "high"))
     tree.ids = np.frombuffer(ids, "<i8")
     tree.points = np.frombuffer(points, "<f8").reshape(-1, dim)
     tree.nodes = [tuple(x) for x in np.frombuffer(nodes, "<i4").reshape(-1, 4).tolist()]
@@ -147,6 +162,13 @@ def _tree(batch: pa.RecordBatch, i: int, dim: int) -> KdTree:
     return tree
 
 
+def _answers(key: tuple[int, int], own: np.ndarray, best: list[list[tuple[float, int]]]) -> pa.RecordBatch:
+    """The heaps of a block, its ids ``own`` in order, as rows."""
+    out = [(key[1], no, q, -i, int(score)) for no, (q, heap) in enumerate(zip(own.tolist(), best)) for score, i in heap]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 5)],
+                                      ["block", "no", "query_id", "vec_id", "score"])
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SHARD_ROWS,
           block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score of each query's ``k`` best candidates.
@@ -157,6 +179,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SH
     smaller id.  Rows without an id, vectors null or with a null or non-finite
     component take no part; shorter vectors count as filled up with zeros.  A
     repeated row is a candidate each time and, as a query, answered each time.
+    A task holds a shard's tree and a block of queries at a time.
     """
     spark = vectors.sparkSession
     rows = usable(vectors)
@@ -164,36 +187,36 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = SH
     empty = "query_id long, rank int, vec_id long, score long"
     if not dim:
         return spark.createDataFrame([], empty)
-    index = staged(build_index(rows, dim, shard_rows), "kd-index")
     queries = rows.where(is_query)
+    shards = max(1, -(-rows.count() // shard_rows))
     blocks = max(1, -(-2 * queries.count() // block))
-    found = None
-    for b in range(blocks):
-        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b)
-        asked = part.toArrow()  # about block / 2 rows
-        if not asked.num_rows:
-            continue
-        shared = spark.sparkContext.broadcast(
-            (asked.column("vec_id").to_numpy(), _matrix(asked.column("x"), dim)))
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared, b=b) -> Iterator[pa.RecordBatch]:
-            ids, points = shared.value
-            best: list[list[tuple[float, int]]] = [[] for _ in ids]
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    tree = _tree(batch, i, dim)
-                    for q, own, heap in zip(points, ids.tolist(), best):
-                        tree.search(q, own, k, heap)
-            out = [(b, n, own, -i, int(s)) for n, (own, heap) in enumerate(zip(ids.tolist(), best))
-                   for s, i in heap]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)],
-                                                 ["block", "no", "query_id", "vec_id", "score"])
-
-        one = index.mapInArrow(search, "block long, no long, query_id long, vec_id long, score long")
-        found = one if found is None else found.unionByName(one)
-    if found is None:
-        return spark.createDataFrame([], empty)
+    # Few shards are spread over all cores, many go by SLICE_SHARDS.
+    slices = max(-(-shards // SLICE_SHARDS), min(shards, spark.sparkContext.defaultParallelism))
+    index = staged(build_index(rows, dim, shards), "kd-index").withColumn(
+        "slice", F.pmod("shard", F.lit(slices))).repartition(slices, "slice")
+    asked = staged(query_blocks(queries, dim, blocks), "kd-queries").withColumn(
+        "slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long")))).repartition(slices, "slice")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The sort-merge join gives a block's shards one after the other.
+        last, own, points, best = None, np.empty(0, "<i8"), np.empty((0, dim)), []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key = (batch.column("slice")[i].as_py(), batch.column("block")[i].as_py())
+                if key != last:
+                    if last is not None:
+                        yield _answers(last, own, best)
+                    last, own = key, np.frombuffer(batch.column("asked")[i].as_buffer(), "<i8")
+                    points = np.frombuffer(batch.column("asked_points")[i].as_buffer(), "<f8").reshape(-1, dim)
+                    best = [[] for _ in own]
+                tree = _tree(batch, i, dim)
+                for q, query_id, heap in zip(points, own.tolist(), best):
+                    tree.search(q, query_id, k, heap)
+        if last is not None:
+            yield _answers(last, own, best)
+
+    met = batched(asked.hint("merge").join(index, "slice"))
+    found = met.mapInArrow(search, "block long, no long, query_id long, vec_id long, score long")
     w = Window.partitionBy("block", "no").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
