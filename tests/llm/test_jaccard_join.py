@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from tests.llm.cases import ascii_lower, docs, near, odd_rows, prose
 from tidemark.llm import jaccard_join as J
 from tidemark.llm.graph import components
@@ -62,6 +64,7 @@ def corpus(rng):
 def test_components_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(J, "GROUP_ROWS", 8)  # many groups, chunks and salts
     monkeypatch.setattr(J, "BUCKET_TOKENS", 200)
+    monkeypatch.setattr(J, "HOT_SETS", 20)  # the shared passages are hot
     rows = corpus(random.Random(14))
     table = docs(spark, rows)
     for groupings in (0, 2):  # without groupings all links come from the matrix
@@ -69,6 +72,27 @@ def test_components_equal_brute_force(spark, monkeypatch):
         assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == brute(rows)
 
 
+def test_a_hot_shingle_is_spread_over_the_buckets(spark, monkeypatch):
+    monkeypatch.setattr(J, "HOT_SETS", 100)
+    rng = random.Random(16)
+    passage = prose(rng, 12)
+    rows = [(i, prose(rng, 30) + (" " + passage if i % 3 == 0 else "")) for i in range(1200)]
+    rows += [(2000 + i, rows[0][1]) for i in range(300)]  # copies count once
+    table = docs(spark, rows)
+    tokens, held = J.hot_tokens(J.document_sets(table))
+    assert sorted(tokens.tolist()) == J.shingle_sets([passage])[0].tolist()
+    assert held.min() >= 400
+    shared = spark.sparkContext.broadcast((tokens, held))
+    in_bucket = Counter()
+    for r in J._bucketed(table, 64, shared).collect():
+        found = np.isin(np.frombuffer(r.tokens, "<u8"), tokens)
+        in_bucket[r.bucket] += int(found.sum())
+    assert sum(in_bucket.values()) >= 400 * len(tokens)
+    assert max(in_bucket.values()) < 3 * sum(in_bucket.values()) / 64
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(table).collect()),
+                  key=str) == brute(rows)
+
+
 def test_keep_first_keeps_one_of_each(spark):
     rows = corpus(random.Random(15))
     out = J.keep_first(docs(spark, rows))

@@ -3,8 +3,8 @@
 A document's set holds the hashes of its distinct word shingles.  Equal sets
 are one from the start.  Then:
 
-1. Shingles are counted by document over hash buckets.  A set of which less
-   than the threshold is held by another set has no partner and is done with.
+1. Shingles are counted by document over hash buckets, hot ones beforehand, so
+   that their entries can be spread.  A set of which less than the threshold is held by another set has no partner and is done with.
 2. The rest is partitioned into groups of similar sets, by least hashes, and
    linked inside the groups; this is done a few times, each time with one
    leader for the sets linked so far.
@@ -38,6 +38,10 @@ GROUP_ROWS = 256
 TEXT_BYTES = 1 << 20
 #: Tokens that a task deals to buckets at once.
 PORTION_TOKENS = 1 << 20
+#: A token is hot if more sets hold it than OFTEN for each PORTION_TOKENS of the
+#: corpus, and HOT_SETS at least: PORTION_TOKENS / OFTEN tokens at most are.
+OFTEN = 8
+HOT_SETS = 1024
 
 _U = np.uint64
 _STEP = _U(0xD6E8FEB86659FD93)
@@ -127,34 +131,94 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
                 texts, held, begin = [], 0, i
 
 
+def _often(distinct: dict[int, np.ndarray]) -> bytes:
+    """The tokens that more than OFTEN of the sets hold, then how many do."""
+    tokens, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
+    more = counts > OFTEN
+    return tokens[more].astype("<u8").tobytes() + counts[more].astype("<u8").tobytes()
+
+
 def document_sets(docs: DataFrame) -> DataFrame:
     """doc_id, t1 and t2 (hashes of the text), n (set size) and set (its hash;
-    null if empty) of each row."""
+    null if empty) of each row; here and there ``often``, the tokens that are
+    frequent among the PORTION_TOKENS before."""
 
     def run(batches):
+        distinct: dict[int, np.ndarray] = {}
+        held, last = 0, None
         for rows, sets in _portions(batches):
-            yield pa.RecordBatch.from_arrays(
-                list(rows.columns[1:]) + [pa.array([len(s) for s in sets], pa.int64()), pa.array(
-                    [set_hash(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "t1", "t2", "n", "set"])
+            if last is not None:
+                yield last
+            keys = [set_hash(s) if len(s) else None for s in sets]
+            for key, s in zip(keys, sets):
+                if key is not None and key not in distinct:
+                    distinct[key] = s
+                    held += len(s)
+            often: list[bytes | None] = [None] * len(sets)
+            if held > PORTION_TOKENS:
+                often[-1], distinct, held = _often(distinct), {}, 0
+            last = pa.RecordBatch.from_arrays(
+                list(rows.columns[1:]) + [pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
+                                          pa.array(often, pa.binary())], ["doc_id", "t1", "t2", "n", "set", "often"])
+        if last is not None:
+            if distinct:
+                rest = pa.array([None] * (last.num_rows - 1) + [_often(distinct)], pa.binary())
+                last = last.set_column(5, "often", rest)
+            yield last
 
     text = F.col("text").cast("string")
     t1, t2 = hash128(F.coalesce(text, F.lit("")))
     return batched(docs).select(text.alias("text"), F.col("doc_id").cast("long"), t1.alias("t1"), t2.alias("t2")).mapInArrow(
-        run, "doc_id long, t1 long, t2 long, n long, set long")
+        run, "doc_id long, t1 long, t2 long, n long, set long, often binary")
+
+
+def hot_tokens(ids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The hot tokens of ``document_sets``, sorted, and a count of each.
+
+    The bound on their number holds as the counts of all tokens add up to no
+    more than the tokens.  Sets count once a portion, and only where more than
+    OFTEN hold the token, so a token that isn't among them is held by no more
+    than twice the limit for each portion.
+    """
+    def rows_of(batches):
+        for batch in batches:
+            for blob in batch.column(0):
+                both = np.frombuffer(blob.as_buffer(), "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in both], ["token", "held"])
+
+    total = ids.agg(F.sum("n")).first()[0] or 0
+    least = max(HOT_SETS, OFTEN * total // PORTION_TOKENS)
+    hot = (ids.where("often is not null").select("often").mapInArrow(rows_of, "token long, held long")
+           .groupBy("token").agg(F.sum("held").alias("held")).where(F.col("held") > least)).toArrow()
+    tokens, held = hot.column("token").to_numpy().view(_U), hot.column("held").to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], held[order]
 
 
 def _bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
     return (tokens >> _U(16)) % _U(buckets)
 
 
-def _bucketed(docs: DataFrame, buckets: int) -> DataFrame:
-    """Tokens by hash bucket: a row a bucket for each PORTION_TOKENS of a task."""
+def _places(tokens: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens are in the sorted ``hot``, and where those are."""
+    if not len(hot):
+        return np.empty(0, "i8"), np.empty(0, "i8")
+    at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
+    which = np.flatnonzero(hot[at] == tokens)
+    return which, at[which]
+
+
+def _bucketed(docs: DataFrame, buckets: int, hot) -> DataFrame:
+    """Tokens by hash bucket: a row a bucket for each PORTION_TOKENS of a task.
+    The entries of a hot token are spread over all buckets, by set."""
 
     def rows_of(distinct: dict[int, np.ndarray]) -> pa.RecordBatch:
         keys = np.array(list(distinct), "i8")
         tokens = np.concatenate(list(distinct.values()))
         owner = np.repeat(np.arange(len(keys), dtype="i4"), [len(s) for s in distinct.values()])
         bucket = _bucket_of(tokens, buckets)
+        spread, _ = _places(tokens, hot.value[0])
+        bucket[spread] = _bucket_of(mix(tokens[spread] ^ keys.view(_U)[owner[spread]], 3), buckets)
         order = np.argsort(bucket, kind="stable")  # keeps the documents in order
         tokens, owner, bucket = tokens[order], owner[order], bucket[order]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
@@ -189,8 +253,9 @@ def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in column] or [np.empty(0, kind)])
 
 
-def _shared(part: pa.Table, buckets: int) -> pa.Table:
-    """A bucket's tokens that two sets or more hold, dealt by set."""
+def _shared(part: pa.Table, buckets: int, hot: tuple[np.ndarray, np.ndarray]) -> pa.Table:
+    """A bucket's tokens that two sets or more hold, dealt by set.  How many hold
+    a hot token, which only orders it, is known from before."""
     sets, counts = _joined(part.column("sets"), "<i8"), _joined(part.column("counts"), "<u4")
     tokens = _joined(part.column("tokens"), "<u8")
     keep = np.zeros(len(sets), bool)  # equal sets from several portions count once
@@ -200,6 +265,8 @@ def _shared(part: pa.Table, buckets: int) -> pa.Table:
     tokens, owner = tokens[order], owner[order]
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(tokens)) + 1, [len(tokens)]])
     held = np.repeat(np.diff(cuts), np.diff(cuts))
+    which, place = _places(tokens, hot[0])
+    held[which] = hot[1][place]
     more = held > 1
     tokens, owner, held = tokens[more], owner[more], np.minimum(held[more], 0xFFFFFFFF)
     shard = owner.view(_U) % _U(buckets)
@@ -457,8 +524,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, groupings: int = 4) -> D
     ids are no smallest; a component without any other has a null component_id.
     """
     ids = staged(document_sets(docs), "sets")
+    hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(ids))  # PORTION_TOKENS / OFTEN tokens at most
     sets = staged(ids.where("set is not null").groupBy("set", "n").agg(F.min("doc_id").alias("least")), "distinct")
-    found = _classes(docs, sets, percent, groupings)
+    found = _classes(docs, sets, percent, groupings, hot)
     named = staged(sets.join(found, "set", "left").select(
         "set", "least", F.coalesce("comp", "set").alias("class_id")), "named")
     roots = staged(named.groupBy("class_id").agg(F.min("least").alias("component_id")), "roots")
@@ -489,12 +557,12 @@ def keep_first(docs: DataFrame, percent: int = 80, groupings: int = 4) -> DataFr
     return rows.drop("__t1", "__t2")
 
 
-def _classes(docs: DataFrame, sets: DataFrame, percent: int, groupings: int) -> DataFrame:
+def _classes(docs: DataFrame, sets: DataFrame, percent: int, groupings: int, hot) -> DataFrame:
     """set, comp for the sets that have a partner or may have one."""
     total = sets.agg(F.sum("n")).first()[0] or 0
     buckets = int(max(64, -(-total // BUCKET_TOKENS)))
-    shared = _bucketed(docs, buckets).groupBy("bucket").applyInArrow(
-        lambda part: _shared(part, buckets), "shard long, sets binary, tokens binary, held binary")
+    shared = _bucketed(docs, buckets, hot).groupBy("bucket").applyInArrow(
+        lambda part: _shared(part, buckets, hot.value), "shard long, sets binary, tokens binary, held binary")
     sized = sets.select("set", "n", _shard_of("set", buckets).alias("shard"))
     rows = staged(shared.groupBy("shard").cogroup(sized.groupBy("shard")).applyInArrow(
         lambda e, s: _survivors(e, s, percent), "set long, n long, shared double, tokens binary"), "survivors")
