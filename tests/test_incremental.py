@@ -10,6 +10,7 @@ from tidemark.operators import incremental, silver, validate
 from tidemark.plans import export, incremental_run, state
 from tidemark.plans.medallion import run_layers
 from tidemark.sources.landing import bronze_from_json, read_landing
+from tidemark.sources import testdata
 from tidemark.sources.testdata import bronze_from_dir
 
 SF = "/root/testdata/sf0.001"
@@ -288,3 +289,14 @@ def test_the_id_index_is_scanned_and_never_shuffled(spark, tmp_dir):
             assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     assert ids(incremental.known_ids(index, few.limit(0))) == []
 
+
+def test_a_large_batch_of_ids_never_passes_the_driver(spark, tmp_dir):
+    rows = spark.range(600).select(F.col("id").cast("string").alias("event_id"))
+    rows = rows.withColumn("_bucket", incremental.id_bucket("event_id"))
+    rows.where("cast(event_id as int) % 2 = 0").write.partitionBy("_bucket").parquet(f"{tmp_dir}/index")
+    rows.write.parquet(f"{tmp_dir}/many")
+    index = spark.read.schema(rows.schema).parquet(f"{tmp_dir}/index")
+    found = incremental.known_ids(index, spark.read.parquet(f"{tmp_dir}/many"), 100)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "PartitionFilters: [_bucket" in plan
+    assert ids(found) == sorted(str(i) for i in range(0, 600, 2))

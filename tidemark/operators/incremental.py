@@ -9,8 +9,8 @@ from tidemark.functions.timefns import parse_event_time
 
 #: Folders of the id index.  Ids are dealt to them by hash.
 ID_BUCKETS = 64
-#: Ids of a batch that are broadcast at once (some 60 MB).
-BROADCAST_IDS = 1_000_000
+#: Ids of a batch that are broadcast (some 15 MB); more are joined by shuffle.
+BROADCAST_IDS = 250_000
 
 
 def watermarks(silver: DataFrame, by: str = "source_repo") -> DataFrame:
@@ -59,29 +59,18 @@ def known_ids(index: DataFrame, ids: DataFrame, most: int = BROADCAST_IDS) -> Da
     """The ids of a batch that an id index holds.
 
     ``index(event_id, _bucket)`` is the history, stored in folders by bucket;
-    ``ids(event_id, _bucket)`` are the batch's distinct ids, stored.  The history
-    is only scanned, never shuffled: the batch's ids are broadcast, at most
-    ``most`` at a time, each time beside the folders that they fall into, so a
-    folder is read once and folders without an id of the batch not at all.  A
-    batch with more than ``most`` ids in one folder joins that folder by shuffle.
+    ``ids(event_id, _bucket)`` are the batch's distinct ids, stored.  Folders
+    without an id of the batch are not read.  The ids of a batch with ``most`` at
+    most are broadcast, and the history is only scanned beside them.  Those of a
+    larger batch never pass the driver: both sides are shuffled once, by id.
     """
     count = {r["_bucket"]: r["count"] for r in ids.groupBy("_bucket").count().collect()}  # a row a folder
-    groups: list[list[int]] = []
-    room = 0
-    for bucket, n in sorted(count.items()):
-        if not groups or n > room:
-            groups.append([])
-            room = most
-        groups[-1].append(bucket)
-        room -= n
-    found = ids.select("event_id").limit(0)
-    for group in groups:
-        mine = F.col("_bucket").isin(group)
-        side = ids.where(mine)
-        if sum(count[b] for b in group) <= most:
-            side = F.broadcast(side)
-        found = found.unionByName(index.where(mine).join(side, ["_bucket", "event_id"], "left_semi").select("event_id"))
-    return found
+    if not count:
+        return ids.select("event_id").limit(0)
+    side = ids.select("event_id")
+    side = F.broadcast(side) if sum(count.values()) <= most else side.hint("shuffle_merge")
+    mine = index.where(F.col("_bucket").isin(sorted(count)))
+    return mine.join(side, "event_id", "left_semi").select("event_id")
 
 
 def committed(rows: DataFrame, control: DataFrame, keys=("source_repo", "_batch_id")) -> DataFrame:
