@@ -300,3 +300,14 @@ def test_a_large_batch_of_ids_never_passes_the_driver(spark, tmp_dir):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and "PartitionFilters: [_bucket" in plan
     assert ids(found) == sorted(str(i) for i in range(0, 600, 2))
+
+
+def test_events_in_one_row_group_are_dealt_to_many_files(spark, tmp_dir):
+    spark.read.parquet(f"{SF}/events.parquet").coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    events = testdata.read_events(spark, tmp_dir)
+    dealt = testdata.spread(events, 100)
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 200
+    assert dealt.exceptAll(events).isEmpty() and events.exceptAll(dealt).isEmpty()
+    assert testdata.spread_events(spark, tmp_dir).exceptAll(events).isEmpty()
+    assert testdata.spread(events.limit(0)).count() == 0

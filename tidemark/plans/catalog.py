@@ -380,7 +380,7 @@ def clock_of(run: int):
 def runs_root(spark, d):
     """The layers after three runs, and a fourth that failed."""
     def make(root: str) -> None:
-        batches = testdata.incremental_batches(bronze(spark, d))
+        batches = testdata.incremental_batches(testdata.spread_bronze(spark, d, RUN_TS))
         for k, (batch_id, rows) in enumerate(zip(testdata.BATCHES, batches)):
             stats = incremental_run.run_batch(spark, rows, root, batch_id, RUN_TS, event_types=DEFAULT_TYPE_FILTER,
                                               clock=clock_of(k))
@@ -404,7 +404,7 @@ def stream_layers_root(spark, d):
 
     def make(root: str) -> None:
         feed = f"{root}/feed"
-        for epoch, rows in enumerate(testdata.incremental_batches(bronze(spark, d))):
+        for epoch, rows in enumerate(testdata.incremental_batches(testdata.spread_bronze(spark, d, RUN_TS))):
             rows.write.mode("append").parquet(feed)
 
             def run(before_commit=None):
@@ -439,7 +439,7 @@ def rerun_root(spark, d):
     """The layers after three runs, then the first again as it was, and the
     second with other events."""
     def make(root: str) -> None:
-        b = bronze(spark, d)
+        b = testdata.spread_bronze(spark, d, RUN_TS)
         batches = testdata.incremental_batches(b)
         again = [(testdata.BATCHES[0], batches[0]), (testdata.BATCHES[1], testdata.changed_batch(b))]
         for k, (batch_id, rows) in enumerate([*zip(testdata.BATCHES, batches), *again]):

@@ -10,9 +10,12 @@ pure functions of each input row, so the adapter is a single map-only pass
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.timefns import ts_literal
+from tidemark.session import configure, materialize, work_dir
 
 DEFAULT_RUN_TS = "2024-02-01T00:00:00Z"
 
@@ -56,6 +59,33 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+#: Rows of a part that events are dealt to.
+SPREAD_ROWS = 50_000
+_SPREAD: dict[tuple, DataFrame] = {}
+
+
+def spread(events: DataFrame, rows: int = SPREAD_ROWS) -> DataFrame:
+    """The same rows, dealt to parts of about ``rows`` by a hash of the whole row.
+
+    A Parquet row group is read by one task.  Where a table is one file with few
+    of them, the tasks of all that is written from it would stay as few."""
+    return events.repartition(max(1, -(-events.count() // rows)), *events.columns)
+
+
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in as many files as their number asks for: the input of feeds and
+    runs, which read it several times.  Written once a session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SPREAD:
+        path = work_dir(configure(spark), "events", uuid.uuid4().hex)
+        _SPREAD[key] = materialize(spread(read_events(spark, sf_dir)), path)
+    return _SPREAD[key]
+
+
+def spread_bronze(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -> DataFrame:
+    return dirty_bronze(spread_events(spark, sf_dir), run_ts)
+
+
 def _base_type(event_type: Column, event_id: Column) -> Column:
     expr = None
     for src, dst in TYPE_OF.items():
