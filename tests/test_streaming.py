@@ -8,6 +8,7 @@ import pytest
 from tidemark.operators import silver, validate
 from tidemark.plans import incremental_run
 from tidemark.sources.landing import read_landing, read_landing_stream
+from tidemark.sources import testdata
 from tidemark.sources.testdata import bronze_from_dir
 from tidemark.streaming import events as streaming, stateful
 
@@ -133,3 +134,15 @@ def test_windows_that_panes_cannot_give_are_refused(spark):
         with pytest.raises(ValueError):
             streaming.windowed_counts(panes, *how)
     assert streaming.windowed_counts(panes, "45 minutes", "30 minutes").count() == 0
+
+
+def test_an_append_of_several_files_is_one_epoch(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(testdata.spread, "__defaults__", (300,))
+    spark.read.parquet(f"{SF}/events.parquet").write.parquet(f"{tmp_dir}/events.parquet")
+    root = streaming.stream_run(spark, tmp_dir, RUN_TS)
+    assert len(os.listdir(f"{root}/feed")) > 2 * (streaming.FEED_FILES + 2)
+    epochs = spark.read.parquet(f"{root}/events").select(streaming.EPOCH).distinct().count()
+    assert epochs <= streaming.FEED_FILES + 1
+    got = streaming.stream_events(spark, tmp_dir, RUN_TS).where("late").select("id")
+    want = streaming.stream_events(spark, SF, RUN_TS).where("late").select("id")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -17,6 +17,7 @@ watermark that could drop rows; an event older than the times seen before it
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -25,7 +26,7 @@ from tidemark.functions.timefns import parse_event_time, ts_literal
 from tidemark.operators import dedup, validate
 from tidemark.plans.sinks import read_or_empty
 from tidemark.session import configure, work_dir
-from tidemark.sources.testdata import DEFAULT_RUN_TS, dirty_bronze
+from tidemark.sources.testdata import DEFAULT_RUN_TS, dirty_bronze, spread_events
 
 EPOCH = "_epoch"
 EVENTS = T.StructType([
@@ -152,13 +153,17 @@ def feed_file() -> F.Column:
     return F.when(fallback, F.lit(0)).otherwise(F.pmod(F.dayofmonth("ts") * 3, F.lit(FEED_FILES)))
 
 
-def write_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
+def feed(spark: SparkSession, sf_dir: str, path: str, take_in: Callable[[DataFrame], None]) -> None:
     """``events`` as FEED_FILES appends, days out of order and rows without a
-    usable time first, and one more append that sends some of them again."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    for k in range(FEED_FILES):
-        events.where(feed_file() == k).write.mode("append").parquet(path)
-    events.where(F.pmod("event_id", F.lit(RESENT_MOD)) == 0).write.mode("append").parquet(path)
+    usable time first, and one more append that sends some of them again.
+
+    ``take_in`` gets the stream after each append: an append is one micro-batch,
+    in however many files it was written, so epochs grow with it and not in number."""
+    events = spread_events(spark, sf_dir)
+    appends = [feed_file() == k for k in range(FEED_FILES)] + [F.pmod("event_id", F.lit(RESENT_MOD)) == 0]
+    for which in appends:
+        events.where(which).write.mode("append").parquet(path)
+        take_in(spark.readStream.schema(events.schema).parquet(path))
 
 
 _RUNS: dict[tuple, str] = {}
@@ -169,10 +174,7 @@ def stream_run(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS) -
     key = (spark.sparkContext.applicationId, sf_dir, run_ts)
     if key not in _RUNS:
         root = work_dir(configure(spark), "streams", uuid.uuid4().hex)
-        write_feed(spark, sf_dir, f"{root}/feed")
-        schema = spark.read.parquet(f"{root}/feed").schema
-        feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feed")
-        dedup_to_table(dirty_bronze(feed, run_ts), root, run_ts)
+        feed(spark, sf_dir, f"{root}/feed", lambda stream: dedup_to_table(dirty_bronze(stream, run_ts), root, run_ts))
         _RUNS[key] = root
     return _RUNS[key]
 

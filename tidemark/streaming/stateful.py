@@ -28,7 +28,7 @@ from tidemark.operators import dedup, incremental
 from tidemark.plans.sinks import read_or_empty
 from tidemark.session import configure, discard, materialize, work_dir
 from tidemark.sources.testdata import DEFAULT_RUN_TS, dirty_bronze
-from tidemark.streaming.events import EPOCH, run_available_now, with_event_time, write_feed, each_batch
+from tidemark.streaming.events import EPOCH, run_available_now, with_event_time, feed, each_batch
 
 ROWS = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("event_type", T.StringType()),
@@ -132,9 +132,6 @@ def over_events(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_TS,
     """The driver's events, sent as several files out of time order and some of
     them again, through a stateful feed."""
     root = work_dir(configure(spark), "stateful", uuid.uuid4().hex)
-    write_feed(spark, sf_dir, f"{root}/feed")
-    schema = spark.read.parquet(f"{root}/feed").schema
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feed")
-    feed = StatefulFeed(spark, root, delay, duration, slide, ("event_type",))
-    feed.run(dirty_bronze(source, run_ts), run_ts)
-    return feed
+    stateful = StatefulFeed(spark, root, delay, duration, slide, ("event_type",))
+    feed(spark, sf_dir, f"{root}/feed", lambda stream: stateful.run(dirty_bronze(stream, run_ts), run_ts))
+    return stateful
