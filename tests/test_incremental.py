@@ -311,3 +311,17 @@ def test_events_in_one_row_group_are_dealt_to_many_files(spark, tmp_dir):
     assert dealt.exceptAll(events).isEmpty() and events.exceptAll(dealt).isEmpty()
     assert testdata.spread_events(spark, tmp_dir).exceptAll(events).isEmpty()
     assert testdata.spread(events.limit(0)).count() == 0
+
+
+def test_landing_files_of_a_large_source_stay_small_and_few(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(testdata, "LANDING_FILE_EVENTS", 100)
+    events = testdata.read_events(spark, SF)
+    one = events.where("event_id % 10 <> 0").withColumn("props", F.lit('{"k": 7}'))  # nine rows in ten are of one source
+    events.where("event_id % 10 = 0").unionByName(one).write.parquet(f"{tmp_dir}/events.parquet")
+    testdata.write_landing(spark, tmp_dir, f"{tmp_dir}/landing", RUN_TS)
+    lines = spark.read.text(f"{tmp_dir}/landing/lines/*/*/*.txt").select(F.col("_metadata.file_path").alias("file"))
+    per_file = [r["count"] for r in lines.groupBy("file").count().collect()]
+    assert max(per_file) < 200 and len(per_file) < 120
+    read = read_landing(spark, f"{tmp_dir}/landing/lines", "b", RUN_TS, pattern="*/*/*.txt", lines=True).select("id")
+    want = bronze_from_dir(spark, tmp_dir).where("_arrival_seq % 2 = 1").select("id")
+    assert want.exceptAll(read).isEmpty()

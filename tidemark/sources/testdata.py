@@ -193,7 +193,8 @@ def bronze_from_dir(spark: SparkSession, sf_dir: str, run_ts: str = DEFAULT_RUN_
 # -- the same events as landing files ------------------------------------------
 
 CORRUPT_LINE_MOD, CORRUPT_LINE_REST = 500, 1
-LANDING_FILE_EVENTS = 500
+#: Rows of a source in one landing file, about: a file is read as one text.
+LANDING_FILE_EVENTS = 4_000
 
 
 def _json_fields(sep: str, *fields: tuple[str, Column, Column]) -> Column:
@@ -225,13 +226,15 @@ def event_json(sep: str = ", ") -> Column:
 def write_landing(spark: SparkSession, sf_dir: str, root: str, run_ts: str = DEFAULT_RUN_TS) -> None:
     """The dirty events as landing files by source: those with even ids as
     indented JSON arrays, the others as JSON Lines with a broken line here and
-    there.  All copies of an event are in one file, in arrival order."""
-    events = read_events(spark, sf_dir)
-    chunks = max(1, events.count() // (100 * LANDING_FILE_EVENTS))
-    rows = dirty_bronze(events, run_ts).withColumn("eid", F.pmod("_arrival_seq", F.lit(RETYPE_SEQ_OFFSET)))
+    there.  All copies of an event are in one file, in arrival order.  A source
+    has as many files as its rows ask for, so no text grows with the input."""
+    rows = spread_bronze(spark, sf_dir, run_ts).withColumn("eid", F.pmod("_arrival_seq", F.lit(RETYPE_SEQ_OFFSET)))
+    sizes = materialize(rows.groupBy(F.col("source_repo").alias("_source_repo")).agg(
+        F.ceil(F.count(F.lit(1)) / (2 * LANDING_FILE_EVENTS)).alias("files")))
+    rows = rows.join(sizes, F.col("source_repo").eqNullSafe(F.col("_source_repo")))
     rows = rows.select("eid", F.col("_arrival_seq").alias("seq"), F.split("source_repo", "/")[0].alias("owner"),
                        F.split("source_repo", "/")[1].alias("repo_dir"), event_json(",\n    ").alias("indented"),
-                       event_json().alias("line"), F.pmod("eid", F.lit(chunks)).alias("chunk"))
+                       event_json().alias("line"), F.pmod(F.xxhash64("eid"), "files").alias("chunk"))
     broken = (F.pmod("eid", F.lit(CORRUPT_LINE_MOD)) == CORRUPT_LINE_REST) & (F.col("seq") == F.col("eid"))
     line = F.when(broken, F.concat("line", F.lit('\n{"id": "'), F.col("eid").cast("string"), F.lit('", broken'))) \
         .otherwise(F.col("line"))
