@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -91,3 +92,12 @@ def test_table_of_odd_rows(spark, library, monkeypatch):
     assert bpe.decode(bpe.encode(docs(spark, []), keep_text=False)).collect() == []
     lists = spark.createDataFrame([(None,), ([],), ([None, 64, 99_999],)], "ids array<int>")
     assert sorted(r.decoded for r in bpe.decode(lists).collect()) == ["", "", "a"]
+
+
+def test_columns_of_lists_decode_as_lists_do():
+    own = bpe._bpe(None)
+    top = own.width
+    rows = [[1, None, -5, 10**9, 260], None, [], [top - 2, top - 1, top, 50], list(range(3000))]
+    lists = pa.array([[9, 9], *rows, [9]], pa.list_(pa.int32())).slice(1, len(rows))
+    assert own.decode_lists(lists) == [own.decode(x or []) for x in rows]
+    assert own.decode_lists(lists.slice(0, 0)) == []

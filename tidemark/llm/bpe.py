@@ -169,6 +169,9 @@ class Bpe:
         byte_of = {s: i for i, s in enumerate(symbols)}
         self.bytes_of = {i: bytes(byte_of[c] for c in s) for s, i in vocab.items() if all(c in byte_of for c in s)}
         self.bytes_of |= {i: s.encode() for s, i in added.items()}
+        self.by_id = np.full(self.width, b"", object)  # its last place stands for unknown ids
+        for i, b in self.bytes_of.items():
+            self.by_id[i] = b
         self.added = {s: np.array([i], "<i4").tobytes() for s, i in added.items()}
         # Added tokens are cut out of a text before anything else, the longest first.
         names = sorted(map(re.escape, added), key=len, reverse=True)
@@ -274,6 +277,16 @@ class Bpe:
         get = self.bytes_of.get
         return b"".join([get(i, b"") for i in ids]).decode("utf-8", "replace")
 
+    def decode_lists(self, lists: pa.ListArray) -> list[str]:
+        """The same for a column of lists: one look-up for all ids, null ones are unknown."""
+        at = lists.offsets.to_numpy()
+        ids = lists.values[int(at[0]):int(at[-1])].fill_null(-1).to_numpy()
+        last = self.width - 1
+        parts = self.by_id[np.where((ids >= 0) & (ids < last), ids, last)]
+        at = (at - at[0]).tolist()
+        return [b"".join(parts[a:b].tolist()).decode("utf-8", "replace") if some else ""
+                for a, b, some in zip(at, at[1:], lists.is_valid().to_pylist())]
+
 
 _LOADED: dict[str | None, Bpe] = {}
 
@@ -344,8 +357,8 @@ def decode(rows: DataFrame, tokenizers: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe(tokenizers)
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index("ids")).to_pylist()
-            yield batch.append_column("decoded", pa.array([bpe.decode(x or []) for x in lists], pa.string()))
+            texts = bpe.decode_lists(batch.column(batch.schema.get_field_index("ids")))
+            yield batch.append_column("decoded", pa.array(texts, pa.string()))
 
     out = batched(rows).select(*[F.col(f"`{c}`") for c in columns])
     return out.mapInArrow(run, out.select("*").schema.add("decoded", "string"))
