@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from tidemark.plans import incremental_run, retention
+from tidemark.plans import catalog, incremental_run, retention
 from tidemark.sources.landing import bronze_from_json
 
 RUN_TS = "2024-02-01T00:00:00Z"
@@ -53,3 +53,13 @@ def test_retired_batches_go_and_can_be_sent_again(spark, tmp_dir):
 def test_no_batches(spark, tmp_dir):
     retention.run_retention(spark, tmp_dir, "2024-06-02T00:00:00Z")
     assert retention.read_archive(spark, tmp_dir, "silver").count() == 0
+
+
+def test_the_retention_query_makes_layers_of_its_own(spark, tmp_dir, monkeypatch):
+    """What is deleted is its own, and no layer's files pass the driver."""
+    made = []
+    monkeypatch.setattr(catalog, "_three_runs", lambda s, d, root: made.append(root))
+    monkeypatch.setattr(catalog, "runs_root", None)
+    monkeypatch.setattr(catalog.retention, "run_retention", lambda *a, **k: None)
+    assert catalog.q_retention_run(spark, f"{tmp_dir}/none").collect() == []
+    assert len(made) == 1

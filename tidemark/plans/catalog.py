@@ -17,7 +17,7 @@ from tidemark.functions.features import DEFAULT_TYPE_FILTER, time_of_day_rank
 from tidemark.functions.timefns import as_wall_clock
 from tidemark.operators import adhoc, dedup, gold, health, incremental, profile, ranking, silver, validate
 from tidemark.plans import export, incremental_run, retention, sinks, state
-from tidemark.session import configure, copy_tree, work_dir
+from tidemark.session import configure, work_dir
 from tidemark.sources import testdata
 from tidemark.sources.landing import CORRUPT, bronze_from_raw, read_landing, source_counts
 from tidemark.sources.testdata import DEFAULT_RUN_TS, bronze_from_dir
@@ -377,19 +377,20 @@ def clock_of(run: int):
     return lambda: FIRST_RUN + dt.timedelta(days=run, minutes=next(calls))
 
 
+def _three_runs(spark, d, root: str) -> None:
+    batches = testdata.incremental_batches(testdata.spread_bronze(spark, d, RUN_TS))
+    for k, (batch_id, rows) in enumerate(zip(testdata.BATCHES, batches)):
+        stats = incremental_run.run_batch(spark, rows, root, batch_id, RUN_TS, event_types=DEFAULT_TYPE_FILTER,
+                                          clock=clock_of(k))
+        if stats["status"] != "success":
+            raise RuntimeError(stats["error"])
+    broken = batches[0].withColumn("id", F.raise_error(F.lit("boom")).cast("string"))
+    incremental_run.run_batch(spark, broken, root, "2024-01-31", RUN_TS, clock=clock_of(3))
+
+
 def runs_root(spark, d):
     """The layers after three runs, and a fourth that failed."""
-    def make(root: str) -> None:
-        batches = testdata.incremental_batches(testdata.spread_bronze(spark, d, RUN_TS))
-        for k, (batch_id, rows) in enumerate(zip(testdata.BATCHES, batches)):
-            stats = incremental_run.run_batch(spark, rows, root, batch_id, RUN_TS, event_types=DEFAULT_TYPE_FILTER,
-                                              clock=clock_of(k))
-            if stats["status"] != "success":
-                raise RuntimeError(stats["error"])
-        broken = batches[0].withColumn("id", F.raise_error(F.lit("boom")).cast("string"))
-        incremental_run.run_batch(spark, broken, root, "2024-01-31", RUN_TS, clock=clock_of(3))
-
-    return _once(spark, d, "layers", make)
+    return _once(spark, d, "layers", lambda root: _three_runs(spark, d, root))
 
 
 STOPPED_EPOCH = 1
@@ -606,7 +607,7 @@ def q_retention_run(spark, d):
         reduce(DataFrame.unionByName, parts).withColumn("stage", F.lit(stage)).write.mode("append").parquet(f"{root}/seen")
 
     def make(root: str) -> None:
-        copy_tree(spark, runs_root(spark, d), f"{root}/layers")
+        _three_runs(spark, d, f"{root}/layers")  # layers of its own, as it deletes from them
         try:
             retention.run_retention(spark, f"{root}/layers", RETENTION_AS_OF, before_delete=stop)
         except RuntimeError:
